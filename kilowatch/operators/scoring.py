@@ -29,7 +29,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from kilowatch.functions.clock import epoch_us
-from kilowatch.operators.slices import MAX_ROWS, before, hot_keys, hot_rows, with_slice, within
+from kilowatch.operators.slices import (
+    MAX_ROWS, before, find_hot_keys, hot_rows, with_slice, within,
+)
+from kilowatch.session import cut_lineage
 
 # Scoring thresholds and label names.
 THRESHOLD = 3.0
@@ -58,16 +61,15 @@ def next_count(kind: int, count: int, sustained: int) -> int:
 # --- running mean and deviation -------------------------------------------------------------
 
 
-def _moments(sliced: DataFrame, carry: DataFrame, value: str, order: list[str]) -> DataFrame:
+def _moments(sliced: DataFrame, carry: DataFrame | None, value: str, order: list[str]) -> DataFrame:
     """n, rolling_mean, rolling_stddev over all readings of the meter so far."""
     w = within("meter_id", *order)
     x = F.col(value)
+    count, mean, dev = F.count(F.lit(1)).over(w), F.avg(x).over(w), F.stddev_pop(x).over(w)
+    if carry is None:
+        return sliced.withColumns({"n": count, "rolling_mean": mean, "rolling_stddev": dev})
     inside = sliced.join(carry, ["meter_id", "_slice"], "left").withColumns(
-        {
-            "_n1": F.count(F.lit(1)).over(w),
-            "_mean1": F.avg(x).over(w),
-            "_var1": F.var_pop(x).over(w),
-        }
+        {"_n1": count, "_mean1": mean, "_var1": F.var_pop(x).over(w)}
     )
     n0, n1 = F.col("_n0"), F.col("_n1")
     n = n1 + F.coalesce(n0, F.lit(0))
@@ -150,14 +152,19 @@ def _walk_carry(hot_z: DataFrame, order: list[str]) -> DataFrame:
     )
 
 
-def _with_bound(z: DataFrame, carry: DataFrame, order: list[str], sustained: int) -> DataFrame:
+def _with_bound(
+    z: DataFrame, carry: DataFrame | None, order: list[str], sustained: int
+) -> DataFrame:
     """Upper bound of the counter, the stretch it belongs to, and whether the bound is exact."""
+    nothing = F.lit(None).cast("bigint")
+    if carry is None:
+        z = z.withColumns({"_x0": nothing, "_floor_in": nothing, "_floor_out": nothing})
+    else:
+        z = z.join(carry, ["meter_id", "_slice"], "left")
     w = within("meter_id", *order)
     earlier = W.partitionBy("meter_id", "_slice").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     floor_in = F.coalesce(F.col("_floor_in"), F.lit(0))
-    walk = z.join(carry, ["meter_id", "_slice"], "left").withColumn(
-        "_x", F.coalesce(F.col("_x0"), F.lit(0)) + F.sum(_step()).over(w)
-    )
+    walk = z.withColumn("_x", F.coalesce(F.col("_x0"), F.lit(0)) + F.sum(_step()).over(w))
     walk = walk.withColumns(
         {
             "_floor": F.least(F.lit(0), floor_in, F.min("_x").over(w)),
@@ -260,35 +267,52 @@ def _window_moments(
     both = entering.unionByName(leaving, allowMissingColumns=True).withColumn(
         "_tick", F.timestamp_micros("_at")
     )
-    hot = hot_keys(both, "meter_id", "_tick", max_rows)
+    hot = find_hot_keys(both, "meter_id", "_tick", max_rows)
     w_, v = F.col("_w"), F.col("_v")
-    totals = (
-        hot_rows(both, hot, "meter_id", "_tick")
-        .groupBy("meter_id", "_slice")
-        .agg(F.sum(w_).alias("_a"), F.sum(w_ * v).alias("_b"), F.sum(w_ * v * v).alias("_c"))
-    )
-    earlier = before("meter_id")
-    carry = totals.select(
-        "meter_id", "_slice",
-        *[F.sum(c).over(earlier).alias(f"{c}0") for c in ("_a", "_b", "_c")],
-    )
+    sums = {"n": w_, "_s": w_ * v, "_q": w_ * v * v}
     w = within("meter_id", "_at", "_leaves", *tie)
-    run = with_slice(both, hot, "meter_id", "_tick").join(carry, ["meter_id", "_slice"], "left")
-    zero = F.lit(0.0)
-    run = run.withColumns(
-        {
-            "n": F.sum(w_).over(w) + F.coalesce(F.col("_a0"), F.lit(0)),
-            "_s": F.sum(w_ * v).over(w) + F.coalesce(F.col("_b0"), zero),
-            "_q": F.sum(w_ * v * v).over(w) + F.coalesce(F.col("_c0"), zero),
-        }
-    ).where("_leaves = 0")
+    run = with_slice(both, hot, "meter_id", "_tick").withColumns(
+        {name: F.sum(c).over(w) for name, c in sums.items()}
+    )
+    if hot is not None:
+        totals = (
+            hot_rows(both, hot, "meter_id", "_tick")
+            .groupBy("meter_id", "_slice")
+            .agg(*[F.sum(c).alias(name) for name, c in sums.items()])
+        )
+        earlier = before("meter_id")
+        carry = totals.select(
+            "meter_id", "_slice", *[F.sum(c).over(earlier).alias(f"{c}0") for c in sums]
+        )
+        run = run.join(carry, ["meter_id", "_slice"], "left").withColumns(
+            {c: F.col(c) + F.coalesce(F.col(f"{c}0"), F.lit(0)) for c in sums}
+        )
+    run = run.where("_leaves = 0")
     mean = F.col("_s") / F.col("n")
-    var = F.greatest(F.col("_q") / F.col("n") - mean * mean, zero)
+    var = F.greatest(F.col("_q") / F.col("n") - mean * mean, F.lit(0.0))
     return run.withColumns({"rolling_mean": mean, "rolling_stddev": F.sqrt(var)}).select(
         *readings.columns, "n", "rolling_mean", "rolling_stddev"
     )
 
 
+def _running(
+    readings: DataFrame, value: str, order: list[str], max_rows: int, ready: bool = False
+) -> tuple[DataFrame, DataFrame | None]:
+    """Sliced readings with their moments, and the same for the rows of large meters only.
+
+    ``ready`` says the moments are there already. The second frame is None without large meters.
+    """
+    hot = find_hot_keys(readings, "meter_id", order[0], max_rows)
+    sliced = with_slice(readings, hot, "meter_id", order[0])
+    large = None if hot is None else hot_rows(readings, hot, "meter_id", order[0])
+    if ready:
+        return sliced, large
+    if large is None:
+        return _moments(sliced, None, value, order), None
+    carry = cut_lineage(_moment_carry(large, value))
+    return _moments(sliced, carry, value, order), _moments(large, carry, value, order)
+
+
 # --- public ---------------------------------------------------------------------------------
 
 
@@ -302,10 +326,7 @@ def score_z(
     if window_days is not None:
         moments = _window_moments(readings, window_days, value, cols, max_rows)
     else:
-        hot = hot_keys(readings, "meter_id", cols[0], max_rows)
-        carry = _moment_carry(hot_rows(readings, hot, "meter_id", cols[0]), value)
-        sliced = with_slice(readings, hot, "meter_id", cols[0])
-        moments = _moments(sliced, carry, value, cols).drop("_slice")
+        moments = _running(readings, value, cols, max_rows)[0].drop("_slice")
     ready = (F.col("rolling_stddev") > min_stddev) & (F.col("n") >= warmup)
     z = (F.col(value) - F.col("rolling_mean")) / F.col("rolling_stddev")
     return moments.withColumn("z_score", F.when(ready, z).otherwise(F.lit(0.0)))
@@ -329,20 +350,10 @@ def score_batch(
     )
     cols = list(order)
     if window_days is not None:
-        readings = _window_moments(readings, window_days, value, cols, max_rows).withColumnRenamed(
-            "n", "_seen"
-        )
-    hot = hot_keys(readings, "meter_id", cols[0], max_rows)
-    large = hot_rows(readings, hot, "meter_id", cols[0])
-    sliced = with_slice(readings, hot, "meter_id", cols[0])
-    if window_days is None:
-        carry = _moment_carry(large, value)
-        z = _with_z(_moments(sliced, carry, value, cols), p)
-        large_z = _with_z(_moments(large, carry, value, cols), p)
-    else:
-        z = _with_z(sliced.withColumnRenamed("_seen", "n"), p)
-        large_z = _with_z(large.withColumnRenamed("_seen", "n"), p)
-    bound = _with_bound(z, _walk_carry(large_z, cols), cols, sustained)
+        readings = _window_moments(readings, window_days, value, cols, max_rows)
+    moments, large = _running(readings, value, cols, max_rows, ready=window_days is not None)
+    carry = None if large is None else cut_lineage(_walk_carry(_with_z(large, p), cols))
+    bound = _with_bound(_with_z(moments, p), carry, cols, sustained)
     exact = bound.where(~F.col("_inexact")).withColumns(
         {"_before": F.greatest(F.col("_bound") - 1, F.lit(0)), "_after": F.col("_bound")}
     )

@@ -7,7 +7,8 @@ on its own, the small slice totals are prefix-summed per key, and every row adds
 slices before its own.
 
 Ordinary keys carry slice -1 and take no part in the second step. The cut is computed from exact
-counts, so a recomputed task cuts the same way.
+counts, so a recomputed task cuts the same way. One counting pass decides whether any key is large;
+without one, callers build the plain plan.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from kilowatch.functions.clock import epoch_us
+from kilowatch.session import cut_lineage
 
 MAX_ROWS = 2_000_000
 # A key counts as large only if it also holds more than 1/MAX_HOT_KEYS of all rows. There are
@@ -42,8 +44,16 @@ def hot_keys(df: DataFrame, key: str, ts: str, max_rows: int = MAX_ROWS) -> Data
     )
 
 
-def with_slice(df: DataFrame, hot: DataFrame, key: str, ts: str) -> DataFrame:
+def find_hot_keys(df: DataFrame, key: str, ts: str, max_rows: int = MAX_ROWS) -> DataFrame | None:
+    """The list of :func:`hot_keys`, computed and stored once; None when there is none."""
+    hot = hot_keys(df, key, ts, max_rows)
+    return None if hot.isEmpty() else cut_lineage(hot)
+
+
+def with_slice(df: DataFrame, hot: DataFrame | None, key: str, ts: str) -> DataFrame:
     """Every row with its ``_slice``: 0, 1, … for large keys, -1 for all others."""
+    if hot is None:
+        return df.withColumn("_slice", F.lit(-1).cast("bigint"))
     return _number(df.join(F.broadcast(hot), key, "left"), ts)
 
 
