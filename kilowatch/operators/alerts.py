@@ -66,15 +66,18 @@ def compact(
     return newest(retain(df, ts, days, as_of), keys, [version], versions)
 
 
-def meter_states(scored: DataFrame, order: tuple[str, ...] = ("ts", "reading_id")) -> DataFrame:
-    """Latest rolling statistics per meter.
+def meter_states(
+    scored: DataFrame, order: tuple[str, ...] = ("ts", "reading_id"), digits: int | None = 5
+) -> DataFrame:
+    """Latest rolling statistics per meter, rounded to ``digits``.
 
     ``max_by`` aggregates on the map side: one row per meter and task crosses the shuffle.
     """
+    def stat(name: str) -> Column:
+        return F.col(name) if digits is None else F.round(name, digits).alias(name)
+
     state = F.struct(
-        F.col("n").alias("count"),
-        F.round("rolling_mean", 5).alias("rolling_mean"),
-        F.round("rolling_stddev", 5).alias("rolling_stddev"),
+        F.col("n").alias("count"), stat("rolling_mean"), stat("rolling_stddev"),
         "consecutive_high",
         F.col("ts").alias("last_updated"),
     )

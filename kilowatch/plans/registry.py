@@ -41,7 +41,9 @@ def query(fn: Query) -> Query:
 
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+    """Round, exact halves up: a mean that ends in 5 must not hang on the last bit of its sum."""
+    nudge = F.lit(10.0 ** -(digits + 4))
+    return df.withColumns({c: F.round(F.col(c) + nudge, digits) for c in columns})
 
 
 def now(spark: SparkSession, sf_dir: str) -> Column:
@@ -348,7 +350,8 @@ def alerts_by_zone(spark, d):
 
 @query
 def meter_state_latest(spark, d):
-    return alert_ops.meter_states(score_batch(x.to_score(spark, d)))
+    states = alert_ops.meter_states(score_batch(x.to_score(spark, d)), digits=None)
+    return rounded(states, 5, "rolling_mean", "rolling_stddev")
 
 
 @query
@@ -371,7 +374,7 @@ def alert_versions_kept(spark, d):
 def zscore_history(spark, d):
     out = alert_ops.zscore_history(score_z(x.to_score(spark, d)))
     # The array as text, for comparison.
-    text = F.transform("last_n_zscore", lambda z: F.format_number(z + F.lit(0.0), "0.000"))
+    text = F.transform("last_n_zscore", lambda z: F.format_string("%.3f", z + F.lit(0.0)))
     return out.select("meter_id", F.concat_ws(",", text).alias("last_n_zscore"))
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from kilowatch.streaming.decode import with_partition_folders
 from kilowatch.streaming.scorer import score_stream
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 # Rate cap and trigger of the live job.
 MAX_OFFSETS_PER_TRIGGER = 50_000
 TRIGGER = "30 seconds"
@@ -50,8 +52,9 @@ def stream_source(
 
 def alert_messages(anomalies: DataFrame) -> DataFrame:
     """Anomalies as JSON messages keyed by meter."""
+    stamped = anomalies.withColumn("ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
     payload = F.to_json(F.struct(*schemas.ALERT_PAYLOAD))
-    return anomalies.select(F.col("meter_id").alias("key"), payload.alias("value"))
+    return stamped.select(F.col("meter_id").alias("key"), payload.alias("value"))
 
 
 @dataclass
@@ -117,14 +120,33 @@ def fan_out(sinks: Sinks) -> Callable[[DataFrame, int], None]:
 def start(
     scored: DataFrame, sinks: Sinks, checkpoint: str, *, every: str = TRIGGER, bounded: bool = False
 ) -> StreamingQuery:
-    """Start the one query of the job. ``bounded`` processes what is there and ends."""
+    """Start the one query of the job. ``bounded`` processes what is there and ends.
+
+    A query with processing-time timeouts keeps running empty batches to look for them, which a
+    bounded run must not do: it would never end.
+    """
     writer = (
         scored.writeStream.foreachBatch(fan_out(sinks))
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
     )
-    writer = writer.trigger(availableNow=True) if bounded else writer.trigger(processingTime=every)
-    return writer.start()
+    if not bounded:
+        return writer.trigger(processingTime=every).start()
+    with _settings(scored.sparkSession, {EMPTY_BATCHES: "false"}):
+        return writer.trigger(availableNow=True).start()
+
+
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Settings for a query that is started inside; the query keeps its own copy of them."""
+    before = {k: spark.conf.get(k) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def use_rocksdb(spark: SparkSession) -> None:
@@ -144,8 +166,13 @@ def score_table_as_stream(
     """Run a stored table through the streaming scorer to its end and return the scored rows."""
     tune(spark)
     use_rocksdb(spark)
-    source = stream_source(spark, "files", path, schema=spark.read.parquet(path).schema)
+    # A pattern that matches exactly this path: a plain path would have to be a folder.
+    source = stream_source(spark, "files", f"{path[:-1]}[{path[-1]}]", schema=spark.read.parquet(path).schema)
     work = scratch_path(spark, "score-stream")
     scored = score_stream(columns(source), **options)
-    start(scored, Sinks(scored=f"{work}/scored"), f"{work}/checkpoint", bounded=True).awaitTermination()
+    # State is split once for all, so by the cores of the cluster, not by a batch default.
+    cores = str(spark.sparkContext.defaultParallelism)
+    with _settings(spark, {"spark.sql.shuffle.partitions": cores}):
+        query = start(scored, Sinks(scored=f"{work}/scored"), f"{work}/checkpoint", bounded=True)
+    query.awaitTermination()
     return read_batches(spark, f"{work}/scored")
