@@ -23,9 +23,10 @@ ALERT_DAYS, ALERT_VERSIONS = 90, 3
 def alerts_from_scored(scored: DataFrame, created_at: Column | None = None) -> DataFrame:
     """Anomalous readings as open alerts."""
     stamp = F.current_timestamp() if created_at is None else created_at
+    household = [c for c in ("acorn_group", "tariff_type") if c in scored.columns]
     return scored.where("is_anomaly").select(
         "meter_id", "ts", "kwh_hourly", F.round("z_score", 3).alias("z_score"), "anomaly_type",
-        F.round("severity", 2).alias("severity"), "acorn_group", "tariff_type",
+        F.round("severity", 2).alias("severity"), *household,
         F.lit(OPEN).alias("status"), stamp.alias("created_at"),
     )
 

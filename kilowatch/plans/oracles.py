@@ -294,7 +294,7 @@ WITH {HOURLY}, {FORECASTS}
 SELECT 'meter_readings' AS tbl, count(*) AS row_count FROM mr
 UNION ALL SELECT 'household_stats', count(DISTINCT meter_id) FROM r JOIN h USING (meter_id)
 UNION ALL SELECT 'pjm_demand', count(*) FROM d
-UNION ALL SELECT 'streamed_readings', count(*) FROM r JOIN h USING (meter_id)
+UNION ALL SELECT 'streamed_readings', count(*) FROM r
 UNION ALL SELECT 'demand_forecasts', count(*) FROM f""",
     # --- scoring
     "score_readings": f"{SCORED} SELECT {_SCORE_COLUMNS} FROM s",
@@ -317,11 +317,11 @@ FROM sh WHERE is_anomaly GROUP BY acorn_group, anomaly_type""",
     "anomaly_rate_trend": f"""{SCORED}
 SELECT reading_date, count(*) AS total_readings, count(*) FILTER (WHERE is_anomaly) AS anomaly_count,
        round(count(*) FILTER (WHERE is_anomaly) * 100.0 / count(*), 2) AS anomaly_rate_pct
-FROM sh WHERE CAST(reading_date AS DATE) >= CAST({NOW} AS DATE) - 60 GROUP BY reading_date""",
+FROM s WHERE CAST(reading_date AS DATE) >= CAST({NOW} AS DATE) - 60 GROUP BY reading_date""",
     "hourly_anomaly_counts": f"""{SCORED}
 SELECT reading_date, hour, anomaly_type, count(*) AS anomaly_count,
        round(avg(severity) + 1e-10, 6) AS avg_severity, round(avg(kwh_hourly) + 1e-10, 6) AS avg_kwh
-FROM sh WHERE is_anomaly AND CAST(reading_date AS DATE) >= CAST({NOW} AS DATE) - 30
+FROM s WHERE is_anomaly AND CAST(reading_date AS DATE) >= CAST({NOW} AS DATE) - 30
 GROUP BY reading_date, hour, anomaly_type""",
     "top_anomaly_meters": f"""{SCORED}
 SELECT meter_id, acorn_group, tariff_type, count(*) AS total_anomalies,
@@ -338,26 +338,26 @@ FROM sh WHERE is_anomaly AND CAST(reading_date AS DATE) >= CAST({NOW} AS DATE) -
 ORDER BY ts DESC, meter_id LIMIT 50""",
     "anomaly_type_share": f"""{SCORED}
 SELECT anomaly_type, count(*) AS count, round(count(*) * 100.0 / sum(count(*)) OVER (), 0) AS pct
-FROM sh WHERE is_anomaly GROUP BY anomaly_type""",
+FROM s WHERE is_anomaly GROUP BY anomaly_type""",
     "anomalies_by_day": f"""{SCORED}
 SELECT reading_date, anomaly_type, count(*) AS anomaly_count
-FROM sh WHERE is_anomaly AND CAST(reading_date AS DATE) >= CAST({NOW} AS DATE) - 30
+FROM s WHERE is_anomaly AND CAST(reading_date AS DATE) >= CAST({NOW} AS DATE) - 30
 GROUP BY reading_date, anomaly_type""",
     "flagged_meters_top20": f"""{SCORED}
 SELECT meter_id, acorn_group, count(*) AS total_anomalies FROM sh WHERE is_anomaly
 GROUP BY meter_id, acorn_group, tariff_type ORDER BY total_anomalies DESC, meter_id LIMIT 20""",
     "anomalies_last_hour": f"""{SCORED}
-SELECT anomaly_type, count(*) AS cnt FROM sh WHERE is_anomaly AND ts >= {NOW} - INTERVAL 1 HOUR
+SELECT anomaly_type, count(*) AS cnt FROM s WHERE is_anomaly AND ts >= {NOW} - INTERVAL 1 HOUR
 GROUP BY anomaly_type""",
     "meter_drilldown": f"""{SCORED}
-SELECT ts, round(kwh_hourly + 1e-10, 6) AS kwh_hourly, round(z + 1e-10, 6) AS z_score, anomaly_type FROM sh
+SELECT ts, round(kwh_hourly + 1e-10, 6) AS kwh_hourly, round(z + 1e-10, 6) AS z_score, anomaly_type FROM s
 WHERE meter_id = {_NEWEST_METER} ORDER BY ts DESC LIMIT 48""",
     "meter_kpis": f"""{SCORED}
 SELECT meter_id,
        count(*) FILTER (WHERE is_anomaly AND ts > {NOW} - INTERVAL 48 HOUR) AS anomalies_48h,
        round(max(z) + 1e-10, 6) AS max_z_score, round(avg(kwh_hourly) + 1e-10, 6) AS avg_kwh,
        max(ts) FILTER (WHERE is_anomaly) AS last_anomaly_ts
-FROM sh GROUP BY meter_id""",
+FROM s GROUP BY meter_id""",
     "household_status": f"""{SCORED}
 SELECT meter_id, zone, count(*) AS anomalies, round(max(z) + 1e-10, 6) AS max_z_score,
        CASE WHEN max(z) > 4.5 THEN 'Critical' WHEN max(z) > 3.0 THEN 'Warning' ELSE 'Normal' END AS status
@@ -369,25 +369,25 @@ k AS (
   WHERE f.ts > {NOW} - INTERVAL 24 HOUR AND f.ts <= {NOW}
 )
 SELECT round(sum(kwh) + 1e-8, 4) AS total_kwh, count(DISTINCT meter_id) AS active_meters,
-       (SELECT count(*) FROM sh WHERE is_anomaly AND ts >= {NOW} - INTERVAL 1 HOUR) AS alerts_last_hour,
+       (SELECT count(*) FROM s WHERE is_anomaly AND ts >= {NOW} - INTERVAL 1 HOUR) AS alerts_last_hour,
        (SELECT round(avg(pct) + 1e-8, 4) FROM k) AS mape_24h
 FROM r JOIN h USING (meter_id)""",
     # --- alert table
     "recent_alerts_for_meter": f"""{SCORED}
 SELECT meter_id, ts, round(z, 3) AS z_score, anomaly_type, round(severity, 2) AS severity,
        'open' AS status
-FROM sh WHERE is_anomaly AND meter_id = {_NEWEST_METER} ORDER BY ts DESC LIMIT 20""",
+FROM s WHERE is_anomaly AND meter_id = {_NEWEST_METER} ORDER BY ts DESC LIMIT 20""",
     "open_alerts": f"""{SCORED}
 SELECT meter_id, ts, round(z, 3) AS z_score, anomaly_type, round(severity, 2) AS severity,
        acorn_group, tariff_type, 'open' AS status
 FROM sh WHERE is_anomaly AND ts >= {_WEEK_AGO} ORDER BY ts DESC, meter_id LIMIT 200""",
     "alert_type_counts": f"""{SCORED}
-SELECT anomaly_type, count(*) AS count FROM sh WHERE is_anomaly GROUP BY anomaly_type""",
+SELECT anomaly_type, count(*) AS count FROM s WHERE is_anomaly GROUP BY anomaly_type""",
     "top_meters_by_alerts": f"""{SCORED}
-SELECT meter_id, count(*) AS alert_count FROM sh WHERE is_anomaly
+SELECT meter_id, count(*) AS alert_count FROM s WHERE is_anomaly
 GROUP BY meter_id ORDER BY alert_count DESC, meter_id LIMIT 10""",
     "alert_summary": f"""{SCORED},
-o AS (SELECT * FROM sh WHERE is_anomaly AND ts >= {_WEEK_AGO})
+o AS (SELECT * FROM s WHERE is_anomaly AND ts >= {_WEEK_AGO})
 SELECT count(*) AS total_open_alerts,
        count(*) FILTER (WHERE anomaly_type = 'sudden_spike') AS spike_count,
        count(*) FILTER (WHERE anomaly_type = 'sustained_elevation') AS sustained_count,
@@ -418,7 +418,7 @@ w AS (
 SELECT meter_id, string_agg(z3, ',' ORDER BY ts, reading_id) AS last_n_zscore FROM w GROUP BY meter_id""",
     "alert_keys": f"""{SCORED}
 SELECT meter_id, ts, meter_id || '_' || CAST(99999999999 - CAST(floor(epoch(ts)) AS BIGINT) AS VARCHAR) AS row_key
-FROM sh WHERE is_anomaly""",
+FROM s WHERE is_anomaly""",
     # --- injection
     "inject_anomalies": f"""
 WITH {READINGS}, src AS ({INJECTED})
@@ -589,7 +589,27 @@ WITH {FORECASTS}, e AS (
 )
 SELECT count(*) AS test_rows, round(sqrt(avg(e * e)) + 1e-8, 4) AS rmse, round(avg(abs(e)) + 1e-8, 4) AS mae,
        round(1 - sum(e * e) / (var_pop(y) * count(*)) + 1e-8, 4) AS r2 FROM e""",
+    "naive_band": f"""
+WITH {FORECASTS}, e AS (
+  SELECT extract(hour FROM d.ts) AS ho, d.mw_demand - f.predicted_mw AS e
+  FROM f JOIN d ON d.zone = f.zone AND d.ts = f.ts
+), k AS (
+  SELECT ho, e, row_number() OVER (PARTITION BY ho ORDER BY e) AS i, count(*) OVER (PARTITION BY ho) AS n
+  FROM e
+), q AS (
+  SELECT ho, max(e) FILTER (WHERE i = CAST(ceil(0.1 * n) AS BIGINT)) AS lo,
+         max(e) FILTER (WHERE i = CAST(ceil(0.9 * n) AS BIGINT)) AS hi FROM k GROUP BY ho
+)
+SELECT zone, ts, round(predicted_mw + 1e-8, 4) AS prediction, round(predicted_mw + lo + 1e-8, 4) AS lower,
+       round(predicted_mw + hi + 1e-8, 4) AS upper
+FROM f LEFT JOIN q ON q.ho = extract(hour FROM f.ts) WHERE ts > (SELECT max(ts) FROM d)""",
     # --- streaming
+    "alert_payload_json": f"""{SCORED}
+SELECT meter_id AS key, meter_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS ts,
+       round(kwh_hourly + 1e-10, 6) AS kwh_hourly, round(z + 1e-10, 6) AS z_score, anomaly_type,
+       round(severity + 1e-10, 6) AS severity, round(m + 1e-10, 6) AS rolling_mean,
+       round(sd + 1e-10, 6) AS rolling_stddev, acorn_group, reading_date
+FROM sh WHERE is_anomaly""",
     "event_decode": f"""
 WITH {READINGS}
 SELECT meter_id, date_trunc('second', ts) AS ts, round(kwh + 1e-10, 6) AS kwh_hourly, reading_date, hour FROM r""",

@@ -100,7 +100,7 @@ def daily_weather(spark, d):
 def readings_with_weather(spark, d):
     hourly = rollup.rollup_then_enrich(x.readings(spark, d), x.households(spark, d))
     joined = enrich.attach_weather(hourly, rollup.daily_weather(x.weather(spark, d)))
-    return rounded(joined.select(*schemas.CLEAN_READING.names), 6,
+    return rounded(joined.select(*schemas.names(schemas.CLEAN_READING)), 6,
                    "kwh_hourly", "kwh_max", "temp_high_c", "temp_low_c", "humidity")
 
 
@@ -179,7 +179,7 @@ def table_row_counts(spark, d):
             "meter_readings": x.hourly_readings(spark, d),
             "household_stats": x.stats(spark, d),
             "pjm_demand": x.demand(spark, d),
-            "streamed_readings": x.scored(spark, d),
+            "streamed_readings": x.scored(spark, d, meta=False),
             "demand_forecasts": x.forecasts(spark, d),
         }
     )
@@ -224,12 +224,12 @@ def anomaly_breakdown(spark, d):
 
 @query
 def anomaly_rate_trend(spark, d):
-    return reports.anomaly_rate_trend(x.scored(spark, d), now(spark, d))
+    return reports.anomaly_rate_trend(x.scored(spark, d, meta=False), now(spark, d))
 
 
 @query
 def hourly_anomaly_counts(spark, d):
-    return rounded(views.hourly_anomaly_counts(x.scored(spark, d), now(spark, d)), 6,
+    return rounded(views.hourly_anomaly_counts(x.scored(spark, d, meta=False), now(spark, d)), 6,
                    "avg_severity", "avg_kwh")
 
 
@@ -246,12 +246,12 @@ def live_alert_feed(spark, d):
 
 @query
 def anomaly_type_share(spark, d):
-    return panels.anomaly_type_share(x.scored(spark, d))
+    return panels.anomaly_type_share(x.scored(spark, d, meta=False))
 
 
 @query
 def anomalies_by_day(spark, d):
-    return panels.anomalies_by_day(x.scored(spark, d), now(spark, d))
+    return panels.anomalies_by_day(x.scored(spark, d, meta=False), now(spark, d))
 
 
 @query
@@ -261,7 +261,7 @@ def flagged_meters_top20(spark, d):
 
 @query
 def anomalies_last_hour(spark, d):
-    return panels.anomalies_last_hours(x.scored(spark, d), now(spark, d))
+    return panels.anomalies_last_hours(x.scored(spark, d, meta=False), now(spark, d))
 
 
 @query
@@ -269,13 +269,13 @@ def meter_drilldown(spark, d):
     """The meter of the newest event."""
     events = x.table(spark, d, "events")
     newest = events.agg(F.max_by("user_id", F.struct("ts", "event_id"))).scalar()
-    return rounded(panels.meter_drilldown(x.scored(spark, d), x.meter_id(newest)), 6,
+    return rounded(panels.meter_drilldown(x.scored(spark, d, meta=False), x.meter_id(newest)), 6,
                    "kwh_hourly", "z_score")
 
 
 @query
 def meter_kpis(spark, d):
-    return rounded(panels.meter_kpis(x.scored(spark, d), now(spark, d)), 6, "max_z_score", "avg_kwh")
+    return rounded(panels.meter_kpis(x.scored(spark, d, meta=False), now(spark, d)), 6, "max_z_score", "avg_kwh")
 
 
 @query
@@ -287,7 +287,7 @@ def household_status(spark, d):
 def operations_kpis(spark, d):
     demand = x.demand(spark, d)
     out = panels.operations_kpis(
-        x.hourly_readings(spark, d), x.scored(spark, d), x.forecasts(spark, d), demand, now(spark, d)
+        x.hourly_readings(spark, d), x.scored(spark, d, meta=False), x.forecasts(spark, d), demand, now(spark, d)
     )
     return rounded(out, 4, "total_kwh", "mape_24h")
 
@@ -295,13 +295,13 @@ def operations_kpis(spark, d):
 # --- alert table ----------------------------------------------------------------------------
 
 
-def _alerts(spark, d):
-    return x.alerts(spark, d)
+def _alerts(spark, d, meta=True):
+    return x.alerts(spark, d, meta=meta)
 
 
-def _with_resolutions(spark, d):
+def _with_resolutions(spark, d, meta=True):
     """Operators have closed every alert older than a week."""
-    table = _alerts(spark, d)
+    table = _alerts(spark, d, meta)
     week_ago = now(spark, d) - F.make_dt_interval(days=F.lit(7))
     requests = table.where(F.col("ts") < week_ago).select(
         "meter_id", "ts", (F.col("ts") + F.make_dt_interval(days=F.lit(1))).alias("resolved_at")
@@ -313,7 +313,7 @@ def _with_resolutions(spark, d):
 def recent_alerts_for_meter(spark, d):
     """The meter of the newest event."""
     newest = x.table(spark, d, "events").agg(F.max_by("user_id", F.struct("ts", "event_id"))).scalar()
-    return lookups.recent_alerts(_alerts(spark, d), x.meter_id(newest)).select(
+    return lookups.recent_alerts(_alerts(spark, d, meta=False), x.meter_id(newest)).select(
         "meter_id", "ts", "z_score", "anomaly_type", "severity", "status"
     )
 
@@ -327,17 +327,17 @@ def open_alerts(spark, d):
 
 @query
 def alert_type_counts(spark, d):
-    return lookups.alert_type_counts(_alerts(spark, d))
+    return lookups.alert_type_counts(_alerts(spark, d, meta=False))
 
 
 @query
-def top_meters_by_alerts(spark, d):
-    return lookups.top_meters(_alerts(spark, d))
+def top_meters_by_alerts(spark, d, meta=False):
+    return lookups.top_meters(_alerts(spark, d, meta=False))
 
 
 @query
 def alert_summary(spark, d):
-    return lookups.alert_summary(_with_resolutions(spark, d))
+    return lookups.alert_summary(_with_resolutions(spark, d, meta=False))
 
 
 @query
@@ -380,7 +380,7 @@ def zscore_history(spark, d):
 
 @query
 def alert_keys(spark, d):
-    keyed = alert_ops.with_row_key(_alerts(spark, d))
+    keyed = alert_ops.with_row_key(_alerts(spark, d, meta=False))
     return keyed.select("meter_id", "ts", "row_key")
 
 
@@ -623,7 +623,15 @@ def event_decode(spark, d):
 
 @query
 def alert_payload_json(spark, d):
-    return jobs.alert_messages(x.scored(spark, d).where("is_anomaly"))
+    """Published alert messages, read back from their JSON."""
+    messages = jobs.alert_messages(x.scored(spark, d).where("is_anomaly"))
+    fields = (
+        "meter_id string, ts string, kwh_hourly double, z_score double, anomaly_type string, "
+        "severity double, rolling_mean double, rolling_stddev double, acorn_group string, "
+        "reading_date string"
+    )
+    out = messages.select("key", F.from_json("value", fields).alias("_m")).select("key", "_m.*")
+    return rounded(out, 6, "kwh_hourly", "z_score", "severity", "rolling_mean", "rolling_stddev")
 
 
 @query

@@ -14,9 +14,7 @@ TABLES: dict[str, tuple[str, list[str]]] = {
         "temp_range_c DOUBLE, humidity DOUBLE, ts TIMESTAMP, year STRING, month STRING",
         ["year", "month"],
     ),
-    "household_stats": (
-        ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.METER_STATS), []
-    ),
+    "household_stats": (schemas.METER_STATS, []),
     "zone_demand": (
         "ts TIMESTAMP, zone STRING, mw_demand DOUBLE, hour INT, day_of_week INT, "
         "is_weekend BOOLEAN, year STRING, month STRING",

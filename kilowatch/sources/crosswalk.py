@@ -98,15 +98,13 @@ def to_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readings(spark, sf_dir).select("meter_id", "reading_id", "ts", F.col("kwh").alias("kwh_hourly"))
 
 
-def scored(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    """The scored-readings table. Household columns are joined after scoring: narrow windows, and
-    reports that look at anomalies only join only those."""
-    done = score_batch(to_score(spark, sf_dir), **options)
-    return (
-        enrich.attach_meta(done, households(spark, sf_dir))
-        .withColumn("reading_date", clock.date_text(F.col("ts")))
-        .withColumn("processed_at", F.col("ts"))
+def scored(spark: SparkSession, sf_dir: str, meta: bool = True, **options) -> DataFrame:
+    """The scored-readings table. Household columns are joined after scoring, and only for reports
+    that show them: the windows stay narrow, and a report on anomalies joins anomalies only."""
+    done = score_batch(to_score(spark, sf_dir), **options).withColumns(
+        {"reading_date": clock.date_text(F.col("ts")), "processed_at": F.col("ts")}
     )
+    return enrich.attach_meta(done, households(spark, sf_dir)) if meta else done
 
 
 def alerts(spark: SparkSession, sf_dir: str, **options) -> DataFrame:

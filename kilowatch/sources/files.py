@@ -6,7 +6,6 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from kilowatch import schemas
 from kilowatch.functions import clock, text
@@ -53,7 +52,7 @@ def zone_demand(spark: SparkSession, path: str | Iterable[str]) -> DataFrame:
     """
     paths = [path] if isinstance(path, str) else list(path)
     lines = (
-        spark.read.schema(StructType([StructField("_a", StringType()), StructField("_b", StringType())]))
+        spark.read.schema("_a string, _b string")
         .option("header", False)
         .csv(paths)
         .withColumn("_file", F.input_file_name())
@@ -71,7 +70,7 @@ def zone_demand(spark: SparkSession, path: str | Iterable[str]) -> DataFrame:
     return clock.with_calendar(demand)
 
 
-def parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+def parquet(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """Partitioned Parquet; filters on partition columns prune folders."""
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)

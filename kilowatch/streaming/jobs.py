@@ -23,12 +23,18 @@ EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 MAX_OFFSETS_PER_TRIGGER = 50_000
 TRIGGER = "30 seconds"
 
+BYTES_PER_TRIGGER = 128 * 1024 * 1024
+
 
 def stream_source(
-    spark: SparkSession, kind: str, location: str, *, schema: StructType | None = None,
-    topic: str = "meter-readings", files_per_trigger: int | None = None, file_format: str = "parquet",
+    spark: SparkSession, kind: str, location: str, *, schema: StructType | str | None = None,
+    topic: str = "meter-readings", files_per_trigger: int | None = None,
+    bytes_per_trigger: int | None = None, file_format: str = "parquet",
 ) -> DataFrame:
-    """A stream of messages from Kafka, or of rows from files that appear in a folder."""
+    """A stream of messages from Kafka, or of rows from files that appear in a folder.
+
+    A micro-batch is what the stateful scorer orders in memory per meter: cap it.
+    """
     if kind == "kafka":
         raw = (
             spark.readStream.format("kafka")
@@ -47,6 +53,8 @@ def stream_source(
     reader = spark.readStream.format(file_format).schema(schema)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    if bytes_per_trigger is not None:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
     return reader.load(location)
 
 
@@ -163,11 +171,17 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
 def score_table_as_stream(
     spark: SparkSession, path: str, columns: Callable[[DataFrame], DataFrame], **options
 ) -> DataFrame:
-    """Run a stored table through the streaming scorer to its end and return the scored rows."""
+    """Run a stored table through the streaming scorer to its end and return the scored rows.
+
+    Files are taken in the order they were written, in micro-batches of bounded size.
+    """
     tune(spark)
     use_rocksdb(spark)
     # A pattern that matches exactly this path: a plain path would have to be a folder.
-    source = stream_source(spark, "files", f"{path[:-1]}[{path[-1]}]", schema=spark.read.parquet(path).schema)
+    source = stream_source(
+        spark, "files", f"{path[:-1]}[{path[-1]}]", schema=spark.read.parquet(path).schema,
+        bytes_per_trigger=BYTES_PER_TRIGGER,
+    )
     work = scratch_path(spark, "score-stream")
     scored = score_stream(columns(source), **options)
     # State is split once for all, so by the cores of the cluster, not by a batch default.
