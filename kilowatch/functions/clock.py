@@ -30,11 +30,11 @@ def row_key(meter: Column, ts: Column) -> Column:
 
 
 def date_text(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd")
+    return ts.cast("date").cast("string")
 
 
 def hour_text(ts: Column) -> Column:
-    return F.date_format(ts, "HH")
+    return F.lpad(F.hour(ts).cast("string"), 2, "0")
 
 
 def slot_timestamp(date: Column, hour: Column) -> Column:

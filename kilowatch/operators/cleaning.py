@@ -15,22 +15,35 @@ WEATHER_HEADER = "time"
 KWH_RANGE = (0.0, 100.0)
 
 
-def _reject_reason() -> Column:
+def _parts() -> dict[str, Column]:
+    """The checked parts of a raw row. A null marker never has the shape of a number."""
     kwh_text = F.trim("kwh_raw")
-    kwh = kwh_text.try_cast("double")
     stamp = text.between_positions(F.trim("ts_raw"), 0, 19)
-    return (
-        F.when(F.col("meter_id").isNull() | F.trim("meter_id").isin(READING_HEADERS), "header")
-        .when(kwh_text.isNull() | kwh_text.isin(text.NULL_MARKERS), "null_marker")
-        .when(~kwh_text.rlike(text.NUMBER_PATTERN), "not_numeric")
-        .when(~kwh.between(*KWH_RANGE), "out_of_range")
-        .when(
-            stamp.isNull()
-            | (F.length(stamp) != 19)
-            | F.try_to_timestamp(stamp, F.lit("yyyy-MM-dd HH:mm:ss")).isNull(),
-            "bad_timestamp",
-        )
-    )
+    parsed = F.try_to_timestamp(stamp, F.lit("yyyy-MM-dd HH:mm:ss"))
+    return {
+        "header": F.col("meter_id").isNull() | F.trim("meter_id").isin(READING_HEADERS),
+        "null_marker": kwh_text.isNull() | kwh_text.isin(text.NULL_MARKERS),
+        "not_numeric": ~kwh_text.rlike(text.NUMBER_PATTERN),
+        "out_of_range": ~kwh_text.try_cast("double").between(*KWH_RANGE),
+        "bad_timestamp": stamp.isNull() | (F.length(stamp) != 19) | parsed.isNull(),
+    }
+
+
+def _reject_reason() -> Column:
+    reason = None
+    for name, failed in _parts().items():
+        reason = F.when(failed, name) if reason is None else reason.when(failed, name)
+    return reason
+
+
+def _is_valid() -> Column:
+    """True exactly where there is no reason to reject: cheap checks first, nothing twice."""
+    parts = _parts()
+    del parts["null_marker"]
+    valid = F.lit(True)
+    for failed in parts.values():
+        valid = valid & ~failed
+    return valid
 
 
 def clean_readings(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -38,9 +51,8 @@ def clean_readings(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Input columns ``meter_id, ts_raw, kwh_raw``; both outputs are narrow, one scan each.
     """
-    marked = raw.withColumn("reject_reason", _reject_reason())
     stamp = F.trim("ts_raw")
-    valid = marked.where(F.col("reject_reason").isNull()).select(
+    valid = raw.where(_is_valid()).select(
         F.trim("meter_id").alias("meter_id"),
         text.between_positions(stamp, 0, 19).alias("ts_str"),
         F.trim("kwh_raw").try_cast("double").alias("kwh"),
@@ -49,7 +61,7 @@ def clean_readings(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
         text.between_positions(stamp, 0, 4).alias("year"),
         text.between_positions(stamp, 11, 13).alias("hour"),
     )
-    rejected = marked.where(F.col("reject_reason").isNotNull())
+    rejected = raw.withColumn("reject_reason", _reject_reason()).where("reject_reason IS NOT NULL")
     return valid, rejected
 
 

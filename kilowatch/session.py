@@ -34,6 +34,8 @@ def tune(spark: SparkSession) -> SparkSession:
 
 def build_spark(app: str = "kilowatch", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
+    # Static setting: without it every column expression records its Python call site.
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     if master:
         builder = builder.master(master)
     for key, value in {**SETTINGS, **conf}.items():

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from kilowatch.functions import clock
 from kilowatch.operators import alerts as alert_ops
@@ -17,12 +18,22 @@ from kilowatch.operators.grid import densify
 from kilowatch.operators.scoring import score_batch
 
 
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table. Its schema is read from the file footers once per session."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
 def meter_id(user: Column) -> Column:
-    return F.format_string("MAC%06d", user)
+    """``MAC`` and at least six digits; longer numbers stay whole."""
+    digits = user.cast("string")
+    return F.concat(F.lit("MAC"), F.lpad(digits, F.greatest(F.length(digits), F.lit(6)), F.lit("0")))
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
