@@ -12,15 +12,15 @@ one thing here that no window expression gives:
 * warm-up and flatline readings leave it alone
 
 Counting *every* spike and high reading as + 1 gives an upper bound that is a window expression
-again: a sum of steps minus its running minimum. Whenever the running minimum falls, both the bound
-and the counter are 0, so the stretches between such points are independent. And the bound equals
-the counter unless it passes ``sustained`` at a high reading. Only the rest of such a stretch goes
-through the row-by-row counter; everything else never leaves the JVM.
+again: a sum of steps minus its running minimum. Where the bound is 0 the counter is 0 too, so the
+stretches between such points are independent. And the bound equals the counter unless it passes
+``sustained`` at a high reading. Only the rest of such a stretch goes through the row-by-row
+counter; everything else never leaves the JVM.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -135,19 +135,24 @@ def _step() -> Column:
 
 
 def _walk_carry(hot_z: DataFrame, order: list[str]) -> DataFrame:
-    """Sum of steps and its running minimum over all earlier slices of a large meter."""
+    """Rows, sum of steps and its running minimum over all earlier slices of a large meter."""
     parts = (
         hot_z.select("meter_id", "_slice", *order, _step().alias("_d"))
         .withColumn("_x", F.sum("_d").over(within("meter_id", *order)))
         .groupBy("meter_id", "_slice")
-        .agg(F.sum("_d").alias("_d"), F.min("_x").alias("_lo"))
+        .agg(F.count(F.lit(1)).alias("_rows"), F.sum("_d").alias("_d"), F.min("_x").alias("_lo"))
     )
     w = before("meter_id")
-    parts = parts.withColumn("_x0", F.coalesce(F.sum("_d").over(w), F.lit(0)))
+    parts = parts.withColumns(
+        {
+            "_i0": F.coalesce(F.sum("_rows").over(w), F.lit(0)),
+            "_x0": F.coalesce(F.sum("_d").over(w), F.lit(0)),
+        }
+    )
     parts = parts.withColumn("_level", F.col("_x0") + F.col("_lo"))
     floor_in = F.least(F.lit(0), F.coalesce(F.min("_level").over(w), F.lit(0)))
     return parts.select(
-        "meter_id", "_slice", "_x0", floor_in.alias("_floor_in"),
+        "meter_id", "_slice", "_i0", "_x0", floor_in.alias("_floor_in"),
         F.least(floor_in, F.col("_level")).alias("_floor_out"),
     )
 
@@ -155,67 +160,126 @@ def _walk_carry(hot_z: DataFrame, order: list[str]) -> DataFrame:
 def _with_bound(
     z: DataFrame, carry: DataFrame | None, order: list[str], sustained: int
 ) -> DataFrame:
-    """Upper bound of the counter, the stretch it belongs to, and whether the bound is exact."""
-    nothing = F.lit(None).cast("bigint")
+    """Position of a reading in its meter, upper bound of the counter, and whether it is exact."""
+    w = within("meter_id", *order)
+    position, walked = F.count(F.lit(1)).over(w), F.sum(_step()).over(w)
+    lowest = F.least(F.lit(0), F.min("_x").over(w))
     if carry is None:
-        z = z.withColumns({"_x0": nothing, "_floor_in": nothing, "_floor_out": nothing})
+        walk = z.withColumns({"_i": position, "_x": walked}).withColumn("_floor", lowest)
     else:
-        z = z.join(carry, ["meter_id", "_slice"], "left")
-    w = within("meter_id", *order)
-    earlier = W.partitionBy("meter_id", "_slice").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    floor_in = F.coalesce(F.col("_floor_in"), F.lit(0))
-    walk = z.withColumn("_x", F.coalesce(F.col("_x0"), F.lit(0)) + F.sum(_step()).over(w))
-    walk = walk.withColumns(
-        {
-            "_floor": F.least(F.lit(0), floor_in, F.min("_x").over(w)),
-            "_floor_prev": F.least(F.lit(0), floor_in, F.min("_x").over(earlier)),
-        }
-    ).withColumn("_bound", F.col("_x") - F.col("_floor"))
-    # Position (n) of the last reading where the bound may part from the counter, and of the last
-    # reading that put both back to 0.
-    parted = F.when((F.col("_kind") == K_HIGH) & (F.col("_bound") > sustained), F.col("n"))
-    reset = F.when(F.col("_floor") < F.col("_floor_prev"), F.col("n"))
+        walk = z.join(carry, ["meter_id", "_slice"], "left")
+        walk = walk.withColumns(
+            {
+                "_i": position + F.coalesce("_i0", F.lit(0)),
+                "_x": walked + F.coalesce("_x0", F.lit(0)),
+            }
+        ).withColumn("_floor", F.least(lowest, F.coalesce("_floor_in", F.lit(0))))
+    walk = walk.withColumn("_bound", F.col("_x") - F.col("_floor"))
+    # Position of the last reading where the bound may part from the counter, and of the last one
+    # where the bound, and so the counter, is 0.
+    parted = F.when((F.col("_kind") == K_HIGH) & (F.col("_bound") > sustained), F.col("_i"))
+    reset = F.when(F.col("_bound") == 0, F.col("_i"))
     walk = walk.withColumns({"_parted": F.max(parted).over(w), "_reset": F.max(reset).over(w)})
-    inexact = F.coalesce(F.col("_parted"), F.lit(0)) > F.coalesce(F.col("_reset"), F.lit(0))
-    # A stretch that crosses a slice border cannot see the other slice: count it out in full.
-    crossing = (F.col("_slice") >= 0) & (
-        (F.col("_floor") == F.col("_floor_in")) | (F.col("_floor") == F.col("_floor_out"))
-    )
-    return walk.withColumn("_inexact", inexact | F.coalesce(crossing, F.lit(False))).drop(
-        "_x", "_x0", "_floor_prev", "_floor_in", "_floor_out", "_parted", "_reset"
+    inexact = F.coalesce("_parted", F.lit(0)) > F.coalesce("_reset", F.lit(0))
+    if carry is not None:
+        # A stretch that crosses a slice border cannot see the other slice: count it out in full.
+        crossing = (F.col("_slice") >= 0) & (
+            (F.col("_floor") == F.col("_floor_in")) | (F.col("_floor") == F.col("_floor_out"))
+        )
+        inexact = inexact | F.coalesce(crossing, F.lit(False))
+    return walk.withColumn("_inexact", inexact).drop(
+        "_x", "_x0", "_i0", "_floor_in", "_floor_out", "_parted", "_reset"
     )
 
 
-def _count_out(df: DataFrame, order: list[str], sustained: int) -> DataFrame:
-    """Exact counter of the inexact rows.
+def _count_along(codes: Iterator[pd.Series], sustained: int) -> Iterator[pd.Series]:
+    """Counter before each coded reading (bound * 4 + kind); NULL for readings without a code.
 
-    Rows are hashed by stretch and sorted inside each task; the counter then runs over them batch
-    by batch with one integer of memory, so no stretch is ever held as a whole.
+    Codes come in the order of the readings. A run of coded readings starts where the bound is
+    still exact; the counter then follows the run, across batches, with one integer of memory.
     """
-    schema = StructType(
-        [*df.schema.fields, StructField("_before", LongType()), StructField("_after", LongType())]
+    count = None
+    for batch in codes:
+        coded = batch.notna().to_numpy()
+        out = batch.to_numpy(dtype="float64", na_value=float("nan"), copy=True)
+        if coded.any():
+            for i, has_code in enumerate(coded):
+                if not has_code:
+                    count = None
+                    continue
+                bound, kind = divmod(int(out[i]), 4)
+                if count is None:
+                    count = bound - 1 if kind in (K_SPIKE, K_HIGH) else bound
+                out[i] = count
+                count = next_count(kind, count, sustained)
+        else:
+            count = None
+        yield pd.Series(out).astype("Int64")
+
+
+def _counter(sustained: int) -> Callable[[Column], Column]:
+    def run(codes: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        yield from _count_along(codes, sustained)
+
+    run.__annotations__ = {"codes": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    # Not deterministic: no filter may move below it and tear a run apart.
+    return F.pandas_udf(run, "bigint").asNondeterministic()
+
+
+def _with_count(bound: DataFrame, order: list[str], sustained: int) -> DataFrame:
+    """``_before``: the counter before each reading.
+
+    The windows leave each task sorted by meter and time, so inexact runs are counted where they
+    are. Only one number per row goes to Python, and it is NULL for nearly all of them.
+    """
+    code = F.when(F.col("_inexact"), F.col("_bound") * 4 + F.col("_kind"))
+    ordered = bound.sortWithinPartitions("meter_id", "_slice", *order)
+    exact = F.greatest(F.col("_bound") - 1, F.lit(0))
+    counted = ordered.withColumn("_counted", _counter(sustained)(code))
+    return counted.withColumn("_before", F.coalesce("_counted", exact)).drop("_counted")
+
+
+def _with_count_across(bound: DataFrame, order: list[str], sustained: int) -> DataFrame:
+    """The same when runs cross the slices of large meters: hash their readings by stretch, so
+    that each stretch is in one task, and count there. The others keep their bound."""
+    exact = bound.where(~F.col("_inexact")).withColumn(
+        "_before", F.greatest(F.col("_bound") - 1, F.lit(0))
     )
+    schema = StructType([*bound.schema.fields, StructField("_before", LongType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        stretch, count = None, 0
+        last, count = None, 0
         for batch in batches:
-            befores, afters = [], []
-            rows = zip(batch["meter_id"], batch["_floor"], batch["_kind"], batch["_bound"])
-            for meter, floor, kind, bound in rows:
-                if (meter, floor) != stretch:
-                    stretch = (meter, floor)
-                    rises = kind in (K_SPIKE, K_HIGH)
-                    count = int(bound) - 1 if rises else int(bound)
+            befores = []
+            rows = zip(batch["meter_id"], batch["_i"], batch["_kind"], batch["_bound"])
+            for meter, position, kind, upper in rows:
+                # After a gap in the positions the bound is exact again: start from it.
+                if (meter, position - 1) != last:
+                    count = int(upper) - 1 if kind in (K_SPIKE, K_HIGH) else int(upper)
                 befores.append(count)
                 count = next_count(kind, count, sustained)
-                afters.append(count)
-            yield batch.assign(_before=befores, _after=afters)
+                last = (meter, position)
+            yield batch.assign(_before=befores)
 
-    return (
-        df.repartition("meter_id", "_floor")
+    counted = (
+        bound.where("_inexact")
+        .repartition("meter_id", "_floor")
         .sortWithinPartitions("meter_id", "_floor", *order)
         .mapInPandas(run, schema)
     )
+    return exact.unionByName(counted)
+
+
+def _after(sustained: int) -> Column:
+    """The counter after a reading."""
+    kind, count = F.col("_kind"), F.col("_before")
+    rises = (kind == K_SPIKE) | ((kind == K_HIGH) & (count < sustained))
+    return (
+        F.when(~F.col("_inexact"), F.col("_bound"))
+        .when(rises, count + 1)
+        .when(kind == K_LOW, F.greatest(count - 1, F.lit(0)))
+        .otherwise(count)
+    )
 
 
 def _label(df: DataFrame, p: dict) -> DataFrame:
@@ -239,9 +303,9 @@ def _label(df: DataFrame, p: dict) -> DataFrame:
         {
             "severity": severity,
             "is_anomaly": F.col("anomaly_type") != NORMAL,
-            "consecutive_high": F.col("_after"),
+            "consecutive_high": _after(p["sustained"]),
         }
-    ).drop("_kind", "_before", "_after", "_slice", "_floor", "_bound", "_inexact")
+    ).drop("_kind", "_before", "_slice", "_i", "_floor", "_bound", "_inexact")
 
 
 # --- rolling window variant -----------------------------------------------------------------
@@ -296,13 +360,12 @@ def _window_moments(
 
 
 def _running(
-    readings: DataFrame, value: str, order: list[str], max_rows: int, ready: bool = False
+    readings: DataFrame, hot: DataFrame | None, value: str, order: list[str], ready: bool = False
 ) -> tuple[DataFrame, DataFrame | None]:
     """Sliced readings with their moments, and the same for the rows of large meters only.
 
     ``ready`` says the moments are there already. The second frame is None without large meters.
     """
-    hot = find_hot_keys(readings, "meter_id", order[0], max_rows)
     sliced = with_slice(readings, hot, "meter_id", order[0])
     large = None if hot is None else hot_rows(readings, hot, "meter_id", order[0])
     if ready:
@@ -326,7 +389,8 @@ def score_z(
     if window_days is not None:
         moments = _window_moments(readings, window_days, value, cols, max_rows)
     else:
-        moments = _running(readings, value, cols, max_rows)[0].drop("_slice")
+        hot = find_hot_keys(readings, "meter_id", cols[0], max_rows)
+        moments = _running(readings, hot, value, cols)[0].drop("_slice")
     ready = (F.col("rolling_stddev") > min_stddev) & (F.col("n") >= warmup)
     z = (F.col(value) - F.col("rolling_mean")) / F.col("rolling_stddev")
     return moments.withColumn("z_score", F.when(ready, z).otherwise(F.lit(0.0)))
@@ -349,13 +413,11 @@ def score_batch(
         flatline=flatline, min_stddev=min_stddev, value=value,
     )
     cols = list(order)
+    hot = find_hot_keys(readings, "meter_id", cols[0], max_rows)
     if window_days is not None:
         readings = _window_moments(readings, window_days, value, cols, max_rows)
-    moments, large = _running(readings, value, cols, max_rows, ready=window_days is not None)
+    moments, large = _running(readings, hot, value, cols, ready=window_days is not None)
     carry = None if large is None else cut_lineage(_walk_carry(_with_z(large, p), cols))
     bound = _with_bound(_with_z(moments, p), carry, cols, sustained)
-    exact = bound.where(~F.col("_inexact")).withColumns(
-        {"_before": F.greatest(F.col("_bound") - 1, F.lit(0)), "_after": F.col("_bound")}
-    )
-    counted = _count_out(bound.where("_inexact"), cols, sustained)
-    return _label(exact.unionByName(counted), p)
+    count = _with_count if large is None else _with_count_across
+    return _label(count(bound, cols, sustained), p)

@@ -267,10 +267,9 @@ def anomalies_last_hour(spark, d):
 @query
 def meter_drilldown(spark, d):
     """The meter of the newest event."""
-    events = x.table(spark, d, "events")
-    newest = events.agg(F.max_by("user_id", F.struct("ts", "event_id"))).scalar()
-    return rounded(panels.meter_drilldown(x.scored(spark, d, meta=False), x.meter_id(newest)), 6,
-                   "kwh_hourly", "z_score")
+    meter = x.newest_meter(spark, d)
+    scored = x.scored(spark, d, meta=False, meter=meter)
+    return rounded(panels.meter_drilldown(scored, meter), 6, "kwh_hourly", "z_score")
 
 
 @query
@@ -312,8 +311,8 @@ def _with_resolutions(spark, d, meta=True):
 @query
 def recent_alerts_for_meter(spark, d):
     """The meter of the newest event."""
-    newest = x.table(spark, d, "events").agg(F.max_by("user_id", F.struct("ts", "event_id"))).scalar()
-    return lookups.recent_alerts(_alerts(spark, d, meta=False), x.meter_id(newest)).select(
+    meter = x.newest_meter(spark, d)
+    return lookups.recent_alerts(x.alerts(spark, d, meta=False, meter=meter), meter).select(
         "meter_id", "ts", "z_score", "anomaly_type", "severity", "status"
     )
 

@@ -105,14 +105,26 @@ def stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.meter_stats(readings(spark, sf_dir)).join(meta, "meter_id", "left_semi")
 
 
-def to_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readings(spark, sf_dir).select("meter_id", "reading_id", "ts", F.col("kwh").alias("kwh_hourly"))
+def to_score(spark: SparkSession, sf_dir: str, meter: Column | None = None) -> DataFrame:
+    """Columns the scorer needs, of all meters or one."""
+    rows = readings(spark, sf_dir)
+    rows = rows if meter is None else rows.where(F.col("meter_id") == meter)
+    return rows.select("meter_id", "reading_id", "ts", F.col("kwh").alias("kwh_hourly"))
 
 
-def scored(spark: SparkSession, sf_dir: str, meta: bool = True, **options) -> DataFrame:
+def newest_meter(spark: SparkSession, sf_dir: str) -> Column:
+    """The meter of the newest event."""
+    events = table(spark, sf_dir, "events")
+    return meter_id(events.agg(F.max_by("user_id", F.struct("ts", "event_id"))).scalar())
+
+
+def scored(
+    spark: SparkSession, sf_dir: str, meta: bool = True, meter: Column | None = None, **options
+) -> DataFrame:
     """The scored-readings table. Household columns are joined after scoring, and only for reports
-    that show them: the windows stay narrow, and a report on anomalies joins anomalies only."""
-    done = score_batch(to_score(spark, sf_dir), **options).withColumns(
+    that show them: the windows stay narrow, and a report on anomalies joins anomalies only. A look
+    at one meter scores that meter only: no meter depends on another."""
+    done = score_batch(to_score(spark, sf_dir, meter), **options).withColumns(
         {"reading_date": clock.date_text(F.col("ts")), "processed_at": F.col("ts")}
     )
     return enrich.attach_meta(done, households(spark, sf_dir)) if meta else done
