@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kilowatch.functions.numbers import half_up
 from kilowatch.functions.text import uniform_draw
 
 # Cumulative chances of the three kinds, and what each does to a reading.
@@ -65,8 +66,8 @@ def detection_quality(scored: DataFrame) -> DataFrame:
     tp, fp, fn = F.col("true_positive"), F.col("false_positive"), F.col("false_negative")
     return counts.withColumns(
         {
-            "precision": F.round(F.try_divide(tp, tp + fp), 4),
-            "recall": F.round(F.try_divide(tp, tp + fn), 4),
-            "type_recall": F.round(F.try_divide(F.col("type_match"), tp + fn), 4),
+            "precision": half_up(F.try_divide(tp, tp + fp), 4),
+            "recall": half_up(F.try_divide(tp, tp + fn), 4),
+            "type_recall": half_up(F.try_divide(F.col("type_match"), tp + fn), 4),
         }
     )

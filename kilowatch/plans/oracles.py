@@ -1,6 +1,6 @@
 """The same queries as ANSI SQL over the same tables, to check results against another engine.
 
-Where the registry rounds for comparison, exact halves are nudged up here as there.
+Rounding nudges exact halves up, as ``half_up`` does: a mean of decimals is often an exact half.
 """
 
 from __future__ import annotations
@@ -242,19 +242,19 @@ SELECT meter_id, ts, kwh_hourly, reading_id FROM (
     # --- consumption reports
     "peak_hours": f"""
 WITH {HOURLY}
-SELECT hour, round(avg(kwh_hourly), 4) AS avg_kwh, round(max(kwh_hourly), 4) AS peak_kwh,
-       round(stddev_pop(kwh_hourly), 4) AS stddev_kwh, count(DISTINCT meter_id) AS meters
+SELECT hour, round(avg(kwh_hourly) + 1e-8, 4) AS avg_kwh, round(max(kwh_hourly) + 1e-8, 4) AS peak_kwh,
+       round(stddev_pop(kwh_hourly) + 1e-8, 4) AS stddev_kwh, count(DISTINCT meter_id) AS meters
 FROM mr GROUP BY hour""",
     "monthly_trend": f"""
 WITH {HOURLY}
-SELECT year, month, round(sum(kwh_hourly), 2) AS total_kwh,
-       round(avg(kwh_hourly), 4) AS avg_kwh_per_meter_hour,
-       count(DISTINCT meter_id) AS active_meters, round(avg(temp_high_c), 2) AS avg_temp_high_c
+SELECT year, month, round(sum(kwh_hourly) + 1e-6, 2) AS total_kwh,
+       round(avg(kwh_hourly) + 1e-8, 4) AS avg_kwh_per_meter_hour,
+       count(DISTINCT meter_id) AS active_meters, round(avg(temp_high_c) + 1e-6, 2) AS avg_temp_high_c
 FROM mr GROUP BY year, month""",
     "top_consumers": f"""
 WITH {HOURLY}
-SELECT meter_id, acorn_group, tariff_type, round(sum(kwh_hourly), 2) AS total_kwh,
-       round(avg(kwh_hourly), 4) AS avg_kwh_hourly, round(max(kwh_hourly), 4) AS peak_kwh,
+SELECT meter_id, acorn_group, tariff_type, round(sum(kwh_hourly) + 1e-6, 2) AS total_kwh,
+       round(avg(kwh_hourly) + 1e-8, 4) AS avg_kwh_hourly, round(max(kwh_hourly) + 1e-8, 4) AS peak_kwh,
        count(*) AS reading_count
 FROM mr WHERE meter_id IN (SELECT meter_id FROM r)
 GROUP BY meter_id, acorn_group, tariff_type ORDER BY total_kwh DESC, meter_id LIMIT 20""",
@@ -262,18 +262,18 @@ GROUP BY meter_id, acorn_group, tariff_type ORDER BY total_kwh DESC, meter_id LI
 WITH {HOURLY}
 SELECT CASE WHEN extract(dow FROM CAST(reading_date AS DATE)) IN (0, 6) THEN 'Weekend'
             ELSE 'Weekday' END AS day_type, hour,
-       round(avg(kwh_hourly), 4) AS avg_kwh, round(stddev_pop(kwh_hourly), 4) AS stddev_kwh
+       round(avg(kwh_hourly) + 1e-8, 4) AS avg_kwh, round(stddev_pop(kwh_hourly) + 1e-8, 4) AS stddev_kwh
 FROM mr GROUP BY 1, 2""",
     "weather_correlation": f"""
 WITH {HOURLY}
-SELECT year, month, round(avg(kwh_hourly), 4) AS avg_kwh, round(avg(temp_high_c), 2) AS avg_temp_high,
-       round(avg(temp_low_c), 2) AS avg_temp_low,
-       round(corr(kwh_hourly, temp_high_c), 4) AS corr_kwh_temp_high,
-       round(corr(kwh_hourly, humidity), 4) AS corr_kwh_humidity
+SELECT year, month, round(avg(kwh_hourly) + 1e-8, 4) AS avg_kwh, round(avg(temp_high_c) + 1e-6, 2) AS avg_temp_high,
+       round(avg(temp_low_c) + 1e-6, 2) AS avg_temp_low,
+       round(corr(kwh_hourly, temp_high_c) + 1e-8, 4) AS corr_kwh_temp_high,
+       round(corr(kwh_hourly, humidity) + 1e-8, 4) AS corr_kwh_humidity
 FROM mr WHERE temp_high_c IS NOT NULL GROUP BY year, month""",
     "tariff_by_hour": f"""
 WITH {HOURLY}
-SELECT tariff_type, hour, round(avg(kwh_hourly), 4) AS avg_kwh,
+SELECT tariff_type, hour, round(avg(kwh_hourly) + 1e-8, 4) AS avg_kwh,
        count(DISTINCT meter_id) AS meter_count FROM mr GROUP BY tariff_type, hour""",
     "daily_consumption": f"""
 WITH {HOURLY}
@@ -283,7 +283,7 @@ SELECT reading_date, acorn_group, tariff_type, count(DISTINCT meter_id) AS meter
 FROM mr GROUP BY reading_date, acorn_group, tariff_type""",
     "consumption_heatmap": f"""
 WITH {HOURLY}
-SELECT acorn_group, CAST(hour AS INTEGER) AS hour_of_day, round(avg(kwh_hourly), 4) AS avg_kwh
+SELECT acorn_group, CAST(hour AS INTEGER) AS hour_of_day, round(avg(kwh_hourly) + 1e-8, 4) AS avg_kwh
 FROM mr GROUP BY acorn_group, hour""",
     "load_curve": f"""
 WITH {HOURLY}
@@ -311,12 +311,12 @@ SELECT meter_id, reading_id, n, round(m + 1e-10, 6) AS rolling_mean, round(sd +
        round(CASE WHEN sd > 0.001 AND n >= 10 THEN (kwh - m) / sd ELSE 0.0 END + 1e-10, 6) AS z_score
 FROM st""",
     "anomaly_breakdown": f"""{SCORED}
-SELECT acorn_group, anomaly_type, count(*) AS anomaly_count, round(avg(severity), 3) AS avg_severity,
-       round(avg(z), 3) AS avg_zscore, count(DISTINCT meter_id) AS affected_meters
+SELECT acorn_group, anomaly_type, count(*) AS anomaly_count, round(avg(severity) + 1e-7, 3) AS avg_severity,
+       round(avg(z) + 1e-7, 3) AS avg_zscore, count(DISTINCT meter_id) AS affected_meters
 FROM sh WHERE is_anomaly GROUP BY acorn_group, anomaly_type""",
     "anomaly_rate_trend": f"""{SCORED}
 SELECT reading_date, count(*) AS total_readings, count(*) FILTER (WHERE is_anomaly) AS anomaly_count,
-       round(count(*) FILTER (WHERE is_anomaly) * 100.0 / count(*), 2) AS anomaly_rate_pct
+       round(count(*) FILTER (WHERE is_anomaly) * 100.0 / count(*) + 1e-6, 2) AS anomaly_rate_pct
 FROM s WHERE CAST(reading_date AS DATE) >= CAST({NOW} AS DATE) - 60 GROUP BY reading_date""",
     "hourly_anomaly_counts": f"""{SCORED}
 SELECT reading_date, hour, anomaly_type, count(*) AS anomaly_count,
@@ -425,7 +425,7 @@ WITH {READINGS}, src AS ({INJECTED})
 SELECT meter_id, reading_id, round(kwh_hourly + 1e-8, 4) AS kwh_hourly, injected_anomaly FROM src""",
     "injection_validation": f"""WITH RECURSIVE {_scored(INJECTED)}
 SELECT injected_anomaly, anomaly_type AS detected_as, count(*) AS count,
-       round(avg(severity), 3) AS avg_severity, round(avg(z), 3) AS avg_zscore,
+       round(avg(severity) + 1e-7, 3) AS avg_severity, round(avg(z) + 1e-7, 3) AS avg_zscore,
        count(*) FILTER (WHERE is_anomaly) AS correctly_flagged,
        count(*) FILTER (WHERE NOT is_anomaly) AS missed,
        count(*) FILTER (WHERE injected_anomaly = anomaly_type) AS type_match
@@ -438,9 +438,9 @@ q AS (
          count(*) FILTER (WHERE injected_anomaly <> 'none' AND injected_anomaly = anomaly_type) AS type_match
   FROM s
 )
-SELECT *, round(true_positive / nullif(true_positive + false_positive, 0), 4) AS precision,
-       round(true_positive / nullif(true_positive + false_negative, 0), 4) AS recall,
-       round(type_match / nullif(true_positive + false_negative, 0), 4) AS type_recall
+SELECT *, round(true_positive / nullif(true_positive + false_positive, 0) + 1e-8, 4) AS precision,
+       round(true_positive / nullif(true_positive + false_negative, 0) + 1e-8, 4) AS recall,
+       round(type_match / nullif(true_positive + false_negative, 0) + 1e-8, 4) AS type_recall
 FROM q""",
     # --- demand
     "demand_grid": f"""
@@ -556,9 +556,9 @@ SELECT ts, zone, round(predicted_mw + 1e-8, 4) AS predicted_mw, CAST(NULL AS DOU
     "forecast_accuracy": f"""
 WITH {FORECASTS}
 SELECT CAST(f.ts AS DATE) AS forecast_date, f.zone, count(*) AS forecast_points,
-       round(avg(abs(f.predicted_mw - d.mw_demand)), 2) AS mae_mw,
-       round(sqrt(avg(power(f.predicted_mw - d.mw_demand, 2))), 2) AS rmse_mw,
-       round(avg(abs(f.predicted_mw - d.mw_demand) / d.mw_demand) * 100, 2) AS mape_pct
+       round(avg(abs(f.predicted_mw - d.mw_demand)) + 1e-6, 2) AS mae_mw,
+       round(sqrt(avg(power(f.predicted_mw - d.mw_demand, 2))) + 1e-6, 2) AS rmse_mw,
+       round(avg(abs(f.predicted_mw - d.mw_demand) / d.mw_demand) * 100 + 1e-6, 2) AS mape_pct
 FROM f JOIN d ON d.zone = f.zone AND d.ts = f.ts
 WHERE f.ts >= CAST((SELECT max(ts) FROM d) AS DATE) - 7 AND d.mw_demand > 0
 GROUP BY 1, 2""",

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from kilowatch.functions import clock
+from kilowatch.functions.numbers import half_up
 from kilowatch.plans.reports import error_measures, since
 from kilowatch.plans.views import forecast_vs_actual, hourly_anomaly_counts, top_anomaly_meters
 
@@ -90,7 +91,7 @@ def load_kpis(forecasts: DataFrame, as_of: Column, hours: int = 24) -> DataFrame
 
 def consumption_heatmap(readings: DataFrame) -> DataFrame:
     return readings.groupBy("acorn_group", F.col("hour").cast("int").alias("hour_of_day")).agg(
-        F.round(F.avg("kwh_hourly"), 4).alias("avg_kwh")
+        half_up(F.avg("kwh_hourly"), 4).alias("avg_kwh")
     )
 
 

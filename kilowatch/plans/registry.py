@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from kilowatch import schemas
 from kilowatch.functions import clock
+from kilowatch.functions.numbers import half_up
 from kilowatch.operators import alerts as alert_ops
 from kilowatch.operators import cleaning, enrich, features, forecast, inject, rollup
 from kilowatch.operators.grid import future_slots, lags_by_time
@@ -41,9 +42,7 @@ def query(fn: Query) -> Query:
 
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
-    """Round, exact halves up: a mean that ends in 5 must not hang on the last bit of its sum."""
-    nudge = F.lit(10.0 ** -(digits + 4))
-    return df.withColumns({c: F.round(F.col(c) + nudge, digits) for c in columns})
+    return df.withColumns({c: half_up(c, digits) for c in columns})
 
 
 def now(spark: SparkSession, sf_dir: str) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kilowatch.functions import clock
+from kilowatch.functions.numbers import half_up
 
 
 def _hour(column: str = "hour") -> Column:
@@ -27,9 +28,9 @@ def peak_hours(readings: DataFrame) -> DataFrame:
     return (
         readings.groupBy("hour")
         .agg(
-            F.round(F.avg("kwh_hourly"), 4).alias("avg_kwh"),
-            F.round(F.max("kwh_hourly"), 4).alias("peak_kwh"),
-            F.round(F.stddev_pop("kwh_hourly"), 4).alias("stddev_kwh"),
+            half_up(F.avg("kwh_hourly"), 4).alias("avg_kwh"),
+            half_up(F.max("kwh_hourly"), 4).alias("peak_kwh"),
+            half_up(F.stddev_pop("kwh_hourly"), 4).alias("stddev_kwh"),
             F.count_distinct("meter_id").alias("meters"),
         )
         .orderBy(_hour())
@@ -40,10 +41,10 @@ def monthly_trend(readings: DataFrame) -> DataFrame:
     return (
         readings.groupBy("year", "month")
         .agg(
-            F.round(F.sum("kwh_hourly"), 2).alias("total_kwh"),
-            F.round(F.avg("kwh_hourly"), 4).alias("avg_kwh_per_meter_hour"),
+            half_up(F.sum("kwh_hourly"), 2).alias("total_kwh"),
+            half_up(F.avg("kwh_hourly"), 4).alias("avg_kwh_per_meter_hour"),
             F.count_distinct("meter_id").alias("active_meters"),
-            F.round(F.avg("temp_high_c"), 2).alias("avg_temp_high_c"),
+            half_up(F.avg("temp_high_c"), 2).alias("avg_temp_high_c"),
         )
         .orderBy("year", "month")
     )
@@ -56,8 +57,8 @@ def anomaly_breakdown(scored: DataFrame) -> DataFrame:
         .groupBy("acorn_group", "anomaly_type")
         .agg(
             F.count("*").alias("anomaly_count"),
-            F.round(F.avg("severity"), 3).alias("avg_severity"),
-            F.round(F.avg("z_score"), 3).alias("avg_zscore"),
+            half_up(F.avg("severity"), 3).alias("avg_severity"),
+            half_up(F.avg("z_score"), 3).alias("avg_zscore"),
             F.count_distinct("meter_id").alias("affected_meters"),
         )
         .orderBy(F.desc("anomaly_count"), "acorn_group", "anomaly_type")
@@ -73,7 +74,7 @@ def anomaly_rate_trend(scored: DataFrame, as_of: Column | None = None, days: int
         .agg(
             F.count("*").alias("total_readings"),
             F.count_if(F.col("is_anomaly")).alias("anomaly_count"),
-            F.round(rate, 2).alias("anomaly_rate_pct"),
+            half_up(rate, 2).alias("anomaly_rate_pct"),
         )
         .orderBy("reading_date")
     )
@@ -95,9 +96,9 @@ def top_consumers(readings: DataFrame, stats: DataFrame, limit: int = 20) -> Dat
         totals.join(stats.select("meter_id"), "meter_id")
         .select(
             "meter_id", "acorn_group", "tariff_type",
-            F.round("_total", 2).alias("total_kwh"),
-            F.round("_avg", 4).alias("avg_kwh_hourly"),
-            F.round("_max", 4).alias("peak_kwh"),
+            half_up("_total", 2).alias("total_kwh"),
+            half_up("_avg", 4).alias("avg_kwh_hourly"),
+            half_up("_max", 4).alias("peak_kwh"),
             "reading_count",
         )
         .orderBy(F.desc("total_kwh"), "meter_id")
@@ -132,7 +133,7 @@ def forecast_accuracy(
         .groupBy(F.to_date("ts").alias("forecast_date"), "zone")
         .agg(
             F.count("*").alias("forecast_points"),
-            *[F.round(c, 2).alias(f"{m}_{'pct' if m == 'mape' else 'mw'}") for m, c in measures.items()],
+            *[half_up(c, 2).alias(f"{m}_{'pct' if m == 'mape' else 'mw'}") for m, c in measures.items()],
         )
         .orderBy("forecast_date", "zone")
     )
@@ -144,8 +145,8 @@ def weekend_weekday(readings: DataFrame) -> DataFrame:
     return (
         readings.groupBy(kind.alias("day_type"), "hour")
         .agg(
-            F.round(F.avg("kwh_hourly"), 4).alias("avg_kwh"),
-            F.round(F.stddev_pop("kwh_hourly"), 4).alias("stddev_kwh"),
+            half_up(F.avg("kwh_hourly"), 4).alias("avg_kwh"),
+            half_up(F.stddev_pop("kwh_hourly"), 4).alias("stddev_kwh"),
         )
         .orderBy("day_type", _hour())
     )
@@ -156,11 +157,11 @@ def weather_correlation(readings: DataFrame) -> DataFrame:
         readings.where(F.col("temp_high_c").isNotNull())
         .groupBy("year", "month")
         .agg(
-            F.round(F.avg("kwh_hourly"), 4).alias("avg_kwh"),
-            F.round(F.avg("temp_high_c"), 2).alias("avg_temp_high"),
-            F.round(F.avg("temp_low_c"), 2).alias("avg_temp_low"),
-            F.round(F.corr("kwh_hourly", "temp_high_c"), 4).alias("corr_kwh_temp_high"),
-            F.round(F.corr("kwh_hourly", "humidity"), 4).alias("corr_kwh_humidity"),
+            half_up(F.avg("kwh_hourly"), 4).alias("avg_kwh"),
+            half_up(F.avg("temp_high_c"), 2).alias("avg_temp_high"),
+            half_up(F.avg("temp_low_c"), 2).alias("avg_temp_low"),
+            half_up(F.corr("kwh_hourly", "temp_high_c"), 4).alias("corr_kwh_temp_high"),
+            half_up(F.corr("kwh_hourly", "humidity"), 4).alias("corr_kwh_humidity"),
         )
         .orderBy("year", "month")
     )
@@ -170,7 +171,7 @@ def tariff_by_hour(readings: DataFrame) -> DataFrame:
     return (
         readings.groupBy("tariff_type", "hour")
         .agg(
-            F.round(F.avg("kwh_hourly"), 4).alias("avg_kwh"),
+            half_up(F.avg("kwh_hourly"), 4).alias("avg_kwh"),
             F.count_distinct("meter_id").alias("meter_count"),
         )
         .orderBy("tariff_type", _hour())
@@ -185,8 +186,8 @@ def injection_validation(scored: DataFrame) -> DataFrame:
         .groupBy("injected_anomaly", F.col("anomaly_type").alias("detected_as"))
         .agg(
             F.count("*").alias("count"),
-            F.round(F.avg("severity"), 3).alias("avg_severity"),
-            F.round(F.avg("z_score"), 3).alias("avg_zscore"),
+            half_up(F.avg("severity"), 3).alias("avg_severity"),
+            half_up(F.avg("z_score"), 3).alias("avg_zscore"),
             F.count_if(F.col("is_anomaly")).alias("correctly_flagged"),
             F.count_if(~F.col("is_anomaly")).alias("missed"),
             F.count_if(F.col("injected_anomaly") == F.col("anomaly_type")).alias("type_match"),
