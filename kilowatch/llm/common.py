@@ -66,3 +66,18 @@ def bounded_sample(df: DataFrame, most: int, keys: list[str]) -> DataFrame:
     if rows > most:
         df = df.where(F.pmod(h, F.lit(1 << 30)) < int((1 << 30) * min(1.0, 1.2 * most / rows)))
     return df.orderBy(h, *keys).limit(most)
+
+
+# Ids that are sent to every executor, at most; about 32 MB there. More are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def matching_rows(df: DataFrame, column: str, ids: DataFrame, keep: bool = True) -> DataFrame:
+    """Rows whose ``column`` is among the distinct ``ids`` (or is not, with ``keep`` false).
+
+    Their number decides whether the ids travel to the rows or both are shuffled. Nulls match none.
+    """
+    ids = ids.toDF("matching_id")
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    ids = F.broadcast(ids) if few else ids
+    return df.join(ids, df[column] == ids["matching_id"], "left_semi" if keep else "left_anti")

@@ -20,6 +20,13 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document by 2-word shingles at 80 percent."""
+    from kilowatch.llm.neardup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard, slot, size and checksum of every document."""
     from kilowatch.llm.sharding import document_shards
@@ -51,6 +58,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_near_duplicates": op2_near_duplicates,
     "op3_sharding": op3_sharding,
     "op4_url_filter": op4_url_filter,
     "op5_topk_search": op5_topk_search,
