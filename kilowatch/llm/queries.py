@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from kilowatch.llm import licences
 from kilowatch.llm.common import table
 from kilowatch.session import scratch_path
 
@@ -57,20 +58,37 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, path)
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every occurrence of a benchmark item in a document, within the edit budget."""
+    from kilowatch.llm.decontam import benchmark_hits
+
+    return benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences and licence sentences of every document."""
+    from kilowatch.llm.licences import license_scan
+
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_near_duplicates": op2_near_duplicates,
     "op3_sharding": op3_sharding,
     "op4_url_filter": op4_url_filter,
     "op5_topk_search": op5_topk_search,
     "op7_token_files": op7_token_files,
+    "op8_decontamination": op8_decontamination,
+    "op9_license_scan": op9_license_scan,
 }
 
 ORACLES = {
+    "op9_license_scan": licences.oracle(),
     "op5_topk_search": """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS f FROM embeddings
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS f FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.f, c.f)::BIGINT AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
