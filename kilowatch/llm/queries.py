@@ -21,6 +21,20 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def vocabulary_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    from kilowatch.llm.langid import identify, train
+
+    docs = table(spark, sf_dir, "documents")
+    return identify(docs, train(docs, vocabulary_file()))
+
+
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document by 2-word shingles at 80 percent."""
     from kilowatch.llm.neardup import near_duplicates
@@ -73,6 +87,7 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_near_duplicates": op2_near_duplicates,
     "op3_sharding": op3_sharding,
     "op4_url_filter": op4_url_filter,
