@@ -8,7 +8,7 @@ Every shingle gets one 64-bit hash value; the k smallest values of a document ar
    is arithmetic, for larger ones it holds at five standard deviations (``least_shared``). So they
    also share one of the ``shared - need + 1`` rarest of the values that a document shares with any
    other; only these enter the lists. A document that shares fewer than ``need`` values is out.
-3. Stars. In each list all documents meet the smallest one, its hub: union-sketch estimation filters
+3. Stars. In each list all documents meet the smallest one, its hub: union-sketch estimation on sketches filters
    and the Jaccard similarity of the full sets decides. A hub's group is split into blocks.
 4. The rest. Two documents of a list that are both linked to its hub are connected already. Each
    document that is not (a stray) meets the whole group of the hub, in blocks, by the same steps. No
@@ -92,7 +92,8 @@ def _signatures(batches: Iterator[pd.DataFrame], size: int, k: int) -> Iterator[
         yield pd.DataFrame({
             "doc_id": batch["doc_id"].astype("Int64"), "n": [len(s) for s in sets],
             "fp1": pd.array([a for a, _ in halves], "Int64"), "fp2": pd.array([b for _, b in halves], "Int64"),
-            "sketch": [s[:k] for s in sets],
+            # One value more tells a cut sketch from a whole set.
+            "sketch": [s[: k + 1] for s in sets],
         })
 
 
@@ -109,7 +110,7 @@ class _Block:
 
     def __init__(self, docs: list[int], sets: list[np.ndarray], k: int):
         self.docs, self.sizes, self.k = np.array(docs), np.array([len(s) for s in sets]), k
-        self.full = self._index(sets)
+        self.sets, self.full = sets, None
         self.retained = self._index([s[:k] for s in sets])
         self.sketches = np.full((len(sets), k), TOP)
         for row, s in zip(self.sketches, sets):
@@ -140,64 +141,110 @@ class _Block:
         theirs = np.searchsorted(sketch, upto, "right")
         return both / np.maximum(mine + theirs - both, 1)
 
-    def links(self, other: np.ndarray, percent: int, least: float) -> np.ndarray:
-        if not (self.estimates(other) >= least).any():
-            return np.zeros(len(self.docs), bool)
+    def links(self, other: np.ndarray, percent: int) -> np.ndarray:
+        self.full = self.full or self._index(self.sets)
         both = self.shared(self.full, other)
         return 100 * both >= percent * (self.sizes + len(other) - both)
 
 
-def _compare(batches: Iterator[pd.DataFrame], k: int, percent: int, every_right: bool) -> Iterator[pd.DataFrame]:
-    """Rows come sorted by (g, lb, rb, side): a block's left documents, then its right ones.
+def _walk(batches: Iterator[pd.DataFrame], k: int) -> Iterator[tuple[int, _Block, int, np.ndarray, bool]]:
+    """(g, left block, right document, its values, first of its block) for every meeting.
 
-    Holds one left block. Gives the linked pairs, or (``every_right``) each right document once with
-    whether any left one is linked.
+    Rows come sorted by (g, lb, rb, side): a block's left documents, then its right ones. One left
+    block is held.
     """
-    # An estimate below this has the similarity at five deviations.
-    least = percent / 100 - DEVIATIONS * math.sqrt(percent / 100 * (1 - percent / 100) / k)
     key, docs, sets, block = None, [], [], None
     for batch in batches:
-        out = []
         for g, lb, rb, side, doc, members in zip(*(batch[c] for c in ("g", "lb", "rb", "side", "doc", "members"))):
             if (g, lb, rb) != key:
                 key, docs, sets, block = (g, lb, rb), [], [], None
             if side == 0:
                 docs.append(doc)
                 sets.append(np.asarray(members))
-                continue
-            if not docs:
-                continue
-            block = block or _Block(docs, sets, k)
-            linked = block.links(np.asarray(members), percent, least)
-            if every_right:
-                out.append((g, doc, doc, bool(linked.any())))
-            else:
-                out += [(g, int(a), doc, True) for a in block.docs[linked] if a != doc]
-        if out:
-            yield pd.DataFrame(out, columns=["g", "a", "b", "linked"])
-
-
-def _compared(members: DataFrame, sets: DataFrame, k: int, percent: int, every_right: bool) -> DataFrame:
-    rows = members.join(sets, "doc").repartition("g", "lb", "rb").sortWithinPartitions("g", "lb", "rb", "side")
-    return rows.select("g", "lb", "rb", "side", "doc", "members").mapInPandas(
-        lambda it: _compare(it, k, percent, every_right), "g long, a long, b long, linked boolean"
-    )
+            elif docs:
+                first = block is None
+                block = block or _Block(docs, sets, k)
+                yield g, block, doc, np.asarray(members), first
 
 
-def _block_of(doc: str, count: str) -> Column:
-    return F.pmod(F.xxhash64(doc), F.ceil(F.col(count) / BLOCK)).cast("int")
+def _screen(batches: Iterator[pd.DataFrame], k: int, percent: int) -> Iterator[pd.DataFrame]:
+    """Documents (side 0 left, 1 right) whose estimate with any of the other side is high enough."""
+    t = percent / 100
+    least = t - DEVIATIONS * math.sqrt(t * (1 - t) / k)
+    out, current, near = [], None, None
+
+    def close():
+        g, block = current
+        return [(g, int(d), 0) for d in block.docs[near]]
+
+    for g, block, doc, members, first in _walk(batches, k):
+        if first:
+            out += close() if current else []
+            current, near = (g, block), np.zeros(len(block.docs), bool)
+        good = block.estimates(members) >= least
+        near |= good
+        if good.any():
+            out.append((g, doc, 1))
+        if len(out) > 10_000:
+            yield pd.DataFrame(out, columns=["g", "doc", "side"])
+            out = []
+    out += close() if current else []
+    if out:
+        yield pd.DataFrame(out, columns=["g", "doc", "side"])
+
+
+def _verify(batches: Iterator[pd.DataFrame], k: int, percent: int) -> Iterator[pd.DataFrame]:
+    """Linked pairs by full sets; of a right document with several links in a block, one."""
+    out = []
+    for g, block, doc, members, _ in _walk(batches, k):
+        linked = block.docs[block.links(members, percent) & (block.docs != doc)]
+        if len(linked):
+            out += [(g, int(a), doc) for a in linked]
+        if len(out) > 10_000:
+            yield pd.DataFrame(out, columns=["g", "a", "b"])
+            out = []
+    if out:
+        yield pd.DataFrame(out, columns=["g", "a", "b"])
+
+
+def _met(left: DataFrame, right: DataFrame, values: DataFrame) -> DataFrame:
+    """The rows of all meetings in order; ``left`` and ``right`` have g and doc.
+
+    Either side of a group is cut into blocks by a hash, and every left block meets every right one.
+    """
+    sizes = left.groupBy("g").agg(F.count(F.lit(1)).alias("lefts")).join(
+        right.groupBy("g").agg(F.count(F.lit(1)).alias("rights")), "g"
+    )
+    blocks = stored(sizes.select("g", *[F.ceil(F.col(c) / BLOCK).cast("int").alias(c) for c in ("lefts", "rights")]), "blocks")
+
+    def placed(side: DataFrame, number: int, own: str, other: str, own_blocks: str, other_blocks: str) -> DataFrame:
+        at = F.pmod(F.xxhash64("doc"), F.col(own_blocks)).cast("int")
+        return side.join(blocks, "g").select(
+            "g", "doc", F.lit(number).alias("side"), at.alias(own),
+            F.explode(F.sequence(F.lit(0), F.col(other_blocks) - 1)).alias(other),
+        )
+
+    rows = placed(left, 0, "lb", "rb", "lefts", "rights").unionByName(placed(right, 1, "rb", "lb", "rights", "lefts"))
+    return (
+        rows.join(values, "doc").repartition("g", "lb", "rb").sortWithinPartitions("g", "lb", "rb", "side")
+        .select("g", "lb", "rb", "side", "doc", "members")
+    )
 
 
-def _all_blocks(count: str) -> Column:
-    return F.explode(F.sequence(F.lit(0), (F.ceil(F.col(count) / BLOCK) - 1).cast("int")))
+def _full_sets(docs: DataFrame, ids: DataFrame, size: int, repeated: bool) -> DataFrame:
+    sets = matching_rows(docs, "doc_id", ids).mapInPandas(lambda it: _sets(it, size), "doc long, members array<long>")
+    return stored(sets.distinct() if repeated else sets, "shingle-sets")
 
 
 def linked_pairs(sketches: DataFrame, docs: DataFrame, size: int, percent: int, k: int, repeated: bool) -> DataFrame:
-    """Links (a, b) between class representatives: enough to connect every two that are linked."""
+    """Links (a, b) between class representatives: enough to connect every two that are linked.
+
+    Sketches are compared first, full sets only of the documents that pass.
+    """
     need = F.when(
         F.col("n") <= k * percent // 100, F.floor((F.col("n") * percent + 99) / 100)
     ).otherwise(least_shared(k, percent))
-    entries = sketches.select("rep", "n", F.explode("sketch").alias("value"))
+    entries = sketches.select("rep", "n", F.explode(F.slice("sketch", 1, k)).alias("value"))
     often = entries.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     rarest = (
         entries.join(often, "value").groupBy("rep", "n")
@@ -210,31 +257,35 @@ def linked_pairs(sketches: DataFrame, docs: DataFrame, size: int, percent: int,
     group = stored(
         rarest.join(hubs, "value").where("rep > g").select("g", F.col("rep").alias("doc")).distinct(), "hub-groups"
     )
-    counts = group.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
-    wanted = group.select("doc").union(counts.select("g")).distinct()
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = matching_rows(text, "doc_id", stored(wanted, "compared")).mapInPandas(
-        lambda it: _sets(it, size), "doc long, members array<long>"
-    )
-    sets = stored(sets.distinct() if repeated else sets, "shingle-sets")
-    right = stored(
-        group.join(counts, "g").select("g", "doc", "n", _block_of("doc", "n").alias("rb")), "group-blocks"
-    )
-    hub_side = counts.select("g", F.lit(0).alias("lb"), _all_blocks("n").alias("rb"), F.lit(0).alias("side"), F.col("g").alias("doc"))
-    star = stored(_compared(
-        hub_side.unionByName(right.select("g", F.lit(0).alias("lb"), "rb", F.lit(1).alias("side"), "doc")),
-        sets, k, percent, every_right=True,
-    ).groupBy("g", F.col("b").alias("doc")).agg(F.max("linked").alias("linked")), "stars")
-    strays = star.where("not linked").join(counts.where("n > 1"), "g")
-    blocks = strays.groupBy("g").agg(F.count(F.lit(1)).alias("strays"))
-    left = strays.join(blocks, "g").select(
-        "g", _block_of("doc", "strays").alias("lb"), _all_blocks("n").alias("rb"), F.lit(0).alias("side"), "doc"
-    )
-    met = right.join(blocks, "g").select(
-        "g", _all_blocks("strays").alias("lb"), "rb", F.lit(1).alias("side"), "doc"
-    )
-    rest = _compared(left.unionByName(met), sets, k, percent, every_right=False)
-    return star.where("linked").select(F.col("g").alias("a"), F.col("doc").alias("b")).union(rest.select("a", "b"))
+    values = sketches.select(F.col("rep").alias("doc"), F.col("sketch").alias("members"))
+    hub = group.select("g", F.col("g").alias("doc")).distinct()
+
+    def screened(left: DataFrame, right: DataFrame, name: str) -> DataFrame:
+        return stored(_met(left, right, values).mapInPandas(
+            lambda it: _screen(it, k, percent), "g long, doc long, side int"
+        ).distinct(), name)
+
+    def verified(near: DataFrame, sets: DataFrame, name: str) -> DataFrame:
+        left, right = (near.where(F.col("side") == side).select("g", "doc") for side in (0, 1))
+        return stored(_met(left, right, sets).mapInPandas(
+            lambda it: _verify(it, k, percent), "g long, a long, b long"
+        ), name)
+
+    near = screened(hub, group, "near-hub")
+    some = stored(near.select("doc").distinct(), "near-ids")
+    sets = _full_sets(docs, some, size, repeated)
+    star = verified(near, sets, "stars")
+    # Strays: documents of a list that are not linked to its hub, where there is any other to meet.
+    linked = star.select("g", F.col("b").alias("doc")).distinct()
+    several = group.groupBy("g").count().where("count > 1").select("g")
+    strays = stored(group.join(linked, ["g", "doc"], "left_anti").join(several, "g", "left_semi"), "strays")
+    left, right = strays, group.join(strays.select("g").distinct(), "g", "left_semi")
+    near = screened(left, right, "near-strays")
+    more = stored(near.select("doc").distinct().join(some, "doc", "left_anti"), "more-ids")
+    if not more.isEmpty():
+        sets = sets.union(_full_sets(docs, more, size, repeated))
+    rest = verified(near, sets, "stray-links")
+    return star.select("a", "b").union(rest.select("a", "b"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -278,8 +329,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, k: int =
     sketches = signed.select("fp1", "fp2", "doc_id", "n", "sketch").join(
         classes.select("fp1", "fp2", F.col("rep").alias("doc_id")), ["fp1", "fp2", "doc_id"], "left_semi"
     )
-    sketches = sketches.select("fp1", F.col("doc_id").alias("rep"), "n", "sketch")
-    links = linked_pairs(sketches.distinct() if repeated else sketches, slim, size, percent, k, repeated)
+    sketches = sketches.select(F.col("doc_id").alias("rep"), "n", "sketch")
+    sketches = stored(sketches.distinct() if repeated else sketches, "sketches")
+    links = linked_pairs(sketches, slim, size, percent, k, repeated)
     if repeated:
         texts = rows.join(several.where("lo < hi").select("doc_id"), "doc_id").join(classes, ["fp1", "fp2", "n"])
         links = links.union(texts.select("rep", "doc_id").distinct())
