@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kilowatch.llm import licences
+from kilowatch.llm import licences, mixing
 from kilowatch.llm.common import table
 from kilowatch.session import scratch_path
 
@@ -63,6 +63,14 @@ def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), k=5, every=50, scale=256.0)
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents for 60 percent of all tokens at the target weights, two epochs at most."""
+    from pyspark.sql import functions as F
+
+    docs = table(spark, sf_dir, "documents")
+    return mixing.mix(docs, mixing.domain_of(F.col("source")), mixing.estimated_tokens(F.col("text")), mixing.WEIGHTS)
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Start, length and checksum of every document as read back from the token files."""
     from kilowatch.llm.tokenpack import read_documents, write_tokens
@@ -72,6 +80,14 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, path)
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from kilowatch.llm.htmltext import main_text, train
+
+    pages = table(spark, sf_dir, "pages")
+    return main_text(pages, train(pages))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every occurrence of a benchmark item in a document, within the edit budget."""
     from kilowatch.llm.decontam import benchmark_hits
@@ -92,12 +108,15 @@ QUERIES = {
     "op3_sharding": op3_sharding,
     "op4_url_filter": op4_url_filter,
     "op5_topk_search": op5_topk_search,
+    "op6_mixing": op6_mixing,
     "op7_token_files": op7_token_files,
     "op8_decontamination": op8_decontamination,
     "op9_license_scan": op9_license_scan,
+    "op10_main_text": op10_main_text,
 }
 
 ORACLES = {
+    "op6_mixing": mixing.oracle(),
     "op9_license_scan": licences.oracle(),
     "op5_topk_search": """
 WITH v AS (
