@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 
 from kilowatch.session import scratch_path, tune
 
-# Rows of an Arrow batch: texts are long, so the default of 10 000 would be hundreds of MB.
-BATCH_ROWS = 512
+# Rows of an Arrow batch; Spark's own limit in bytes holds for long texts.
+BATCH_ROWS = 2048
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -15,20 +15,27 @@ id ``i`` stands at bit ``i * width``. The width follows from the vocabulary, so
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kilowatch.llm.common import row_shares, worker_cache
 
 BLOCK_IDS = 1 << 16  # ids after which a block is closed
-CACHE_WORDS = 1_000_000  # words whose ids one Python worker remembers
+SLICE_BYTES = 8 << 20  # text that is encoded at once
+CACHE_WORDS = 800_000  # words, and as many pieces of words, whose ids one Python worker remembers
 BLOCKS = "start long, n_ids long, width int, payload binary, doc_ids array<long>, doc_starts array<long>"
+ARROW_BLOCKS = pa.schema([
+    ("start", pa.int64()), ("n_ids", pa.int64()), ("width", pa.int32()), ("payload", pa.binary()),
+    ("doc_ids", pa.list_(pa.int64())), ("doc_starts", pa.list_(pa.int64())),
+])
 
 
 def bits_for(vocabulary: int) -> int:
@@ -65,12 +72,70 @@ def _unpack_fast(payload: bytes, width: int, start: int, n: int) -> np.ndarray:
     return unpack(payload, width, start, n)
 
 
+def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Positions starts[i] … starts[i] + lengths[i] - 1 of all i, one after the other."""
+    ends = np.cumsum(lengths)
+    return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+
+
+class _Table:
+    """Strings with the ids of each, in one pool. Number 0 has no ids."""
+
+    def __init__(self):
+        self.numbers: dict[str, int] = {}
+        self.starts, self.lengths = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def put(self, ids: np.ndarray, lengths: np.ndarray) -> int:
+        """Number of the first of several new entries."""
+        first, end = len(self.lengths), self.used + len(ids)
+        if end > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros(end, np.uint32)])
+        self.pool[self.used : end] = ids
+        self.starts = np.concatenate([self.starts, self.used + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.used = end
+        return first
+
+    def add(self, keys: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        first = self.put(ids, lengths)
+        self.numbers.update(zip(keys, range(first, first + len(keys))))
+
+    def ids(self, numbers: np.ndarray) -> np.ndarray:
+        return self.pool[ragged(self.starts[numbers], self.lengths[numbers])]
+
+    def drop(self, first: int) -> None:
+        """Forget the entries from ``first`` on, which have no keys."""
+        if first < len(self.starts):
+            self.used = int(self.starts[first])
+        self.starts, self.lengths = self.starts[:first], self.lengths[:first]
+
+
+def pieces_of(word: str) -> list[str]:
+    """Strings that may be encoded apart, together the word with a space before it.
+
+    The tokenizer's pattern always starts a new piece at a lone line end, and at punctuation (no
+    apostrophe) after a letter.
+    """
+    out = []
+    for i, line in enumerate(word.split("\n") if "\n" in word else (word,)):
+        if not line or line[0].isspace() or line[-1].isspace():
+            return [" " + word]
+        line = ("\n" if i else " ") + line
+        base = line.rstrip(".,;:!?%*#&$")
+        if base is line or len(base) == len(line) or not base[-1].isalpha():
+            out.append(line)
+        else:
+            out += [base, line[len(base) :]]
+    return out
+
+
 class Encoder:
     """Whole texts to ids, with the ids of words kept by the Python worker.
 
     The tokenizer's pattern always starts a new piece at a single space between two other
-    characters, so a text falls into words (each with its leading space) that are encoded apart.
-    A text with any other kind of space around a split, or with a special token's opening, is
+    characters, so a text falls into words, each with its leading space, that are encoded apart and
+    once. A text with other white space at such a place, or with the opening of a special token, is
     encoded as one.
     """
 
@@ -79,75 +144,99 @@ class Encoder:
         if "tokenizer" not in self.cache:
             from tokenizers import Tokenizer
 
-            self.cache["tokenizer"], self.cache["words"] = Tokenizer.from_file(path), {}
-        self.tokenizer, self.words = self.cache["tokenizer"], self.cache["words"]
-
-    def _raw(self, texts: list[str]) -> list[bytes]:
-        return [
-            np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        ]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        known = self.words
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        split, whole = [], []
-        for i, text in enumerate(texts):
-            if "<|" in text or "  " in text or not text or _ODD_SPACE.search(text):
-                whole.append(i)
-                split.append(None)
-            else:
-                first, *rest = text.split(" ")
-                split.append((first, rest))
-        new = set()
-        for words in split:
-            if words:
-                new.update(words[1])
-        new = [w for w in new if w not in known]
-        for w, ids in zip(new, self._raw([" " + w for w in new])):
-            known[w] = ids
-        heads = [words[0] for words in split if words]
-        first_ids = iter(self._raw(heads))
-        out: list = [
-            np.frombuffer(next(first_ids) + b"".join(map(known.__getitem__, words[1])), "<u4") if words else None
-            for words in split
-        ]
-        for i, ids in zip(whole, self._raw([texts[i] for i in whole])):
-            out[i] = np.frombuffer(ids, "<u4")
-        return out
-
-
-# A space at either end of the text, or next to another white space character.
-_ODD_SPACE = re.compile(r"\A\s|\s\Z|\s \S|\S \s| \s")
-
-
-def _blocks(batches: Iterator[pd.DataFrame], path: str, end_id: int | None, width: int) -> Iterator[pd.DataFrame]:
+            self.cache.update(tokenizer=Tokenizer.from_file(path), words=_Table(), pieces=_Table())
+
+    def _raw(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for e in self.cache["tokenizer"].encode_batch_fast(texts, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum())), lengths
+
+    def _learn(self, new: list[str]) -> None:
+        words, pieces = self.cache["words"], self.cache["pieces"]
+        odd = {w for w in new if not w or w[0].isspace() or w[-1].isspace() or "<|" in w}
+        words.numbers.update(dict.fromkeys(odd, 0))
+        new = [w for w in new if w not in odd]
+        split = [pieces_of(w) for w in new]
+        flat = list(chain.from_iterable(split))
+        fresh = list(set(flat).difference(pieces.numbers))
+        pieces.add(fresh, *self._raw(fresh))
+        if not new:
+            return
+        numbers = np.fromiter(map(pieces.numbers.__getitem__, flat), np.int64, len(flat))
+        counts = np.fromiter(map(len, split), np.int64, len(split))
+        words.add(new, pieces.ids(numbers), np.add.reduceat(pieces.lengths[numbers], np.cumsum(counts) - counts))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and their number for each text."""
+        if not len(texts):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        for name in ("words", "pieces"):
+            if len(self.cache[name].numbers) > CACHE_WORDS:
+                self.cache[name] = _Table()
+        table = self.cache["words"]
+        split = pc.split_pattern(texts, " ")
+        bounds = np.asarray(split.offsets, np.int64)
+        found = split.flatten().dictionary_encode()
+        unique, at = found.dictionary.to_numpy(zero_copy_only=False).tolist(), np.asarray(found.indices)
+        self._learn([w for w in unique if w not in table.numbers])
+        words = np.fromiter(map(table.numbers.__getitem__, unique), np.int64, len(unique))[at]
+        # The first word of a text has no space before it; a text with an odd word is encoded whole.
+        firsts = bounds[:-1]
+        heads = [unique[at[i]] for i in firsts]
+        words[firsts] = np.where([not h or h[0].isspace() or h[-1].isspace() or "<|" in h for h in heads], 0, -1)
+        for i in np.flatnonzero(np.logical_or.reduceat(words == 0, firsts)):
+            words[bounds[i] : bounds[i + 1]] = 0
+            heads[i] = texts[int(i)].as_py()
+        known = len(table.lengths)
+        words[firsts] = table.put(*self._raw(heads)) + np.arange(len(heads))
+        out, sizes = table.ids(words), np.add.reduceat(table.lengths[words], firsts)
+        table.drop(known)
+        return out, sizes
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in runs of about SLICE_BYTES of text."""
+    for batch in batches:
+        ends = np.cumsum(np.asarray(pc.binary_length(batch.column("text")), np.int64))
+        lo = 0
+        while lo < batch.num_rows:
+            hi = int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + SLICE_BYTES, "right"))
+            yield batch.slice(lo, max(hi, lo + 1) - lo)
+            lo = max(hi, lo + 1)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], path: str, end_id: int | None, width: int) -> Iterator[pa.RecordBatch]:
     encoder, start = Encoder(path), 0
-    ids: list[np.ndarray] = []
-    docs: list = []
+    ids, sizes, docs = np.zeros(0, np.uint32), np.zeros(0, np.int64), []
 
-    def close() -> pd.DataFrame:
-        nonlocal start, ids, docs
-        lengths = [len(x) for x in ids]
+    def block(ids: np.ndarray, sizes: np.ndarray, docs: list) -> pa.RecordBatch:
+        nonlocal start
         row = {
-            "start": start, "n_ids": sum(lengths), "width": width, "payload": _pack_fast(np.concatenate(ids), width),
-            "doc_ids": docs, "doc_starts": np.concatenate([[0], np.cumsum(lengths[:-1])]).astype(np.int64),
+            "start": start, "n_ids": len(ids), "width": width, "payload": _pack_fast(ids, width),
+            "doc_ids": docs, "doc_starts": (np.cumsum(sizes) - sizes).tolist(),
         }
-        start, ids, docs = start + sum(lengths), [], []
-        return pd.DataFrame([row])
-
-    tail = np.array([] if end_id is None else [end_id], "<u4")
-    for batch in batches:
-        held = sum(len(x) for x in ids)
-        for doc_id, encoded in zip(batch["doc_id"], encoder.encode(batch["text"].tolist())):
-            ids.append(np.concatenate([encoded, tail]))
-            docs.append(None if pd.isna(doc_id) else int(doc_id))
-            held += len(ids[-1])
-            if held >= BLOCK_IDS:
-                yield close()
-                held = 0
-    if ids:
-        yield close()
+        start += len(ids)
+        return pa.RecordBatch.from_pylist([row], schema=ARROW_BLOCKS)
+
+    for batch in _slices(batches):
+        more, n = encoder.encode(batch.column("text"))
+        if end_id is not None:
+            ended = np.full(len(more) + len(n), end_id, np.uint32)
+            ended[np.arange(len(more)) + np.repeat(np.arange(len(n)), n)] = more
+            more, n = ended, n + 1
+        ids, sizes = np.concatenate([ids, more]), np.concatenate([sizes, n])
+        docs += batch.column("doc_id").to_pylist()
+        ends, lo = np.cumsum(sizes), 0
+        while lo < len(sizes):
+            before = int(ends[lo - 1]) if lo else 0
+            hi = int(np.searchsorted(ends, before + BLOCK_IDS, "left")) + 1  # the document that fills it
+            if hi > len(sizes):
+                break
+            yield block(ids[before : ends[hi - 1]], sizes[lo:hi], docs[lo:hi])
+            lo = hi
+        ids, sizes, docs = ids[int(ends[lo - 1]) if lo else 0 :], sizes[lo:], docs[lo:]
+    if len(sizes):
+        yield block(ids, sizes, docs)
 
 
 def vocabulary_size(tokenizer: str) -> int:
@@ -172,7 +261,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
         .repartitionByRange("doc_id", "hash", "tie").sortWithinPartitions("doc_id", "hash", "tie")
         .select("doc_id", "text")
     )
-    blocks = ordered.mapInPandas(lambda it: _blocks(it, tokenizer, end_id, width), BLOCKS)
+    blocks = ordered.mapInArrow(lambda it: _blocks(it, tokenizer, end_id, width), BLOCKS)
     blocks.select(F.spark_partition_id().alias("part"), "*").write.mode("overwrite").parquet(path)
 
 
