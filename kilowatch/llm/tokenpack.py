@@ -30,7 +30,7 @@ from kilowatch.llm.common import row_shares, worker_cache
 
 BLOCK_IDS = 1 << 16  # ids after which a block is closed
 SLICE_BYTES = 8 << 20  # text that is encoded at once
-CACHE_WORDS = 800_000  # words, and as many pieces of words, whose ids one Python worker remembers
+CACHE_WORDS = 1_000_000  # words whose ids one Python worker remembers
 BLOCKS = "start long, n_ids long, width int, payload binary, doc_ids array<long>, doc_starts array<long>"
 ARROW_BLOCKS = pa.schema([
     ("start", pa.int64()), ("n_ids", pa.int64()), ("width", pa.int32()), ("payload", pa.binary()),
@@ -78,11 +78,10 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
 
 
-class _Table:
-    """Strings with the ids of each, in one pool. Number 0 has no ids."""
+class _Ids:
+    """The ids of many strings in one pool, by number. Number 0 has no ids."""
 
     def __init__(self):
-        self.numbers: dict[str, int] = {}
         self.starts, self.lengths = np.zeros(1, np.int64), np.zeros(1, np.int64)
         self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
 
@@ -97,36 +96,31 @@ class _Table:
         self.used = end
         return first
 
-    def add(self, keys: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
-        first = self.put(ids, lengths)
-        self.numbers.update(zip(keys, range(first, first + len(keys))))
-
-    def ids(self, numbers: np.ndarray) -> np.ndarray:
+    def get(self, numbers: np.ndarray) -> np.ndarray:
         return self.pool[ragged(self.starts[numbers], self.lengths[numbers])]
 
     def drop(self, first: int) -> None:
-        """Forget the entries from ``first`` on, which have no keys."""
+        """Forget the entries from ``first`` on."""
         if first < len(self.starts):
             self.used = int(self.starts[first])
         self.starts, self.lengths = self.starts[:first], self.lengths[:first]
 
 
-def pieces_of(word: str) -> list[str]:
-    """Strings that may be encoded apart, together the word with a space before it.
+def parts_of(word: str) -> list[tuple[str, bool]]:
+    """Strings that may be encoded apart, which make up the word with a space before it.
 
     The tokenizer's pattern always starts a new piece at a lone line end, and at punctuation (no
-    apostrophe) after a letter.
+    apostrophe) after a letter. True stands with a string that needs a space before it.
     """
     out = []
-    for i, line in enumerate(word.split("\n") if "\n" in word else (word,)):
+    for i, line in enumerate(word.split("\n")):
         if not line or line[0].isspace() or line[-1].isspace():
-            return [" " + word]
-        line = ("\n" if i else " ") + line
+            return [(word, True)]
         base = line.rstrip(".,;:!?%*#&$")
-        if base is line or len(base) == len(line) or not base[-1].isalpha():
-            out.append(line)
-        else:
-            out += [base, line[len(base) :]]
+        apart = len(base) < len(line) and base[-1:].isalpha()
+        out.append(("\n" + (base if apart else line), False) if i else (base if apart else line, True))
+        if apart:
+            out.append((line[len(base) :], False))
     return out
 
 
@@ -144,42 +138,78 @@ class Encoder:
         if "tokenizer" not in self.cache:
             from tokenizers import Tokenizer
 
-            self.cache.update(tokenizer=Tokenizer.from_file(path), words=_Table(), pieces=_Table())
+            self.cache["tokenizer"] = tokenizer = Tokenizer.from_file(path)
+            self.cache["line_end"] = tokenizer.encode("\n", add_special_tokens=False).ids
+            self._forget()
+
+    def _forget(self) -> None:
+        # Numbers of words (with a space before them) and of other strings.
+        self.cache.update(words={}, others={}, ids=_Ids())
 
     def _raw(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [e.ids for e in self.cache["tokenizer"].encode_batch_fast(texts, add_special_tokens=False)]
+        """Ids of strings and their number for each, a few thousand strings at a time."""
+        ids: list[list[int]] = []
+        for lo in range(0, len(texts), 8192):
+            some = self.cache["tokenizer"].encode_batch_fast(texts[lo : lo + 8192], add_special_tokens=False)
+            ids += [e.ids for e in some]
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         return np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum())), lengths
 
+    def _lines(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for strings of printable characters, with a line end between them for speed."""
+        if len(self.cache["line_end"]) != 1:
+            return self._raw(texts)
+        ids, _ = self._raw(["\n".join(texts[lo : lo + 50]) + "\n" for lo in range(0, len(texts), 50)])
+        ends = np.flatnonzero(ids == self.cache["line_end"][0])
+        return np.delete(ids, ends), np.diff(ends, prepend=-1) - 1
+
     def _learn(self, new: list[str]) -> None:
-        words, pieces = self.cache["words"], self.cache["pieces"]
-        odd = {w for w in new if not w or w[0].isspace() or w[-1].isspace() or "<|" in w}
-        words.numbers.update(dict.fromkeys(odd, 0))
-        new = [w for w in new if w not in odd]
-        split = [pieces_of(w) for w in new]
-        flat = list(chain.from_iterable(split))
-        fresh = list(set(flat).difference(pieces.numbers))
-        pieces.add(fresh, *self._raw(fresh))
-        if not new:
-            return
-        numbers = np.fromiter(map(pieces.numbers.__getitem__, flat), np.int64, len(flat))
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        words.add(new, pieces.ids(numbers), np.add.reduceat(pieces.lengths[numbers], np.cumsum(counts) - counts))
+        words, others, store = self.cache["words"], self.cache["others"], self.cache["ids"]
+        fresh, rest = dict.fromkeys(w for w in new if w.isalpha()), [w for w in new if not w.isalpha()]
+        odd = {w for w in rest if not w or w[0].isspace() or w[-1].isspace() or "<|" in w}
+        words.update(dict.fromkeys(odd, 0))
+        split: dict[str, list[tuple[str, bool]]] = {}
+        more: dict[str, None] = {}
+        for w in rest:
+            if w not in odd:
+                parts = parts_of(w)
+                if len(parts) == 1:
+                    fresh[w] = None
+                    continue
+                split[w] = parts
+                for part, spaced in parts:
+                    if spaced and part not in words:
+                        fresh[part] = None
+                    elif not spaced and part not in others:
+                        more[part] = None
+        clear = [w for w in fresh if w.isprintable()]
+        for keys, (ids, lengths) in (
+            (clear, self._lines([" " + w for w in clear])),
+            (unclear := [w for w in fresh if not w.isprintable()], self._raw([" " + w for w in unclear])),
+        ):
+            first = store.put(ids, lengths)
+            words.update(zip(keys, range(first, first + len(keys))))
+        first = store.put(*self._raw(list(more)))
+        others.update(zip(more, range(first, first + len(more))))
+        if split:
+            numbers = np.array([(words if spaced else others)[part] for parts in split.values() for part, spaced in parts], np.int64)
+            counts = np.fromiter(map(len, split.values()), np.int64, len(split))
+            first = store.put(store.get(numbers), np.add.reduceat(store.lengths[numbers], np.cumsum(counts) - counts))
+            words.update(zip(split, range(first, first + len(split))))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and their number for each text."""
         if not len(texts):
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        for name in ("words", "pieces"):
-            if len(self.cache[name].numbers) > CACHE_WORDS:
-                self.cache[name] = _Table()
-        table = self.cache["words"]
+        if len(self.cache["words"]) + len(self.cache["others"]) > CACHE_WORDS:
+            self._forget()
+        known, store = self.cache["words"], self.cache["ids"]
         split = pc.split_pattern(texts, " ")
         bounds = np.asarray(split.offsets, np.int64)
         found = split.flatten().dictionary_encode()
         unique, at = found.dictionary.to_numpy(zero_copy_only=False).tolist(), np.asarray(found.indices)
-        self._learn([w for w in unique if w not in table.numbers])
-        words = np.fromiter(map(table.numbers.__getitem__, unique), np.int64, len(unique))[at]
+        self._learn([w for w in unique if w not in known])
+        words = np.fromiter(map(known.__getitem__, unique), np.int64, len(unique))[at]
         # The first word of a text has no space before it; a text with an odd word is encoded whole.
         firsts = bounds[:-1]
         heads = [unique[at[i]] for i in firsts]
@@ -187,10 +217,10 @@ class Encoder:
         for i in np.flatnonzero(np.logical_or.reduceat(words == 0, firsts)):
             words[bounds[i] : bounds[i + 1]] = 0
             heads[i] = texts[int(i)].as_py()
-        known = len(table.lengths)
-        words[firsts] = table.put(*self._raw(heads)) + np.arange(len(heads))
-        out, sizes = table.ids(words), np.add.reduceat(table.lengths[words], firsts)
-        table.drop(known)
+        last = len(store.lengths)
+        words[firsts] = store.put(*self._raw(heads)) + np.arange(len(heads))
+        out, sizes = store.get(words), np.add.reduceat(store.lengths[words], firsts)
+        store.drop(last)
         return out, sizes
 
 
