@@ -8,7 +8,7 @@ Every shingle gets one 64-bit hash value; the k smallest values of a document ar
    is arithmetic, for larger ones it holds at five standard deviations (``least_shared``). So they
    also share one of the ``shared - need + 1`` rarest of the values that a document shares with any
    other; only these enter the lists. A document that shares fewer than ``need`` values is out.
-3. Stars. In each list all documents meet the smallest one, its hub: union-sketch estimation on sketches filters
+3. Stars. In each list all documents meet one, its hub: union-sketch estimation on sketches filters
    and the Jaccard similarity of the full sets decides. A hub's group is split into blocks.
 4. The rest. Two documents of a list that are both linked to its hub are connected already. Each
    document that is not (a stray) meets the whole group of the hub, in blocks, by the same steps. No
@@ -181,7 +181,7 @@ def _screen(batches: Iterator[pd.DataFrame], k: int, percent: int) -> Iterator[p
         if first:
             out += close() if current else []
             current, near = (g, block), np.zeros(len(block.docs), bool)
-        good = block.estimates(members) >= least
+        good = (block.estimates(members) >= least) & (block.docs != doc)
         near |= good
         if good.any():
             out.append((g, doc, 1))
@@ -250,12 +250,14 @@ def linked_pairs(sketches: DataFrame, docs: DataFrame, size: int, percent: int,
         entries.join(often, "value").groupBy("rep", "n")
         .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("found"))  # k values at most
         .withColumn("take", (F.size("found") - need + 1).cast("int")).where("take > 0")
-        .select("rep", F.explode(F.slice("found", F.lit(1), F.col("take"))["value"]).alias("value"))
+        .select("rep", (-F.size("found")).alias("lack"), F.explode(F.slice("found", F.lit(1), F.col("take"))["value"]).alias("value"))
     )
     rarest = stored(rarest, "inverted-lists")
-    hubs = rarest.groupBy("value").agg(F.min("rep").alias("g"), F.max("rep").alias("last")).where("g < last")
+    # The hub shares most values with others: an unedited document rather than one at the rim.
+    hubs = rarest.groupBy("value").agg(F.min(F.struct("lack", "rep")).alias("hub"), F.count(F.lit(1)).alias("n"))
+    hubs = hubs.where("n > 1").select("value", F.col("hub.rep").alias("g"))
     group = stored(
-        rarest.join(hubs, "value").where("rep > g").select("g", F.col("rep").alias("doc")).distinct(), "hub-groups"
+        rarest.join(hubs, "value").where("rep <> g").select("g", F.col("rep").alias("doc")).distinct(), "hub-groups"
     )
     values = sketches.select(F.col("rep").alias("doc"), F.col("sketch").alias("members"))
     hub = group.select("g", F.col("g").alias("doc")).distinct()
