@@ -1,15 +1,73 @@
-"""Corpus pipeline: stages from raw documents to token files."""
+"""Corpus pipeline: from raw documents to token files, in five stages.
+
+Each stage takes (spark, docs, sf_dir), works on all rows of ``docs`` and returns a DataFrame; all but
+the last return the columns of ``docs``. Ids are expected to be unique from the second stage on, which
+leaves one row of each group of near-duplicates, repeated rows included.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kilowatch.llm import mixing
+from kilowatch.llm.common import prepare, stored, table
+from kilowatch.llm.decontam import without_benchmark
+from kilowatch.llm.langid import accepted_rows, train
+from kilowatch.llm.neardup import without_near_duplicates
+from kilowatch.llm.queries import tokenizer_file, vocabulary_file
+from kilowatch.llm.tokenpack import read_documents, write_tokens
+from kilowatch.session import scratch_path
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Leave out texts without a letter and texts that look like none of the learned languages."""
+    prepare(spark)
+    return accepted_rows(docs, train(docs, vocabulary_file()))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group: shingles of five words, similarity of 0.8 or more."""
+    prepare(spark)
+    return without_near_duplicates(docs, size=5, percent=80)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Leave out documents that hold a benchmark item within the edit budget."""
+    return without_benchmark(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """60 percent of the tokens at the target weights; no document twice."""
+    prepare(spark)
+    return mixing.mixed_rows(
+        docs, mixing.domain_of(F.col("source")), mixing.estimated_tokens(F.col("text")), mixing.WEIGHTS, percent=60
+    )
+
+
+def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Write the token files; return doc_id, start, n_tokens and ids_crc32 as read back from them."""
+    prepare(spark)
+    path = scratch_path(spark, "pipeline-tokens")
+    write_tokens(docs, path, tokenizer_file(), end_id=2)
+    return read_documents(spark, path)
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("mix_sources", mix_sources),
+    ("token_files", token_files),
+]
 
-STAGES: list = []
+# Language scores, edit distances and token ids are beyond SQL; the tests compare with plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages over the documents, each stored before the next reads it."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
