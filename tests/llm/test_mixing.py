@@ -10,7 +10,9 @@ from kilowatch.llm.common import table
 from tests.conftest import SF_DIR
 from tests.llm.fixtures import frame, with_clashes
 
-DOMAIN, TOKENS = mixing.domain_of(F.col("source")), mixing.estimated_tokens(F.col("text"))
+
+def columns():
+    return mixing.domain_of(F.col("source")), mixing.estimated_tokens(F.col("text"))
 
 
 def poured(budget, children):
@@ -66,7 +68,7 @@ def brute(rows, percent, epochs, seed=11):
 def test_against_brute_force(spark, percent, epochs, monkeypatch):
     monkeypatch.setattr(mixing, "BUCKET_ROWS", 7)  # many hash ranges
     docs = table(spark, SF_DIR, "documents")
-    got = mixing.mix(docs, DOMAIN, TOKENS, mixing.WEIGHTS, percent=percent, epochs=epochs)
+    got = mixing.mix(docs, *columns(), mixing.WEIGHTS, percent=percent, epochs=epochs)
     rows = [(r["doc_id"], r["text"], r["lang"], r["source"]) for r in docs.collect()]
     assert sorted(map(tuple, got.collect()), key=repr) == brute(rows, percent, epochs)
 
@@ -77,7 +79,7 @@ def test_random_trees(spark):
     rows += [(None, "y" * 9, None, None), (7, None, "en", "src0"), (8, "z", "en", "src0"), (8, "z", "en", "src0")]
     df = with_clashes(frame(spark, [(*r, None) for r in rows]), "domain", "budget", "cap", "epoch", "bucket", "order", "weight")
     for percent in (20, 60, 150):
-        got = mixing.mix(df, DOMAIN, TOKENS, mixing.WEIGHTS, percent=percent)
+        got = mixing.mix(df, *columns(), mixing.WEIGHTS, percent=percent)
         assert sorted(map(tuple, got.collect()), key=repr) == brute(rows, percent, 2)
 
 
@@ -85,15 +87,15 @@ def test_shortage_goes_to_siblings_before_ancestors(spark):
     rows = [(i, "x" * 400, "en", "src0") for i in range(10)] + [(100 + i, "x" * 400, "en", "src1") for i in range(100)]
     rows += [(300 + i, "x" * 400, "en", "src7") for i in range(200)]
     df = frame(spark, [(*r, None) for r in rows])
-    got = mixing.mix(df, DOMAIN, TOKENS, {("web",): 1, ("reference",): 1}, budget=12_000, epochs=1)
+    got = mixing.mix(df, *columns(), {("web",): 1, ("reference",): 1}, budget=12_000, epochs=1)
     used = {r["source"]: r["n"] for r in got.groupBy("source").agg(F.sum("n_tokens").alias("n")).collect()}
     assert used == {"src0": 1000, "src1": 5000, "src7": 6000}
 
 
 def test_empty_and_rows(spark):
     empty = frame(spark, [])
-    assert mixing.mix(empty, DOMAIN, TOKENS, mixing.WEIGHTS).collect() == []
+    assert mixing.mix(empty, *columns(), mixing.WEIGHTS).collect() == []
     docs = table(spark, SF_DIR, "documents")
-    left = mixing.mixed_rows(docs, DOMAIN, TOKENS, mixing.WEIGHTS, percent=50)
+    left = mixing.mixed_rows(docs, *columns(), mixing.WEIGHTS, percent=50)
     assert left.columns == docs.columns and 0 < left.count() < docs.count()
-    assert mixing.mixed_rows(empty, DOMAIN, TOKENS, mixing.WEIGHTS).collect() == []
+    assert mixing.mixed_rows(empty, *columns(), mixing.WEIGHTS).collect() == []
