@@ -137,10 +137,13 @@ def engineer_features(
 
 
 def recent_history(demand: DataFrame, hours: int = 200, zone: str | None = None) -> DataFrame:
-    """Rows of the last ``hours`` hours, both ends included, of all zones or one."""
+    """Rows of the last ``hours`` hours of each zone, both ends included, of all zones or one.
+
+    A zone that lags behind keeps its own last hours. A zone has one row per hour.
+    """
     rows = demand if zone is None else demand.where(F.col("zone") == zone)
-    start = rows.agg(F.max("ts") - F.make_dt_interval(hours=F.lit(hours))).scalar()
-    return rows.where(F.col("ts") >= start)
+    start = F.max("ts").over(W.partitionBy("zone")) - F.make_dt_interval(hours=F.lit(hours))
+    return rows.withColumn("_start", start).where(F.col("ts") >= F.col("_start")).drop("_start")
 
 
 def forecast_window(history: DataFrame, hours: int = 24) -> DataFrame:

@@ -11,16 +11,19 @@ one thing here that no window expression gives:
 * anything else: counter - 1, not below 0
 * warm-up and flatline readings leave it alone
 
+Every meter is cut into time slices (``slices.py``), and everything below is done per slice.
 Counting *every* spike and high reading as + 1 gives an upper bound that is a window expression
-again: a sum of steps minus its running minimum. Where the bound is 0 the counter is 0 too, so the
-stretches between such points are independent. And the bound equals the counter unless it passes
-``sustained`` at a high reading. Only the rest of such a stretch goes through the row-by-row
-counter; everything else never leaves the JVM.
+again: a sum of steps minus its running minimum. In a slice that the bound enters at 0, the counter
+is the bound, unless the bound passes ``sustained`` at a high reading. Only the other slices are
+counted row by row: each is folded, on its own, to the map from the counter at its entry to the one
+at its end; the maps of a meter's few slices give each slice its entry value; then its rows are
+counted from there. No task ever needs more than one slice of a meter.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from bisect import bisect_left
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -29,10 +32,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from kilowatch.functions.clock import epoch_us
-from kilowatch.operators.slices import (
-    MAX_ROWS, before, find_hot_keys, hot_rows, with_slice, within,
-)
-from kilowatch.session import cut_lineage
+from kilowatch.operators.slices import DAY_US, SLICE_DAYS, before, slice_of, with_slice, within
+from kilowatch.session import cut_lineage, stored
 
 # Scoring thresholds and label names.
 THRESHOLD = 3.0
@@ -61,33 +62,30 @@ def next_count(kind: int, count: int, sustained: int) -> int:
 # --- running mean and deviation -------------------------------------------------------------
 
 
-def _moments(sliced: DataFrame, carry: DataFrame | None, value: str, order: list[str]) -> DataFrame:
-    """n, rolling_mean, rolling_stddev over all readings of the meter so far."""
-    w = within("meter_id", *order)
-    x = F.col(value)
-    count, mean, dev = F.count(F.lit(1)).over(w), F.avg(x).over(w), F.stddev_pop(x).over(w)
-    if carry is None:
-        return sliced.withColumns({"n": count, "rolling_mean": mean, "rolling_stddev": dev})
-    inside = sliced.join(carry, ["meter_id", "_slice"], "left").withColumns(
-        {"_n1": count, "_mean1": mean, "_var1": F.var_pop(x).over(w)}
+def _moments(sliced: DataFrame, value: str, order: list[str]) -> DataFrame:
+    """n, rolling_mean, rolling_stddev over all readings of the meter so far; NULLs do not count."""
+    w, x = within("meter_id", *order), F.col(value)
+    inside = sliced.join(_moment_carry(sliced, value), ["meter_id", "_slice"], "left").withColumns(
+        {"_n1": F.count(x).over(w), "_mean1": F.avg(x).over(w), "_var1": F.var_pop(x).over(w)}
     )
     n0, n1 = F.col("_n0"), F.col("_n1")
     n = n1 + F.coalesce(n0, F.lit(0))
     gap = F.col("_mean1") - F.col("_mean0")
-    mean = F.when(n0.isNull(), F.col("_mean1")).otherwise(F.col("_mean0") + gap * n1 / n)
+    alone, none = F.coalesce(n0, F.lit(0)) == 0, n1 == 0
+    mean = F.when(alone, F.col("_mean1")).when(none, F.col("_mean0")).otherwise(F.col("_mean0") + gap * n1 / n)
     joint = (F.col("_m20") + F.col("_var1") * n1 + gap * gap * n0 * n1 / n) / n
-    var = F.when(n0.isNull(), F.col("_var1")).otherwise(joint)
+    var = F.when(alone, F.col("_var1")).when(none, F.col("_m20") / n0).otherwise(joint)
     return inside.withColumns(
         {"n": n, "rolling_mean": mean, "rolling_stddev": F.sqrt(F.greatest(var, F.lit(0.0)))}
     ).drop("_n0", "_mean0", "_m20", "_n1", "_mean1", "_var1")
 
 
-def _moment_carry(hot: DataFrame, value: str) -> DataFrame:
-    """Count, mean and squared deviations of all earlier slices, per slice of a large meter."""
+def _moment_carry(sliced: DataFrame, value: str) -> DataFrame:
+    """Count, mean and squared deviations of all earlier slices, per slice of a meter."""
     x = F.col(value)
-    parts = hot.groupBy("meter_id", "_slice").agg(
-        F.count(F.lit(1)).alias("_n"), F.avg(x).alias("_mu"),
-        (F.var_pop(x) * F.count(F.lit(1))).alias("_m2"),
+    parts = sliced.groupBy("meter_id", "_slice").agg(
+        F.count(x).alias("_n"), F.coalesce(F.avg(x), F.lit(0.0)).alias("_mu"),
+        F.coalesce(F.var_pop(x) * F.count(x), F.lit(0.0)).alias("_m2"),
     )
     # Deviations from the overall mean of the meter keep the sums of squares well conditioned.
     everything = W.partitionBy("meter_id")
@@ -100,7 +98,7 @@ def _moment_carry(hot: DataFrame, value: str) -> DataFrame:
         F.sum("_n").over(w).alias("_n0"),
         F.sum(n * d).over(w).alias("_s0"),
         F.sum(F.col("_m2") + n * d * d).over(w).alias("_q0"),
-    ).where(F.col("_n0").isNotNull())
+    ).where(F.col("_n0") > 0)
     return sums.select(
         "meter_id", "_slice", "_n0",
         (F.col("_g") + F.col("_s0") / F.col("_n0")).alias("_mean0"),
@@ -134,138 +132,135 @@ def _step() -> Column:
 # --- counter --------------------------------------------------------------------------------
 
 
-def _walk_carry(hot_z: DataFrame, order: list[str]) -> DataFrame:
-    """Rows, sum of steps and its running minimum over all earlier slices of a large meter."""
+def _walk_carry(z: DataFrame, order: list[str]) -> DataFrame:
+    """Sum of steps and its running minimum over all earlier slices, and the slice before."""
     parts = (
-        hot_z.select("meter_id", "_slice", *order, _step().alias("_d"))
+        z.select("meter_id", "_slice", *order, _step().alias("_d"))
         .withColumn("_x", F.sum("_d").over(within("meter_id", *order)))
         .groupBy("meter_id", "_slice")
-        .agg(F.count(F.lit(1)).alias("_rows"), F.sum("_d").alias("_d"), F.min("_x").alias("_lo"))
+        .agg(F.sum("_d").alias("_d"), F.min("_x").alias("_lo"))
     )
     w = before("meter_id")
-    parts = parts.withColumns(
-        {
-            "_i0": F.coalesce(F.sum("_rows").over(w), F.lit(0)),
-            "_x0": F.coalesce(F.sum("_d").over(w), F.lit(0)),
-        }
-    )
+    parts = parts.withColumn("_x0", F.coalesce(F.sum("_d").over(w), F.lit(0)))
     parts = parts.withColumn("_level", F.col("_x0") + F.col("_lo"))
-    floor_in = F.least(F.lit(0), F.coalesce(F.min("_level").over(w), F.lit(0)))
     return parts.select(
-        "meter_id", "_slice", "_i0", "_x0", floor_in.alias("_floor_in"),
-        F.least(floor_in, F.col("_level")).alias("_floor_out"),
+        "meter_id", "_slice", "_x0",
+        F.least(F.lit(0), F.coalesce(F.min("_level").over(w), F.lit(0))).alias("_floor0"),
+        F.max("_slice").over(w).alias("_previous"),
     )
 
 
-def _with_bound(
-    z: DataFrame, carry: DataFrame | None, order: list[str], sustained: int
-) -> DataFrame:
-    """Position of a reading in its meter, upper bound of the counter, and whether it is exact."""
+def _with_bound(z: DataFrame, order: list[str], sustained: int) -> DataFrame:
+    """Upper bound of the counter at a reading (``_bound``) and at the entry of its slice (``_in``),
+    and whether the slice is to be counted row by row (``_hard``)."""
     w = within("meter_id", *order)
-    position, walked = F.count(F.lit(1)).over(w), F.sum(_step()).over(w)
-    lowest = F.least(F.lit(0), F.min("_x").over(w))
-    if carry is None:
-        walk = z.withColumns({"_i": position, "_x": walked}).withColumn("_floor", lowest)
-    else:
-        walk = z.join(carry, ["meter_id", "_slice"], "left")
-        walk = walk.withColumns(
-            {
-                "_i": position + F.coalesce("_i0", F.lit(0)),
-                "_x": walked + F.coalesce("_x0", F.lit(0)),
-            }
-        ).withColumn("_floor", F.least(lowest, F.coalesce("_floor_in", F.lit(0))))
-    walk = walk.withColumn("_bound", F.col("_x") - F.col("_floor"))
-    # Position of the last reading where the bound may part from the counter, and of the last one
-    # where the bound, and so the counter, is 0.
-    parted = F.when((F.col("_kind") == K_HIGH) & (F.col("_bound") > sustained), F.col("_i"))
-    reset = F.when(F.col("_bound") == 0, F.col("_i"))
-    walk = walk.withColumns({"_parted": F.max(parted).over(w), "_reset": F.max(reset).over(w)})
-    inexact = F.coalesce("_parted", F.lit(0)) > F.coalesce("_reset", F.lit(0))
-    if carry is not None:
-        # A stretch that crosses a slice border cannot see the other slice: count it out in full.
-        crossing = (F.col("_slice") >= 0) & (
-            (F.col("_floor") == F.col("_floor_in")) | (F.col("_floor") == F.col("_floor_out"))
-        )
-        inexact = inexact | F.coalesce(crossing, F.lit(False))
-    return walk.withColumn("_inexact", inexact).drop(
-        "_x", "_x0", "_i0", "_floor_in", "_floor_out", "_parted", "_reset"
+    walk = z.join(_walk_carry(z, order), ["meter_id", "_slice"]).withColumn(
+        "_x", F.sum(_step()).over(w) + F.col("_x0")
     )
+    floor = F.least(F.min("_x").over(w), F.col("_floor0"))
+    walk = walk.withColumns({"_bound": F.col("_x") - floor, "_in": F.col("_x0") - F.col("_floor0")})
+    parted = (F.col("_kind") == K_HIGH) & (F.col("_bound") > sustained)
+    hard = (F.col("_in") > 0) | F.max(parted).over(W.partitionBy("meter_id", "_slice"))
+    return walk.withColumn("_hard", hard).drop("_x", "_x0", "_floor0")
 
 
-def _count_along(codes: Iterator[pd.Series], sustained: int) -> Iterator[pd.Series]:
-    """Counter before each coded reading (bound * 4 + kind); NULL for readings without a code.
+class SliceMap:
+    """The counter after some readings as a function of the counter before them.
 
-    Codes come in the order of the readings. A run of coded readings starts where the bound is
-    still exact; the counter then follows the run, across batches, with one integer of memory.
+    The three steps never raise the difference of two counters, so the map is ``low`` at entry 0 and
+    grows by one at each of ``rises``: entries c for which c and c + 1 still differ. Entries up to
+    ``most`` are told apart.
     """
-    count = None
-    for batch in codes:
-        coded = batch.notna().to_numpy()
-        out = batch.to_numpy(dtype="float64", na_value=float("nan"), copy=True)
-        if coded.any():
-            for i, has_code in enumerate(coded):
-                if not has_code:
-                    count = None
-                    continue
-                bound, kind = divmod(int(out[i]), 4)
-                if count is None:
-                    count = bound - 1 if kind in (K_SPIKE, K_HIGH) else bound
-                out[i] = count
-                count = next_count(kind, count, sustained)
-        else:
-            count = None
-        yield pd.Series(out).astype("Int64")
-
-
-def _counter(sustained: int) -> Callable[[Column], Column]:
-    def run(codes: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        yield from _count_along(codes, sustained)
-
-    run.__annotations__ = {"codes": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    # Not deterministic: no filter may move below it and tear a run apart.
-    return F.pandas_udf(run, "bigint").asNondeterministic()
 
+    def __init__(self, most: int, sustained: int):
+        self.low, self.rises, self.sustained = 0, list(range(most)), sustained
+
+    def step(self, kind: int) -> None:
+        if kind == K_SPIKE:
+            self.low += 1
+        elif kind == K_HIGH and self.low < self.sustained:
+            # Counters of sustained - 1 and of sustained become one.
+            meet = self.sustained - 1 - self.low
+            if meet < len(self.rises):
+                del self.rises[meet]
+            self.low += 1
+        elif kind == K_LOW:
+            if self.low:
+                self.low -= 1
+            elif self.rises:
+                del self.rises[0]
+
+    def at(self, entry: int) -> int:
+        return self.low + bisect_left(self.rises, entry)
+
+
+def _slice_maps(batches: Iterator[pd.DataFrame], sustained: int) -> Iterator[pd.DataFrame]:
+    """One row per slice; rows come in the order of the readings, slice after slice."""
+    key, fold = None, None
+    columns = ["meter_id", "_slice", "_previous", "_in", "_low", "_rises"]
+    for batch in batches:
+        out = []
+        rows = zip(batch["meter_id"], batch["_slice"], batch["_previous"], batch["_in"], batch["_kind"])
+        for meter, part, previous, entry, kind in rows:
+            if (meter, part) != (key[:2] if key else None):
+                if key:
+                    out.append((*key, fold.low, fold.rises))
+                key, fold = (meter, part, None if pd.isna(previous) else int(previous), int(entry)), SliceMap(int(entry), sustained)
+            fold.step(kind)
+        if out:
+            yield pd.DataFrame(out, columns=columns).astype({"_previous": "Int64"})
+    if key:
+        yield pd.DataFrame([(*key, fold.low, fold.rises)], columns=columns).astype({"_previous": "Int64"})
+
+
+def _slice_entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The counter at the entry of each slice; rows come by meter and slice.
+
+    After a slice that was not counted row by row the bound is the counter.
+    """
+    last, end = None, 0
+    for batch in batches:
+        entries = []
+        for row in batch.itertuples(index=False):
+            meter, part, previous, bound, low, rises = row
+            entry = end if last == (meter, previous) else int(bound)
+            last, end = (meter, part), int(low) + bisect_left(list(rises), entry)
+            entries.append(entry)
+        yield batch[["meter_id", "_slice"]].assign(_entry=entries)
+
+
+def _count_along(batches: Iterator[pd.DataFrame], sustained: int) -> Iterator[pd.DataFrame]:
+    """``_before``: the counter before each reading, from the entry value of its slice."""
+    key, count = None, 0
+    for batch in batches:
+        befores = []
+        for meter, part, entry, kind in zip(batch["meter_id"], batch["_slice"], batch["_entry"], batch["_kind"]):
+            if (meter, part) != key:
+                key, count = (meter, part), int(entry)
+            befores.append(count)
+            count = next_count(kind, count, sustained)
+        yield batch.drop(columns="_entry").assign(_before=befores)
 
-def _with_count(bound: DataFrame, order: list[str], sustained: int) -> DataFrame:
-    """``_before``: the counter before each reading.
 
-    The windows leave each task sorted by meter and time, so inexact runs are counted where they
-    are. Only one number per row goes to Python, and it is NULL for nearly all of them.
-    """
-    code = F.when(F.col("_inexact"), F.col("_bound") * 4 + F.col("_kind"))
-    ordered = bound.sortWithinPartitions("meter_id", "_slice", *order)
-    exact = F.greatest(F.col("_bound") - 1, F.lit(0))
-    counted = ordered.withColumn("_counted", _counter(sustained)(code))
-    return counted.withColumn("_before", F.coalesce("_counted", exact)).drop("_counted")
-
-
-def _with_count_across(bound: DataFrame, order: list[str], sustained: int) -> DataFrame:
-    """The same when runs cross the slices of large meters: hash their readings by stretch, so
-    that each stretch is in one task, and count there. The others keep their bound."""
-    exact = bound.where(~F.col("_inexact")).withColumn(
-        "_before", F.greatest(F.col("_bound") - 1, F.lit(0))
+def _with_count(bound: DataFrame, order: list[str], sustained: int) -> DataFrame:
+    """``_before``: the counter before each reading."""
+    exact = bound.where(~F.col("_hard")).withColumn("_before", F.greatest(F.col("_bound") - 1, F.lit(0)))
+    hard = cut_lineage(bound.where("_hard"))  # a small part of all slices; read twice
+    keys = ["meter_id", "_slice"]
+    meter = hard.schema["meter_id"].dataType.simpleString()
+    ordered = hard.repartition(*keys).sortWithinPartitions(*keys, *order)
+    maps = ordered.select(*keys, "_previous", "_in", "_kind").mapInPandas(
+        lambda it: _slice_maps(it, sustained),
+        f"meter_id {meter}, _slice long, _previous long, _in long, _low long, _rises array<long>",
+    )
+    entries = maps.repartition("meter_id").sortWithinPartitions(*keys).mapInPandas(
+        _slice_entries, f"meter_id {meter}, _slice long, _entry long"
     )
     schema = StructType([*bound.schema.fields, StructField("_before", LongType())])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, count = None, 0
-        for batch in batches:
-            befores = []
-            rows = zip(batch["meter_id"], batch["_i"], batch["_kind"], batch["_bound"])
-            for meter, position, kind, upper in rows:
-                # After a gap in the positions the bound is exact again: start from it.
-                if (meter, position - 1) != last:
-                    count = int(upper) - 1 if kind in (K_SPIKE, K_HIGH) else int(upper)
-                befores.append(count)
-                count = next_count(kind, count, sustained)
-                last = (meter, position)
-            yield batch.assign(_before=befores)
-
     counted = (
-        bound.where("_inexact")
-        .repartition("meter_id", "_floor")
-        .sortWithinPartitions("meter_id", "_floor", *order)
-        .mapInPandas(run, schema)
+        hard.join(entries, keys).select(*bound.columns, "_entry")
+        .repartition(*keys).sortWithinPartitions(*keys, *order)
+        .mapInPandas(lambda it: _count_along(it, sustained), schema)
     )
     return exact.unionByName(counted)
 
@@ -275,7 +270,7 @@ def _after(sustained: int) -> Column:
     kind, count = F.col("_kind"), F.col("_before")
     rises = (kind == K_SPIKE) | ((kind == K_HIGH) & (count < sustained))
     return (
-        F.when(~F.col("_inexact"), F.col("_bound"))
+        F.when(~F.col("_hard"), F.col("_bound"))
         .when(rises, count + 1)
         .when(kind == K_LOW, F.greatest(count - 1, F.lit(0)))
         .otherwise(count)
@@ -305,75 +300,27 @@ def _label(df: DataFrame, p: dict) -> DataFrame:
             "is_anomaly": F.col("anomaly_type") != NORMAL,
             "consecutive_high": _after(p["sustained"]),
         }
-    ).drop("_kind", "_before", "_slice", "_i", "_floor", "_bound", "_inexact")
+    ).drop("_kind", "_before", "_slice", "_previous", "_in", "_bound", "_hard")
 
 
 # --- rolling window variant -----------------------------------------------------------------
 
 
-def _window_moments(
-    readings: DataFrame, days: int, value: str, order: list[str], max_rows: int
-) -> DataFrame:
-    """Mean and deviation over the last ``days`` days, both ends included.
+def _window_moments(readings: DataFrame, days: int, value: str, order: list[str]) -> DataFrame:
+    """n, rolling_mean, rolling_stddev over the last ``days`` days, both ends and all ties included.
 
-    Every reading enters its own sum at ``ts`` and leaves it ``days`` later, so the window is a
-    running sum over twice the rows, not a rescan of the window for each row.
+    A plain range window per slice. Readings of the last ``days`` days of a slice are also offered to
+    the next one, as context that is left out again afterwards.
     """
-    ts, tie = order[0], order[1:]
+    at = epoch_us(F.col(order[0]))
+    unit = max(SLICE_DAYS, days)
+    own, last = slice_of(at, unit), slice_of(at + days * DAY_US, unit)
+    offered = readings.withColumns({"_at": at, "_own": own, "_slice": F.explode(F.sequence(own, last))})
+    w = W.partitionBy("meter_id", "_slice").orderBy("_at").rangeBetween(-days * DAY_US, 0)
     x = F.col(value)
-    entering = readings.withColumns(
-        {"_at": epoch_us(F.col(ts)), "_leaves": F.lit(0), "_w": F.lit(1), "_v": x}
-    )
-    leaving = readings.select(
-        "meter_id", *tie, (epoch_us(F.col(ts)) + days * 86_400_000_000).alias("_at"),
-        F.lit(1).alias("_leaves"), F.lit(-1).alias("_w"), x.alias("_v"),
-    )
-    both = entering.unionByName(leaving, allowMissingColumns=True).withColumn(
-        "_tick", F.timestamp_micros("_at")
-    )
-    hot = find_hot_keys(both, "meter_id", "_tick", max_rows)
-    w_, v = F.col("_w"), F.col("_v")
-    sums = {"n": w_, "_s": w_ * v, "_q": w_ * v * v}
-    w = within("meter_id", "_at", "_leaves", *tie)
-    run = with_slice(both, hot, "meter_id", "_tick").withColumns(
-        {name: F.sum(c).over(w) for name, c in sums.items()}
-    )
-    if hot is not None:
-        totals = (
-            hot_rows(both, hot, "meter_id", "_tick")
-            .groupBy("meter_id", "_slice")
-            .agg(*[F.sum(c).alias(name) for name, c in sums.items()])
-        )
-        earlier = before("meter_id")
-        carry = totals.select(
-            "meter_id", "_slice", *[F.sum(c).over(earlier).alias(f"{c}0") for c in sums]
-        )
-        run = run.join(carry, ["meter_id", "_slice"], "left").withColumns(
-            {c: F.col(c) + F.coalesce(F.col(f"{c}0"), F.lit(0)) for c in sums}
-        )
-    run = run.where("_leaves = 0")
-    mean = F.col("_s") / F.col("n")
-    var = F.greatest(F.col("_q") / F.col("n") - mean * mean, F.lit(0.0))
-    return run.withColumns({"rolling_mean": mean, "rolling_stddev": F.sqrt(var)}).select(
-        *readings.columns, "n", "rolling_mean", "rolling_stddev"
-    )
-
-
-def _running(
-    readings: DataFrame, hot: DataFrame | None, value: str, order: list[str], ready: bool = False
-) -> tuple[DataFrame, DataFrame | None]:
-    """Sliced readings with their moments, and the same for the rows of large meters only.
-
-    ``ready`` says the moments are there already. The second frame is None without large meters.
-    """
-    sliced = with_slice(readings, hot, "meter_id", order[0])
-    large = None if hot is None else hot_rows(readings, hot, "meter_id", order[0])
-    if ready:
-        return sliced, large
-    if large is None:
-        return _moments(sliced, None, value, order), None
-    carry = cut_lineage(_moment_carry(large, value))
-    return _moments(sliced, carry, value, order), _moments(large, carry, value, order)
+    return offered.withColumns(
+        {"n": F.count(x).over(w), "rolling_mean": F.avg(x).over(w), "rolling_stddev": F.stddev_pop(x).over(w)}
+    ).where("_slice = _own").drop("_at", "_own", "_slice")
 
 
 # --- public ---------------------------------------------------------------------------------
@@ -382,15 +329,14 @@ def _running(
 def score_z(
     readings: DataFrame, *, window_days: int | None = None, value: str = "kwh_hourly",
     order: tuple[str, ...] = ("ts", "reading_id"), warmup: int = WARMUP,
-    min_stddev: float = MIN_STDDEV, max_rows: int = MAX_ROWS,
+    min_stddev: float = MIN_STDDEV,
 ) -> DataFrame:
     """Readings with n, rolling_mean, rolling_stddev and z_score; no labels."""
     cols = list(order)
     if window_days is not None:
-        moments = _window_moments(readings, window_days, value, cols, max_rows)
+        moments = _window_moments(readings, window_days, value, cols)
     else:
-        hot = find_hot_keys(readings, "meter_id", cols[0], max_rows)
-        moments = _running(readings, hot, value, cols)[0].drop("_slice")
+        moments = _moments(with_slice(readings, cols[0]), value, cols).drop("_slice")
     ready = (F.col("rolling_stddev") > min_stddev) & (F.col("n") >= warmup)
     z = (F.col(value) - F.col("rolling_mean")) / F.col("rolling_stddev")
     return moments.withColumn("z_score", F.when(ready, z).otherwise(F.lit(0.0)))
@@ -401,7 +347,6 @@ def score_batch(
     warmup: int = WARMUP, window_days: int | None = None, two_sided: bool = False,
     high: float = HIGH, flatline: float = FLATLINE, min_stddev: float = MIN_STDDEV,
     value: str = "kwh_hourly", order: tuple[str, ...] = ("ts", "reading_id"),
-    max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """Score every reading. Needs ``meter_id``, the value and the order columns; keeps the others.
 
@@ -413,11 +358,10 @@ def score_batch(
         flatline=flatline, min_stddev=min_stddev, value=value,
     )
     cols = list(order)
-    hot = find_hot_keys(readings, "meter_id", cols[0], max_rows)
     if window_days is not None:
-        readings = _window_moments(readings, window_days, value, cols, max_rows)
-    moments, large = _running(readings, hot, value, cols, ready=window_days is not None)
-    carry = None if large is None else cut_lineage(_walk_carry(_with_z(large, p), cols))
-    bound = _with_bound(_with_z(moments, p), carry, cols, sustained)
-    count = _with_count if large is None else _with_count_across
-    return _label(count(bound, cols, sustained), p)
+        moments = with_slice(_window_moments(readings, window_days, value, cols), cols[0])
+    else:
+        moments = _moments(with_slice(readings, cols[0]), value, cols)
+    z = stored(_with_z(moments, p), "z-scores")  # the counter reads it several times
+    bound = _with_bound(z, cols, sustained)
+    return _label(_with_count(bound, cols, sustained), p)

@@ -1,14 +1,10 @@
-"""Time slices of very large keys, so that running values over one key stay parallel.
+"""Time slices of keys, so that running values over one key stay parallel.
 
 A running mean, counter or sum over ``partition by meter order by ts`` puts all rows of a meter in
-one task. That is fine for ordinary meters; a meter that holds a third of all rows would keep one
-task busy long after the others end. Such keys are cut into time slices: each slice is aggregated
-on its own, the small slice totals are prefix-summed per key, and every row adds the totals of the
-slices before its own.
-
-Ordinary keys carry slice -1 and take no part in the second step. The cut is computed from exact
-counts, so a recomputed task cuts the same way. One counting pass decides whether any key is large;
-without one, callers build the plain plan.
+one task, and a meter may hold a third of all rows. So every meter is cut into slices of a fixed
+number of days: each slice is aggregated on its own, the small slice totals are prefix-summed per
+meter, and every row adds the totals of the slices before its own. The cut depends on the time alone:
+all meters, large or small, are treated alike, and nothing is counted first.
 """
 
 from __future__ import annotations
@@ -18,54 +14,18 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from kilowatch.functions.clock import epoch_us
-from kilowatch.session import cut_lineage
-
-MAX_ROWS = 2_000_000
-# A key counts as large only if it also holds more than 1/MAX_HOT_KEYS of all rows. There are
-# therefore always fewer large keys than this, whatever the data: the broadcast list stays small.
-MAX_HOT_KEYS = 100_000
-# Slices are cut by time; the margin absorbs uneven rates.
-SLICES_PER_MAX = 8
-
-
-def hot_keys(df: DataFrame, key: str, ts: str, max_rows: int = MAX_ROWS) -> DataFrame:
-    """Keys with more than ``max_rows`` rows: ``key, _first, _width`` (microseconds per slice)."""
-    sizes = df.groupBy(key).agg(
-        F.count("*").alias("_rows"),
-        F.min(epoch_us(F.col(ts))).alias("_first"),
-        F.max(epoch_us(F.col(ts))).alias("_last"),
-    )
-    total = sizes.agg(F.sum("_rows")).scalar()
-    large = F.greatest(F.lit(float(max_rows)), total / F.lit(float(MAX_HOT_KEYS)))
-    span = F.col("_last") - F.col("_first") + 1
-    wanted = F.ceil(F.col("_rows") * F.lit(SLICES_PER_MAX) / F.lit(max_rows))
-    return sizes.where(F.col("_rows") > large).select(
-        key, "_first", F.greatest(F.lit(1), F.ceil(span / wanted)).cast("bigint").alias("_width")
-    )
-
-
-def find_hot_keys(df: DataFrame, key: str, ts: str, max_rows: int = MAX_ROWS) -> DataFrame | None:
-    """The list of :func:`hot_keys`, computed and stored once; None when there is none."""
-    hot = hot_keys(df, key, ts, max_rows)
-    return None if hot.isEmpty() else cut_lineage(hot)
-
 
-def with_slice(df: DataFrame, hot: DataFrame | None, key: str, ts: str) -> DataFrame:
-    """Every row with its ``_slice``: 0, 1, … for large keys, -1 for all others."""
-    if hot is None:
-        return df.withColumn("_slice", F.lit(-1).cast("bigint"))
-    return _number(df.join(F.broadcast(hot), key, "left"), ts)
+SLICE_DAYS = 30
+DAY_US = 86_400_000_000
 
 
-def hot_rows(df: DataFrame, hot: DataFrame, key: str, ts: str) -> DataFrame:
-    """Only the rows of large keys, with their ``_slice``."""
-    return _number(df.join(F.broadcast(hot), key), ts)
+def slice_of(ts_us: Column, days: int = SLICE_DAYS) -> Column:
+    return F.floor(ts_us / F.lit(days * DAY_US)).cast("bigint")
 
 
-def _number(df: DataFrame, ts: str) -> DataFrame:
-    offset = epoch_us(F.col(ts)) - F.col("_first")
-    number = F.floor(offset / F.col("_width")).cast("bigint")
-    return df.withColumn("_slice", F.coalesce(number, F.lit(-1))).drop("_first", "_width")
+def with_slice(df: DataFrame, ts: str, days: int = SLICE_DAYS) -> DataFrame:
+    """Every row with the number of its ``_slice``."""
+    return df.withColumn("_slice", slice_of(epoch_us(F.col(ts)), days))
 
 
 def before(key: str) -> W:

@@ -30,16 +30,22 @@ def check_meter_id(meter_id: str) -> str:
     return meter_id
 
 
-def recent_alerts(alerts: DataFrame, meter: str | Column, limit: int = 20) -> DataFrame:
+def first_rows(rows: DataFrame, limit: int | None) -> DataFrame:
+    """The first ``limit`` rows, or all. ``clamp_limit`` is for limits that come from a request."""
+    return rows if limit is None else rows.limit(limit)
+
+
+def recent_alerts(alerts: DataFrame, meter: str | Column, limit: int | None = None) -> DataFrame:
     """Newest alerts of one meter, by equality: an id never matches a longer one."""
     if isinstance(meter, str):
         check_meter_id(meter)
-    return alerts.where(F.col("meter_id") == meter).orderBy(F.desc("ts")).limit(clamp_limit(limit))
+    rows = alerts.where(F.col("meter_id") == meter)
+    return first_rows(rows.orderBy(F.desc("ts"), "anomaly_type", F.desc("z_score")), limit)
 
 
-def open_alerts(alerts: DataFrame, limit: int = 200) -> DataFrame:
+def open_alerts(alerts: DataFrame, limit: int | None = None) -> DataFrame:
     rows = alerts.where(F.col("status") == OPEN)
-    return rows.orderBy(F.desc("ts"), "meter_id").limit(clamp_limit(limit))
+    return first_rows(rows.orderBy(F.desc("ts"), "meter_id", "anomaly_type", F.desc("z_score")), limit)
 
 
 def alert_type_counts(alerts: DataFrame) -> DataFrame:
@@ -47,9 +53,9 @@ def alert_type_counts(alerts: DataFrame) -> DataFrame:
     return counts.orderBy(F.desc("count"), "anomaly_type")
 
 
-def top_meters(alerts: DataFrame, limit: int = 10) -> DataFrame:
+def top_meters(alerts: DataFrame, limit: int | None = 10) -> DataFrame:
     counts = alerts.groupBy("meter_id").agg(F.count("*").alias("alert_count"))
-    return counts.orderBy(F.desc("alert_count"), "meter_id").limit(clamp_limit(limit))
+    return first_rows(counts.orderBy(F.desc("alert_count"), "meter_id"), limit)
 
 
 def meter_state(states: DataFrame, meter: str) -> DataFrame:

@@ -347,17 +347,17 @@ GROUP BY reading_date, anomaly_type""",
 SELECT meter_id, acorn_group, count(*) AS total_anomalies FROM sh WHERE is_anomaly
 GROUP BY meter_id, acorn_group, tariff_type ORDER BY total_anomalies DESC, meter_id LIMIT 20""",
     "anomalies_last_hour": f"""{SCORED}
-SELECT anomaly_type, count(*) AS cnt FROM s WHERE is_anomaly AND ts >= {NOW} - INTERVAL 1 HOUR
-GROUP BY anomaly_type""",
+SELECT anomaly_type, count(*) AS cnt FROM s
+WHERE is_anomaly AND ts >= (SELECT max(ts) FROM s WHERE is_anomaly) - INTERVAL 1 HOUR GROUP BY anomaly_type""",
     "meter_drilldown": f"""{SCORED}
 SELECT ts, round(kwh_hourly + 1e-10, 6) AS kwh_hourly, round(z + 1e-10, 6) AS z_score, anomaly_type FROM s
-WHERE meter_id = {_NEWEST_METER} ORDER BY ts DESC LIMIT 48""",
+WHERE meter_id = {_NEWEST_METER} ORDER BY ts DESC, kwh_hourly LIMIT 48""",
     "meter_kpis": f"""{SCORED}
 SELECT meter_id,
-       count(*) FILTER (WHERE is_anomaly AND ts > {NOW} - INTERVAL 48 HOUR) AS anomalies_48h,
+       count(*) FILTER (WHERE is_anomaly) AS anomalies_48h,
        round(max(z) + 1e-10, 6) AS max_z_score, round(avg(kwh_hourly) + 1e-10, 6) AS avg_kwh,
        max(ts) FILTER (WHERE is_anomaly) AS last_anomaly_ts
-FROM s GROUP BY meter_id""",
+FROM s WHERE ts > {NOW} - INTERVAL 48 HOUR GROUP BY meter_id""",
     "household_status": f"""{SCORED}
 SELECT meter_id, zone, count(*) AS anomalies, round(max(z) + 1e-10, 6) AS max_z_score,
        CASE WHEN max(z) > 4.5 THEN 'Critical' WHEN max(z) > 3.0 THEN 'Warning' ELSE 'Normal' END AS status
@@ -376,11 +376,13 @@ FROM r JOIN h USING (meter_id)""",
     "recent_alerts_for_meter": f"""{SCORED}
 SELECT meter_id, ts, round(z, 3) AS z_score, anomaly_type, round(severity, 2) AS severity,
        'open' AS status
-FROM s WHERE is_anomaly AND meter_id = {_NEWEST_METER} ORDER BY ts DESC LIMIT 20""",
+FROM s WHERE is_anomaly AND meter_id = (
+  SELECT meter_id FROM s WHERE is_anomaly GROUP BY meter_id ORDER BY count(*) DESC, meter_id LIMIT 1)
+ORDER BY ts DESC, anomaly_type, z DESC LIMIT 20""",
     "open_alerts": f"""{SCORED}
 SELECT meter_id, ts, round(z, 3) AS z_score, anomaly_type, round(severity, 2) AS severity,
        acorn_group, tariff_type, 'open' AS status
-FROM sh WHERE is_anomaly AND ts >= {_WEEK_AGO} ORDER BY ts DESC, meter_id LIMIT 200""",
+FROM sh WHERE is_anomaly AND ts >= {_WEEK_AGO} ORDER BY ts DESC, meter_id, anomaly_type, z DESC LIMIT 200""",
     "alert_type_counts": f"""{SCORED}
 SELECT anomaly_type, count(*) AS count FROM s WHERE is_anomaly GROUP BY anomaly_type""",
     "top_meters_by_alerts": f"""{SCORED}
@@ -473,7 +475,7 @@ SELECT zone, ts, mw_demand, round(rolling_7d_mean + 1e-10, 6) AS rolling_7d_mean
        round(rolling_24h_mean + 1e-10, 6) AS rolling_24h_mean FROM w""",
     "recent_history": f"""
 WITH {DEMAND}
-SELECT zone, ts, mw_demand FROM d WHERE ts >= (SELECT max(ts) FROM d) - INTERVAL 200 HOUR""",
+SELECT zone, ts, mw_demand FROM d QUALIFY ts >= max(ts) OVER (PARTITION BY zone) - INTERVAL 200 HOUR""",
     "seasonal_index": f"""
 WITH {DEMAND}, i AS (
   SELECT *, avg(mw_demand) OVER (PARTITION BY zone, extract(month FROM ts), extract(hour FROM ts)) AS si
@@ -515,7 +517,7 @@ i AS (
 SELECT zone, ts, mw_demand, {_ROUNDED} FROM k WHERE {_KNOWN}""",
     "forecast_window": f"""
 WITH {DEMAND},
-hist AS (SELECT * FROM d WHERE ts >= (SELECT max(ts) FROM d) - INTERVAL 200 HOUR),
+hist AS (SELECT * FROM d QUALIFY ts >= max(ts) OVER (PARTITION BY zone) - INTERVAL 200 HOUR),
 slot AS (
   SELECT zone, max(ts) + CAST(q.i AS INTEGER) * INTERVAL 1 HOUR AS ts
   FROM hist, (SELECT unnest(generate_series(1, 24)) AS i) q GROUP BY zone, q.i
@@ -582,7 +584,7 @@ SELECT round(avg(abs_error_mw) + 1e-8, 4) AS mae, round(sqrt(avg(power(abs_error
     "next_forecast_hours": f"""
 WITH {FORECASTS}
 SELECT ts, zone, round(predicted_mw + 1e-8, 4) AS predicted_mw, CAST(NULL AS DOUBLE) AS actual_mw FROM f
-WHERE ts >= (SELECT max(ts) FROM d) ORDER BY ts, zone LIMIT 6""",
+WHERE ts > (SELECT max(ts) FROM d) AND ts <= (SELECT max(ts) FROM d) + INTERVAL 6 HOUR""",
     "naive_metrics": f"""
 WITH {FORECASTS}, e AS (
   SELECT d.mw_demand AS y, d.mw_demand - f.predicted_mw AS e FROM f JOIN d ON d.zone = f.zone AND d.ts = f.ts

@@ -109,12 +109,14 @@ def anomalies_last_hours(scored: DataFrame, as_of: Column | None = None, hours:
 
 
 def next_forecast_hours(
-    forecasts: DataFrame, as_of: Column, limit: int = 6, zone: str | None = None
+    forecasts: DataFrame, as_of: Column, hours: int = 6, zone: str | None = None
 ) -> DataFrame:
-    rows = forecasts.where(F.col("ts") >= as_of)
+    """Forecasts of the next hours, ``as_of`` itself left out, of every zone or one."""
+    end = as_of + F.make_dt_interval(hours=F.lit(hours))
+    rows = forecasts.where((F.col("ts") > as_of) & (F.col("ts") <= end))
     if zone is not None:
         rows = rows.where(F.col("zone") == zone)
-    return rows.select("ts", "zone", "predicted_mw", "actual_mw").orderBy("ts", "zone").limit(limit)
+    return rows.select("ts", "zone", "predicted_mw", "actual_mw").orderBy("ts", "zone")
 
 
 def meter_drilldown(scored: DataFrame, meter: str | Column, limit: int = 48) -> DataFrame:
@@ -122,17 +124,17 @@ def meter_drilldown(scored: DataFrame, meter: str | Column, limit: int = 48) ->
     return (
         scored.where(F.col("meter_id") == meter)
         .select("ts", "kwh_hourly", "z_score", "anomaly_type")
-        .orderBy(F.desc("ts"))
+        .orderBy(F.desc("ts"), "kwh_hourly")
         .limit(limit)
     )
 
 
 def meter_kpis(scored: DataFrame, as_of: Column | None = None, hours: int = 48) -> DataFrame:
-    """Per meter: anomalies in the last hours, largest z, mean kWh, time of the last anomaly."""
+    """Of the last hours, per meter: anomalies, largest z, mean kWh, time of the last anomaly."""
     end = clock.latest(scored) if as_of is None else as_of
-    recent = F.col("is_anomaly") & (F.col("ts") > hours_before(end, hours))
-    return scored.groupBy("meter_id").agg(
-        F.count_if(recent).alias("anomalies_48h"),
+    recent = scored.where((F.col("ts") > hours_before(end, hours)) & (F.col("ts") <= end))
+    return recent.groupBy("meter_id").agg(
+        F.count_if("is_anomaly").alias("anomalies_48h"),
         F.max("z_score").alias("max_z_score"),
         F.avg("kwh_hourly").alias("avg_kwh"),
         F.max(F.when(F.col("is_anomaly"), F.col("ts"))).alias("last_anomaly_ts"),

@@ -260,7 +260,9 @@ def flagged_meters_top20(spark, d):
 
 @query
 def anomalies_last_hour(spark, d):
-    return panels.anomalies_last_hours(x.scored(spark, d, meta=False), now(spark, d))
+    """The hour up to the newest anomaly."""
+    scored = x.scored(spark, d, meta=False)
+    return panels.anomalies_last_hours(scored, clock.latest(scored.where("is_anomaly")))
 
 
 @query
@@ -309,16 +311,18 @@ def _with_resolutions(spark, d, meta=True):
 
 @query
 def recent_alerts_for_meter(spark, d):
-    """The meter of the newest event."""
-    meter = x.newest_meter(spark, d)
-    return lookups.recent_alerts(x.alerts(spark, d, meta=False, meter=meter), meter).select(
+    """The newest 20 alerts of the meter that has most."""
+    table = x.alerts(spark, d, meta=False)
+    most = lookups.top_meters(table, 1).agg(F.first("meter_id")).scalar()
+    return lookups.recent_alerts(table, most, 20).select(
         "meter_id", "ts", "z_score", "anomaly_type", "severity", "status"
     )
 
 
 @query
 def open_alerts(spark, d):
-    return lookups.open_alerts(_with_resolutions(spark, d)).select(
+    """The newest 200."""
+    return lookups.open_alerts(_with_resolutions(spark, d), 200).select(
         "meter_id", "ts", "z_score", "anomaly_type", "severity", "acorn_group", "tariff_type", "status"
     )
 
@@ -531,7 +535,7 @@ def next_forecast_hours(spark, d):
 
 # --- fitted models --------------------------------------------------------------------------
 
-_FITTED: dict[tuple[str, str], tuple[PipelineModel, DataFrame]] = {}
+_FITTED: dict[tuple[str, ...], tuple[PipelineModel, DataFrame]] = {}
 
 
 def _cutoff(demand: DataFrame) -> Column:
@@ -539,10 +543,11 @@ def _cutoff(demand: DataFrame) -> Column:
 
 
 def _fitted(spark: SparkSession, d: str) -> tuple[PipelineModel, DataFrame]:
-    """Direct model and its metrics row; fitted once per session and folder."""
-    key = (spark.sparkContext.applicationId, d)
+    """Direct model and its metrics row; fitted once per session and state of the demand table."""
+    demand = x.demand(spark, d)
+    state = demand.agg(F.count("*"), F.sum(F.xxhash64("zone", "ts", "mw_demand").cast("decimal(38,0)"))).first()
+    key = (spark.sparkContext.applicationId, *map(str, state))
     if key not in _FITTED:
-        demand = x.demand(spark, d)
         rows = forecast.direct_training_rows(demand, cutoff=_cutoff(demand))
         _FITTED[key] = forecast.train(
             rows, forecast.DIRECT_FEATURES, cutoff=_cutoff(demand), **MODEL

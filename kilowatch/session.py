@@ -76,3 +76,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written once below the shared folder and read back with only the columns needed."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -16,6 +16,7 @@ from kilowatch.operators import cleaning, enrich, rollup
 from kilowatch.operators.forecast import forecast_rows, seasonal_naive
 from kilowatch.operators.grid import densify
 from kilowatch.operators.scoring import score_batch
+from kilowatch.session import stored
 
 
 _SCHEMAS: dict[tuple[str, str], StructType] = {}
@@ -137,14 +138,15 @@ def alerts(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
 def demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly demand per zone on a gap-free grid.
 
-    The raw rows are summed on the map side first; what is shuffled is zones x hours.
+    The raw rows are summed on the map side first; what is shuffled is zones x hours. These few rows
+    are stored, so that however often the grid is read, the events are read once.
     """
     observed = (
         table(spark, sf_dir, "events")
         .groupBy(F.col("event_type").alias("zone"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts"))
         .agg(F.round(F.sum("value"), 4).alias("mw_demand"))
     )
-    return densify(observed)
+    return densify(stored(observed, "demand"))
 
 
 def forecasts(spark: SparkSession, sf_dir: str, hours: int = 24) -> DataFrame:

@@ -20,6 +20,7 @@ def decode_events(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     reason = (
         F.when(F.col("_event.meter_id").isNull(), "no_meter")
         .when(F.col("_event.kwh_hourly").isNull(), "no_value")
+        .when(F.isnan("_event.kwh_hourly") | F.abs("_event.kwh_hourly").isin(float("inf")), "not_finite")
         .when(F.col("_event.kwh_hourly") < 0, "negative_value")
         .when(when.isNull(), "bad_timestamp")
     )

@@ -58,6 +58,14 @@ def test_newest_status_wins(spark, stored):
     assert lookups.open_alerts(alerts.with_status(stored, status)).count() == 8
 
 
+def test_lookups_give_all_rows_or_as_many_as_asked(spark):
+    rows = [("M", at(i), "open", "flatline", 0.0) for i in range(600)]
+    table = spark.createDataFrame(rows, "meter_id string, ts timestamp, status string, anomaly_type string, z_score double")
+    assert lookups.open_alerts(table).count() == 600
+    assert lookups.open_alerts(table, 550).count() == 550
+    assert lookups.recent_alerts(table, "M").count() == 600
+
+
 def test_summary_and_top_meters(stored):
     row = lookups.alert_summary(stored).first()
     assert tuple(row) == (8, 3, 0, 5, "MAC000010")

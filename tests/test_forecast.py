@@ -121,6 +121,21 @@ def test_one_zone_history(demand):
     assert features.recent_history(demand, 200, "AEP").count() == 201
 
 
+def test_a_zone_that_lags_keeps_its_history(demand):
+    late = demand.where(~((F.col("zone") == "AEP") & (F.col("ts") > at(24 * 7))))
+    history = features.recent_history(late, 100)
+    assert {r.zone: r.n for r in history.groupBy("zone").agg(F.count("*").alias("n")).collect()} == {"AEP": 101, "DOM": 101}
+
+
+def test_next_hours_of_every_zone(spark):
+    f = spark.createDataFrame(
+        [(at(h), z, 1.0, None) for h in range(20) for z in "ABCDE"],
+        "ts timestamp, zone string, predicted_mw double, actual_mw double",
+    )
+    rows = panels.next_forecast_hours(f, F.lit(at(3))).collect()
+    assert sorted({r.ts for r in rows}) == [at(h) for h in range(4, 10)] and len(rows) == 30
+
+
 def test_split_is_by_days(demand):
     assert {r.part: r.rows for r in features.split_share(demand, test_days=3).collect()} == {"train": 864, "test": 144}
 
@@ -151,5 +166,5 @@ def test_zero_demand_is_no_percentage(spark):
     assert (row.forecast_points, row.mae_mw, row.mape_pct) == (1, 5.0, 50.0)
     kpis = panels.accuracy_kpis(f, d).first()
     assert (kpis.mae, kpis.mape) == (5.0, 50.0)
-    assert panels.next_forecast_hours(f, F.lit(at(1)), zone="A").count() == 2
+    assert panels.next_forecast_hours(f, F.lit(at(1)), zone="A").count() == 1
     assert panels.load_kpis(f, F.lit(at(1))).first().peak_predicted_24h == 5.0

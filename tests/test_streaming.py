@@ -120,14 +120,14 @@ def test_decode_keeps_rejects(spark):
     good = '{"meter_id":"M1","ts":"2024-01-01T05:00:00","kwh_hourly":0.5,"reading_date":"2024-01-01"}'
     bad = [
         good.replace('"M1"', "null"), good.replace("0.5", "null"), good.replace("0.5", "-1"),
-        good.replace("T05", " 05"), "not json",
+        good.replace("T05", " 05"), "not json", good.replace("0.5", "NaN"), good.replace("0.5", '"NaN"'), good.replace("0.5", '"Infinity"'),
     ]
     messages = spark.createDataFrame([("k", v) for v in [good, *bad]], "key string, value string")
     valid, rejected = decode.decode_events(messages)
     row = valid.first()
     assert valid.count() == 1 and (row.meter_id, str(row.ts), row.kwh_hourly) == ("M1", "2024-01-01 05:00:00", 0.5)
     why = sorted(r.reject_reason for r in rejected.collect())
-    assert why == ["bad_timestamp", "negative_value", "no_meter", "no_meter", "no_value"]
+    assert why == ["bad_timestamp", "negative_value", "no_meter", "no_meter", "no_value", "not_finite", "not_finite", "not_finite"]
 
 
 def test_messages_are_keyed_and_decode_back(spark):
