@@ -14,6 +14,7 @@ from pyspark.sql.types import StructType
 from kilowatch import schemas
 from kilowatch.operators.alerts import alerts_from_scored, meter_states
 from kilowatch.session import scratch_path, tune
+from kilowatch.sources.replay import write_in_order
 from kilowatch.streaming.decode import with_partition_folders
 from kilowatch.streaming.scorer import score_stream
 
@@ -169,21 +170,24 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
 
 
 def score_table_as_stream(
-    spark: SparkSession, path: str, columns: Callable[[DataFrame], DataFrame], **options
+    spark: SparkSession, path: str, columns: Callable[[DataFrame], DataFrame], *,
+    files: int | None = None, files_per_trigger: int | None = None, **options
 ) -> DataFrame:
     """Run a stored table through the streaming scorer to its end and return the scored rows.
 
-    Files are taken in the order they were written, in micro-batches of bounded size.
+    The rows are written once in the order of time, so the result does not depend on how the files of
+    the table lie, nor on how many of them one micro-batch of bounded size takes.
     """
     tune(spark)
     use_rocksdb(spark)
-    # A pattern that matches exactly this path: a plain path would have to be a folder.
+    work = scratch_path(spark, "score-stream")
+    rows = columns(spark.read.parquet(path))
+    write_in_order(rows, f"{work}/in", files=files)
     source = stream_source(
-        spark, "files", f"{path[:-1]}[{path[-1]}]", schema=spark.read.parquet(path).schema,
-        bytes_per_trigger=BYTES_PER_TRIGGER,
+        spark, "files", f"{work}/in", schema=rows.schema, files_per_trigger=files_per_trigger,
+        bytes_per_trigger=None if files_per_trigger else BYTES_PER_TRIGGER,
     )
-    work = scratch_path(spark, "score-stream")
-    scored = score_stream(columns(source), **options)
+    scored = score_stream(source, **options)
     # State is split once for all, so by the cores of the cluster, not by a batch default.
     cores = str(spark.sparkContext.defaultParallelism)
     with _settings(spark, {"spark.sql.shuffle.partitions": cores}):

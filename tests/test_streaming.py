@@ -56,6 +56,16 @@ def test_stream_equals_batch_for_any_micro_batches(spark, tmp_path, files):
     assert out.select("batch_id").distinct().count() == (3 if files == 1 else 2)
 
 
+def test_any_layout_of_files_and_batches(spark, tmp_path):
+    df = events(spark, series(meters=4, hours=120))
+    df.orderBy(F.rand(3)).repartition(8).write.parquet(f"{tmp_path}/shuffled")
+    out = jobs.score_table_as_stream(
+        spark, f"{tmp_path}/shuffled", lambda d: d, files=7, files_per_trigger=1, sustained=1
+    )
+    assert out.select("batch_id").distinct().count() >= 5
+    assert labels(out) == labels(score_batch(df, sustained=1))
+
+
 def test_restart_continues_from_the_checkpoint(spark, tmp_path):
     rows = series()
     df = events(spark, rows)
