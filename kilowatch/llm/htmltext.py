@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from kilowatch.llm.common import bounded_sample
 
 SAMPLE_PAGES = 200  # given pages whose texts fill the training pages, at most
-TRAINING_PAGES = 1000
+TRAINING_PAGES = 1500
 PATHS, WORDS, RATIOS = 2048, 256, 5  # sizes of the hashed vectors, number of ratios
 WIDTH, HIDDEN = 24, 16
 
@@ -381,7 +381,7 @@ class Layouts:
         if named and r.random() < 0.5:
             tag = r.choice(("div", "div", "section", "aside" if kind in ("aside", "ad", "notice", "share", "comments") else "div"))
         attributes = self.attributes(ASIDE[kind]) if named else ""
-        if kind in ("nav", "share"):
+        if kind in ("nav", "share") and r.random() < 0.6:
             body = self.links(r.randint(1, 9))
         elif kind == "header":
             body = r.choice((self.text(NO, True), f"<div>{self.text(NO, True)}</div><p>{self.text(NO, True)}</p>", f"<h1>{self.text(NO, True)}</h1>" if named else self.text(NO, True)))
@@ -401,8 +401,9 @@ class Layouts:
     def page(self) -> str:
         r = self.rng
         inner = [self.paragraphs(YES, 1, r.choice((("p",), ("p", "p", "p", "h2", "ul", "blockquote", "div", "pre", "table"))) ) for _ in range(r.randint(1, 14))]
-        for _ in range(r.choice((0, 0, 0, 1, 2))):
-            inner.insert(r.randint(0, len(inner)), self.boilerplate(r.choice(("ad", "ad", "share", "aside", "form", "notice", "comments"))))
+        for _ in range(r.choice((0, 0, 1, 1, 2, 3))):
+            kind = r.choice(("ad", "ad", "ad", "share", "aside", "form", "notice", "notice", "comments", "nav", "header", "footer"))
+            inner.insert(r.randint(0, len(inner)), self.boilerplate(kind))
         title = r.choice(("", f"<h1>{self.text(YES, r.random() < 0.5)}</h1>", f"<h1>{self.text(YES, True)}</h1>", f"<h1{self.attributes(['title', 'headline', 'entry-title'])}>{self.text(YES, True)}</h1>"))
         body = title + "".join(inner)
         holder = r.choice(("article", "article", "article", "main", "div", "section"))

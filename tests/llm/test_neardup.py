@@ -101,6 +101,7 @@ def test_one_row_of_each_group_stays(spark):
 def test_estimates_follow_the_similarity():
     rng = np.random.default_rng(1)
     pool = np.unique(rng.integers(-(2**62), 2**62, 3000))
+    rng.shuffle(pool)
     a = np.sort(pool[:1000])
     for shared in (1000, 900, 500, 0):
         b = np.sort(np.concatenate([pool[:shared], pool[1000 : 2000 - shared]]))
