@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from kilowatch.session import scratch_path, tune
 
 # Rows of an Arrow batch; Spark's own limit in bytes holds for long texts.
-BATCH_ROWS = 2048
+BATCH_ROWS = 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,9 +34,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def worker_cache(name: str) -> dict:
-    """A dict that lives as long as the Python worker, so that tasks of one worker share it."""
+    """A dict that lives as long as the Python worker, so that tasks of one worker share it.
+
+    A worker serves all stages of a job: it keeps the dict of one name only, that asked for last.
+    """
     holder = sys.modules.setdefault("_kilowatch_worker", types.ModuleType("_kilowatch_worker"))
-    return holder.__dict__.setdefault(name, {})
+    caches = holder.__dict__.setdefault("caches", {})
+    if name not in caches:
+        caches.clear()
+    return caches.setdefault(name, {})
 
 
 def row_shares(part_sizes: DataFrame, part: str, size: str) -> DataFrame:

@@ -26,7 +26,8 @@ from kilowatch.llm.common import stored, worker_cache
 DOCS_PER_LANGUAGE = 500  # labelled documents that train one language, at most
 ROUNDS = 3
 SMOOTHING = 0.1  # added to the expected count of every piece
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 400_000
+RUN_CHARS = 2_000_000  # characters of texts that are scored at once
 REJECT_NATS = 10.0  # evidence for the background from which a text is rejected
 WORD = re.compile(r"[^\W\d_]+")
 MARK = "▁"  # stands before a word in the vocabulary
@@ -189,6 +190,17 @@ class Scorer:
 
     def predict(self, texts: list[str | None]) -> tuple[list, list, list, list]:
         """(language, score, words, accepted) of each text."""
+        out: tuple[list, list, list, list] = ([], [], [], [])
+        lo = size = 0
+        for hi, text in enumerate(texts, 1):
+            size += len(text or "")
+            if size >= RUN_CHARS or hi == len(texts):
+                for column, more in zip(out, self._predict(texts[lo:hi])):
+                    column += more
+                lo, size = hi, 0
+        return out
+
+    def _predict(self, texts: list[str | None]) -> tuple[list, list, list, list]:
         if len(self.cache["rows"]) > CACHE_WORDS:
             self._forget()
         split = [words_of(text) for text in texts]

@@ -30,7 +30,7 @@ from kilowatch.llm.common import matching_rows, stored, worker_cache
 
 K = 64
 BLOCK = 512  # documents of a block
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 500_000
 DEVIATIONS = 5.0
 TOP = np.iinfo(np.int64).max
 SIGNATURE = "doc_id long, n long, fp1 long, fp2 long, sketch array<long>"
