@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,6 +48,18 @@ def worker_cache(name: str) -> dict:
     return caches.setdefault(name, {})
 
 
+def tidy(results: Iterator) -> Iterator:
+    """The results of a task; afterwards what its Python worker no longer uses goes back to the system.
+
+    A worker lives on beside the workers and the JVM of its executor.
+    """
+    yield from results
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def row_shares(part_sizes: DataFrame, part: str, size: str) -> DataFrame:
     """Running total of ``size`` before each part, in order of ``part``.
 

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kilowatch.llm.common import matching_rows, stored
+from kilowatch.llm.common import matching_rows, stored, tidy, worker_cache
 
 ERROR_RATE = 0.07
 # Normalised items that go to the tasks at once; a larger benchmark takes several passes.
@@ -142,6 +142,7 @@ def myers(text: str, masks: dict[str, int], m: int, budget: int, anchored: bool
 
 
 def _find(batches: Iterator[pd.DataFrame], items: Items) -> Iterator[pd.DataFrame]:
+    worker_cache("decontamination")  # earlier stages' words are not needed any more
     for batch in batches:
         out = []
         for doc_id, text in zip(batch["doc_id"], batch["text"]):
@@ -177,7 +178,7 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RA
         share = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == i)
         sent = spark.sparkContext.broadcast([tuple(r) for r in share.collect()])  # PASS_BYTES on average
         texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        found = texts.mapInPandas(lambda it, sent=sent: _find(it, Items(sent.value, rate)), HITS)
+        found = texts.mapInPandas(lambda it, sent=sent: tidy(_find(it, Items(sent.value, rate))), HITS)
         out = found if out is None else out.union(found)
     return out
 

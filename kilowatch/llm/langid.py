@@ -21,13 +21,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kilowatch.llm.common import stored, worker_cache
+from kilowatch.llm.common import stored, tidy, worker_cache
 
 DOCS_PER_LANGUAGE = 500  # labelled documents that train one language, at most
 ROUNDS = 3
 SMOOTHING = 0.1  # added to the expected count of every piece
-CACHE_WORDS = 400_000
-RUN_CHARS = 2_000_000  # characters of texts that are scored at once
+CACHE_WORDS = 200_000
+RUN_CHARS = 1_000_000  # characters of texts that are scored at once
 REJECT_NATS = 10.0  # evidence for the background from which a text is rejected
 WORD = re.compile(r"[^\W\d_]+")
 MARK = "▁"  # stands before a word in the vocabulary
@@ -286,7 +286,7 @@ def identify(docs: DataFrame, model: dict) -> DataFrame:
     key = str(hash(model["p"].tobytes()))
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = slim.mapInArrow(
-        lambda it: _added(it, sent, key), "doc_id long, lang_pred string, score double, n_words long, accepted boolean"
+        lambda it: tidy(_added(it, sent, key)), "doc_id long, lang_pred string, score double, n_words long, accepted boolean"
     )
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "n_words", "accepted")
 
@@ -301,4 +301,4 @@ def accepted_rows(docs: DataFrame, model: dict) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(scorer.predict(batch.column(at).to_pylist())[3], pa.bool_()))
 
-    return docs.mapInArrow(kept, docs.schema)
+    return docs.mapInArrow(lambda it: tidy(kept(it)), docs.schema)

@@ -26,11 +26,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kilowatch.llm.common import matching_rows, stored, worker_cache
+from kilowatch.llm.common import matching_rows, stored, tidy, worker_cache
 
 K = 64
 BLOCK = 512  # documents of a block
-CACHE_WORDS = 500_000
+CACHE_WORDS = 100_000
 DEVIATIONS = 5.0
 TOP = np.iinfo(np.int64).max
 SIGNATURE = "doc_id long, n long, fp1 long, fp2 long, sketch array<long>"
@@ -232,7 +232,7 @@ def _met(left: DataFrame, right: DataFrame, values: DataFrame) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, ids: DataFrame, size: int, repeated: bool) -> DataFrame:
-    sets = matching_rows(docs, "doc_id", ids).mapInPandas(lambda it: _sets(it, size), "doc long, members array<long>")
+    sets = matching_rows(docs, "doc_id", ids).mapInPandas(lambda it: tidy(_sets(it, size)), "doc long, members array<long>")
     return stored(sets.distinct() if repeated else sets, "shingle-sets")
 
 
@@ -264,13 +264,13 @@ def linked_pairs(sketches: DataFrame, docs: DataFrame, size: int, percent: int,
 
     def screened(left: DataFrame, right: DataFrame, name: str) -> DataFrame:
         return stored(_met(left, right, values).mapInPandas(
-            lambda it: _screen(it, k, percent), "g long, doc long, side int"
+            lambda it: tidy(_screen(it, k, percent)), "g long, doc long, side int"
         ).distinct(), name)
 
     def verified(near: DataFrame, sets: DataFrame, name: str) -> DataFrame:
         left, right = (near.where(F.col("side") == side).select("g", "doc") for side in (0, 1))
         return stored(_met(left, right, sets).mapInPandas(
-            lambda it: _verify(it, k, percent), "g long, a long, b long"
+            lambda it: tidy(_verify(it, k, percent)), "g long, a long, b long"
         ), name)
 
     near = screened(hub, group, "near-hub")
@@ -321,7 +321,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, k: int =
     An empty table gives an empty result.
     """
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = stored(slim.mapInPandas(lambda it: _signatures(it, size, k), SIGNATURE), "signatures")
+    signed = stored(slim.mapInPandas(lambda it: tidy(_signatures(it, size, k)), SIGNATURE), "signatures")
     rows = signed.where("n > 0 and doc_id is not null").select("doc_id", "n", "fp1", "fp2")
     classes = stored(rows.groupBy("fp1", "fp2", "n").agg(F.min("doc_id").alias("rep")), "classes")
     # Ids that occur with several texts connect their classes.

@@ -26,11 +26,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kilowatch.llm.common import row_shares, worker_cache
+from kilowatch.llm.common import row_shares, tidy, worker_cache
 
 BLOCK_IDS = 1 << 16  # ids after which a block is closed
 SLICE_BYTES = 4 << 20  # text that is encoded at once
-CACHE_WORDS = 700_000  # words whose ids one Python worker remembers
+CACHE_WORDS = 400_000  # words whose ids one Python worker remembers
 BLOCKS = "start long, n_ids long, width int, payload binary, doc_ids array<long>, doc_starts array<long>"
 ARROW_BLOCKS = pa.schema([
     ("start", pa.int64()), ("n_ids", pa.int64()), ("width", pa.int32()), ("payload", pa.binary()),
@@ -291,7 +291,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
         .repartitionByRange("doc_id", "hash", "tie").sortWithinPartitions("doc_id", "hash", "tie")
         .select("doc_id", "text")
     )
-    blocks = ordered.mapInArrow(lambda it: _blocks(it, tokenizer, end_id, width), BLOCKS)
+    blocks = ordered.mapInArrow(lambda it: tidy(_blocks(it, tokenizer, end_id, width)), BLOCKS)
     blocks.select(F.spark_partition_id().alias("part"), "*").write.mode("overwrite").parquet(path)
 
 
@@ -325,7 +325,7 @@ def read_documents(spark: SparkSession, path: str, with_ids: bool = False) -> Da
     """One row per document from the files: doc_id, start, n_tokens, ids_crc32 and, if asked, ids."""
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids array<long>" if with_ids else "")
     blocks = read_blocks(spark, path).select("block_start", "n_ids", "width", "payload", "doc_ids", "doc_starts")
-    return blocks.mapInPandas(lambda it: _documents(it, with_ids), schema)
+    return blocks.mapInPandas(lambda it: tidy(_documents(it, with_ids)), schema)
 
 
 def read_range(spark: SparkSession, path: str, start: int, n: int) -> DataFrame:
