@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from kilowatch.llm.common import row_shares, tidy, worker_cache
 
 BLOCK_IDS = 1 << 16  # ids after which a block is closed
-SLICE_BYTES = 4 << 20  # text that is encoded at once
-CACHE_WORDS = 400_000  # words whose ids one Python worker remembers
+SLICE_BYTES = 1 << 20  # text that is encoded at once
+CACHE_WORDS = 300_000  # words whose ids one Python worker remembers
 BLOCKS = "start long, n_ids long, width int, payload binary, doc_ids array<long>, doc_starts array<long>"
 ARROW_BLOCKS = pa.schema([
     ("start", pa.int64()), ("n_ids", pa.int64()), ("width", pa.int32()), ("payload", pa.binary()),
