@@ -1,7 +1,8 @@
 """Licence scan by sentence rules.
 
 A text is cut into sentences, which are normalised and looked up in a table of known licence
-sentences; what remains is a sequence of sentence identifiers. Ordered rules, most telling first, name
+sentences; what remains is a sequence of sentence identifiers. A sentence may be wrapped over lines,
+with comment marks before each, and a line may be a sentence of its own. Ordered rules, most telling first, name
 the licence whose identifiers stand one after the other in that sequence (other sentences between
 them do not matter). All of it is string and array functions inside the row: nothing is shuffled.
 """
@@ -119,14 +120,20 @@ def known_sentences(sentences: Sequence[tuple[str, str]]) -> list[tuple[str, str
 
 
 def sentence_ids(text: Column, sentences: Sequence[tuple[str, str]]) -> Column:
-    """Identifiers of the known sentences of a text, in order."""
+    """Identifiers of the known sentences of a text, in order.
+
+    A sentence begins and ends at a line end, or at . ! ? ; : before white space. A single line end
+    inside it counts as a space, a blank line does not; all but letters and digits, also comment marks
+    that begin a line, counts as nothing. Where several fit, the longest counts.
+    """
     known = known_sentences(sentences)
-    lines = F.regexp_replace(F.regexp_replace(F.lower(text), BREAKS, "\n"), OTHER, " ")
+    text = F.replace(F.replace(F.lower(text), F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    text = F.regexp_replace(F.regexp_replace(text, r"[.!?;:][ \t\n]", "\n\n"), OTHER, " ")
+    lines = F.trim(F.regexp_replace(text, " ?\n ?", "\n"))
+    either = "|".join(p.replace(" ", "[ \n]") for _, p in sorted(known, key=lambda k: -len(k[1])))
+    found = F.regexp_extract_all(lines, F.lit(f"(?m)^(?:{either})$"), F.lit(0))
     forms, names = F.array(*[F.lit(p) for _, p in known]), F.array(*[F.lit(n) for n, _ in known])
-    longest = max(len(p) for _, p in known) + 2
-    short = F.filter(F.split(lines, "\n"), lambda s: F.octet_length(s) <= longest)
-    places = F.filter(F.transform(short, lambda s: F.array_position(forms, F.trim(s))), lambda p: p > 0)
-    return F.transform(places, lambda p: F.element_at(names, p.cast("int")))
+    return F.transform(found, lambda s: F.element_at(names, F.array_position(forms, F.replace(s, F.lit("\n"), F.lit(" "))).cast("int")))
 
 
 def licences_of(ids: Column, rules: Sequence[tuple[str, tuple[str, ...]]]) -> Column:

@@ -1,3 +1,5 @@
+import textwrap
+
 from kilowatch.llm import licences
 from kilowatch.llm.common import table
 from tests.compare import connect, differences
@@ -41,3 +43,36 @@ def test_equals_sql_and_empty(spark):
     docs = table(spark, SF_DIR, "documents")
     assert differences(licences.license_scan(docs), connect(SF_DIR), licences.oracle()) == []
     assert licences.license_scan(frame(spark, [])).collect() == []
+
+
+def wrapped(text, mark, width=72):
+    return "\n".join(mark + line for line in textwrap.wrap(text, width))
+
+
+def test_wrapped_and_commented_sentences(spark):
+    rules = [ids for _, ids in licences.RULES]
+    plain = scan(spark, ["\n".join(KNOWN[i] for i in ids) for ids in rules])
+    for mark, width, end in (("", 72, "\n"), ("# ", 40, "\n"), (" * ", 76, "\r\n"), ("// ", 60, "\r")):
+        got = scan(spark, [f"\n{mark}\n".join(wrapped(KNOWN[i], mark, width) for i in ids).replace("\n", end) for ids in rules])
+        assert got == plain, mark
+
+
+def test_licences_as_printed(spark):
+    bsd = """Copyright (c) 2020, A. Author
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+    endorse = "3. " + wrapped(KNOWN["bsd-endorse"], "   ").strip()
+    gpl = wrapped(f"{KNOWN['gpl-warranty']}  {KNOWN['gpl-details']}", "# ")
+    mpl = wrapped(f"{KNOWN['mpl-2.0-header']} If a copy of the MPL was not distributed with this file, You can obtain one at x.", " * ")
+    isc = "ISC License\n\nCopyright (c) 2020 A. Author\n\n" + wrapped(KNOWN["isc-grant"], "")
+    torn = bsd.replace("provided that the", "provided\n\nthat the")
+    got = scan(spark, [bsd, bsd + endorse, gpl, f"/*\n{mpl}\n */", isc, "The\nMIT License\n(MIT)", torn])
+    assert [got[i][0] for i in range(7)] == ["BSD-2-Clause", "BSD-3-Clause", "GPL", "MPL-2.0", "ISC", "MIT", None]
