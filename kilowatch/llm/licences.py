@@ -119,6 +119,12 @@ def known_sentences(sentences: Sequence[tuple[str, str]]) -> list[tuple[str, str
     return out
 
 
+def whole_sentences(sentences: Sequence[tuple[str, str]]) -> list[tuple[tuple[str, ...], str]]:
+    """Per sentence of the table: normal forms of the parts it is cut into, and their identifiers, joined by commas."""
+    known = [known_sentences([sentence]) for sentence in sentences]
+    return [(tuple(p for _, p in parts), ",".join(n for n, _ in parts)) for parts in known if parts]
+
+
 def sentence_ids(text: Column, sentences: Sequence[tuple[str, str]]) -> Column:
     """Identifiers of the known sentences of a text, in order.
 
@@ -126,14 +132,15 @@ def sentence_ids(text: Column, sentences: Sequence[tuple[str, str]]) -> Column:
     inside it counts as a space, a blank line does not; all but letters and digits, also comment marks
     that begin a line, counts as nothing. Where several fit, the longest counts.
     """
-    known = known_sentences(sentences)
+    known = whole_sentences(sentences)
     text = F.replace(F.replace(F.lower(text), F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
     text = F.regexp_replace(F.regexp_replace(text, r"[.!?;:][ \t\n]", "\n\n"), OTHER, " ")
     lines = F.trim(F.regexp_replace(text, " ?\n ?", "\n"))
-    either = "|".join(p.replace(" ", "[ \n]") for _, p in sorted(known, key=lambda k: -len(k[1])))
+    longest_first = sorted((parts for parts, _ in known), key=lambda parts: -sum(map(len, parts)))
+    either = "|".join("\n+".join(p.replace(" ", "[ \n]") for p in parts) for parts in longest_first)
     found = F.regexp_extract_all(lines, F.lit(f"(?m)^(?:{either})$"), F.lit(0))
-    forms, names = F.array(*[F.lit(p) for _, p in known]), F.array(*[F.lit(n) for n, _ in known])
-    return F.transform(found, lambda s: F.element_at(names, F.array_position(forms, F.replace(s, F.lit("\n"), F.lit(" "))).cast("int")))
+    forms, names = F.array(*[F.lit(" ".join(p)) for p, _ in known]), F.array(*[F.lit(n) for _, n in known])
+    return F.transform(found, lambda s: F.element_at(names, F.array_position(forms, F.regexp_replace(s, "\n+", " ")).cast("int")))
 
 
 def licences_of(ids: Column, rules: Sequence[tuple[str, tuple[str, ...]]]) -> Column:

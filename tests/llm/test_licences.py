@@ -76,3 +76,9 @@ modification, are permitted provided that the following conditions are met:
     torn = bsd.replace("provided that the", "provided\n\nthat the")
     got = scan(spark, [bsd, bsd + endorse, gpl, f"/*\n{mpl}\n */", isc, "The\nMIT License\n(MIT)", torn])
     assert [got[i][0] for i in range(7)] == ["BSD-2-Clause", "BSD-3-Clause", "GPL", "MPL-2.0", "ISC", "MIT", None]
+
+
+def test_part_of_a_cut_sentence_names_nothing(spark):
+    warranty = KNOWN["gpl-warranty"].replace("; without", ";\nunrelated line\nwithout")
+    got = scan(spark, ["Name: x\nVersion: 2.0", "2.0", "v. 2.0.", f"{warranty}\n{KNOWN['gpl-details']}", f"{KNOWN['mit-grant']}\n2.0\n{KNOWN['mit-notice']}", KNOWN["mpl-2.0-header"]])
+    assert [got[i][0] for i in range(6)] == [None, None, None, None, "MIT", "MPL-2.0"]
