@@ -31,7 +31,7 @@ PATHS, WORDS, RATIOS = 2048, 256, 5  # sizes of the hashed vectors, number of ra
 WIDTH, HIDDEN = 24, 16
 
 # Names of HTML elements.
-RAW = "script style title textarea iframe noscript noembed noframes template xmp svg math".split()
+RAW = "script style title textarea iframe noscript noembed noframes template xmp".split()
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = set(
     "html body head article section main div p h1 h2 h3 h4 h5 h6 header footer nav aside ul ol li dl dt dd table"
@@ -41,6 +41,11 @@ BLOCK = set(
 # An open element of the second kind ends where one of the first kind begins.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 ENDS_P = BLOCK - {"html", "body", "head", "button", "select", "option", "td", "th", "tr", "caption", "thead", "tbody", "tfoot", "legend"}
+# In svg and math: HTML begins inside the first; outside of those, a start tag of the second ends the svg or math.
+HOLDS_HTML = set("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
+ENDS_FOREIGN = BLOCK | set(
+    "b big br code em embed i img listing meta nobr ruby s small span strong strike sub sup tt u var".split()
+)
 SCOPE = BLOCK - {"p", "h1", "h2", "h3", "h4", "h5", "h6"}
 
 TAG = re.compile(
@@ -64,11 +69,12 @@ def blocks_of(page: str | None) -> list[Block]:
     """Leaf blocks in page order, with character references decoded and white space made single.
 
     Inline elements and line breaks stay inside a block. Unclosed and stray tags are taken as a
-    browser would.
+    browser would. Formulas (math) are text; the text of drawings (svg) is not, except foreignObject.
     """
     page, out = page or "", []
     stack: list[tuple[str, tuple[str, ...]]] = []
     open_tags: dict[str, int] = {}
+    modes = [(-1, False)]  # below each element of the stack: place of the svg or math that is open, and if text is drawn
     parts: list[str] = []
     linked, path = 0, ()
 
@@ -83,11 +89,11 @@ def blocks_of(page: str | None) -> list[Block]:
     def pop_to(at: int) -> None:
         for name, _ in stack[at:]:
             open_tags[name] -= 1
-        del stack[at:]
+        del stack[at:], modes[at + 1 :]
 
     def say(raw: str) -> None:
         nonlocal linked, path
-        if not raw:
+        if not raw or modes[-1][1]:
             return
         text = html.unescape(raw) if "&" in raw else raw
         if not text.isspace():
@@ -107,14 +113,24 @@ def blocks_of(page: str | None) -> list[Block]:
         at = tag.end()
         name = (tag[2] or "").lower()
         if not name:
+            if (modes[-1][0] >= 0 or stack and stack[-1][0] in HOLDS_HTML) and page.startswith("<![CDATA[", tag.start()):
+                end = page.find("]]>", tag.start())
+                say(html.escape(page[tag.start() + 9 : end if end >= 0 else len(page)]))
+                at = end + 3 if end >= 0 else len(page)
             continue
         if tag[1]:
             if name in BLOCK:
                 flush()
+            if name in ("p", "br") and modes[-1][0] >= 0:
+                pop_to(modes[-1][0])
             if open_tags.get(name):
                 pop_to(_last(stack, name))
             continue
-        if name in RAW_END:
+        if modes[-1][0] >= 0 and name in ENDS_FOREIGN:
+            pop_to(modes[-1][0])
+        if (modes[-1][0] >= 0 or name in ("svg", "math")) and tag[3].endswith("/"):
+            continue
+        if name in RAW_END and not (modes[-1][0] >= 0 and modes[-1][1]):
             end = RAW_END[name].search(page, at)
             at = end.end() if end else len(page)
             continue
@@ -140,6 +156,11 @@ def blocks_of(page: str | None) -> list[Block]:
         if name not in VOID:
             stack.append((name, _tokens(name, tag[3])))
             open_tags[name] = open_tags.get(name, 0) + 1
+            root, drawn = modes[-1]
+            if name in ("svg", "math"):
+                modes.append((root if root >= 0 else len(stack) - 1, drawn or name == "svg"))
+            else:
+                modes.append((-1, drawn and name != "foreignobject") if name in HOLDS_HTML else modes[-1])
     flush()
     return out
 

@@ -26,6 +26,26 @@ def test_blocks_of_sloppy_pages():
     assert said("<title>no</title><svg><text>no</text></svg><noscript>no</noscript>yes") == ["yes"]
 
 
+def test_formulas_are_text():
+    assert said("<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> hold.</p>") == ["Let x=2 hold."]
+    assert said("<p>a <math/>b</p><p>c <math><mi>x<p>d</math>e") == ["a b", "c x", "de"]
+    assert said("<p><math><mtext>if <b>b</b></mtext><mspace/><mi>c</mi></math>d") == ["if bcd"]
+
+
+def test_drawings_do_not_end_the_text():
+    icon = "<svg viewBox='0 0 1 1'><title>t</title><g><path d='M0'/><text>no</text></g></svg>"
+    for svg in (icon, "<svg/>", '<svg class="i" />', f"<svg>{icon}no</svg>", f"<svg><g>{icon}</g><text>no</text></svg>", "<svg><style/><title/><script/></svg>"):
+        assert said(f"<p>a {svg}b</p><p>c</p>{icon}") == ["a b", "c"], svg
+    assert said(f"<div><svg><path d=''></div><p>a</p>{icon}b") == ["a", "b"]
+    assert said(f"<svg><g><article>a<p>b</article>c{icon}") == ["a", "b", "c"]
+    assert said("<p>a<svg><path></p>b</svg>c") == ["a", "bc"] and said("<svg><path>no<span>a</span>b") == ["ab"]
+    assert said("<svg>no<foreignObject><p>a</p></foreignObject>no</svg>b") == ["a", "b"]
+    assert said(f"<svg><title>no</svg>a{icon}") == said(f"<svg><style>no</svg>a<p>{icon}") == ["a"]
+    assert said("<svg><style><![CDATA[p>q{} <p>]]></style></svg>a<math><ms><![CDATA[x<y]]></ms></math>") == ["ax<y"]
+    assert said("a<math><![CDATA[x<y>&lt;z]]></math>") == ["ax<y>&lt;z"]
+    assert said("<svg>" + "<path> " * 30_000 + "<p>a") == ["a"]
+
+
 def test_paths_and_links():
     first, second = blocks_of('<body class="x"><nav id="mainMenu"><a href="/">ab</a> cd</nav><div role=main class="post entry-content"><p>ef')
     assert first.path == ("<nav", "main", "menu", "<a") and first.linked == 2
@@ -101,6 +121,13 @@ def test_parts_that_are_not_the_article(labeller):
     assert htmltext.Extractor(labeller).texts([page]) == ["The title\nFirst paragraph of the story.\nOk."]
 
 
+def test_article_with_formulas_and_icons(labeller):
+    page = """<html><body><nav><a href="/"><svg class="logo"/>Home</a></nav><article><h1>The <svg><path d="M0"></svg>title</h1>
+    <p>First <math><mi>a</mi><mo>+</mo><mi>b</mi></math> of the story.</p><svg><circle r="1"><p>More of it here.</p></article>
+    <footer><svg><text>no</text></svg>All rights reserved.</footer></body></html>"""
+    assert htmltext.Extractor(labeller).texts([page]) == ["The title\nFirst a+b of the story.\nMore of it here."]
+
+
 def test_batches_do_not_matter(labeller):
     pages = [None, "", "<article><p>a b c</p></article>", "<nav>" + "<p>x</p>" * 2000 + "</nav>"] * 3
     extractor = htmltext.Extractor(labeller)
