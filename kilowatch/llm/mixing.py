@@ -84,7 +84,7 @@ def leaf_budgets(leaves: DataFrame, budget: Column | int, weights: Mapping[tuple
 
 def mix(
     docs: DataFrame, domain: Column, tokens: Column, weights: Mapping[tuple, int],
-    percent: int = 60, budget: int | None = None, epochs: int = 2, seed: int = 11,
+    percent: int = 60, budget: int | None = None, epochs: int = 2, seed: int = 11, also: Sequence[str] = (),
 ) -> DataFrame:
     """The documents to train on: doc_id, domain, lang, source, epoch, n_tokens; one row per use.
 
@@ -96,10 +96,11 @@ def mix(
 
     A null name of a level counts as the empty name and a null token count as 0; documents without
     tokens come with whole epochs and wherever they stand before the end of a prefix. Rows of one
-    doc_id follow each other in an epoch; equal rows are interchangeable.
+    doc_id follow each other in an epoch; equal rows are interchangeable. Columns named in ``also``
+    are returned too.
     """
     rows = docs.select(
-        "doc_id", domain.alias("domain"), "lang", "source", F.coalesce(tokens, F.lit(0)).cast("long").alias("n_tokens")
+        "doc_id", *also, domain.alias("domain"), "lang", "source", F.coalesce(tokens, F.lit(0)).cast("long").alias("n_tokens")
     ).na.fill("", list(LEVELS))
     rows = stored(rows, "sized")
     leaves = rows.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("rows"))
@@ -112,7 +113,7 @@ def mix(
     plan = plan.withColumn("prefix", F.col("budget") - F.col("whole") * F.col("tokens"))
     plan = stored(plan.withColumn("buckets", F.ceil(F.col("rows") / BUCKET_ROWS)), "mixing-plan")
     planned = rows.join(plan.select(*LEVELS, "whole", "prefix", "buckets"), list(LEVELS))
-    columns = ["doc_id", *LEVELS, "epoch", "n_tokens"]
+    columns = ["doc_id", *LEVELS, "epoch", "n_tokens", *also]
     entire = planned.where("whole > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("whole") - 1)))
     order = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("whole").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     part = planned.where("prefix > 0").withColumn("order", order).withColumn(
@@ -123,7 +124,7 @@ def mix(
     sums = part.groupBy(*keys).agg(F.sum("n_tokens").alias("sum"))
     running = Window.partitionBy(*LEVELS).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select(*keys, F.coalesce(F.sum("sum").over(running), F.lit(0)).alias("start"))
-    inside = Window.partitionBy(*keys).orderBy("order", "doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*keys).orderBy("order", "doc_id", "n_tokens", *also).rowsBetween(Window.unboundedPreceding, -1)
     begun = part.join(starts, keys).where("start < prefix")
     begun = begun.withColumn("at", F.col("start") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
     taken = begun.where("at < prefix").withColumn("epoch", F.col("whole"))
@@ -131,10 +132,17 @@ def mix(
 
 
 def mixed_rows(docs: DataFrame, domain: Column, tokens: Column, weights: Mapping[tuple, int], **options) -> DataFrame:
-    """The rows of ``docs``, all columns, that one epoch at most takes; ids should be unique."""
-    chosen = mix(docs, domain, tokens, weights, epochs=1, **options)
-    ids = stored(chosen.where("doc_id is not null").select("doc_id").distinct(), "mixed")
-    return matching_rows(docs, "doc_id", ids)
+    """The rows of ``docs``, all columns, that one epoch at most takes.
+
+    Rows are numbered and stored first, so that each follows the decision for itself, also where ids
+    are null or repeated.
+    """
+    number = "mixing_row"
+    while number in docs.columns:
+        number += "_"
+    rows = stored(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    chosen = mix(rows, domain, tokens, weights, epochs=1, also=[number], **options)
+    return matching_rows(rows, number, stored(chosen.select(number), "mixed")).select(*docs.columns)
 
 
 # Parameters of the registered query and the pipeline.

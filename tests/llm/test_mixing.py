@@ -99,3 +99,18 @@ def test_empty_and_rows(spark):
     left = mixing.mixed_rows(docs, *columns(), mixing.WEIGHTS, percent=50)
     assert left.columns == docs.columns and 0 < left.count() < docs.count()
     assert mixing.mixed_rows(empty, *columns(), mixing.WEIGHTS).collect() == []
+
+
+def test_mixed_rows_without_own_ids(spark):
+    rows = [(None if i % 3 == 0 else i // 2, "x" * (4 + i), "en", f"src{i % 9}") for i in range(120)]
+    docs = with_clashes(frame(spark, [(*r, i) for i, r in enumerate(rows)]), "mixing_row", "epoch")
+    for percent in (0, 40, 100):
+        chosen = mixing.mix(docs, *columns(), mixing.WEIGHTS, percent=percent, epochs=1)
+        left = mixing.mixed_rows(docs, *columns(), mixing.WEIGHTS, percent=percent)
+        assert left.columns == docs.columns
+        size = mixing.estimated_tokens(F.col("text"))
+        got = left.select("doc_id", "source", size.cast("long").alias("n_tokens"), "n_chars").collect()
+        assert len({r["n_chars"] for r in got}) == len(got)
+        assert sorted((r[0], r[1], r[2]) for r in got if r[0] is not None) == sorted(tuple(r) for r in chosen.where("doc_id is not null").select("doc_id", "source", "n_tokens").collect())
+        assert sorted(tuple(r)[1:3] for r in got if r[0] is None) == sorted(tuple(r) for r in chosen.where("doc_id is null").select("source", "n_tokens").collect())
+    assert len(got) == len(rows)
