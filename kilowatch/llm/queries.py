@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kilowatch.llm import licences, mixing
+from kilowatch.llm import licences, mixing, prefixtrie, quality, vectorcodes
 from kilowatch.llm.common import table
 from kilowatch.session import scratch_path
 
@@ -102,6 +102,21 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base measures and verdict for every document."""
+    return quality.quality_rules(table(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code of every vector in 16 parts of 64 entries, refined twice."""
+    return vectorcodes.code_report(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2)
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of all rebuilt conversations."""
+    return prefixtrie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_near_duplicates": op2_near_duplicates,
@@ -113,11 +128,17 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_license_scan": op9_license_scan,
     "op10_main_text": op10_main_text,
+    "op11_quality_rules": op11_quality_rules,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 ORACLES = {
     "op6_mixing": mixing.oracle(),
     "op9_license_scan": licences.oracle(),
+    "op11_quality_rules": quality.oracle(),
+    "op12_vector_codes": vectorcodes.oracle(),
+    "op13_conversation_trie": prefixtrie.oracle(),
     "op5_topk_search": """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS f FROM embeddings
