@@ -15,6 +15,7 @@ id ``i`` stands at bit ``i * width``. The width follows from the vocabulary, so
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -29,8 +30,11 @@ from pyspark.sql import functions as F
 from kilowatch.llm.common import row_shares, tidy, worker_cache
 
 BLOCK_IDS = 1 << 16  # ids after which a block is closed
-SLICE_BYTES = 1 << 20  # text that is encoded at once
-CACHE_WORDS = 300_000  # words whose ids one Python worker remembers
+SLICE_BYTES = 4 << 20  # text that is encoded at once
+CACHE_WORDS = 2_000_000  # strings whose ids one Python worker remembers, in some 35 bytes each
+CACHE_IDS = 4 * CACHE_WORDS
+MARKS = ".,;:!?%*#&$"  # punctuation that starts a new piece after a letter
+LONG_WORD = 256  # bytes from which a string is not remembered
 BLOCKS = "start long, n_ids long, width int, payload binary, doc_ids array<long>, doc_starts array<long>"
 ARROW_BLOCKS = pa.schema([
     ("start", pa.int64()), ("n_ids", pa.int64()), ("width", pa.int32()), ("payload", pa.binary()),
@@ -78,32 +82,100 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
 
 
-class _Ids:
-    """The ids of many strings in one pool, by number. Number 0 has no ids."""
-
-    def __init__(self):
-        self.starts, self.lengths = np.zeros(1, np.int64), np.zeros(1, np.int64)
-        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
-
-    def put(self, ids: np.ndarray, lengths: np.ndarray) -> int:
-        """Number of the first of several new entries."""
+def tails(strings: pa.Array, heads: pa.Array) -> pa.Array:
+    """What follows ``heads``, the start of each string."""
+    offsets = np.frombuffer(strings.buffers()[1], np.int64)[strings.offset :][: len(strings) + 1]
+    lengths, cut = np.diff(offsets), np.asarray(pc.binary_length(heads), np.int64)
+    octets = np.frombuffer(strings.buffers()[2] or b"", np.uint8)
+    data = octets[ragged(offsets[:-1] + cut, lengths - cut)]
+    ends = np.concatenate([[0], np.cumsum(lengths - cut)]).astype(np.int64)
+    return pa.LargeStringArray.from_buffers(len(strings), pa.py_buffer(ends), pa.py_buffer(data))
+
+
+def _multipliers(n: int, seed: int) -> np.ndarray:
+    """``n`` fixed odd 64-bit numbers, one per position of a byte."""
+    x = (np.arange(1, n + 1, dtype=np.uint64) + np.uint64(seed << 40)) * np.uint64(0x9E3779B97F4A7C15)
+    for shift, m in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(m)
+    return (x ^ (x >> np.uint64(31))) | np.uint64(1)
+
+
+def string_keys(strings: pa.Array, salt: int = 0) -> np.ndarray:
+    """Two 64-bit hash values per string, as columns; both name it."""
+    if len(strings) == 0:
+        return np.zeros((0, 2), np.uint64)
+    strings = strings.cast(pa.large_string())
+    offsets = np.frombuffer(strings.buffers()[1], np.int64)[strings.offset :][: len(strings) + 1]
+    lengths = np.diff(offsets)
+    octets = np.frombuffer(strings.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]].astype(np.uint64) + np.uint64(1)
+    starts = offsets[:-1] - offsets[0]
+    out = np.zeros((len(strings), 2), np.uint64)
+    full = np.flatnonzero(lengths)
+    if len(full):
+        at = np.arange(len(octets)) - np.repeat(starts, lengths)
+        for column in (0, 1):
+            out[full, column] = np.add.reduceat(octets * _multipliers(int(lengths.max()), column)[at], starts[full])
+    return out + (lengths.astype(np.uint64) + np.uint64(salt << 32))[:, None] * np.uint64(0xD6E8FEB86659FD93)
+
+
+class IdTable:
+    """The ids of many strings, by number, and the numbers by the strings' keys, in plain arrays."""
+
+    def __init__(self, dtype):
+        self.first, self.second = np.zeros(0, np.uint64), np.zeros(0, np.uint64)  # keys, ordered by the first
+        self.numbers = np.zeros(0, np.int32)
+        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.pool, self.used = np.zeros(1 << 16, dtype), 0
+
+    def __len__(self) -> int:
+        return len(self.lengths)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Numbers of the strings; -1 if unknown."""
+        if not len(self.first):
+            return np.full(len(keys), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.first, keys[:, 0]), len(self.first) - 1)
+        same = (self.first[at] == keys[:, 0]) & (self.second[at] == keys[:, 1])
+        return np.where(same, self.numbers[at], -1).astype(np.int64)
+
+    def add(self, keys: np.ndarray | None, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Numbers of new entries; without keys they are found by number only, until ``cut``."""
         first, end = len(self.lengths), self.used + len(ids)
         if end > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros(end, np.uint32)])
+            self.pool = np.concatenate([self.pool, np.zeros(max(end - len(self.pool), len(self.pool) // 2), self.pool.dtype)])
         self.pool[self.used : end] = ids
         self.starts = np.concatenate([self.starts, self.used + np.cumsum(lengths) - lengths])
-        self.lengths = np.concatenate([self.lengths, lengths])
+        self.lengths = np.concatenate([self.lengths, lengths.astype(np.int32)])
         self.used = end
-        return first
+        numbers = np.arange(first, first + len(lengths))
+        if keys is not None:
+            self._index(
+                np.concatenate([self.first, keys[:, 0]]), np.concatenate([self.second, keys[:, 1]]),
+                np.concatenate([self.numbers, numbers.astype(np.int32)]),
+            )
+        return numbers
+
+    def _index(self, first: np.ndarray, second: np.ndarray, numbers: np.ndarray) -> None:
+        order = np.argsort(first, kind="stable")
+        self.first, self.second, self.numbers = first[order], second[order], numbers[order]
 
     def get(self, numbers: np.ndarray) -> np.ndarray:
-        return self.pool[ragged(self.starts[numbers], self.lengths[numbers])]
+        return self.pool[ragged(self.starts[numbers], self.lengths[numbers].astype(np.int64))]
+
+    def cut(self, size: int) -> None:
+        """Forget the entries from number ``size`` on, which have no keys."""
+        if size < len(self):
+            self.used = int(self.starts[size])
+            self.starts, self.lengths = self.starts[:size], self.lengths[:size]
 
-    def drop(self, first: int) -> None:
-        """Forget the entries from ``first`` on."""
-        if first < len(self.starts):
-            self.used = int(self.starts[first])
-        self.starts, self.lengths = self.starts[:first], self.lengths[:first]
+    def drop_older_half(self) -> None:
+        gone = len(self) // 2
+        ids, lengths = self.get(np.arange(gone, len(self))), self.lengths[gone:].copy()
+        kept = self.numbers >= gone
+        first, second, numbers = self.first[kept], self.second[kept], self.numbers[kept] - gone
+        self.__init__(self.pool.dtype)
+        self.add(None, ids, lengths)
+        self._index(first, second, numbers)
 
 
 def parts_of(word: str) -> list[tuple[str, bool]]:
@@ -116,7 +188,7 @@ def parts_of(word: str) -> list[tuple[str, bool]]:
     for i, line in enumerate(word.split("\n")):
         if not line or line[0].isspace() or line[-1].isspace():
             return [(word, True)]
-        base = line.rstrip(".,;:!?%*#&$")
+        base = line.rstrip(MARKS)
         apart = len(base) < len(line) and base[-1:].isalpha()
         out.append(("\n" + (base if apart else line), False) if i else (base if apart else line, True))
         if apart:
@@ -130,7 +202,7 @@ class Encoder:
     The tokenizer's pattern always starts a new piece at a single space between two other
     characters, so a text falls into words, each with its leading space, that are encoded apart and
     once. A text with other white space at such a place, or with the opening of a special token, is
-    encoded as one.
+    encoded as one. A full table forgets the older half of its words.
     """
 
     def __init__(self, path: str):
@@ -138,22 +210,22 @@ class Encoder:
         if "tokenizer" not in self.cache:
             from tokenizers import Tokenizer
 
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores have tasks of their own
             self.cache["tokenizer"] = tokenizer = Tokenizer.from_file(path)
             self.cache["line_end"] = tokenizer.encode("\n", add_special_tokens=False).ids
-            self._forget()
-
-    def _forget(self) -> None:
-        # Numbers of words (with a space before them) and of other strings.
-        self.cache.update(words={}, others={}, ids=_Ids())
+            small = tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16
+            self.cache["table"] = IdTable(np.uint16 if small else np.uint32)
 
     def _raw(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of strings and their number for each, a few thousand strings at a time."""
-        ids: list[list[int]] = []
-        for lo in range(0, len(texts), 8192):
-            some = self.cache["tokenizer"].encode_batch_fast(texts[lo : lo + 8192], add_special_tokens=False)
-            ids += [e.ids for e in some]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum())), lengths
+        ids: list[np.ndarray] = [np.zeros(0, np.uint32)]
+        lengths: list[int] = []
+        for lo in range(0, len(texts), 2048):
+            some = [e.ids for e in self.cache["tokenizer"].encode_batch_fast(texts[lo : lo + 2048], add_special_tokens=False)]
+            sizes = list(map(len, some))
+            ids.append(np.fromiter(chain.from_iterable(some), np.uint32, sum(sizes)))
+            lengths += sizes
+        return np.concatenate(ids), np.array(lengths, np.int64)
 
     def _lines(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The same for strings of printable characters, with a line end between them for speed."""
@@ -163,64 +235,122 @@ class Encoder:
         ends = np.flatnonzero(ids == self.cache["line_end"][0])
         return np.delete(ids, ends), np.diff(ends, prepend=-1) - 1
 
-    def _learn(self, new: list[str]) -> None:
-        words, others, store = self.cache["words"], self.cache["others"], self.cache["ids"]
-        fresh, rest = dict.fromkeys(w for w in new if w.isalpha()), [w for w in new if not w.isalpha()]
-        odd = {w for w in rest if not w or w[0].isspace() or w[-1].isspace() or "<|" in w}
-        words.update(dict.fromkeys(odd, 0))
-        split: dict[str, list[tuple[str, bool]]] = {}
-        more: dict[str, None] = {}
-        for w in rest:
-            if w not in odd:
-                parts = parts_of(w)
-                if len(parts) == 1:
-                    fresh[w] = None
-                    continue
-                split[w] = parts
-                for part, spaced in parts:
-                    if spaced and part not in words:
-                        fresh[part] = None
-                    elif not spaced and part not in others:
-                        more[part] = None
-        clear = [w for w in fresh if w.isprintable()]
-        for keys, (ids, lengths) in (
-            (clear, self._lines([" " + w for w in clear])),
-            (unclear := [w for w in fresh if not w.isprintable()], self._raw([" " + w for w in unclear])),
-        ):
-            first = store.put(ids, lengths)
-            words.update(zip(keys, range(first, first + len(keys))))
-        first = store.put(*self._raw(list(more)))
-        others.update(zip(more, range(first, first + len(more))))
+    def _learned(self, strings: pa.Array, spaced: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of new strings, with a space before each if ``spaced``; none for odd words."""
+        if not spaced:
+            return self._raw(strings.to_pylist())
+        if not len(strings):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        # Words that are lines of letters with punctuation behind them, which is nearly all, are taken
+        # apart in columns: letters are learned once, whatever follows them.
+        split = pc.split_pattern(strings.cast(pa.large_string()), "\n")
+        bounds, lines = np.asarray(split.offsets, np.int64), split.flatten()
+        stems = pc.utf8_rtrim(lines, characters=MARKS)
+        marks = tails(lines, stems)
+        letters = np.asarray(pc.utf8_is_alpha(stems))
+        plain = np.logical_and.reduceat(letters, bounds[:-1])
+        marked = np.asarray(pc.binary_length(marks)) > 0
+        alone = plain & (np.diff(bounds) == 1) & ~marked[bounds[:-1]]
+        clear, apart, rest = np.flatnonzero(alone), np.flatnonzero(plain & ~alone), np.flatnonzero(~plain)
+        lengths = np.zeros(len(strings), np.int64)
+        pieces = [(clear, *self._lines([" " + w for w in strings.take(pa.array(clear)).to_pylist()]))]
+        if len(apart):
+            counts = np.diff(bounds)[apart]
+            at = ragged(bounds[:-1][apart], counts)
+            first = np.zeros(len(at), bool)
+            first[np.cumsum(counts) - counts] = True
+            own = stems.take(pa.array(at))
+            numbers = np.full((len(at), 2), -1, np.int64)  # of the letters, of the marks behind them
+            numbers[first, 0] = self._distinct(own.filter(pa.array(first)), True)
+            line_end, none = (pa.scalar(x, pa.large_string()) for x in ("\n", ""))
+            later = pc.binary_join_element_wise(line_end, own.filter(pa.array(~first)), none)
+            numbers[~first, 0] = self._distinct(later, False)
+            numbers[marked[at], 1] = self._distinct(marks.take(pa.array(at[marked[at]])), False)
+            pieces.append((apart, *self._composed(numbers.ravel(), 2 * counts)))
+        if len(rest):
+            pieces += self._others(strings.take(pa.array(rest)).to_pylist(), rest)
+        for places, _, sizes in pieces:
+            lengths[places] = sizes
+        out = np.zeros(int(lengths.sum()), np.uint32)
+        starts = np.cumsum(lengths) - lengths
+        for places, ids, sizes in pieces:
+            out[ragged(starts[places], sizes)] = ids
+        return out, lengths
+
+    def _others(self, texts: list[str], places: np.ndarray) -> list[tuple]:
+        """The same for words with digits, apostrophes or anything else: (places, ids, sizes)."""
+        whole, split, parts = [], [], []
+        for i, w in enumerate(texts):
+            if w and not w[0].isspace() and not w[-1].isspace() and "<|" not in w:
+                found = parts_of(w)
+                if len(found) == 1:
+                    whole.append(i)
+                else:
+                    split.append(i)
+                    parts.append(found)
+        pieces = [(places[whole], *self._raw([" " + texts[i] for i in whole]))]
         if split:
-            numbers = np.array([(words if spaced else others)[part] for parts in split.values() for part, spaced in parts], np.int64)
-            counts = np.fromiter(map(len, split.values()), np.int64, len(split))
-            first = store.put(store.get(numbers), np.add.reduceat(store.lengths[numbers], np.cumsum(counts) - counts))
-            words.update(zip(split, range(first, first + len(split))))
+            flat = [p for found in parts for p in found]
+            numbers = np.zeros(len(flat), np.int64)
+            for kind in (True, False):
+                at = [i for i, p in enumerate(flat) if p[1] == kind]
+                numbers[at] = self._distinct(pa.array([flat[i][0] for i in at], pa.large_string()), kind)
+            pieces.append((places[split], *self._composed(numbers, np.fromiter(map(len, parts), np.int64, len(parts)))))
+        return pieces
+
+    def _distinct(self, strings: pa.Array, spaced: bool) -> np.ndarray:
+        """Numbers of strings of which some may be equal."""
+        if not len(strings):
+            return np.zeros(0, np.int64)
+        found = strings.dictionary_encode()
+        return self._numbers(found.dictionary, spaced)[np.asarray(found.indices)]
+
+    def _composed(self, numbers: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of strings made of ``counts`` parts each; a part of number -1 is none."""
+        table, taken = self.cache["table"], numbers >= 0
+        sizes = np.where(taken, table.lengths[numbers], 0).astype(np.int64)
+        return table.get(numbers[taken]), np.add.reduceat(sizes, np.cumsum(counts) - counts)
+
+    def _numbers(self, strings: pa.Array, spaced: bool = True) -> np.ndarray:
+        """Numbers of distinct strings in the table; new ones are learned."""
+        table, keys = self.cache["table"], string_keys(strings, 0 if spaced else 1)
+        numbers = table.find(keys)
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            ids, lengths = self._learned(strings.take(pa.array(new)), spaced)
+            numbers[new] = table.add(keys[new], ids, lengths)
+        return numbers
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and their number for each text."""
         if not len(texts):
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        if len(self.cache["words"]) + len(self.cache["others"]) > CACHE_WORDS:
-            self._forget()
-        known, store = self.cache["words"], self.cache["ids"]
+        table = self.cache["table"]
+        if len(table) > CACHE_WORDS or table.used > CACHE_IDS:
+            table.drop_older_half()
         split = pc.split_pattern(texts, " ")
         bounds = np.asarray(split.offsets, np.int64)
         found = split.flatten().dictionary_encode()
-        unique, at = found.dictionary.to_numpy(zero_copy_only=False).tolist(), np.asarray(found.indices)
-        self._learn([w for w in unique if w not in known])
-        words = np.fromiter(map(known.__getitem__, unique), np.int64, len(unique))[at]
+        unique, at = found.dictionary, np.asarray(found.indices)
+        short = np.asarray(pc.less(pc.binary_length(unique), LONG_WORD))
+        numbers = np.zeros(len(unique), np.int64)
+        numbers[short] = self._numbers(unique.filter(pa.array(short)))
+        long = self._learned(unique.filter(pa.array(~short)), True)  # seen once, most likely
+        size = len(table)  # what is added from here on is not remembered
+        numbers[~short] = table.add(None, *long)
+        odd = table.lengths[numbers] == 0
         # The first word of a text has no space before it; a text with an odd word is encoded whole.
         firsts = bounds[:-1]
-        heads = [unique[at[i]] for i in firsts]
-        words[firsts] = np.where([not h or h[0].isspace() or h[-1].isspace() or "<|" in h for h in heads], 0, -1)
-        for i in np.flatnonzero(np.logical_or.reduceat(words == 0, firsts)):
-            words[bounds[i] : bounds[i + 1]] = 0
+        heads = unique.take(pa.array(at[firsts])).to_pylist()
+        words = numbers[at]
+        apart = odd[at]
+        apart[firsts] = odd[at[firsts]]
+        for i in np.flatnonzero(np.logical_or.reduceat(apart, firsts)):
+            words[bounds[i] : bounds[i + 1]] = -1
             heads[i] = texts[int(i)].as_py()
-        last = len(store.lengths)
-        words[firsts] = store.put(*self._raw(heads)) + np.arange(len(heads))
-        out, sizes = store.get(words), np.add.reduceat(store.lengths[words], firsts)
-        store.drop(last)
+        words[firsts] = table.add(None, *self._raw(heads))
+        out, sizes = self._composed(words, np.diff(bounds))
+        table.cut(size)
         return out, sizes
 
 

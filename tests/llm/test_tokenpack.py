@@ -86,3 +86,41 @@ def test_repeated_rows_null_ids_and_empty_table(spark, tmp_path):
     assert len(got) == 32 and got[0]["doc_id"] is None
     for a, b in zip(got, got[1:]):
         assert b["start"] == a["start"] + a["n_tokens"]
+
+
+def test_table_of_strings():
+    """Keys tell strings apart by every byte, length and kind; the older half goes, the rest stays."""
+    strings = ["", "a", "b", "ab", "ba", "aa", "a\x00", "\x00a", "é" * 300, "日本"]
+    keys = {tuple(k) for salt in (0, 1) for k in tokenpack.string_keys(pa.array(strings), salt).tolist()}
+    assert len(keys) == 2 * len(strings)
+    assert tokenpack.string_keys(pa.array(["x", *strings])[1:]).tolist() == tokenpack.string_keys(pa.array(strings)).tolist()
+    table = tokenpack.IdTable(np.uint16)
+    rng = random.Random(1)
+    kept = {}
+    for turn in range(30):
+        new = [f"w{turn}-{i}" for i in range(50)]
+        ids = [[rng.randrange(2**16) for _ in range(rng.randint(0, 4))] for _ in new]
+        kept.update(zip(new, ids))
+        numbers = table.add(tokenpack.string_keys(pa.array(new)), np.array(sum(ids, []), np.uint32), np.array([len(x) for x in ids]))
+        assert table.get(numbers).tolist() == sum(ids, [])
+        if turn == 20:
+            table.drop_older_half()
+    names = list(kept)
+    found = table.find(tokenpack.string_keys(pa.array(names)))
+    assert (found[-900:] >= 0).all() and (found[:500] < 0).all()
+    for name, n in zip(names, found):
+        if n >= 0:
+            assert table.get(np.array([n])).tolist() == kept[name]
+
+
+def test_long_words_and_cut_tables(monkeypatch):
+    rng = random.Random(9)
+    monkeypatch.setattr(tokenpack, "LONG_WORD", 12)
+    monkeypatch.setattr(tokenpack, "CACHE_IDS", 300)
+    letters = ["abc", "de", "é", "ü.", ",\n", "!", "12", "\nZ", "#$", "'s"]
+    texts = [" ".join("".join(rng.choice(letters) for _ in range(rng.randint(1, 12))) for _ in range(rng.randint(1, 40))) for _ in range(400)]
+    want = [e.ids for e in Tokenizer.from_file(TOKENIZER).encode_batch(texts, add_special_tokens=False)]
+    encoder = tokenpack.Encoder(TOKENIZER)
+    for lo in range(0, len(texts), 37):
+        ids, sizes = encoder.encode(pa.array(texts[lo : lo + 37]))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == want[lo : lo + 37]
