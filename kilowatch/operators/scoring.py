@@ -11,13 +11,10 @@ one thing here that no window expression gives:
 * anything else: counter - 1, not below 0
 * warm-up and flatline readings leave it alone
 
-Every meter is cut into time slices (``slices.py``), and everything below is done per slice.
-Counting *every* spike and high reading as + 1 gives an upper bound that is a window expression
-again: a sum of steps minus its running minimum. In a slice that the bound enters at 0, the counter
-is the bound, unless the bound passes ``sustained`` at a high reading. Only the other slices are
-counted row by row: each is folded, on its own, to the map from the counter at its entry to the one
-at its end; the maps of a meter's few slices give each slice its entry value; then its rows are
-counted from there. No task ever needs more than one slice of a meter.
+The rows are laid out in order and cut into slices (``slices.py``); a meter that lies in several is put
+together from what each slice passes on: its moments, and the map from the counter at its entry to the
+counter at its end (``CountMap``, a few numbers whatever the length). So every row is scored in the
+task of its slice, and a stored end state of earlier readings is just one more slice in front.
 """
 
 from __future__ import annotations
@@ -25,15 +22,16 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from kilowatch.functions.clock import epoch_us
-from kilowatch.operators.slices import DAY_US, SLICE_DAYS, before, slice_of, with_slice, within
-from kilowatch.session import cut_lineage, stored
+from kilowatch.operators.slices import HOUR_US, before, in_order, same_slice, within
+from kilowatch.session import stored
 
 # Scoring thresholds and label names.
 THRESHOLD = 3.0
@@ -62,12 +60,13 @@ def next_count(kind: int, count: int, sustained: int) -> int:
 # --- running mean and deviation -------------------------------------------------------------
 
 
-def _moments(sliced: DataFrame, value: str, order: list[str]) -> DataFrame:
-    """n, rolling_mean, rolling_stddev over all readings of the meter so far; NULLs do not count."""
-    w, x = within("meter_id", *order), F.col(value)
-    inside = sliced.join(_moment_carry(sliced, value), ["meter_id", "_slice"], "left").withColumns(
-        {"_n1": F.count(x).over(w), "_mean1": F.avg(x).over(w), "_var1": F.var_pop(x).over(w)}
-    )
+def _moments(rows: DataFrame, value: str) -> DataFrame:
+    """n, rolling_mean, rolling_stddev over all readings of the meter so far; NULLs do not count.
+
+    ``rows`` hold the moments of what came before their slice in _n0, _mean0 and _m20, or null.
+    """
+    w, x = within("meter_id"), F.col(value)
+    inside = rows.withColumns({"_n1": F.count(x).over(w), "_mean1": F.avg(x).over(w), "_var1": F.var_pop(x).over(w)})
     n0, n1 = F.col("_n0"), F.col("_n1")
     n = n1 + F.coalesce(n0, F.lit(0))
     gap = F.col("_mean1") - F.col("_mean0")
@@ -80,29 +79,41 @@ def _moments(sliced: DataFrame, value: str, order: list[str]) -> DataFrame:
     ).drop("_n0", "_mean0", "_m20", "_n1", "_mean1", "_var1")
 
 
-def _moment_carry(sliced: DataFrame, value: str) -> DataFrame:
-    """Count, mean and squared deviations of all earlier slices, per slice of a meter."""
+def _spans(rows: DataFrame, value: str, state: DataFrame | None) -> DataFrame:
+    """Slices of the meters that lie in several, or go on from a stored state: meter_id, _slice, whether a
+    later one follows (_last false), and count, mean and squared deviations of what came before.
+
+    A stored state is slice -1.
+    """
     x = F.col(value)
-    parts = sliced.groupBy("meter_id", "_slice").agg(
+    parts = rows.groupBy("meter_id", "_slice").agg(
         F.count(x).alias("_n"), F.coalesce(F.avg(x), F.lit(0.0)).alias("_mu"),
         F.coalesce(F.var_pop(x) * F.count(x), F.lit(0.0)).alias("_m2"),
     )
+    if state is not None:
+        known = state.select(
+            "meter_id", F.lit(-1).cast("long").alias("_slice"), F.col("n").alias("_n"),
+            F.coalesce("mean", F.lit(0.0)).alias("_mu"), F.coalesce("m2", F.lit(0.0)).alias("_m2"),
+        )
+        meters = parts.select(F.col("meter_id").alias("_meter")).distinct()
+        parts = parts.unionByName(known.join(meters, F.col("meter_id").eqNullSafe(F.col("_meter")), "left_semi"))
     # Deviations from the overall mean of the meter keep the sums of squares well conditioned.
     everything = W.partitionBy("meter_id")
     grand = F.sum(F.col("_n") * F.col("_mu")).over(everything) / F.sum("_n").over(everything)
-    parts = parts.withColumn("_g", grand).withColumn("_d", F.col("_mu") - F.col("_g"))
+    parts = parts.withColumns({
+        "_g": F.coalesce(grand, F.lit(0.0)), "_slices": F.count(F.lit(1)).over(everything),
+        "_last": F.max("_slice").over(everything) == F.col("_slice"),
+    }).where("_slices > 1").withColumn("_d", F.col("_mu") - F.col("_g"))
     w = before("meter_id")
     n, d = F.col("_n"), F.col("_d")
     sums = parts.select(
-        "meter_id", "_slice", "_g",
-        F.sum("_n").over(w).alias("_n0"),
-        F.sum(n * d).over(w).alias("_s0"),
-        F.sum(F.col("_m2") + n * d * d).over(w).alias("_q0"),
-    ).where(F.col("_n0") > 0)
+        "meter_id", "_slice", "_last", "_g", F.sum("_n").over(w).alias("_n0"),
+        F.sum(n * d).over(w).alias("_s0"), F.sum(F.col("_m2") + n * d * d).over(w).alias("_q0"),
+    ).where("_slice >= 0")
+    some, s0 = F.col("_n0") > 0, F.col("_s0") / F.col("_n0")
     return sums.select(
-        "meter_id", "_slice", "_n0",
-        (F.col("_g") + F.col("_s0") / F.col("_n0")).alias("_mean0"),
-        (F.col("_q0") - F.col("_s0") * F.col("_s0") / F.col("_n0")).alias("_m20"),
+        "meter_id", "_slice", "_last", F.when(some, F.col("_n0")).alias("_n0"),
+        F.when(some, F.col("_g") + s0).alias("_mean0"), F.when(some, F.col("_q0") - F.col("_s0") * s0).alias("_m20"),
     )
 
 
@@ -123,158 +134,195 @@ def _with_z(df: DataFrame, p: dict) -> DataFrame:
     return out.withColumn("_kind", kind)
 
 
-def _step() -> Column:
-    return (
-        F.when(F.col("_kind").isin(K_SPIKE, K_HIGH), 1).when(F.col("_kind") == K_LOW, -1).otherwise(0)
-    ).cast("bigint")
+# --- counter --------------------------------------------------------------------------------
 
+# A counter map that takes every entry to the same value.
+CONSTANT = 1 << 62
+MAPS = "_low long, _head array<long>, _tail long"
 
-# --- counter --------------------------------------------------------------------------------
 
+class CountMap:
+    """The counter after some readings as a function of the counter before them.
 
-def _walk_carry(z: DataFrame, order: list[str]) -> DataFrame:
-    """Sum of steps and its running minimum over all earlier slices, and the slice before."""
-    parts = (
-        z.select("meter_id", "_slice", *order, _step().alias("_d"))
-        .withColumn("_x", F.sum("_d").over(within("meter_id", *order)))
-        .groupBy("meter_id", "_slice")
-        .agg(F.sum("_d").alias("_d"), F.min("_x").alias("_lo"))
-    )
-    w = before("meter_id")
-    parts = parts.withColumn("_x0", F.coalesce(F.sum("_d").over(w), F.lit(0)))
-    parts = parts.withColumn("_level", F.col("_x0") + F.col("_lo"))
-    return parts.select(
-        "meter_id", "_slice", "_x0",
-        F.least(F.lit(0), F.coalesce(F.min("_level").over(w), F.lit(0))).alias("_floor0"),
-        F.max("_slice").over(w).alias("_previous"),
-    )
+    No step raises the difference of two counters, so the map is ``low`` at entry 0 and grows by one at
+    some entries: those in ``head``, fewer than ``sustained``, and all from ``tail`` on.
+    """
 
+    def __init__(self, sustained: int):
+        self.low, self.head, self.tail, self.sustained = 0, [], 0, sustained
+
+    def spike(self) -> None:
+        self.low += 1
+
+    def high(self) -> None:
+        # Counters of sustained - 1 and of sustained become one.
+        if self.low >= self.sustained:
+            return
+        meet = self.sustained - 1 - self.low
+        if meet < len(self.head):
+            del self.head[meet]
+        else:
+            upto = self.tail + meet - len(self.head)
+            self.head += range(self.tail, upto)
+            self.tail = upto + 1
+        self.low += 1
+
+    def lows(self, times: int) -> None:
+        fall = min(self.low, times)
+        self.low, times = self.low - fall, times - fall
+        gone = min(len(self.head), times)
+        del self.head[:gone]
+        self.tail += times - gone
 
-def _with_bound(z: DataFrame, order: list[str], sustained: int) -> DataFrame:
-    """Upper bound of the counter at a reading (``_bound``) and at the entry of its slice (``_in``),
-    and whether the slice is to be counted row by row (``_hard``)."""
-    w = within("meter_id", *order)
-    walk = z.join(_walk_carry(z, order), ["meter_id", "_slice"]).withColumn(
-        "_x", F.sum(_step()).over(w) + F.col("_x0")
-    )
-    floor = F.least(F.min("_x").over(w), F.col("_floor0"))
-    walk = walk.withColumns({"_bound": F.col("_x") - floor, "_in": F.col("_x0") - F.col("_floor0")})
-    parted = (F.col("_kind") == K_HIGH) & (F.col("_bound") > sustained)
-    hard = (F.col("_in") > 0) | F.max(parted).over(W.partitionBy("meter_id", "_slice"))
-    return walk.withColumn("_hard", hard).drop("_x", "_x0", "_floor0")
+    def at(self, entry: int) -> int:
+        return count_at(self.low, self.head, self.tail, entry)
 
 
-class SliceMap:
-    """The counter after some readings as a function of the counter before them.
+def count_at(low: int, head, tail: int, entry: int) -> int:
+    return low + bisect_left(head, entry) + max(0, entry - tail)
 
-    The three steps never raise the difference of two counters, so the map is ``low`` at entry 0 and
-    grows by one at each of ``rises``: entries c for which c and c + 1 still differ. Entries up to
-    ``most`` are told apart.
-    """
 
-    def __init__(self, most: int, sustained: int):
-        self.low, self.rises, self.sustained = 0, list(range(most)), sustained
-
-    def step(self, kind: int) -> None:
-        if kind == K_SPIKE:
-            self.low += 1
-        elif kind == K_HIGH and self.low < self.sustained:
-            # Counters of sustained - 1 and of sustained become one.
-            meet = self.sustained - 1 - self.low
-            if meet < len(self.rises):
-                del self.rises[meet]
-            self.low += 1
-        elif kind == K_LOW:
-            if self.low:
-                self.low -= 1
-            elif self.rises:
-                del self.rises[0]
+def _events(kinds: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of spikes, highs and first rows of segments, and the number of lows before each row."""
+    lows = np.concatenate([[0], np.cumsum(kinds == K_LOW)])
+    return np.flatnonzero((kinds == K_SPIKE) | (kinds == K_HIGH) | firsts), lows
 
-    def at(self, entry: int) -> int:
-        return self.low + bisect_left(self.rises, entry)
 
+def _count_maps(batches: Iterator[pa.RecordBatch], sustained: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """One row per meter and slice; rows come in order, segment after segment. ``_row`` counts in a segment."""
+    key, fold, names = None, None, schema.names[:2]
+
+    def row() -> pa.RecordBatch:
+        return pa.RecordBatch.from_pylist([dict(zip(schema.names, (*key, fold.low, fold.head, fold.tail)))], schema=schema)
 
-def _slice_maps(batches: Iterator[pd.DataFrame], sustained: int) -> Iterator[pd.DataFrame]:
-    """One row per slice; rows come in the order of the readings, slice after slice."""
-    key, fold = None, None
-    columns = ["meter_id", "_slice", "_previous", "_in", "_low", "_rises"]
     for batch in batches:
-        out = []
-        rows = zip(batch["meter_id"], batch["_slice"], batch["_previous"], batch["_in"], batch["_kind"])
-        for meter, part, previous, entry, kind in rows:
-            if (meter, part) != (key[:2] if key else None):
-                if key:
-                    out.append((*key, fold.low, fold.rises))
-                key, fold = (meter, part, None if pd.isna(previous) else int(previous), int(entry)), SliceMap(int(entry), sustained)
-            fold.step(kind)
-        if out:
-            yield pd.DataFrame(out, columns=columns).astype({"_previous": "Int64"})
-    if key:
-        yield pd.DataFrame([(*key, fold.low, fold.rises)], columns=columns).astype({"_previous": "Int64"})
-
-
-def _slice_entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The counter at the entry of each slice; rows come by meter and slice.
-
-    After a slice that was not counted row by row the bound is the counter.
-    """
+        kinds, firsts = np.asarray(batch.column("_kind")), np.asarray(batch.column("_row")) == 1
+        at, lows = _events(kinds, firsts)
+        done = 0
+        for i in at.tolist():
+            if key is not None:
+                fold.lows(int(lows[i] - lows[done]))
+            if firsts[i]:
+                if key is not None:
+                    yield row()
+                key, fold = tuple(batch.column(n)[i].as_py() for n in names), CountMap(sustained)
+            if kinds[i] == K_SPIKE:
+                fold.spike()
+            elif kinds[i] == K_HIGH:
+                fold.high()
+            elif kinds[i] == K_LOW:
+                fold.lows(1)
+            done = i + 1
+        if key is not None:
+            fold.lows(int(lows[-1] - lows[done]))
+    if key is not None:
+        yield row()
+
+
+def _entries(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """The counter at the end of each slice of a meter; rows come by meter and slice."""
     last, end = None, 0
     for batch in batches:
-        entries = []
-        for row in batch.itertuples(index=False):
-            meter, part, previous, bound, low, rises = row
-            entry = end if last == (meter, previous) else int(bound)
-            last, end = (meter, part), int(low) + bisect_left(list(rises), entry)
-            entries.append(entry)
-        yield batch[["meter_id", "_slice"]].assign(_entry=entries)
-
-
-def _count_along(batches: Iterator[pd.DataFrame], sustained: int) -> Iterator[pd.DataFrame]:
-    """``_before``: the counter before each reading, from the entry value of its slice."""
-    key, count = None, 0
+        out = []
+        for meter, part, low, head, tail in zip(*(batch.column(c).to_pylist() for c in ("meter_id", "_slice", "_low", "_head", "_tail"))):
+            end = count_at(low, head, tail, end if last is not None and last == (meter,) else 0)
+            last = (meter,)
+            out.append({"meter_id": meter, "_slice": part, "_end": end})
+        yield pa.RecordBatch.from_pylist(out, schema=schema)
+
+
+def _count_along(batches: Iterator[pa.RecordBatch], sustained: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """``_before`` and ``consecutive_high``: the counter before and after each reading.
+
+    Rows come in order, segment after segment; the counter of a segment starts at its ``_entry``. Only
+    spikes, highs and first rows are walked; the counter falls evenly in between.
+    """
+    count = 0  # after the last row
     for batch in batches:
-        befores = []
-        for meter, part, entry, kind in zip(batch["meter_id"], batch["_slice"], batch["_entry"], batch["_kind"]):
-            if (meter, part) != key:
-                key, count = (meter, part), int(entry)
-            befores.append(count)
-            count = next_count(kind, count, sustained)
-        yield batch.drop(columns="_entry").assign(_before=befores)
-
-
-def _with_count(bound: DataFrame, order: list[str], sustained: int) -> DataFrame:
-    """``_before``: the counter before each reading."""
-    exact = bound.where(~F.col("_hard")).withColumn("_before", F.greatest(F.col("_bound") - 1, F.lit(0)))
-    hard = cut_lineage(bound.where("_hard"))  # a small part of all slices; read twice
-    keys = ["meter_id", "_slice"]
-    meter = hard.schema["meter_id"].dataType.simpleString()
-    ordered = hard.repartition(*keys).sortWithinPartitions(*keys, *order)
-    maps = ordered.select(*keys, "_previous", "_in", "_kind").mapInPandas(
-        lambda it: _slice_maps(it, sustained),
-        f"meter_id {meter}, _slice long, _previous long, _in long, _low long, _rises array<long>",
+        kinds, firsts = np.asarray(batch.column("_kind")), np.asarray(batch.column("_row")) == 1
+        entries = np.asarray(batch.column("_entry").fill_null(0))
+        at, lows = _events(kinds, firsts)
+        anchors, values, done = [0], [count], 0  # the counter before the rows from an anchor on
+        for i in at.tolist():
+            count = int(entries[i]) if firsts[i] else max(0, count - int(lows[i] - lows[done]))
+            if firsts[i]:
+                anchors.append(i)
+                values.append(count)
+            count = next_count(int(kinds[i]), count, sustained)
+            done = i + 1
+            anchors.append(done)
+            values.append(count)
+        # Of several anchors at one row the last holds.
+        where = np.searchsorted(np.array(anchors), np.arange(len(kinds)), "right") - 1
+        start = np.array(anchors)[where]
+        befores = np.maximum(0, np.array(values)[where] - (lows[:-1] - lows[start]))
+        rises = (kinds == K_SPIKE) | ((kinds == K_HIGH) & (befores < sustained))
+        afters = np.where(rises, befores + 1, np.where(kinds == K_LOW, np.maximum(0, befores - 1), befores))
+        if len(kinds):
+            count = int(afters[-1])
+        columns = [*(batch.column(n) for n in schema.names[:-2]), pa.array(befores, pa.int64()), pa.array(afters, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+
+def _arrow(schema: StructType) -> pa.Schema:
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    return to_arrow_schema(schema)
+
+
+def _in_segments(rows: DataFrame) -> DataFrame:
+    """Rows with their number ``_row`` in their meter and slice, segment after segment in every task."""
+    w = W.partitionBy("meter_id", "_slice").orderBy("_at")
+    return rows.withColumn("_row", F.row_number().over(w)).sortWithinPartitions("meter_id", "_slice", "_at")
+
+
+def _ends(kinds: DataFrame, sustained: int, state: DataFrame | None) -> DataFrame:
+    """meter_id, _slice, _end: the counter at the end of the slices that others follow."""
+    meter = kinds.schema["meter_id"]
+    keys = StructType([meter, StructField("_slice", LongType())])
+    map_type = StructType([*keys.fields, *StructType.fromDDL(MAPS).fields])
+    end_type = StructType([*keys.fields, StructField("_end", LongType())])
+    arrow_map, arrow_end = _arrow(map_type), _arrow(end_type)
+    maps = _in_segments(kinds).select("meter_id", "_slice", "_kind", "_row").mapInArrow(
+        lambda it: _count_maps(it, sustained, arrow_map), map_type
     )
-    entries = maps.repartition("meter_id").sortWithinPartitions(*keys).mapInPandas(
-        _slice_entries, f"meter_id {meter}, _slice long, _entry long"
+    if state is not None:
+        maps = maps.unionByName(state.select(
+            "meter_id", F.lit(-1).cast("long").alias("_slice"), F.col("consecutive_high").cast("long").alias("_low"),
+            F.array().cast("array<long>").alias("_head"), F.lit(CONSTANT).alias("_tail"),
+        ))
+    return maps.repartition("meter_id").sortWithinPartitions("meter_id", "_slice").mapInArrow(
+        lambda it: _entries(it, arrow_end), end_type
     )
-    schema = StructType([*bound.schema.fields, StructField("_before", LongType())])
-    counted = (
-        hard.join(entries, keys).select(*bound.columns, "_entry")
-        .repartition(*keys).sortWithinPartitions(*keys, *order)
-        .mapInPandas(lambda it: _count_along(it, sustained), schema)
-    )
-    return exact.unionByName(counted)
-
-
-def _after(sustained: int) -> Column:
-    """The counter after a reading."""
-    kind, count = F.col("_kind"), F.col("_before")
-    rises = (kind == K_SPIKE) | ((kind == K_HIGH) & (count < sustained))
-    return (
-        F.when(~F.col("_hard"), F.col("_bound"))
-        .when(rises, count + 1)
-        .when(kind == K_LOW, F.greatest(count - 1, F.lit(0)))
-        .otherwise(count)
+
+
+def _carried(rows: DataFrame, p: dict, kinds_of, state: DataFrame | None) -> DataFrame:
+    """Rows with _n0, _mean0, _m20 and _entry: what came before their slice."""
+    spans = stored(_spans(rows, p["value"], state), "spans")
+    slim = rows.select(*[c for c in rows.columns if c in {"meter_id", "_slice", "_at", p["value"], "n", "rolling_mean", "rolling_stddev"}])
+    followed = spans.where("not _last")
+    inner = slim.join(followed, same_slice(slim, followed)).select(slim["*"], "_n0", "_mean0", "_m20")
+    ends = _ends(kinds_of(inner), p["sustained"], state)
+    # The counter at the entry of a slice is that at the end of the one before.
+    closed = spans.select("meter_id", "_slice").unionByName(ends.where("_slice < 0").select("meter_id", "_slice"))
+    closed = closed.join(
+        ends.withColumnsRenamed({"meter_id": "_m", "_slice": "_s"}),
+        closed["meter_id"].eqNullSafe(F.col("_m")) & (closed["_slice"] == F.col("_s")), "left",
+    ).withColumn("_entry", F.lag("_end").over(W.partitionBy("meter_id").orderBy("_slice")))
+    entries = closed.where("_slice >= 0").select(F.col("meter_id").alias("_m"), F.col("_slice").alias("_s"), "_entry")
+    carry = spans.join(entries, spans["meter_id"].eqNullSafe(F.col("_m")) & (spans["_slice"] == F.col("_s"))).select(
+        spans["meter_id"], spans["_slice"], "_n0", "_mean0", "_m20", "_entry"
     )
+    carry = stored(carry, "carry")
+    return rows.join(carry, same_slice(rows, carry), "left").select(rows["*"], "_n0", "_mean0", "_m20", "_entry")
+
+
+def _with_count(kinds: DataFrame, sustained: int) -> DataFrame:
+    """``_before`` and ``consecutive_high``: the counter before and after each reading."""
+    rows = _in_segments(kinds)
+    schema = StructType([*rows.schema.fields, StructField("_before", LongType()), StructField("consecutive_high", LongType())])
+    arrow = _arrow(schema)
+    return rows.mapInArrow(lambda it: _count_along(it, sustained, arrow), schema)
 
 
 def _label(df: DataFrame, p: dict) -> DataFrame:
@@ -294,33 +342,62 @@ def _label(df: DataFrame, p: dict) -> DataFrame:
         .when(F.col("anomaly_type") == ELEVATION, 2.0 + F.col("_before") / 10.0)
         .otherwise(0.0)
     )
-    return out.withColumns(
-        {
-            "severity": severity,
-            "is_anomaly": F.col("anomaly_type") != NORMAL,
-            "consecutive_high": _after(p["sustained"]),
-        }
-    ).drop("_kind", "_before", "_slice", "_previous", "_in", "_bound", "_hard")
+    return out.withColumns({"severity": severity, "is_anomaly": F.col("anomaly_type") != NORMAL}).drop(
+        "_kind", "_before", "_slice", "_at", "_entry", "_row"
+    )
 
 
 # --- rolling window variant -----------------------------------------------------------------
 
 
-def _window_moments(readings: DataFrame, days: int, value: str, order: list[str]) -> DataFrame:
+def _window_moments(readings: DataFrame, days: int, value: str, ts: str) -> DataFrame:
     """n, rolling_mean, rolling_stddev over the last ``days`` days, both ends and all ties included.
 
-    A plain range window per slice. Readings of the last ``days`` days of a slice are also offered to
-    the next one, as context that is left out again afterwards.
+    The window of a reading has three parts: its own hour up to the reading, the whole hours before, and
+    the end of the hour that the window begins in. The first and last are running values inside an hour
+    (the last one from behind, over the readings moved ``days`` days on); the hours are folded to
+    count, mean and squared deviations once. So the cost is linear in the readings, however many fall into
+    a window. A reading without time is in no window, and has an empty one.
     """
-    at = epoch_us(F.col(order[0]))
-    unit = max(SLICE_DAYS, days)
-    own, last = slice_of(at, unit), slice_of(at + days * DAY_US, unit)
-    offered = readings.withColumns({"_at": at, "_own": own, "_slice": F.explode(F.sequence(own, last))})
-    w = W.partitionBy("meter_id", "_slice").orderBy("_at").rangeBetween(-days * DAY_US, 0)
-    x = F.col(value)
-    return offered.withColumns(
-        {"n": F.count(x).over(w), "rolling_mean": F.avg(x).over(w), "rolling_stddev": F.stddev_pop(x).over(w)}
-    ).where("_slice = _own").drop("_at", "_own", "_slice")
+    x, hours = F.col(value), days * 24
+    own = readings.withColumns({"_us": epoch_us(F.col(ts)), "_own": F.lit(True)})
+    own = own.withColumn("_hour", F.floor(F.col("_us") / HOUR_US).cast("long"))
+    slim = own.where("_us is not null").select("meter_id", "_us", "_hour", value)
+    moved = slim.select(
+        "meter_id", (F.col("_us") + hours * HOUR_US).alias("_us"), (F.col("_hour") + hours).alias("_hour"), value,
+        F.lit(False).alias("_own"),
+    )
+    hourly = slim.groupBy("meter_id", "_hour").agg(
+        F.count(x).alias("n"), F.avg(x).alias("mu"), (F.var_pop(x) * F.count(x)).alias("m2")
+    )
+    span = W.partitionBy("meter_id").orderBy("_hour").rangeBetween(1 - hours, -1)
+    whole = hourly.select("meter_id", "_hour", F.collect_list(F.when(F.col("n") > 0, F.struct("n", "mu", "m2"))).over(span).alias("_whole"))
+    place = W.partitionBy("meter_id", "_hour")
+    mine, theirs = F.when(F.col("_own"), x), F.when(~F.col("_own"), x)
+    upto = place.orderBy("_us").rangeBetween(W.unboundedPreceding, 0)
+    since = place.orderBy(F.desc("_us")).rangeBetween(W.unboundedPreceding, 0)
+
+    def part(values: Column, w) -> Column:
+        """A list of one part, or of none if it is empty."""
+        n = F.count(values).over(w)
+        one = F.struct(n.alias("n"), F.avg(values).over(w).alias("mu"), (F.var_pop(values).over(w) * n).alias("m2"))
+        return F.when(n > 0, F.array(one)).otherwise(F.array())
+
+    rows = own.unionByName(moved, allowMissingColumns=True).withColumns({"_upto": part(mine, upto), "_since": part(theirs, since)})
+    rows = rows.where("_own")
+    whole = whole.withColumnsRenamed({"meter_id": "_m", "_hour": "_h"})
+    met = rows.join(whole, F.col("meter_id").eqNullSafe(F.col("_m")) & (F.col("_hour") == F.col("_h")), "left")
+    parts = met.withColumn("_parts", F.when(F.col("_us").isNull(), F.array()).otherwise(
+        F.concat("_upto", F.coalesce("_whole", F.array()), "_since")
+    ))
+    n = F.aggregate("_parts", F.lit(0).cast("long"), lambda a, p: a + p["n"])
+    total = F.aggregate("_parts", F.lit(0.0), lambda a, p: a + p["n"] * p["mu"])
+    parts = parts.withColumn("n", n).withColumn("rolling_mean", F.when(F.col("n") > 0, total / F.col("n")))
+    mean = F.col("rolling_mean")
+    squares = F.aggregate("_parts", F.lit(0.0), lambda a, p: a + p["m2"] + p["n"] * (p["mu"] - mean) * (p["mu"] - mean))
+    return parts.withColumn("rolling_stddev", F.when(F.col("n") > 0, F.sqrt(squares / F.col("n")))).drop(
+        "_us", "_own", "_hour", "_upto", "_since", "_whole", "_parts", "_m", "_h"
+    )
 
 
 # --- public ---------------------------------------------------------------------------------
@@ -332,11 +409,13 @@ def score_z(
     min_stddev: float = MIN_STDDEV,
 ) -> DataFrame:
     """Readings with n, rolling_mean, rolling_stddev and z_score; no labels."""
-    cols = list(order)
     if window_days is not None:
-        moments = _window_moments(readings, window_days, value, cols)
+        moments = _window_moments(readings, window_days, value, order[0])
     else:
-        moments = _moments(with_slice(readings, cols[0]), value, cols).drop("_slice")
+        rows = in_order(readings, *order)
+        spans = _spans(rows, value, None)
+        carried = rows.join(spans, same_slice(rows, spans), "left").select(rows["*"], "_n0", "_mean0", "_m20")
+        moments = _moments(carried, value).drop("_slice", "_at")
     ready = (F.col("rolling_stddev") > min_stddev) & (F.col("n") >= warmup)
     z = (F.col(value) - F.col("rolling_mean")) / F.col("rolling_stddev")
     return moments.withColumn("z_score", F.when(ready, z).otherwise(F.lit(0.0)))
@@ -346,22 +425,44 @@ def score_batch(
     readings: DataFrame, *, threshold: float = THRESHOLD, sustained: int = SUSTAINED,
     warmup: int = WARMUP, window_days: int | None = None, two_sided: bool = False,
     high: float = HIGH, flatline: float = FLATLINE, min_stddev: float = MIN_STDDEV,
-    value: str = "kwh_hourly", order: tuple[str, ...] = ("ts", "reading_id"),
+    value: str = "kwh_hourly", order: tuple[str, ...] = ("ts", "reading_id"), state: DataFrame | None = None,
 ) -> DataFrame:
     """Score every reading. Needs ``meter_id``, the value and the order columns; keeps the others.
 
     Adds n, rolling_mean, rolling_stddev, z_score, anomaly_type, severity, is_anomaly and
     consecutive_high. ``window_days`` replaces the running statistics by those of the last days.
+    ``state``, as ``end_state`` gives it, is what the meters have behind them: the readings are scored as if
+    those behind it came first. No reading is lost: null meters are one meter, null times come first
+    (and have an empty window with ``window_days``); a null value is not counted.
     """
+    if state is not None and window_days is not None:
+        raise ValueError("a window of days needs its readings, not a state")
     p = dict(
         threshold=threshold, sustained=sustained, warmup=warmup, two_sided=two_sided, high=high,
         flatline=flatline, min_stddev=min_stddev, value=value,
     )
-    cols = list(order)
     if window_days is not None:
-        moments = with_slice(_window_moments(readings, window_days, value, cols), cols[0])
-    else:
-        moments = _moments(with_slice(readings, cols[0]), value, cols)
-    z = stored(_with_z(moments, p), "z-scores")  # the counter reads it several times
-    bound = _with_bound(z, cols, sustained)
-    return _label(_with_count(bound, cols, sustained), p)
+        readings = _window_moments(readings, window_days, value, order[0])
+
+    def kinds_of(rows: DataFrame) -> DataFrame:
+        none = ["_n0", "_mean0", "_m20"]
+        return _with_z(rows.drop(*none) if window_days is not None else _moments(rows, value), p)
+
+    rows = in_order(readings, *order)
+    return _label(_with_count(kinds_of(_carried(rows, p, kinds_of, state)), sustained), p)
+
+
+def end_state(scored: DataFrame, order: tuple[str, ...] = ("ts", "reading_id"), before: DataFrame | None = None) -> DataFrame:
+    """What ``score_batch`` needs to go on: meter_id, n, mean, m2 and consecutive_high after the last reading.
+
+    ``before`` is the state that the scored readings went on from; meters without a new reading keep theirs.
+    """
+    last = F.max_by(F.struct("n", "rolling_mean", "rolling_stddev", "consecutive_high"), F.struct(*order))
+    fresh = scored.groupBy("meter_id").agg(last.alias("s")).select(
+        "meter_id", "s.n", F.col("s.rolling_mean").alias("mean"),
+        (F.col("s.rolling_stddev") * F.col("s.rolling_stddev") * F.col("s.n")).alias("m2"), "s.consecutive_high",
+    )
+    if before is None:
+        return fresh
+    names = fresh.select(F.col("meter_id").alias("_m"))
+    return fresh.unionByName(before.join(names, F.col("meter_id").eqNullSafe(F.col("_m")), "left_anti"))
