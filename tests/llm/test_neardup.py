@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from kilowatch.llm import neardup
 from kilowatch.llm.common import table
@@ -113,3 +114,40 @@ def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 99), (99, 98)], "a long, b long")
     got = {r["node"]: r["root"] for r in neardup.components(links).collect()}
     assert got == {**{i: 0 for i in range(1, 41)}, 99: 98, 100: 98}
+
+
+def links_of_group(spark, n):
+    """Links that a group of n near copies gives, edits at different places, and what they connect."""
+    rng = random.Random(n)
+    base = prose(rng, 300)
+    texts = [edited(rng, base, 0.03) for _ in range(n)]
+    docs = documents(spark, texts).select("doc_id", "text").repartition(6)
+    signed = docs.repartition(6).mapInPandas(lambda it: neardup._signatures(it, 2, neardup.K), neardup.SIGNATURE)
+    sketches = neardup.stored(signed.select(F.col("doc_id").alias("rep"), "n", "sketch"), "sketches")
+    links = neardup.stored(neardup.linked_pairs(sketches, docs, 2, 80, neardup.K, False), "links")
+    return links.count(), texts, {(min(a, b), max(a, b)) for a, b in links.collect()}
+
+
+def test_links_grow_with_the_group_not_its_square(spark):
+    small, texts, links = links_of_group(spark, 200)
+    sets = [shingles(t, 2) for t in texts]
+    # Every link given is one, and together they connect what all links connect.
+    linked = {(i, j) for j in range(200) for i in range(j) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+    assert links <= linked
+
+    def parts(pairs):
+        root = list(range(200))
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a, b in pairs:
+            root[find(a)] = find(b)
+        return [find(i) == find(0) for i in range(200)], len({find(i) for i in range(200)})
+
+    assert parts(links) == parts(linked)
+    large, _, _ = links_of_group(spark, 800)
+    # A document meets the hubs of the few lists it is in; all links would be some 150 a document.
+    assert small <= 10 * 200 and large <= 10 * 800
