@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from kilowatch.functions.text import two_digits
 
-# Fixed value: keys counted down from here sort the newest reading first.
-REVERSE_EPOCH_BASE = 99_999_999_999
 # Day numbers (1 = Sunday) that make a weekend.
 WEEKEND = [1, 7]
 
@@ -21,14 +19,6 @@ def epoch_s(ts: Column) -> Column:
     return F.unix_seconds(ts.cast("timestamp"))
 
 
-def reverse_epoch(ts: Column) -> Column:
-    return F.lit(REVERSE_EPOCH_BASE) - epoch_s(ts)
-
-
-def row_key(meter: Column, ts: Column) -> Column:
-    return F.concat_ws("_", meter, reverse_epoch(ts).cast("string"))
-
-
 def date_text(ts: Column) -> Column:
     return ts.cast("date").cast("string")
 

@@ -10,8 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from kilowatch.functions import clock
-
 OPEN, RESOLVED = "open", "resolved"
 ALERT_KEY = ["meter_id", "ts"]
 
@@ -108,5 +106,9 @@ def zscore_history(
     )
 
 
-def with_row_key(alerts: DataFrame) -> DataFrame:
-    return alerts.withColumn("row_key", clock.row_key(F.col("meter_id"), F.col("ts")))
+def newest_first_key(meter: Column, ts: Column) -> Column:
+    """Text key that sorts the newest alert of a meter first.
+
+    Fixed format: meter, underscore, seconds that remain to 99999999999.
+    """
+    return F.format_string("%s_%d", meter, F.lit(99_999_999_999) - F.unix_seconds(ts.cast("timestamp")))

@@ -22,6 +22,7 @@ from kilowatch.operators.scoring import score_batch, score_z
 from kilowatch.plans import lookups, panels, reports, views
 from kilowatch.session import tune
 from kilowatch.sources import crosswalk as x
+from kilowatch.sources import warehouse
 from kilowatch.streaming import decode, jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -173,15 +174,9 @@ def load_curve(spark, d):
 
 @query
 def table_row_counts(spark, d):
-    return views.table_row_counts(
-        {
-            "meter_readings": x.hourly_readings(spark, d),
-            "household_stats": x.stats(spark, d),
-            "pjm_demand": x.demand(spark, d),
-            "streamed_readings": x.scored(spark, d, meta=False),
-            "demand_forecasts": x.forecasts(spark, d),
-        }
-    )
+    """Rows of the stored tables, as counted while they were written."""
+    names = ["meter_readings", "household_stats", "pjm_demand", "streamed_readings", "demand_forecasts"]
+    return warehouse.row_counts(spark, d, names)
 
 
 # --- scoring --------------------------------------------------------------------------------
@@ -352,8 +347,7 @@ def alerts_by_zone(spark, d):
 
 @query
 def meter_state_latest(spark, d):
-    states = alert_ops.meter_states(score_batch(x.to_score(spark, d)), digits=None)
-    return rounded(states, 5, "rolling_mean", "rolling_stddev")
+    return rounded(x.states(spark, d), 5, "rolling_mean", "rolling_stddev")
 
 
 @query
@@ -382,8 +376,8 @@ def zscore_history(spark, d):
 
 @query
 def alert_keys(spark, d):
-    keyed = alert_ops.with_row_key(_alerts(spark, d, meta=False))
-    return keyed.select("meter_id", "ts", "row_key")
+    alerts = _alerts(spark, d, meta=False)
+    return alerts.select("meter_id", "ts", alert_ops.newest_first_key(F.col("meter_id"), F.col("ts")).alias("row_key"))
 
 
 # --- injection ------------------------------------------------------------------------------

@@ -1,7 +1,8 @@
 """The engine's relations built from the star-schema test tables.
 
 Meters are users, readings their events, households the customers, zones of demand the event
-types. Each function reads only the columns it needs.
+types. Each function reads only the columns it needs. What several reports read is a stored table
+(``warehouse.py``).
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from kilowatch.operators import cleaning, enrich, rollup
 from kilowatch.operators.forecast import forecast_rows, seasonal_naive
 from kilowatch.operators.grid import densify
 from kilowatch.operators.scoring import score_batch
-from kilowatch.session import stored
+from kilowatch.sources import warehouse
 
 
 _SCHEMAS: dict[tuple[str, str], StructType] = {}
@@ -74,6 +75,11 @@ def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def households(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Household metadata: meter_id, tariff_type, acorn_group, zone (region of the household)."""
+    return warehouse.read(spark, sf_dir, "households")
+
+
+@warehouse.table_of("households", inputs=("customer", "nation", "region"))
+def _households(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer, nation, region = (table(spark, sf_dir, t) for t in ("customer", "nation", "region"))
     placed = nation.join(region, nation["n_regionkey"] == region["r_regionkey"])
     return customer.join(placed, customer["c_nationkey"] == placed["n_nationkey"]).select(
@@ -93,19 +99,29 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def hourly_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The meter-readings table: hourly totals with household, weather and calendar columns."""
+@warehouse.table_of("meter_readings", inputs=("events", "customer", "nation", "region"), folders=("year", "month"), sort=("meter_id", "ts"))
+def _hourly_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     meta = households(spark, sf_dir)
     hourly = rollup.rollup_then_enrich(readings(spark, sf_dir), meta)
     daily = rollup.daily_weather(weather(spark, sf_dir))
     return cleaning.with_reading_columns(enrich.attach_weather(hourly, daily))[0]
 
 
-def stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+def hourly_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The meter-readings table: hourly totals with household, weather and calendar columns."""
+    return warehouse.read(spark, sf_dir, "meter_readings")
+
+
+@warehouse.table_of("household_stats", inputs=("events", "customer", "nation", "region"))
+def _stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     meta = households(spark, sf_dir).select("meter_id")
     return rollup.meter_stats(readings(spark, sf_dir)).join(meta, "meter_id", "left_semi")
 
 
+def stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warehouse.read(spark, sf_dir, "household_stats")
+
+
 def to_score(spark: SparkSession, sf_dir: str, meter: Column | None = None) -> DataFrame:
     """Columns the scorer needs, of all meters or one."""
     rows = readings(spark, sf_dir)
@@ -119,39 +135,71 @@ def newest_meter(spark: SparkSession, sf_dir: str) -> Column:
     return meter_id(events.agg(F.max_by("user_id", F.struct("ts", "event_id"))).scalar())
 
 
-def scored(
-    spark: SparkSession, sf_dir: str, meta: bool = True, meter: Column | None = None, **options
-) -> DataFrame:
-    """The scored-readings table. Household columns are joined after scoring, and only for reports
-    that show them: the windows stay narrow, and a report on anomalies joins anomalies only. A look
-    at one meter scores that meter only: no meter depends on another."""
-    done = score_batch(to_score(spark, sf_dir, meter), **options).withColumns(
+@warehouse.table_of("streamed_readings", folders=("reading_date",), sort=("meter_id", "ts"))
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_batch(to_score(spark, sf_dir)).withColumns(
         {"reading_date": clock.date_text(F.col("ts")), "processed_at": F.col("ts")}
     )
-    return enrich.attach_meta(done, households(spark, sf_dir)) if meta else done
 
 
-def alerts(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    return alert_ops.alerts_from_scored(scored(spark, sf_dir, **options), created_at=F.col("ts"))
+def scored(spark: SparkSession, sf_dir: str, meta: bool = True, meter: Column | None = None) -> DataFrame:
+    """The scored-readings table, of all meters or one. Household columns are joined where a report shows
+    them; a report on anomalies reads and joins anomalies only."""
+    rows = warehouse.read(spark, sf_dir, "streamed_readings")
+    rows = rows if meter is None else rows.where(F.col("meter_id") == meter)
+    return enrich.attach_meta(rows, households(spark, sf_dir)) if meta else rows
 
 
-def demand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly demand per zone on a gap-free grid.
+@warehouse.table_of("meter_states")
+def _states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alert_ops.meter_states(scored(spark, sf_dir, meta=False), digits=None)
 
-    The raw rows are summed on the map side first; what is shuffled is zones x hours. These few rows
-    are stored, so that however often the grid is read, the events are read once.
-    """
-    observed = (
+
+def states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest statistics of every meter."""
+    return warehouse.read(spark, sf_dir, "meter_states")
+
+
+@warehouse.table_of("alerts", folders=("reading_date",), sort=("meter_id", "ts"))
+def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = alert_ops.alerts_from_scored(scored(spark, sf_dir, meta=False), created_at=F.col("ts"))
+    return made.withColumn("reading_date", clock.date_text(F.col("ts")))
+
+
+def alerts(spark: SparkSession, sf_dir: str, meta: bool = True) -> DataFrame:
+    """The alert table: anomalies as open alerts, with household columns if wanted."""
+    rows = warehouse.read(spark, sf_dir, "alerts").drop("reading_date")
+    return enrich.attach_meta(rows, households(spark, sf_dir)) if meta else rows
+
+
+@warehouse.table_of("observed_demand")
+def _observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw rows are summed on the map side first; what is shuffled is zones x hours."""
+    return (
         table(spark, sf_dir, "events")
         .groupBy(F.col("event_type").alias("zone"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts"))
         .agg(F.round(F.sum("value"), 4).alias("mw_demand"))
     )
-    return densify(stored(observed, "demand"))
 
 
-def forecasts(spark: SparkSession, sf_dir: str, hours: int = 24) -> DataFrame:
-    """Seasonal-naive forecast table over the known hours and the next ``hours``."""
-    return forecast_rows(seasonal_naive(demand(spark, sf_dir), hours), "2024-01-31T00:00:00")
+@warehouse.table_of("pjm_demand")
+def _demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return densify(warehouse.read(spark, sf_dir, "observed_demand"))
+
+
+def demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly demand per zone on a gap-free grid."""
+    return warehouse.read(spark, sf_dir, "pjm_demand")
+
+
+@warehouse.table_of("demand_forecasts")
+def _forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forecast_rows(seasonal_naive(demand(spark, sf_dir), 24), "2024-01-31T00:00:00")
+
+
+def forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seasonal-naive forecast table over the known hours and the next 24."""
+    return warehouse.read(spark, sf_dir, "demand_forecasts")
 
 
 def stream_columns(events: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from kilowatch.functions import clock, text
 from kilowatch.operators import cleaning, enrich, rollup
+from kilowatch.operators.alerts import newest_first_key
 from kilowatch.streaming import decode
 
 RAW = "meter_id string, ts_raw string, kwh_raw string"
@@ -153,6 +154,6 @@ def test_text_and_clock_functions(spark):
         text.is_meter_id(F.lit("--")).alias("dashes"),
         text.is_meter_id(F.lit("a b")).alias("blank"),
         text.is_plain_number(F.lit(" 1.5 ")).alias("num"),
-        clock.row_key(F.lit("M1"), F.lit("2024-01-01 00:00:00").cast("timestamp")).alias("key"),
+        newest_first_key(F.lit("M1"), F.lit("2024-01-01 00:00:00").cast("timestamp")).alias("key"),
     ).first()
     assert tuple(row) == ("07", "AEP", True, False, False, True, f"M1_{99_999_999_999 - 1_704_067_200}")
