@@ -46,7 +46,7 @@ def resolutions(alerts: DataFrame, requests: DataFrame) -> DataFrame:
 
 def with_status(alerts: DataFrame, status_rows: DataFrame) -> DataFrame:
     """Alerts with their newest status and ``resolved_at``."""
-    latest = newest(status_rows, ALERT_KEY, ["updated_at"]).select(
+    latest = newest(status_rows, ALERT_KEY, ["updated_at", "status"]).select(
         *ALERT_KEY, F.col("status").alias("_status"), "resolved_at"
     )
     joined = alerts.join(latest, ALERT_KEY, "left")

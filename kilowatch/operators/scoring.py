@@ -231,33 +231,43 @@ def _entries(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[p
         yield pa.RecordBatch.from_pylist(out, schema=schema)
 
 
+def walk(
+    kinds: np.ndarray, firsts: np.ndarray, entries: np.ndarray, count: int, sustained: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The counter before and after each reading, ``count`` being the counter before the first.
+
+    The counter of a segment starts at the entry of its first row. Only spikes, highs and first rows are
+    walked; the counter falls evenly in between. Shared by the batch and the streaming scorer.
+    """
+    at, lows = _events(kinds, firsts)
+    anchors, values, done = [0], [count], 0  # the counter before the rows from an anchor on
+    for i in at.tolist():
+        count = int(entries[i]) if firsts[i] else max(0, count - int(lows[i] - lows[done]))
+        if firsts[i]:
+            anchors.append(i)
+            values.append(count)
+        count = next_count(int(kinds[i]), count, sustained)
+        done = i + 1
+        anchors.append(done)
+        values.append(count)
+    # Of several anchors at one row the last holds.
+    where = np.searchsorted(np.array(anchors), np.arange(len(kinds)), "right") - 1
+    start = np.array(anchors)[where]
+    befores = np.maximum(0, np.array(values)[where] - (lows[:-1] - lows[start]))
+    rises = (kinds == K_SPIKE) | ((kinds == K_HIGH) & (befores < sustained))
+    return befores, np.where(rises, befores + 1, np.where(kinds == K_LOW, np.maximum(0, befores - 1), befores))
+
+
 def _count_along(batches: Iterator[pa.RecordBatch], sustained: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """``_before`` and ``consecutive_high``: the counter before and after each reading.
 
-    Rows come in order, segment after segment; the counter of a segment starts at its ``_entry``. Only
-    spikes, highs and first rows are walked; the counter falls evenly in between.
+    Rows come in order, segment after segment; the counter of a segment starts at its ``_entry``.
     """
     count = 0  # after the last row
     for batch in batches:
         kinds, firsts = np.asarray(batch.column("_kind")), np.asarray(batch.column("_row")) == 1
         entries = np.asarray(batch.column("_entry").fill_null(0))
-        at, lows = _events(kinds, firsts)
-        anchors, values, done = [0], [count], 0  # the counter before the rows from an anchor on
-        for i in at.tolist():
-            count = int(entries[i]) if firsts[i] else max(0, count - int(lows[i] - lows[done]))
-            if firsts[i]:
-                anchors.append(i)
-                values.append(count)
-            count = next_count(int(kinds[i]), count, sustained)
-            done = i + 1
-            anchors.append(done)
-            values.append(count)
-        # Of several anchors at one row the last holds.
-        where = np.searchsorted(np.array(anchors), np.arange(len(kinds)), "right") - 1
-        start = np.array(anchors)[where]
-        befores = np.maximum(0, np.array(values)[where] - (lows[:-1] - lows[start]))
-        rises = (kinds == K_SPIKE) | ((kinds == K_HIGH) & (befores < sustained))
-        afters = np.where(rises, befores + 1, np.where(kinds == K_LOW, np.maximum(0, befores - 1), befores))
+        befores, afters = walk(kinds, firsts, entries, count, sustained)
         if len(kinds):
             count = int(afters[-1])
         columns = [*(batch.column(n) for n in schema.names[:-2]), pa.array(befores, pa.int64()), pa.array(afters, pa.int64())]

@@ -9,13 +9,13 @@ from kilowatch import schemas
 from kilowatch.functions import text
 
 
-def decode_events(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``key, value`` messages -> (valid events, rejected messages with a reason).
+def decode_marked(messages: DataFrame) -> DataFrame:
+    """``key, value`` messages as events with ``reject_reason``, null for a valid one.
 
-    ``ts`` of a valid event is an event-time timestamp, fit for a watermark.
+    ``ts`` is an event-time timestamp, fit for a watermark; ``key`` and ``value`` stay with the row.
     """
     payload = F.from_json(F.col("value").cast("string"), schemas.METER_EVENT)
-    decoded = messages.withColumn("_event", payload)
+    decoded = messages.select(F.col("key").cast("string"), F.col("value").cast("string"), payload.alias("_event"))
     when = F.try_to_timestamp("_event.ts", F.lit("yyyy-MM-dd'T'HH:mm:ss"))
     reason = (
         F.when(F.col("_event.meter_id").isNull(), "no_meter")
@@ -24,11 +24,15 @@ def decode_events(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
         .when(F.col("_event.kwh_hourly") < 0, "negative_value")
         .when(when.isNull(), "bad_timestamp")
     )
-    marked = decoded.withColumn("reject_reason", reason)
-    valid = marked.where(F.col("reject_reason").isNull()).withColumn("_ts", when)
-    valid = valid.select("_event.*", "_ts").withColumn("ts", F.col("_ts")).drop("_ts")
-    rejected = marked.where(F.col("reject_reason").isNotNull()).select("key", "value", "reject_reason")
-    return valid, rejected
+    marked = decoded.withColumns({"reject_reason": reason, "_ts": when})
+    return marked.select("key", "value", "reject_reason", "_event.*", "_ts").withColumn("ts", F.col("_ts")).drop("_ts")
+
+
+def decode_events(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``key, value`` messages -> (valid events, rejected messages with a reason)."""
+    marked = decode_marked(messages)
+    valid = marked.where(F.col("reject_reason").isNull()).drop("key", "value", "reject_reason")
+    return valid, marked.where(F.col("reject_reason").isNotNull()).select("key", "value", "reject_reason")
 
 
 def _number(name: str, blank: Column | None = None) -> Column:

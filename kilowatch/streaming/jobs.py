@@ -16,9 +16,8 @@ from kilowatch.operators.alerts import alerts_from_scored, meter_states
 from kilowatch.session import scratch_path, tune
 from kilowatch.sources.replay import write_in_order
 from kilowatch.streaming.decode import with_partition_folders
-from kilowatch.streaming.scorer import score_stream
+from kilowatch.streaming.scorer import score_stream, use_rocksdb
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 # Rate cap and trigger of the live job.
 MAX_OFFSETS_PER_TRIGGER = 50_000
@@ -79,7 +78,7 @@ class Sinks:
     console: bool = False
 
 
-def _overwrite_batch(df: DataFrame, batch_id: int, path: str, *folders: str, fmt: str = "parquet") -> None:
+def overwrite_batch(df: DataFrame, batch_id: int, path: str, *folders: str, fmt: str = "parquet") -> None:
     """Write a micro-batch into its own folder. A repeated batch replaces what it wrote before."""
     (
         df.withColumn("batch_id", F.lit(batch_id))
@@ -100,15 +99,15 @@ def fan_out(sinks: Sinks) -> Callable[[DataFrame, int], None]:
         batch.persist()
         try:
             if sinks.scored:
-                _overwrite_batch(batch, batch_id, sinks.scored, "reading_year", "reading_month")
+                overwrite_batch(batch, batch_id, sinks.scored, "reading_year", "reading_month")
             anomalies = batch.where("is_anomaly")
             if sinks.alerts:
-                _overwrite_batch(alerts_from_scored(batch), batch_id, sinks.alerts)
+                overwrite_batch(alerts_from_scored(batch), batch_id, sinks.alerts)
             if sinks.states:
-                _overwrite_batch(meter_states(batch), batch_id, sinks.states)
+                overwrite_batch(meter_states(batch), batch_id, sinks.states)
             messages = alert_messages(anomalies)
             if sinks.messages:
-                _overwrite_batch(messages, batch_id, sinks.messages, fmt="json")
+                overwrite_batch(messages, batch_id, sinks.messages, fmt="json")
             if sinks.message_servers:
                 (
                     messages.write.format("kafka")
@@ -129,19 +128,22 @@ def fan_out(sinks: Sinks) -> Callable[[DataFrame, int], None]:
 def start(
     scored: DataFrame, sinks: Sinks, checkpoint: str, *, every: str = TRIGGER, bounded: bool = False
 ) -> StreamingQuery:
-    """Start the one query of the job. ``bounded`` processes what is there and ends.
+    """Start the one query of the job. ``bounded`` processes what is there and ends."""
+    return started(scored, fan_out(sinks), checkpoint, every=every, bounded=bounded)
+
+
+def started(
+    rows: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, *, every: str = TRIGGER, bounded: bool = False
+) -> StreamingQuery:
+    """Start a query whose micro-batches go to ``write``.
 
     A query with processing-time timeouts keeps running empty batches to look for them, which a
     bounded run must not do: it would never end.
     """
-    writer = (
-        scored.writeStream.foreachBatch(fan_out(sinks))
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-    )
+    writer = rows.writeStream.foreachBatch(write).outputMode("append").option("checkpointLocation", checkpoint)
     if not bounded:
         return writer.trigger(processingTime=every).start()
-    with _settings(scored.sparkSession, {EMPTY_BATCHES: "false"}):
+    with _settings(rows.sparkSession, {EMPTY_BATCHES: "false"}):
         return writer.trigger(availableNow=True).start()
 
 
@@ -158,12 +160,6 @@ def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
             spark.conf.set(k, v)
 
 
-def use_rocksdb(spark: SparkSession) -> None:
-    """Keep state on local disk with changelog checkpoints instead of on the heap."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
-
-
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
     """All micro-batches of a sink."""
     return spark.read.parquet(path)

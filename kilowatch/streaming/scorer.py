@@ -1,26 +1,28 @@
 """The scorer as a keyed stateful stream operator.
 
-State per meter is constant in size: the running moments, the counter and the last 48 z-scores. A
-micro-batch is bounded by the rate cap of its source, so the rows of one meter in one micro-batch
-are too. They are ordered by time before they are scored; rows that arrive in a later micro-batch
-with an older time are scored in arrival order.
+The state of a meter is one typed value of constant size: the running moments, the counter and the last
+48 z-scores. It lives in RocksDB and goes when the meter was silent for the idle time. Meters may start from
+stored statistics, which are loaded once as initial state. A micro-batch is bounded by the rate cap of
+its source, so the rows of one meter in one micro-batch are too. They are ordered by time before they
+are scored; rows that arrive in a later micro-batch with an older time are scored in arrival order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from kilowatch.operators.scoring import (
     ELEVATION, FLAT, FLATLINE, HIGH, K_HIGH, K_LOW, K_NONE, K_SPIKE, MAX_SPIKE_SEVERITY, MIN_STDDEV,
-    NORMAL, SPIKE, SUSTAINED, THRESHOLD, WARMUP, next_count,
+    NORMAL, SPIKE, SUSTAINED, THRESHOLD, WARMUP, walk,
 )
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 HISTORY = 48
 CARRIED = ["tariff_type", "acorn_group", "reading_date", "injected_anomaly"]
 OUTPUT = (
@@ -29,108 +31,137 @@ OUTPUT = (
     "is_anomaly boolean, tariff_type string, acorn_group string, reading_date string, "
     "injected_anomaly string, n bigint, consecutive_high bigint"
 )
+PASSED = ["key", "value", "reject_reason"]
+PASSED_OUTPUT = "key string, value string, reject_reason string"
+FIELDS = [field.split()[0] for field in OUTPUT.split(", ")]
 STATE = (
     "count bigint, sum_kwh double, mean double, m2 double, consecutive_high bigint, "
     "zscores array<double>, last_ts_us bigint"
 )
 
 
-def score_value(x: float, n: int, mean: float, m2: float, count: int, p: dict):
-    """One reading on top of the state: new state, then z, label and severity."""
-    n += 1
-    delta = x - mean
-    mean += delta / n
-    m2 += delta * (x - mean)
-    stddev = (m2 / n) ** 0.5 if n > 1 else 0.0
-    z = (x - mean) / stddev if stddev > p["min_stddev"] and n >= p["warmup"] else 0.0
-    reach = abs(z) if p["two_sided"] else z
-    label, severity = NORMAL, 0.0
-    if n < p["warmup"]:
-        kind = K_NONE
-    elif x < p["flatline"]:
-        kind, label, severity = K_NONE, FLAT, 1.0
-    elif reach > p["threshold"]:
-        kind, label = K_SPIKE, SPIKE
-        severity = min(abs(z) / p["threshold"], MAX_SPIKE_SEVERITY)
-    elif z > p["high"]:
-        kind = K_HIGH
-        if count >= p["sustained"]:
-            label, severity = ELEVATION, 2.0 + count / 10.0
-    else:
-        kind = K_LOW
-    count = next_count(kind, count, p["sustained"])
-    return (n, mean, m2, count), (mean, stddev, z, label, severity)
-
-
-def _score_group(
-    key: tuple, batches: Iterator[pd.DataFrame], state: GroupState, p: dict, idle_ms: int
-) -> Iterator[pd.DataFrame]:
-    if state.hasTimedOut:
-        state.remove()
-        return
-    rows = pd.concat(list(batches), ignore_index=True).sort_values(["ts", "reading_id"])
-    if state.exists:
-        n, total, mean, m2, count, history, last = state.get
-        history = list(history)
-    else:
-        n, total, mean, m2, count, history, last = 0, 0.0, 0.0, 0.0, 0, [], 0
-        if "base_n" in rows.columns and pd.notna(rows["base_n"].iloc[0]):
-            first = rows.iloc[0]
-            n, mean = int(first["base_n"]), float(first["base_mean"])
-            m2, total = float(first["base_stddev"]) ** 2 * n, mean * n
-    scores, ns, counts = [], [], []
-    for x in rows["kwh_hourly"]:
-        (n, mean, m2, count), score = score_value(float(x), n, mean, m2, count, p)
-        total += float(x)
-        scores.append(score)
-        ns.append(n)
-        counts.append(count)
-    history = (history + [round(s[2], 3) for s in scores[-HISTORY:]])[-HISTORY:]
-    newest = int(rows["ts"].iloc[-1].value // 1000)
-    state.update((n, total, mean, m2, count, history, max(last, newest)))
-    state.setTimeoutDuration(idle_ms)
-    fields = ["rolling_mean", "rolling_stddev", "z_score", "anomaly_type", "severity"]
-    out = rows[["meter_id", "reading_id", "ts", "kwh_hourly"]].reset_index(drop=True)
-    out[fields] = pd.DataFrame(scores, columns=fields)
-    out["is_anomaly"] = out["anomaly_type"] != NORMAL
-    out[CARRIED] = rows[CARRIED].reset_index(drop=True)
-    out["n"], out["consecutive_high"] = ns, counts
-    yield out
-
-
-def warm_start(stream: DataFrame, stats: DataFrame) -> DataFrame:
-    """Attach stored baselines; a meter without state starts from its own."""
-    base = stats.select(
-        "meter_id", F.col("total_readings").alias("base_n"),
-        F.col("global_mean").alias("base_mean"), F.col("global_stddev").alias("base_stddev"),
-    )
-    return stream.join(base, "meter_id", "left")
+def running_moments(x: np.ndarray, n: int, mean: float, m2: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Count, mean and squared deviations after each value, on top of those so far; NaN does not count."""
+    counted = ~np.isnan(x)
+    if not counted.any():
+        return np.full(len(x), n), np.full(len(x), mean), np.full(len(x), m2)
+    # Deviations from a mean near all values keep the sums well conditioned.
+    near = float(x[counted].mean())
+    d = np.where(counted, x - near, 0.0)
+    gap = mean - near if n else 0.0
+    ns = n + np.cumsum(counted)
+    shift = np.divide(n * gap + np.cumsum(d), ns, out=np.zeros(len(x)), where=ns > 0)
+    squares = m2 + n * gap * gap + np.cumsum(d * d) - ns * shift * shift
+    return ns, np.where(ns > 0, near + shift, mean), np.maximum(squares, 0.0)
+
+
+def score_values(x: np.ndarray, state: tuple[int, float, float, int], p: dict) -> tuple[dict, tuple]:
+    """Readings in order on top of a state (n, mean, m2, counter): columns of the result, and the new state."""
+    ns, means, squares = running_moments(x, *state[:3])
+    stddev = np.sqrt(np.divide(squares, ns, out=np.zeros(len(x)), where=ns > 0))
+    warm, ready = ns >= p["warmup"], (stddev > p["min_stddev"]) & (ns >= p["warmup"])
+    z = np.where(ready, np.divide(x - means, stddev, out=np.zeros(len(x)), where=stddev > 0), 0.0)
+    reach = np.abs(z) if p["two_sided"] else z
+    flat = warm & (x < p["flatline"])
+    kinds = np.select([~warm | flat, reach > p["threshold"], z > p["high"]], [K_NONE, K_SPIKE, K_HIGH], K_LOW)
+    firsts = np.zeros(len(x), bool)
+    before, after = walk(kinds, firsts, firsts, state[3], p["sustained"])
+    lasting = (kinds == K_HIGH) & (before >= p["sustained"])
+    spike = kinds == K_SPIKE
+    columns = {
+        "rolling_mean": means, "rolling_stddev": stddev, "z_score": z,
+        "anomaly_type": np.select([flat, spike, lasting], [FLAT, SPIKE, ELEVATION], NORMAL),
+        "severity": np.select(
+            [flat, spike, lasting],
+            [1.0, np.minimum(np.abs(z) / p["threshold"], MAX_SPIKE_SEVERITY), 2.0 + before / 10.0], 0.0,
+        ),
+        "n": ns, "consecutive_high": after,
+    }
+    return columns, (int(ns[-1]), float(means[-1]), float(squares[-1]), int(after[-1]))
+
+
+class MeterScorer(StatefulProcessor):
+    """Scores the readings of a meter on top of its state; with ``passed`` rejects go through untouched."""
+
+    def __init__(self, p: dict, idle_ms: int, passed: bool = False):
+        self.p, self.idle_ms, self.passed = p, idle_ms, passed
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        # An update starts the idle time anew; an expired value reads as none and is removed by the store.
+        self.meter = handle.getValueState("meter", STATE, ttlDurationMs=self.idle_ms)
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        first = initialState.iloc[0]
+        n, mean = int(first["total_readings"]), float(first["global_mean"] or 0.0)
+        self.meter.update((n, mean * n, mean, float(first["global_stddev"] or 0.0) ** 2 * n, 0, [], 0))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows), ignore_index=True)
+        # Plain strings: text that came in several chunks does not fit Spark's rows.
+        batch = batch.astype({c: object for c in ("meter_id", *CARRIED, *(PASSED if self.passed else ()))})
+        if self.passed:
+            bad = batch["reject_reason"].notna()
+            if bad.any():
+                yield batch[bad].assign(anomaly_type=None, is_anomaly=None).reindex(columns=[*FIELDS, *PASSED])
+            batch = batch[~bad]
+            if not len(batch):
+                return
+        batch = batch.sort_values(["ts", "reading_id"], ignore_index=True)
+        known = self.meter.get() or (0, 0.0, 0.0, 0.0, 0, [], 0)
+        n, total, mean, m2, count, history, last = known
+        x = batch["kwh_hourly"].to_numpy(float)
+        columns, (n, mean, m2, count) = score_values(x, (n, mean, m2, count), self.p)
+        history = [*history, *np.round(columns["z_score"][-HISTORY:], 3).tolist()][-HISTORY:]
+        newest = max(last, int(batch["ts"].iloc[-1].value // 1000))
+        self.meter.update((n, total + float(np.nansum(x)), mean, m2, count, history, newest))
+        out = batch[["meter_id", "reading_id", "ts", "kwh_hourly"]].assign(**columns)
+        out["is_anomaly"] = out["anomaly_type"] != NORMAL
+        out[CARRIED] = batch[CARRIED]
+        yield out[FIELDS].assign(**dict.fromkeys(PASSED)) if self.passed else out[FIELDS]
+
+    def close(self) -> None:
+        pass
+
+
+def use_rocksdb(spark: SparkSession) -> None:
+    """Keep state on local disk with changelog checkpoints instead of on the heap."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
 def score_stream(
     stream: DataFrame, *, threshold: float = THRESHOLD, sustained: int = SUSTAINED,
     warmup: int = WARMUP, two_sided: bool = False, high: float = HIGH, flatline: float = FLATLINE,
     min_stddev: float = MIN_STDDEV, idle_days: float = 30, late: str | None = None,
-    stats: DataFrame | None = None,
+    stats: DataFrame | None = None, passed: bool = False,
 ) -> DataFrame:
     """Score a stream of events; one output row per input row, append mode.
 
-    ``late`` drops repeated ``(meter_id, ts)`` events that arrive within that delay; ``stats``
-    gives meters without state a baseline; after ``idle_days`` the state of a silent meter goes.
+    ``late`` drops repeated ``(meter_id, ts)`` events that arrive within that delay; ``stats``, one row per
+    meter as ``rollup.meter_stats`` gives them, is where meters start from when the query starts for the
+    first time; after ``idle_days`` the state of a silent meter goes. A null reading is scored but not counted.
+    ``passed``: rows as ``decode.decode_marked`` gives them; the rejected ones come out with their message
+    and reason, and no scores.
     """
+    use_rocksdb(stream.sparkSession)
     if "reading_id" not in stream.columns:
         stream = stream.withColumn("reading_id", F.lit(None).cast("bigint"))
     if late is not None:
         stream = stream.withWatermark("ts", late).dropDuplicatesWithinWatermark(["meter_id", "ts"])
-    names = ["meter_id", "reading_id", "ts", "kwh_hourly", *CARRIED]
-    rows = stream.select(*names)
-    if stats is not None:
-        rows = warm_start(rows, stats)
+    rows = stream.select("meter_id", "reading_id", "ts", "kwh_hourly", *CARRIED, *(PASSED if passed else []))
+    key = "meter_id"
+    if passed:
+        # Rejects without a meter are dealt by their text.
+        spread = F.concat(F.lit("reject-"), F.pmod(F.xxhash64("value"), F.lit(1024)).cast("string"))
+        rows = rows.withColumn("_group", F.coalesce("meter_id", spread))
+        key = "_group"
     p = dict(
         threshold=threshold, sustained=sustained, warmup=warmup, two_sided=two_sided, high=high,
         flatline=flatline, min_stddev=min_stddev,
     )
-    score = partial(_score_group, p=p, idle_ms=int(idle_days * 86_400_000))
-    return rows.groupBy("meter_id").applyInPandasWithState(
-        score, OUTPUT, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
-    )
+    start = None
+    if stats is not None:
+        start = stats.select("meter_id", "total_readings", "global_mean", "global_stddev").groupBy("meter_id")
+    scorer = MeterScorer(p, max(1, int(idle_days * 86_400_000)), passed)
+    output = f"{OUTPUT}, {PASSED_OUTPUT}" if passed else OUTPUT
+    return rows.groupBy(key).transformWithStateInPandas(scorer, output, "append", "processingTime", initialState=start)
