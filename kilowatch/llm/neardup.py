@@ -10,11 +10,10 @@ Every shingle gets one 64-bit hash value; the k smallest values of a document ar
    other; only these enter the lists. A document that shares fewer than ``need`` values is out.
 3. Stars. In each list all documents meet one, its hub: union-sketch estimation on sketches filters
    and the Jaccard similarity of the full sets decides. A hub's group is split into blocks.
-4. The rest. Two documents of a list that are both connected with its hub need not meet. Where many are
-   not (strays), one of them becomes a second hub and meets the whole group; if it links with a document
-   that the first hub reaches, so does all that it links with. Strays that are left after a few such
-   rounds meet the whole group, in blocks, by the same steps. No pair of a list is left out, none is
-   emitted unless it is linked, and of the links of a block only those that connect anything new.
+4. The rest. Two documents of a list that are both linked to its hub are connected already. Each
+   document that is not (a stray) meets the whole group of the hub, in blocks, by the same steps. No
+   pair of a list is left out, none is emitted unless it is linked, and of the links of a block only
+   those that connect anything new.
 5. Links become components by alternating large-star and small-star steps.
 """
 
@@ -22,7 +21,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -35,8 +33,6 @@ K = 64
 BLOCK = 512  # documents of a block
 CACHE_WORDS = 100_000
 DEVIATIONS = 5.0
-MANY_STRAYS = 64  # strays of a group for which a further hub is tried
-FURTHER_HUBS = 3  # rounds of further hubs
 TOP = np.iinfo(np.int64).max
 SIGNATURE = "doc_id long, n long, fp1 long, fp2 long, sketch array<long>"
 
@@ -281,8 +277,7 @@ def linked_pairs(sketches: DataFrame, docs: DataFrame, size: int, percent: int,
     hubs = rarest.groupBy("value").agg(F.min(F.struct("lack", "rep")).alias("hub"), F.count(F.lit(1)).alias("n"))
     hubs = hubs.where("n > 1").select("value", F.col("hub.rep").alias("g"))
     group = stored(
-        rarest.join(hubs, "value").where("rep <> g").groupBy("g", F.col("rep").alias("doc")).agg(F.min("lack").alias("lack")),
-        "hub-groups",
+        rarest.join(hubs, "value").where("rep <> g").select("g", F.col("rep").alias("doc")).distinct(), "hub-groups"
     )
     values = sketches.select(F.col("rep").alias("doc"), F.col("sketch").alias("members"))
     hub = group.select("g", F.col("g").alias("doc")).distinct()
@@ -298,45 +293,21 @@ def linked_pairs(sketches: DataFrame, docs: DataFrame, size: int, percent: int,
             lambda it: tidy(_verify(it, k, percent)), "g long, a long, b long"
         ), name)
 
-    known: list[DataFrame] = []  # documents whose full sets are stored, and these sets
-    sets: list[DataFrame] = []
-
-    def links_of(left: DataFrame, right: DataFrame, name: str) -> DataFrame:
-        """(g, a, b): a of the left, b of the right side."""
-        near = screened(left, right, f"near-{name}")
-        more = near.select("doc").distinct()
-        for have in known:
-            more = more.join(have, "doc", "left_anti")
-        more = stored(more, "set-ids")
-        if not more.isEmpty():
-            known.append(more)
-            sets.append(_full_sets(docs, more, size, repeated))
-        if not sets:
-            return stored(near.select("g", F.col("doc").alias("a"), F.col("doc").alias("b")).where("false"), name)
-        return verified(near, reduce(DataFrame.union, sets), name)
-
-    star = links_of(hub, group, "stars")
-    found = [star]
-    reached = star.select("g", F.col("b").alias("doc")).distinct()  # by links from the hub of the group
-    # Strays: documents of a list that its hub does not reach, where there is any other to meet.
+    near = screened(hub, group, "near-hub")
+    some = stored(near.select("doc").distinct(), "near-ids")
+    sets = _full_sets(docs, some, size, repeated)
+    star = verified(near, sets, "stars")
+    # Strays: documents of a list that are not linked to its hub, where there is any other to meet.
+    linked = star.select("g", F.col("b").alias("doc")).distinct()
     several = group.groupBy("g").count().where("count > 1").select("g")
-    strays = stored(group.join(reached, ["g", "doc"], "left_anti").join(several, "g", "left_semi"), "strays")
-    for _ in range(FURTHER_HUBS):
-        further = strays.groupBy("g").agg(F.min(F.struct("lack", "doc")).alias("hub"), F.count(F.lit(1)).alias("n"))
-        further = stored(further.where(F.col("n") > MANY_STRAYS).select("g", F.col("hub.doc").alias("doc")), "further-hubs")
-        if further.isEmpty():
-            break
-        star = links_of(further, group.join(further.select("g"), "g", "left_semi"), "further-stars")
-        found.append(star)
-        ends = star.select("g", F.explode(F.array("a", "b")).alias("doc")).distinct()
-        touched = ends.join(reached, ["g", "doc"], "left_semi").select("g").distinct()
-        reached = stored(reached.union(ends.join(touched, "g", "left_semi")).distinct(), "reached")
-        # A further hub has met all others of its group.
-        strays = stored(
-            strays.join(reached, ["g", "doc"], "left_anti").join(further, ["g", "doc"], "left_anti"), "strays"
-        )
-    found.append(links_of(strays, group.join(strays.select("g").distinct(), "g", "left_semi"), "stray-links"))
-    return reduce(DataFrame.union, [links.select("a", "b") for links in found])
+    strays = stored(group.join(linked, ["g", "doc"], "left_anti").join(several, "g", "left_semi"), "strays")
+    left, right = strays, group.join(strays.select("g").distinct(), "g", "left_semi")
+    near = screened(left, right, "near-strays")
+    more = stored(near.select("doc").distinct().join(some, "doc", "left_anti"), "more-ids")
+    if not more.isEmpty():
+        sets = sets.union(_full_sets(docs, more, size, repeated))
+    rest = verified(near, sets, "stray-links")
+    return star.select("a", "b").union(rest.select("a", "b"))
 
 
 def components(links: DataFrame) -> DataFrame:
