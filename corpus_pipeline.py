@@ -1,8 +1,8 @@
 """Corpus pipeline: from raw documents to token files, in five stages.
 
 Each stage takes (spark, docs, sf_dir), works on all rows of ``docs`` and returns a DataFrame; all but
-the last return the columns of ``docs``. Ids are expected to be unique from the second stage on, which
-leaves one row of each group of near-duplicates, repeated rows included.
+the last return the columns of ``docs``. Rows follow the decision for their own text, whether their id is
+null, repeated or neither.
 """
 
 from __future__ import annotations
@@ -38,10 +38,10 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """60 percent of the tokens at the target weights; no document twice."""
+    """60 percent of the tokens, as the last stage counts them, at the target weights; no document twice."""
     prepare(spark)
     return mixing.mixed_rows(
-        docs, mixing.domain_of(F.col("source")), mixing.estimated_tokens(F.col("text")), mixing.WEIGHTS, percent=60
+        docs, mixing.domain_of(F.col("source")), tokenizer_file(), mixing.WEIGHTS, percent=60
     )
 
 

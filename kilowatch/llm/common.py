@@ -73,6 +73,14 @@ def row_shares(part_sizes: DataFrame, part: str, size: str) -> DataFrame:
     )
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or the first longer one that ``df`` has no column of."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def schema_of(spec: str) -> T.StructType:
     return T._parse_datatype_string(spec)
 

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kilowatch.llm.common import matching_rows, stored, tidy, worker_cache
+from kilowatch.llm.common import free_name, matching_rows, stored, tidy, worker_cache
 
 ERROR_RATE = 0.07
 # Normalised items that go to the tasks at once; a larger benchmark takes several passes.
@@ -184,6 +184,12 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RA
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text holds no benchmark item. Rows without doc_id stay."""
-    hits = stored(benchmark_hits(docs, benchmark, rate).select("doc_id").where("doc_id is not null").distinct(), "leaks")
-    return matching_rows(docs, "doc_id", hits, keep=False)
+    """The rows of ``docs``, all columns, whose text holds no benchmark item.
+
+    Rows are numbered and stored first, so that each follows its own text, whatever its id.
+    """
+    number = free_name(docs, "decontam_row")
+    rows = stored(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    hits = benchmark_hits(rows.select(F.col(number).alias("doc_id"), "text"), benchmark, rate)
+    leaks = stored(hits.select("doc_id").distinct(), "leaks")
+    return matching_rows(rows, number, leaks, keep=False).select(*docs.columns)

@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from kilowatch.llm.common import stored, tidy, worker_cache
 
 DOCS_PER_LANGUAGE = 500  # labelled documents that train one language, at most
+LANGUAGES = 500  # languages to learn from, at most
+LONGEST_LEARNED = 64  # letters of a word to learn from, at most
 ROUNDS = 3
 SMOOTHING = 0.1  # added to the expected count of every piece
 CACHE_WORDS = 200_000
@@ -116,7 +118,7 @@ def forward(numbers: np.ndarray, p: np.ndarray) -> np.ndarray:
             for i in range(max(0, j - k + 1), j + 1):
                 ahead[i] = ahead[i] / most
             scale += np.log(most)
-            for i in range(max(0, j - k + 1)):
+            for i in range(max(0, j - k - 7), max(0, j - k + 1)):  # needed no more since the last time
                 ahead[i] = None
     return np.log(ahead[n]) + scale
 
@@ -149,7 +151,7 @@ def learn(counts: dict[str, Counter], pieces: list[str], rounds: int = ROUNDS) -
     size = len(pieces) + 2
     columns = []
     for language in languages:
-        words = [w for w in counts[language] if len(w) <= 64]  # longer runs are not words
+        words = [w for w in counts[language] if len(w) <= LONGEST_LEARNED]
         weights = np.array([counts[language][w] for w in words], float)
         groups = [(numbers, weights[at]) for at, numbers in lattice.of(words)]
         p = np.full(size, 1.0 / (size - 1))
@@ -237,14 +239,16 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, vocabulary: str, per_language: int = DOCS_PER_LANGUAGE) -> dict:
+def train(docs: DataFrame, vocabulary: str, per_language: int = DOCS_PER_LANGUAGE, languages: int = LANGUAGES) -> dict:
     """Learn from whole texts with a language that are not held out.
 
-    Of each language at most ``per_language`` documents count, the first in the order of a hash; a cut
-    on that hash bounds what is shuffled. What reaches the driver is the word counts of these.
+    The sample is bounded: the ``languages`` that most documents have, and of each at most
+    ``per_language`` documents, the first in the order of a hash; a cut on that hash bounds what is
+    shuffled. What reaches the driver is the word counts of these. Words of more than LONGEST_LEARNED
+    letters are scored like any other but not learned from.
     """
     labelled = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), "lang").limit(languages)
     order = F.xxhash64("doc_id")
     unit = F.pmod(order, F.lit(1 << 30)) / (1 << 30)
     near = labelled.select("doc_id", "lang", "text").join(F.broadcast(stored(sizes, "language-sizes")), "lang").where(

@@ -6,9 +6,9 @@ siblings first. Only what a whole subtree cannot hold reaches the parent's sibli
 never gets more than its subtree can hold. A leaf then takes whole epochs of its documents and, in the
 order of a seeded hash, a prefix of one more epoch.
 
-Budgets are whole numbers, so any engine gets the same ones. The leaf table has one row per source;
-documents are divided into hash ranges of a leaf before any running total, so a leaf of any size is
-spread over many tasks.
+Budgets are whole numbers, so any engine gets the same ones. The leaf table has one row per source. The
+documents of all prefixes are laid out in order by a range exchange and cut into buckets of neighbours
+before any running total, so a leaf of any size is spread over many tasks, and so are rows of one id.
 """
 
 from __future__ import annotations
@@ -18,9 +18,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kilowatch.llm.common import matching_rows, stored
+from kilowatch.llm.common import free_name, matching_rows, stored
+from kilowatch.llm.tokenpack import with_token_counts
 
-BUCKET_ROWS = 20_000  # documents of a hash range, about
+BUCKET_BITS = 14  # a bucket has 2**14 documents at most
 LEVELS = ("domain", "lang", "source")
 
 
@@ -111,36 +112,41 @@ def mix(
     plan = leaf_budgets(leaves, budget, weights, epochs)
     plan = plan.withColumn("whole", F.when(F.col("tokens") > 0, F.expr("budget div tokens")).otherwise(0).cast("int"))
     plan = plan.withColumn("prefix", F.col("budget") - F.col("whole") * F.col("tokens"))
-    plan = stored(plan.withColumn("buckets", F.ceil(F.col("rows") / BUCKET_ROWS)), "mixing-plan")
-    planned = rows.join(plan.select(*LEVELS, "whole", "prefix", "buckets"), list(LEVELS))
+    plan = stored(plan, "mixing-plan")
+    planned = rows.join(plan.select(*LEVELS, "whole", "prefix"), list(LEVELS))
     columns = ["doc_id", *LEVELS, "epoch", "n_tokens", *also]
     entire = planned.where("whole > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("whole") - 1)))
     order = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("whole").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    part = planned.where("prefix > 0").withColumn("order", order).withColumn(
-        "bucket", F.floor(F.conv(F.substring("order", 1, 8), 16, 10).cast("long") * F.col("buckets") / (1 << 32))
-    )
-    part = stored(part.drop("buckets"), "prefix-rows")
+    part = planned.where("prefix > 0").withColumns({"order": order, "tie": F.monotonically_increasing_id()})
+    place = [*LEVELS, "order", "doc_id", "n_tokens", *also, "tie"]
+    part = part.repartitionByRange(*place).sortWithinPartitions(*place).drop("order", "tie")
+    part = part.withColumn("place", F.monotonically_increasing_id())
+    part = stored(part.withColumn("bucket", F.shiftright("place", BUCKET_BITS)), "prefix-rows")
     keys = [*LEVELS, "bucket"]
     sums = part.groupBy(*keys).agg(F.sum("n_tokens").alias("sum"))
     running = Window.partitionBy(*LEVELS).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select(*keys, F.coalesce(F.sum("sum").over(running), F.lit(0)).alias("start"))
-    inside = Window.partitionBy(*keys).orderBy("order", "doc_id", "n_tokens", *also).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*keys).orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     begun = part.join(starts, keys).where("start < prefix")
     begun = begun.withColumn("at", F.col("start") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
     taken = begun.where("at < prefix").withColumn("epoch", F.col("whole"))
     return entire.select(columns).union(taken.select(columns))
 
 
-def mixed_rows(docs: DataFrame, domain: Column, tokens: Column, weights: Mapping[tuple, int], **options) -> DataFrame:
+def mixed_rows(
+    docs: DataFrame, domain: Column, tokens: Column | str, weights: Mapping[tuple, int], **options
+) -> DataFrame:
     """The rows of ``docs``, all columns, that one epoch at most takes.
 
-    Rows are numbered and stored first, so that each follows the decision for itself, also where ids
-    are null or repeated.
+    ``tokens`` is an expression, or the file of a tokenizer, with which whole texts are then counted
+    once. Rows are numbered and stored first, so that each follows the decision for itself, also where
+    ids are null or repeated.
     """
-    number = "mixing_row"
-    while number in docs.columns:
-        number += "_"
-    rows = stored(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    number, size = free_name(docs, "mixing_row"), free_name(docs, "mixing_tokens")
+    numbered = docs.withColumn(number, F.monotonically_increasing_id())
+    if isinstance(tokens, str):
+        numbered, tokens = with_token_counts(numbered, tokens, size), F.col(size)
+    rows = stored(numbered, "numbered")
     chosen = mix(rows, domain, tokens, weights, epochs=1, also=[number], **options)
     return matching_rows(rows, number, stored(chosen.select(number), "mixed")).select(*docs.columns)
 

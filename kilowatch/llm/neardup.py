@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kilowatch.llm.common import matching_rows, stored, tidy, worker_cache
+from kilowatch.llm.common import free_name, matching_rows, stored, tidy, worker_cache
 
 K = 64
 BLOCK = 512  # documents of a block
@@ -369,12 +369,20 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, k: int =
 
 
 def without_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs``, all columns, of which each group of near-duplicates keeps one."""
-    found = stored(near_duplicates(docs, size, percent).where("doc_id is not null"), "near-duplicates")
-    dropped = found.where("not kept").select("doc_id").distinct()
-    left = matching_rows(docs, "doc_id", dropped, keep=False)
-    twice = found.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if twice.isEmpty():
-        return left
-    once = matching_rows(left, "doc_id", twice).dropDuplicates(["doc_id"])
-    return matching_rows(left, "doc_id", twice, keep=False).union(once)
+    """The rows of ``docs``, all columns, of which each group of near-duplicates keeps one: the row of the
+    smallest doc_id, null last.
+
+    Rows are numbered and stored first and compared by their numbers, so rows without an id, or with a
+    repeated one, are copies or not by their text like any others.
+    """
+    number = free_name(docs, "neardup_row")
+    rows = stored(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    slim = rows.select(F.col(number).alias("doc_id"), "text")
+    found = near_duplicates(slim, size, percent).select(F.col("doc_id").alias("row"), "component_id")
+    found = stored(found.where("row <> component_id or component_id is null"), "near-duplicates")
+    groups = found.select(F.col("component_id").alias("row")).distinct().withColumn("component_id", F.col("row"))
+    members = found.union(groups).join(rows.select(F.col(number).alias("row"), F.col("doc_id").alias("id")), "row")
+    first = F.min_by("row", F.struct(F.col("id").isNull(), "id", "row"))
+    keepers = members.groupBy("component_id").agg(first.alias("row")).select("row")
+    dropped = members.select("row").join(keepers, "row", "left_anti")
+    return matching_rows(rows, number, stored(dropped, "copies"), keep=False).select(*docs.columns)

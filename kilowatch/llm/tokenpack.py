@@ -354,10 +354,10 @@ class Encoder:
         return out, sizes
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch], column: int | str = "text") -> Iterator[pa.RecordBatch]:
     """The rows of the batches in runs of about SLICE_BYTES of text."""
     for batch in batches:
-        ends = np.cumsum(np.asarray(pc.binary_length(batch.column("text")), np.int64))
+        ends = np.cumsum(np.asarray(pc.binary_length(batch.column(column)), np.int64))
         lo = 0
         while lo < batch.num_rows:
             hi = int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + SLICE_BYTES, "right"))
@@ -399,6 +399,23 @@ def _blocks(batches: Iterator[pa.RecordBatch], path: str, end_id: int | None, wi
         yield block(ids, sizes, docs)
 
 
+def _counted(batches: Iterator[pa.RecordBatch], path: str, at: int) -> Iterator[pa.RecordBatch]:
+    encoder = Encoder(path)
+    for batch in batches:
+        names = [*batch.schema.names, "n"]
+        text = pc.fill_null(batch.column(at), "")
+        batch = pa.RecordBatch.from_arrays([*batch.columns, text], names=[*names[:-1], "text_"])
+        for some in _slices(iter([batch]), len(batch.columns) - 1):
+            sizes = encoder.encode(some.column(some.num_columns - 1))[1]
+            yield pa.RecordBatch.from_arrays([*some.columns[:-1], pa.array(sizes, pa.int64())], names=names)
+
+
+def with_token_counts(docs: DataFrame, tokenizer: str, name: str) -> DataFrame:
+    """The rows, all columns, with the number of ids of their whole text as ``name``; a null text has none."""
+    at, schema = docs.columns.index("text"), docs.withColumn(name, F.lit(0).cast("long")).schema
+    return docs.mapInArrow(lambda it: tidy(_counted(it, tokenizer, at)), schema)
+
+
 def vocabulary_size(tokenizer: str) -> int:
     from tokenizers import Tokenizer
 

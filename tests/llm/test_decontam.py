@@ -97,4 +97,4 @@ def test_empty_tables_nulls_and_repeated_rows(spark):
     assert decontam.benchmark_hits(frame(spark, []), none).collect() == []
     items = spark.createDataFrame([(None, "Very passage, of the test")] * 2, ITEMS)
     assert decontam.benchmark_hits(docs, items).count() == 8
-    assert [r["doc_id"] for r in decontam.without_benchmark(docs, items).collect()] == [None]
+    assert decontam.without_benchmark(docs, items).collect() == []  # each holds an item, the row without id too

@@ -102,3 +102,21 @@ def test_nothing_learned_and_empty_table(spark):
     model = langid.train(docs, VOCABULARY)
     assert [r["lang_pred"] for r in langid.identify(docs, model).collect()] == ["und"] * 3
     assert langid.identify(frame(spark, []), langid.train(frame(spark, []), VOCABULARY)).collect() == []
+
+
+def test_long_words_cost_in_proportion():
+    """Runs of many thousand letters are scored whole, and one twice as long takes no four times the work."""
+    import time
+
+    pieces = ["a", "c", "g", "t", "ac", "gt", "\u2581a"]
+    rng = random.Random(1)
+    model = langid.learn({"x": Counter({"acgt": 3, "gta": 2}), "y": Counter({"ttt": 3})}, pieces)
+    lattice, seconds = langid.Lattice(pieces), []
+    for n in (10_000, 40_000):
+        word = "".join(rng.choice("acgt") for _ in range(n))
+        began = time.process_time()
+        ((_, numbers),) = lattice.of([word])
+        score = langid.forward(numbers, model["p"])
+        seconds.append(time.process_time() - began)
+        assert np.isfinite(score).all()
+    assert seconds[1] < 10 * seconds[0]

@@ -35,11 +35,11 @@ def weight(path):
     return exact if exact is not None else mixing.WEIGHTS.get(("*", path[-1], len(path)), 1)
 
 
-def brute(rows, percent, epochs, seed=11):
+def brute(rows, percent, epochs, seed=11, size=lambda text: -(-len(text.encode()) // 4)):
     leaves = {}
     for doc_id, text, lang, source in rows:
         domain = next((d for d, names in mixing.DOMAINS.items() if source in names), "other")
-        n = -(-len(text.encode()) // 4) if text is not None else 0
+        n = size(text) if text is not None else 0
         leaves.setdefault((domain, lang or "", source or ""), []).append((doc_id, n))
     caps = {leaf: epochs * sum(n for _, n in docs) for leaf, docs in leaves.items()}
     total = sum(caps.values()) // epochs
@@ -66,7 +66,7 @@ def brute(rows, percent, epochs, seed=11):
 
 @pytest.mark.parametrize("percent,epochs", [(60, 2), (60, 1), (100, 1), (170, 2), (300, 2), (0, 1)])
 def test_against_brute_force(spark, percent, epochs, monkeypatch):
-    monkeypatch.setattr(mixing, "BUCKET_ROWS", 7)  # many hash ranges
+    monkeypatch.setattr(mixing, "BUCKET_BITS", 3)  # many buckets
     docs = table(spark, SF_DIR, "documents")
     got = mixing.mix(docs, *columns(), mixing.WEIGHTS, percent=percent, epochs=epochs)
     rows = [(r["doc_id"], r["text"], r["lang"], r["source"]) for r in docs.collect()]
@@ -114,3 +114,28 @@ def test_mixed_rows_without_own_ids(spark):
         assert sorted((r[0], r[1], r[2]) for r in got if r[0] is not None) == sorted(tuple(r) for r in chosen.where("doc_id is not null").select("doc_id", "source", "n_tokens").collect())
         assert sorted(tuple(r)[1:3] for r in got if r[0] is None) == sorted(tuple(r) for r in chosen.where("doc_id is null").select("source", "n_tokens").collect())
     assert len(got) == len(rows)
+
+
+def test_rows_of_one_id_spread(spark, monkeypatch):
+    """A third of all rows, or all, with one id, or none: no bucket has more than its share."""
+    monkeypatch.setattr(mixing, "BUCKET_BITS", 5)
+    kept = []
+    monkeypatch.setattr(mixing, "stored", lambda df, name, write=mixing.stored: (kept.append((name, write(df, name))), kept[-1][1])[1])
+    rows = [(7 if i % 2 else None, "x" * (4 + i % 9), "en", "src0") for i in range(2000)]
+    got = mixing.mix(frame(spark, [(*r, None) for r in rows]), *columns(), mixing.WEIGHTS, percent=50, epochs=1)
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(rows, 50, 1)
+    (part,) = [df for name, df in kept if name == "prefix-rows"]
+    sizes = [r["count"] for r in part.groupBy("bucket").count().collect()]
+    assert max(sizes) <= 32 and len(sizes) >= 60
+
+
+def test_mixing_by_real_tokens(spark):
+    from tests.llm.fixtures import TOKENIZER
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    docs = table(spark, SF_DIR, "documents")
+    left = mixing.mixed_rows(docs, mixing.domain_of(F.col("source")), TOKENIZER, mixing.WEIGHTS, percent=40)
+    rows = [(r["doc_id"], r["text"], r["lang"], r["source"]) for r in docs.collect()]
+    want = brute(rows, 40, 1, size=lambda text: len(tokenizer.encode(text, add_special_tokens=False).ids))
+    assert sorted(r["doc_id"] for r in left.collect()) == sorted(r[0] for r in want)

@@ -1,10 +1,12 @@
 import random
 
+from tokenizers import Tokenizer
+
 import corpus_pipeline
 from kilowatch.llm import decontam
 from kilowatch.llm.common import table
 from tests.conftest import SF_DIR
-from tests.llm.fixtures import DOCUMENTS, frame, prose
+from tests.llm.fixtures import DOCUMENTS, TOKENIZER, frame, prose
 from tests.llm.test_mixing import brute as mixed
 from tests.llm.test_neardup import brute as deduplicated
 from tests.llm.test_tokenpack import expected
@@ -40,7 +42,9 @@ def test_each_stage_against_plain_python(spark):
     items = decontam.Items([(r["item_id"], r["text"]) for r in table(spark, SF_DIR, "benchmark").collect()], decontam.ERROR_RATE)
     assert ids(third) == [i for i in ids(second) if not items.occurrences(decontam.normalised(text[i]["text"]))]
     rows = [(i, text[i]["text"], text[i]["lang"], text[i]["source"]) for i in ids(third)]
-    assert ids(fourth) == sorted(r[0] for r in mixed(rows, 60, 1))
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    chosen = mixed(rows, 60, 1, size=lambda t: len(tokenizer.encode(t, add_special_tokens=False).ids))
+    assert ids(fourth) == sorted(r[0] for r in chosen)
     assert sorted(map(tuple, last.collect())) == expected([(i, text[i]["text"]) for i in ids(fourth)])
 
 
@@ -57,4 +61,10 @@ def test_nulls_copies_and_empty(spark):
     rows = [(i, text, "en", "src0", 1) for i in range(5)] + [(None, prose(rng, 50), None, None, None), (2, text, "en", "src0", 1)]
     stages = through(spark, frame(spark, rows))
     assert sorted((r["doc_id"] for r in stages[1].collect()), key=str) == [0, None]
+    # Rows without id are copies, and leaks, like any others.
+    item = max((r["text"] for r in table(spark, SF_DIR, "benchmark").collect()), key=len)
+    other = [(None, text, "en", "src0", 1), (9, text, "en", "src0", 1), (None, f"{prose(rng, 30)} {item} {prose(rng, 30)}", "en", "src0", 1)]
+    stages = through(spark, frame(spark, [*other, other[0], (None, prose(rng, 50), None, None, None)]))
+    assert sorted((str(r["doc_id"]) for r in stages[1].collect())) == ["9", "None", "None"]
+    assert sorted((str(r["doc_id"]) for r in stages[2].collect())) == ["9", "None"]
     assert all(df.count() == 0 for df in through(spark, spark.createDataFrame([], DOCUMENTS)))
