@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 
 def half_up(col: Column | str, digits: int) -> Column:
-    """Round with exact halves up.
+    """ROUND of the value as a decimal, exact halves away from zero.
 
-    The mean of decimal readings is often an exact half of the last digit, and then the order of
-    summation would decide. The nudge is a ten-thousandth of the last digit.
+    The mean of decimal readings is often an exact half of the last digit. As a decimal with six digits
+    more it is that half whatever the order of summation; the rounding itself is the plain one.
     """
     value = F.col(col) if isinstance(col, str) else col
-    return F.round(value + F.lit(10.0 ** -(digits + 4)), digits)
+    return F.round(value.cast(f"decimal(38,{digits + 6})"), digits).cast("double")

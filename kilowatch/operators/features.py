@@ -171,6 +171,13 @@ def time_split(
     return df.where(F.col(ts) <= cutoff), df.where(F.col(ts) > cutoff), cutoff
 
 
+def share_cutoff(df: DataFrame, ts: str = "ts", test_share: float = 0.2) -> Column:
+    """The hour after which the last ``test_share`` of the span lies."""
+    seconds = F.max(clock.epoch_s(F.col(ts))) - F.min(clock.epoch_s(F.col(ts)))
+    hours = F.floor(seconds * test_share / 3600).cast("int")
+    return df.agg(F.max(ts) - F.make_dt_interval(hours=hours)).scalar()
+
+
 def split_share(df: DataFrame, ts: str = "ts", test_days: int = 73) -> DataFrame:
     """How many rows each side of the split really gets."""
     train, test, _ = time_split(df, ts, test_days)

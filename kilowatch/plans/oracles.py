@@ -1,6 +1,6 @@
 """The same queries as ANSI SQL over the same tables, to check results against another engine.
 
-Rounding nudges exact halves up, as ``half_up`` does: a mean of decimals is often an exact half.
+Values are rounded as decimals, as ``half_up`` does: a mean of decimals is often an exact half.
 """
 
 from __future__ import annotations
@@ -152,7 +152,7 @@ _NAMES = [
     "rolling_24h_mean", "seasonal_index", "seasonal_deviation", "hour_sin", "hour_cos",
     "month_sin", "month_cos", "is_weekend", *_DAYS,
 ]
-_ROUNDED = ", ".join(f"round(CAST({n} AS DOUBLE) + 1e-9, 5) AS {n}" for n in _NAMES)
+_ROUNDED = ", ".join(f"round(CAST(CAST({n} AS DOUBLE) AS DECIMAL(38,11)), 5)::DOUBLE AS {n}" for n in _NAMES)
 _KNOWN = " AND ".join(f"{n} IS NOT NULL" for n in _NAMES)
 _LAGS = ", ".join(
     f"lag(mw_demand, {k}) OVER (PARTITION BY zone ORDER BY ts) AS lag_{k}h" for k in (1, 2, 24, 168)
@@ -176,8 +176,8 @@ _RANGE = """
   avg(mw_demand) OVER (PARTITION BY zone ORDER BY ts
     RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW) AS rolling_24h_mean"""
 
-_SCORE_COLUMNS = """meter_id, reading_id, n, round(m + 1e-10, 6) AS rolling_mean, round(sd + 1e-10, 6) AS rolling_stddev,
-       round(z + 1e-10, 6) AS z_score, anomaly_type, round(severity + 1e-10, 6) AS severity, is_anomaly,
+_SCORE_COLUMNS = """meter_id, reading_id, n, round(CAST(m AS DECIMAL(38,12)), 6)::DOUBLE AS rolling_mean, round(CAST(sd AS DECIMAL(38,12)), 6)::DOUBLE AS rolling_stddev,
+       round(CAST(z AS DECIMAL(38,12)), 6)::DOUBLE AS z_score, anomaly_type, round(CAST(severity AS DECIMAL(38,12)), 6)::DOUBLE AS severity, is_anomaly,
        consecutive_high"""
 
 _NEWEST_METER = "(SELECT printf('MAC%06d', user_id) FROM events ORDER BY ts DESC, event_id DESC LIMIT 1)"
@@ -202,59 +202,59 @@ SELECT reject_reason, count(*) AS rows FROM (
   FROM events) WHERE reject_reason IS NOT NULL GROUP BY 1""",
     "readings_with_meta": f"""
 WITH {READINGS}, {HOUSEHOLDS}
-SELECT meter_id, reading_id, ts, round(kwh + 1e-10, 6) AS kwh, reading_date, hour, tariff_type, acorn_group
+SELECT meter_id, reading_id, ts, round(CAST(kwh AS DECIMAL(38,12)), 6)::DOUBLE AS kwh, reading_date, hour, tariff_type, acorn_group
 FROM r JOIN h USING (meter_id)""",
     "hourly_rollup": f"""
 WITH {HOURLY}
-SELECT meter_id, reading_date, hour, tariff_type, acorn_group, round(kwh_hourly + 1e-10, 6) AS kwh_hourly,
-       round(kwh_avg + 1e-10, 6) AS kwh_avg, round(kwh_max + 1e-10, 6) AS kwh_max, reading_count FROM hr""",
+SELECT meter_id, reading_date, hour, tariff_type, acorn_group, round(CAST(kwh_hourly AS DECIMAL(38,12)), 6)::DOUBLE AS kwh_hourly,
+       round(CAST(kwh_avg AS DECIMAL(38,12)), 6)::DOUBLE AS kwh_avg, round(CAST(kwh_max AS DECIMAL(38,12)), 6)::DOUBLE AS kwh_max, reading_count FROM hr""",
     "hourly_rollup_complete": f"""
 WITH {HOURLY}
-SELECT meter_id, reading_date, hour, tariff_type, acorn_group, round(kwh_hourly + 1e-10, 6) AS kwh_hourly,
-       round(kwh_avg + 1e-10, 6) AS kwh_avg, round(kwh_max + 1e-10, 6) AS kwh_max, reading_count
+SELECT meter_id, reading_date, hour, tariff_type, acorn_group, round(CAST(kwh_hourly AS DECIMAL(38,12)), 6)::DOUBLE AS kwh_hourly,
+       round(CAST(kwh_avg AS DECIMAL(38,12)), 6)::DOUBLE AS kwh_avg, round(CAST(kwh_max AS DECIMAL(38,12)), 6)::DOUBLE AS kwh_max, reading_count
 FROM hr WHERE reading_count >= 2""",
     "meter_stats": f"""
 WITH {READINGS}
-SELECT meter_id, count(kwh) AS total_readings, round(avg(kwh) + 1e-10, 6) AS global_mean,
-       round(min(kwh) + 1e-10, 6) AS global_min, round(max(kwh) + 1e-10, 6) AS global_max,
-       round(stddev_pop(kwh) + 1e-10, 6) AS global_stddev FROM r GROUP BY meter_id""",
+SELECT meter_id, count(kwh) AS total_readings, round(CAST(avg(kwh) AS DECIMAL(38,12)), 6)::DOUBLE AS global_mean,
+       round(CAST(min(kwh) AS DECIMAL(38,12)), 6)::DOUBLE AS global_min, round(CAST(max(kwh) AS DECIMAL(38,12)), 6)::DOUBLE AS global_max,
+       round(CAST(stddev_pop(kwh) AS DECIMAL(38,12)), 6)::DOUBLE AS global_stddev FROM r GROUP BY meter_id""",
     "daily_weather": f"""
 WITH {WEATHER}
-SELECT reading_date AS w_date, round(temp_high_c + 1e-10, 6) AS temp_high_c,
-       round(temp_low_c + 1e-10, 6) AS temp_low_c, round(humidity + 1e-10, 6) AS humidity FROM wd""",
+SELECT reading_date AS w_date, round(CAST(temp_high_c AS DECIMAL(38,12)), 6)::DOUBLE AS temp_high_c,
+       round(CAST(temp_low_c AS DECIMAL(38,12)), 6)::DOUBLE AS temp_low_c, round(CAST(humidity AS DECIMAL(38,12)), 6)::DOUBLE AS humidity FROM wd""",
     "readings_with_weather": f"""
 WITH {HOURLY}
-SELECT meter_id, reading_date, hour, tariff_type, acorn_group, round(kwh_hourly + 1e-10, 6) AS kwh_hourly,
-       round(kwh_max + 1e-10, 6) AS kwh_max, round(temp_high_c + 1e-10, 6) AS temp_high_c,
-       round(temp_low_c + 1e-10, 6) AS temp_low_c, round(humidity + 1e-10, 6) AS humidity FROM mr""",
+SELECT meter_id, reading_date, hour, tariff_type, acorn_group, round(CAST(kwh_hourly AS DECIMAL(38,12)), 6)::DOUBLE AS kwh_hourly,
+       round(CAST(kwh_max AS DECIMAL(38,12)), 6)::DOUBLE AS kwh_max, round(CAST(temp_high_c AS DECIMAL(38,12)), 6)::DOUBLE AS temp_high_c,
+       round(CAST(temp_low_c AS DECIMAL(38,12)), 6)::DOUBLE AS temp_low_c, round(CAST(humidity AS DECIMAL(38,12)), 6)::DOUBLE AS humidity FROM mr""",
     "calendar_columns": f"""
 WITH {HOURLY}
-SELECT meter_id, reading_date, hour, ts, year, month, round(temp_range_c + 1e-10, 6) AS temp_range_c,
+SELECT meter_id, reading_date, hour, ts, year, month, round(CAST(temp_range_c AS DECIMAL(38,12)), 6)::DOUBLE AS temp_range_c,
        CAST(extract(dow FROM ts) + 1 AS INTEGER) AS day_of_week,
        extract(dow FROM ts) IN (0, 6) AS is_weekend FROM mr""",
     "dedup_readings": f"""
 WITH {READINGS}
 SELECT meter_id, ts, kwh_hourly, reading_id FROM (
-  SELECT meter_id, date_trunc('hour', ts) AS ts, round(kwh + 1e-10, 6) AS kwh_hourly, reading_id,
+  SELECT meter_id, date_trunc('hour', ts) AS ts, round(CAST(kwh AS DECIMAL(38,12)), 6)::DOUBLE AS kwh_hourly, reading_id,
          row_number() OVER (PARTITION BY meter_id, date_trunc('hour', ts)
-                            ORDER BY round(kwh + 1e-10, 6) DESC, reading_id DESC) AS rn
+                            ORDER BY round(CAST(kwh AS DECIMAL(38,12)), 6)::DOUBLE DESC, reading_id DESC) AS rn
   FROM r) WHERE rn = 1""",
     # --- consumption reports
     "peak_hours": f"""
 WITH {HOURLY}
-SELECT hour, round(avg(kwh_hourly) + 1e-8, 4) AS avg_kwh, round(max(kwh_hourly) + 1e-8, 4) AS peak_kwh,
-       round(stddev_pop(kwh_hourly) + 1e-8, 4) AS stddev_kwh, count(DISTINCT meter_id) AS meters
+SELECT hour, round(CAST(avg(kwh_hourly) AS DECIMAL(38,10)), 4)::DOUBLE AS avg_kwh, round(CAST(max(kwh_hourly) AS DECIMAL(38,10)), 4)::DOUBLE AS peak_kwh,
+       round(CAST(stddev_pop(kwh_hourly) AS DECIMAL(38,10)), 4)::DOUBLE AS stddev_kwh, count(DISTINCT meter_id) AS meters
 FROM mr GROUP BY hour""",
     "monthly_trend": f"""
 WITH {HOURLY}
-SELECT year, month, round(sum(kwh_hourly) + 1e-6, 2) AS total_kwh,
-       round(avg(kwh_hourly) + 1e-8, 4) AS avg_kwh_per_meter_hour,
-       count(DISTINCT meter_id) AS active_meters, round(avg(temp_high_c) + 1e-6, 2) AS avg_temp_high_c
+SELECT year, month, round(CAST(sum(kwh_hourly) AS DECIMAL(38,8)), 2)::DOUBLE AS total_kwh,
+       round(CAST(avg(kwh_hourly) AS DECIMAL(38,10)), 4)::DOUBLE AS avg_kwh_per_meter_hour,
+       count(DISTINCT meter_id) AS active_meters, round(CAST(avg(temp_high_c) AS DECIMAL(38,8)), 2)::DOUBLE AS avg_temp_high_c
 FROM mr GROUP BY year, month""",
     "top_consumers": f"""
 WITH {HOURLY}
-SELECT meter_id, acorn_group, tariff_type, round(sum(kwh_hourly) + 1e-6, 2) AS total_kwh,
-       round(avg(kwh_hourly) + 1e-8, 4) AS avg_kwh_hourly, round(max(kwh_hourly) + 1e-8, 4) AS peak_kwh,
+SELECT meter_id, acorn_group, tariff_type, round(CAST(sum(kwh_hourly) AS DECIMAL(38,8)), 2)::DOUBLE AS total_kwh,
+       round(CAST(avg(kwh_hourly) AS DECIMAL(38,10)), 4)::DOUBLE AS avg_kwh_hourly, round(CAST(max(kwh_hourly) AS DECIMAL(38,10)), 4)::DOUBLE AS peak_kwh,
        count(*) AS reading_count
 FROM mr WHERE meter_id IN (SELECT meter_id FROM r)
 GROUP BY meter_id, acorn_group, tariff_type ORDER BY total_kwh DESC, meter_id LIMIT 20""",
@@ -262,33 +262,33 @@ GROUP BY meter_id, acorn_group, tariff_type ORDER BY total_kwh DESC, meter_id LI
 WITH {HOURLY}
 SELECT CASE WHEN extract(dow FROM CAST(reading_date AS DATE)) IN (0, 6) THEN 'Weekend'
             ELSE 'Weekday' END AS day_type, hour,
-       round(avg(kwh_hourly) + 1e-8, 4) AS avg_kwh, round(stddev_pop(kwh_hourly) + 1e-8, 4) AS stddev_kwh
+       round(CAST(avg(kwh_hourly) AS DECIMAL(38,10)), 4)::DOUBLE AS avg_kwh, round(CAST(stddev_pop(kwh_hourly) AS DECIMAL(38,10)), 4)::DOUBLE AS stddev_kwh
 FROM mr GROUP BY 1, 2""",
     "weather_correlation": f"""
 WITH {HOURLY}
-SELECT year, month, round(avg(kwh_hourly) + 1e-8, 4) AS avg_kwh, round(avg(temp_high_c) + 1e-6, 2) AS avg_temp_high,
-       round(avg(temp_low_c) + 1e-6, 2) AS avg_temp_low,
-       round(corr(kwh_hourly, temp_high_c) + 1e-8, 4) AS corr_kwh_temp_high,
-       round(corr(kwh_hourly, humidity) + 1e-8, 4) AS corr_kwh_humidity
+SELECT year, month, round(CAST(avg(kwh_hourly) AS DECIMAL(38,10)), 4)::DOUBLE AS avg_kwh, round(CAST(avg(temp_high_c) AS DECIMAL(38,8)), 2)::DOUBLE AS avg_temp_high,
+       round(CAST(avg(temp_low_c) AS DECIMAL(38,8)), 2)::DOUBLE AS avg_temp_low,
+       round(CAST(corr(kwh_hourly, temp_high_c) AS DECIMAL(38,10)), 4)::DOUBLE AS corr_kwh_temp_high,
+       round(CAST(corr(kwh_hourly, humidity) AS DECIMAL(38,10)), 4)::DOUBLE AS corr_kwh_humidity
 FROM mr WHERE temp_high_c IS NOT NULL GROUP BY year, month""",
     "tariff_by_hour": f"""
 WITH {HOURLY}
-SELECT tariff_type, hour, round(avg(kwh_hourly) + 1e-8, 4) AS avg_kwh,
+SELECT tariff_type, hour, round(CAST(avg(kwh_hourly) AS DECIMAL(38,10)), 4)::DOUBLE AS avg_kwh,
        count(DISTINCT meter_id) AS meter_count FROM mr GROUP BY tariff_type, hour""",
     "daily_consumption": f"""
 WITH {HOURLY}
 SELECT reading_date, acorn_group, tariff_type, count(DISTINCT meter_id) AS meter_count,
-       round(sum(kwh_hourly) + 1e-10, 6) AS total_kwh, round(avg(kwh_hourly) + 1e-10, 6) AS avg_kwh_per_meter_hour,
-       round(max(kwh_hourly) + 1e-10, 6) AS peak_kwh, round(avg(temp_high_c) + 1e-10, 6) AS avg_temp_high
+       round(CAST(sum(kwh_hourly) AS DECIMAL(38,12)), 6)::DOUBLE AS total_kwh, round(CAST(avg(kwh_hourly) AS DECIMAL(38,12)), 6)::DOUBLE AS avg_kwh_per_meter_hour,
+       round(CAST(max(kwh_hourly) AS DECIMAL(38,12)), 6)::DOUBLE AS peak_kwh, round(CAST(avg(temp_high_c) AS DECIMAL(38,12)), 6)::DOUBLE AS avg_temp_high
 FROM mr GROUP BY reading_date, acorn_group, tariff_type""",
     "consumption_heatmap": f"""
 WITH {HOURLY}
-SELECT acorn_group, CAST(hour AS INTEGER) AS hour_of_day, round(avg(kwh_hourly) + 1e-8, 4) AS avg_kwh
+SELECT acorn_group, CAST(hour AS INTEGER) AS hour_of_day, round(CAST(avg(kwh_hourly) AS DECIMAL(38,10)), 4)::DOUBLE AS avg_kwh
 FROM mr GROUP BY acorn_group, hour""",
     "load_curve": f"""
 WITH {HOURLY}
-SELECT CAST(hour AS INTEGER) AS hour_of_day, round(sum(kwh_hourly) + 1e-10, 6) AS total_kwh,
-       round(avg(kwh_hourly) + 1e-10, 6) AS avg_kwh FROM mr GROUP BY hour""",
+SELECT CAST(hour AS INTEGER) AS hour_of_day, round(CAST(sum(kwh_hourly) AS DECIMAL(38,12)), 6)::DOUBLE AS total_kwh,
+       round(CAST(avg(kwh_hourly) AS DECIMAL(38,12)), 6)::DOUBLE AS avg_kwh FROM mr GROUP BY hour""",
     "table_row_counts": f"""
 WITH {HOURLY}, {FORECASTS}
 SELECT 'meter_readings' AS tbl, count(*) AS row_count FROM mr
@@ -307,20 +307,20 @@ st AS (
   WINDOW w AS (PARTITION BY meter_id ORDER BY ts
                RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND CURRENT ROW)
 )
-SELECT meter_id, reading_id, n, round(m + 1e-10, 6) AS rolling_mean, round(sd + 1e-10, 6) AS rolling_stddev,
-       round(CASE WHEN sd > 0.001 AND n >= 10 THEN (kwh - m) / sd ELSE 0.0 END + 1e-10, 6) AS z_score
+SELECT meter_id, reading_id, n, round(CAST(m AS DECIMAL(38,12)), 6)::DOUBLE AS rolling_mean, round(CAST(sd AS DECIMAL(38,12)), 6)::DOUBLE AS rolling_stddev,
+       round(CAST(CASE WHEN sd > 0.001 AND n >= 10 THEN (kwh - m) / sd ELSE 0.0 END AS DECIMAL(38,12)), 6)::DOUBLE AS z_score
 FROM st""",
     "anomaly_breakdown": f"""{SCORED}
-SELECT acorn_group, anomaly_type, count(*) AS anomaly_count, round(avg(severity) + 1e-7, 3) AS avg_severity,
-       round(avg(z) + 1e-7, 3) AS avg_zscore, count(DISTINCT meter_id) AS affected_meters
+SELECT acorn_group, anomaly_type, count(*) AS anomaly_count, round(CAST(avg(severity) AS DECIMAL(38,9)), 3)::DOUBLE AS avg_severity,
+       round(CAST(avg(z) AS DECIMAL(38,9)), 3)::DOUBLE AS avg_zscore, count(DISTINCT meter_id) AS affected_meters
 FROM sh WHERE is_anomaly GROUP BY acorn_group, anomaly_type""",
     "anomaly_rate_trend": f"""{SCORED}
 SELECT reading_date, count(*) AS total_readings, count(*) FILTER (WHERE is_anomaly) AS anomaly_count,
-       round(count(*) FILTER (WHERE is_anomaly) * 100.0 / count(*) + 1e-6, 2) AS anomaly_rate_pct
+       round(CAST(count(*) FILTER (WHERE is_anomaly) * 100.0 / count(*) AS DECIMAL(38,8)), 2)::DOUBLE AS anomaly_rate_pct
 FROM s WHERE CAST(reading_date AS DATE) >= CAST({NOW} AS DATE) - 60 GROUP BY reading_date""",
     "hourly_anomaly_counts": f"""{SCORED}
 SELECT reading_date, hour, anomaly_type, count(*) AS anomaly_count,
-       round(avg(severity) + 1e-10, 6) AS avg_severity, round(avg(kwh_hourly) + 1e-10, 6) AS avg_kwh
+       round(CAST(avg(severity) AS DECIMAL(38,12)), 6)::DOUBLE AS avg_severity, round(CAST(avg(kwh_hourly) AS DECIMAL(38,12)), 6)::DOUBLE AS avg_kwh
 FROM s WHERE is_anomaly AND CAST(reading_date AS DATE) >= CAST({NOW} AS DATE) - 30
 GROUP BY reading_date, hour, anomaly_type""",
     "top_anomaly_meters": f"""{SCORED}
@@ -328,12 +328,12 @@ SELECT meter_id, acorn_group, tariff_type, count(*) AS total_anomalies,
        count(*) FILTER (WHERE anomaly_type = 'sudden_spike') AS spikes,
        count(*) FILTER (WHERE anomaly_type = 'sustained_elevation') AS sustained,
        count(*) FILTER (WHERE anomaly_type = 'flatline') AS flatlines,
-       round(avg(severity) + 1e-10, 6) AS avg_severity, round(max(z) + 1e-10, 6) AS max_z_score
+       round(CAST(avg(severity) AS DECIMAL(38,12)), 6)::DOUBLE AS avg_severity, round(CAST(max(z) AS DECIMAL(38,12)), 6)::DOUBLE AS max_z_score
 FROM sh WHERE is_anomaly GROUP BY meter_id, acorn_group, tariff_type
 ORDER BY total_anomalies DESC, meter_id LIMIT 50""",
     "live_alert_feed": f"""{SCORED}
-SELECT ts, meter_id, anomaly_type, round(severity + 1e-10, 6) AS severity,
-       round(kwh_hourly + 1e-10, 6) AS kwh_hourly, round(z + 1e-10, 6) AS z_score, acorn_group
+SELECT ts, meter_id, anomaly_type, round(CAST(severity AS DECIMAL(38,12)), 6)::DOUBLE AS severity,
+       round(CAST(kwh_hourly AS DECIMAL(38,12)), 6)::DOUBLE AS kwh_hourly, round(CAST(z AS DECIMAL(38,12)), 6)::DOUBLE AS z_score, acorn_group
 FROM sh WHERE is_anomaly AND CAST(reading_date AS DATE) >= CAST({NOW} AS DATE) - 1
 ORDER BY ts DESC, meter_id LIMIT 50""",
     "anomaly_type_share": f"""{SCORED}
@@ -350,16 +350,16 @@ GROUP BY meter_id, acorn_group, tariff_type ORDER BY total_anomalies DESC, meter
 SELECT anomaly_type, count(*) AS cnt FROM s
 WHERE is_anomaly AND ts >= (SELECT max(ts) FROM s WHERE is_anomaly) - INTERVAL 1 HOUR GROUP BY anomaly_type""",
     "meter_drilldown": f"""{SCORED}
-SELECT ts, round(kwh_hourly + 1e-10, 6) AS kwh_hourly, round(z + 1e-10, 6) AS z_score, anomaly_type FROM s
+SELECT ts, round(CAST(kwh_hourly AS DECIMAL(38,12)), 6)::DOUBLE AS kwh_hourly, round(CAST(z AS DECIMAL(38,12)), 6)::DOUBLE AS z_score, anomaly_type FROM s
 WHERE meter_id = {_NEWEST_METER} ORDER BY ts DESC, kwh_hourly LIMIT 48""",
     "meter_kpis": f"""{SCORED}
 SELECT meter_id,
        count(*) FILTER (WHERE is_anomaly) AS anomalies_48h,
-       round(max(z) + 1e-10, 6) AS max_z_score, round(avg(kwh_hourly) + 1e-10, 6) AS avg_kwh,
+       round(CAST(max(z) AS DECIMAL(38,12)), 6)::DOUBLE AS max_z_score, round(CAST(avg(kwh_hourly) AS DECIMAL(38,12)), 6)::DOUBLE AS avg_kwh,
        max(ts) FILTER (WHERE is_anomaly) AS last_anomaly_ts
 FROM s WHERE ts > {NOW} - INTERVAL 48 HOUR GROUP BY meter_id""",
     "household_status": f"""{SCORED}
-SELECT meter_id, zone, count(*) AS anomalies, round(max(z) + 1e-10, 6) AS max_z_score,
+SELECT meter_id, zone, count(*) AS anomalies, round(CAST(max(z) AS DECIMAL(38,12)), 6)::DOUBLE AS max_z_score,
        CASE WHEN max(z) > 4.5 THEN 'Critical' WHEN max(z) > 3.0 THEN 'Warning' ELSE 'Normal' END AS status
 FROM sh WHERE is_anomaly GROUP BY meter_id, zone ORDER BY anomalies DESC, meter_id LIMIT 20""",
     "operations_kpis": f"""{SCORED}, {FORECASTS},
@@ -368,9 +368,9 @@ k AS (
   FROM f JOIN d ON d.zone = f.zone AND d.ts = f.ts
   WHERE f.ts > {NOW} - INTERVAL 24 HOUR AND f.ts <= {NOW}
 )
-SELECT round(sum(kwh) + 1e-8, 4) AS total_kwh, count(DISTINCT meter_id) AS active_meters,
+SELECT round(CAST(sum(kwh) AS DECIMAL(38,10)), 4)::DOUBLE AS total_kwh, count(DISTINCT meter_id) AS active_meters,
        (SELECT count(*) FROM s WHERE is_anomaly AND ts >= {NOW} - INTERVAL 1 HOUR) AS alerts_last_hour,
-       (SELECT round(avg(pct) + 1e-8, 4) FROM k) AS mape_24h
+       (SELECT round(CAST(avg(pct) AS DECIMAL(38,10)), 4)::DOUBLE FROM k) AS mape_24h
 FROM r JOIN h USING (meter_id)""",
     # --- alert table
     "recent_alerts_for_meter": f"""{SCORED}
@@ -401,12 +401,12 @@ FROM o""",
 SELECT zone, count(*) AS alerts, count(*) FILTER (WHERE ts >= {_WEEK_AGO}) AS open_alerts
 FROM sh WHERE is_anomaly GROUP BY zone""",
     "meter_state_latest": f"""{SCORED}
-SELECT meter_id, n AS count, round(m + 1e-9, 5) AS rolling_mean, round(sd + 1e-9, 5) AS rolling_stddev,
+SELECT meter_id, n AS count, round(CAST(m AS DECIMAL(38,11)), 5)::DOUBLE AS rolling_mean, round(CAST(sd AS DECIMAL(38,11)), 5)::DOUBLE AS rolling_stddev,
        consecutive_high, ts AS last_updated
 FROM s QUALIFY row_number() OVER (PARTITION BY meter_id ORDER BY ts DESC, reading_id DESC) = 1""",
     "latest_readings_30d": f"""
 WITH {READINGS}
-SELECT meter_id, reading_id, ts, round(kwh + 1e-10, 6) AS kwh FROM r WHERE ts > {NOW} - INTERVAL 30 DAY
+SELECT meter_id, reading_id, ts, round(CAST(kwh AS DECIMAL(38,12)), 6)::DOUBLE AS kwh FROM r WHERE ts > {NOW} - INTERVAL 30 DAY
 QUALIFY row_number() OVER (PARTITION BY meter_id ORDER BY ts DESC, reading_id DESC) = 1""",
     "alert_versions_kept": f"""
 WITH {READINGS}
@@ -424,10 +424,10 @@ FROM s WHERE is_anomaly""",
     # --- injection
     "inject_anomalies": f"""
 WITH {READINGS}, src AS ({INJECTED})
-SELECT meter_id, reading_id, round(kwh_hourly + 1e-8, 4) AS kwh_hourly, injected_anomaly FROM src""",
+SELECT meter_id, reading_id, round(CAST(kwh_hourly AS DECIMAL(38,10)), 4)::DOUBLE AS kwh_hourly, injected_anomaly FROM src""",
     "injection_validation": f"""WITH RECURSIVE {_scored(INJECTED)}
 SELECT injected_anomaly, anomaly_type AS detected_as, count(*) AS count,
-       round(avg(severity) + 1e-7, 3) AS avg_severity, round(avg(z) + 1e-7, 3) AS avg_zscore,
+       round(CAST(avg(severity) AS DECIMAL(38,9)), 3)::DOUBLE AS avg_severity, round(CAST(avg(z) AS DECIMAL(38,9)), 3)::DOUBLE AS avg_zscore,
        count(*) FILTER (WHERE is_anomaly) AS correctly_flagged,
        count(*) FILTER (WHERE NOT is_anomaly) AS missed,
        count(*) FILTER (WHERE injected_anomaly = anomaly_type) AS type_match
@@ -440,9 +440,9 @@ q AS (
          count(*) FILTER (WHERE injected_anomaly <> 'none' AND injected_anomaly = anomaly_type) AS type_match
   FROM s
 )
-SELECT *, round(true_positive / nullif(true_positive + false_positive, 0) + 1e-8, 4) AS precision,
-       round(true_positive / nullif(true_positive + false_negative, 0) + 1e-8, 4) AS recall,
-       round(type_match / nullif(true_positive + false_negative, 0) + 1e-8, 4) AS type_recall
+SELECT *, round(CAST(true_positive / nullif(true_positive + false_positive, 0) AS DECIMAL(38,10)), 4)::DOUBLE AS precision,
+       round(CAST(true_positive / nullif(true_positive + false_negative, 0) AS DECIMAL(38,10)), 4)::DOUBLE AS recall,
+       round(CAST(type_match / nullif(true_positive + false_negative, 0) AS DECIMAL(38,10)), 4)::DOUBLE AS type_recall
 FROM q""",
     # --- demand
     "demand_grid": f"""
@@ -465,14 +465,14 @@ WITH {DEMAND}, w AS (
   SELECT zone, ts, mw_demand, {_rolling('167 PRECEDING AND CURRENT ROW', '23 PRECEDING AND CURRENT ROW')}
   FROM d
 )
-SELECT zone, ts, mw_demand, round(rolling_7d_mean + 1e-10, 6) AS rolling_7d_mean,
-       round(rolling_7d_stddev + 1e-10, 6) AS rolling_7d_stddev,
-       round(rolling_24h_mean + 1e-10, 6) AS rolling_24h_mean FROM w""",
+SELECT zone, ts, mw_demand, round(CAST(rolling_7d_mean AS DECIMAL(38,12)), 6)::DOUBLE AS rolling_7d_mean,
+       round(CAST(rolling_7d_stddev AS DECIMAL(38,12)), 6)::DOUBLE AS rolling_7d_stddev,
+       round(CAST(rolling_24h_mean AS DECIMAL(38,12)), 6)::DOUBLE AS rolling_24h_mean FROM w""",
     "demand_range_rolling": f"""
 WITH {DEMAND}, w AS (SELECT zone, ts, mw_demand, {_RANGE} FROM d)
-SELECT zone, ts, mw_demand, round(rolling_7d_mean + 1e-10, 6) AS rolling_7d_mean,
-       round(rolling_7d_stddev + 1e-10, 6) AS rolling_7d_stddev,
-       round(rolling_24h_mean + 1e-10, 6) AS rolling_24h_mean FROM w""",
+SELECT zone, ts, mw_demand, round(CAST(rolling_7d_mean AS DECIMAL(38,12)), 6)::DOUBLE AS rolling_7d_mean,
+       round(CAST(rolling_7d_stddev AS DECIMAL(38,12)), 6)::DOUBLE AS rolling_7d_stddev,
+       round(CAST(rolling_24h_mean AS DECIMAL(38,12)), 6)::DOUBLE AS rolling_24h_mean FROM w""",
     "recent_history": f"""
 WITH {DEMAND}
 SELECT zone, ts, mw_demand FROM d QUALIFY ts >= max(ts) OVER (PARTITION BY zone) - INTERVAL 200 HOUR""",
@@ -481,12 +481,12 @@ WITH {DEMAND}, i AS (
   SELECT *, avg(mw_demand) OVER (PARTITION BY zone, extract(month FROM ts), extract(hour FROM ts)) AS si
   FROM d
 )
-SELECT zone, ts, mw_demand, round(si + 1e-10, 6) AS seasonal_index,
-       round(mw_demand - si + 1e-10, 6) AS seasonal_deviation FROM i""",
+SELECT zone, ts, mw_demand, round(CAST(si AS DECIMAL(38,12)), 6)::DOUBLE AS seasonal_index,
+       round(CAST(mw_demand - si AS DECIMAL(38,12)), 6)::DOUBLE AS seasonal_deviation FROM i""",
     "cyclic_onehot": f"""
 WITH {DEMAND}, k AS (SELECT zone, ts, mw_demand, {_CALENDAR_LEAK_FREE} FROM d)
-SELECT zone, ts, mw_demand, round(hour_sin + 1e-10, 6) AS hour_sin, round(hour_cos + 1e-10, 6) AS hour_cos,
-       round(month_sin + 1e-10, 6) AS month_sin, round(month_cos + 1e-10, 6) AS month_cos,
+SELECT zone, ts, mw_demand, round(CAST(hour_sin AS DECIMAL(38,12)), 6)::DOUBLE AS hour_sin, round(CAST(hour_cos AS DECIMAL(38,12)), 6)::DOUBLE AS hour_cos,
+       round(CAST(month_sin AS DECIMAL(38,12)), 6)::DOUBLE AS month_sin, round(CAST(month_cos AS DECIMAL(38,12)), 6)::DOUBLE AS month_cos,
        CAST(is_weekend AS DOUBLE) AS is_weekend,
        {', '.join(f'CAST({n} AS DOUBLE) AS {n}' for n in _DAYS)} FROM k""",
     "feature_frame": f"""
@@ -545,6 +545,11 @@ SELECT zone, ts, {_ROUNDED} FROM k""",
 WITH {DEMAND}
 SELECT CASE WHEN ts <= (SELECT max(ts) FROM d) - INTERVAL 6 DAY THEN 'train' ELSE 'test' END AS part,
        count(*) AS rows FROM d GROUP BY 1""",
+    "forecast_gbt_targets": f"""
+WITH {DEMAND}, a AS (SELECT zone, max(ts) AS anchor_ts FROM d GROUP BY zone), t AS (
+  SELECT zone, anchor_ts + CAST(i AS INTEGER) * INTERVAL 1 HOUR AS ts FROM a, (SELECT unnest(generate_series(1, 24)) AS i))
+SELECT ts, zone, CAST(NULL AS DOUBLE) AS actual_mw, '2024-01-31T00:00:00' AS forecast_run_ts,
+       strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month FROM t""",
     "future_grid": f"""
 WITH {DEMAND}, a AS (SELECT zone, max(ts) AS anchor_ts FROM d GROUP BY zone)
 SELECT zone, anchor_ts, CAST(i AS INTEGER) AS h, anchor_ts + CAST(i AS INTEGER) * INTERVAL 1 HOUR AS ts
@@ -552,45 +557,45 @@ FROM a, (SELECT unnest(generate_series(1, 24)) AS i)""",
     # --- forecast reports
     "seasonal_naive_forecast": f"""
 WITH {FORECASTS}
-SELECT ts, zone, round(predicted_mw + 1e-8, 4) AS predicted_mw, CAST(NULL AS DOUBLE) AS actual_mw,
+SELECT ts, zone, round(CAST(predicted_mw AS DECIMAL(38,10)), 4)::DOUBLE AS predicted_mw, CAST(NULL AS DOUBLE) AS actual_mw,
        '2024-01-31T00:00:00' AS forecast_run_ts, strftime(ts, '%Y') AS year,
        strftime(ts, '%m') AS month FROM f""",
     "forecast_accuracy": f"""
 WITH {FORECASTS}
 SELECT CAST(f.ts AS DATE) AS forecast_date, f.zone, count(*) AS forecast_points,
-       round(avg(abs(f.predicted_mw - d.mw_demand)) + 1e-6, 2) AS mae_mw,
-       round(sqrt(avg(power(f.predicted_mw - d.mw_demand, 2))) + 1e-6, 2) AS rmse_mw,
-       round(avg(abs(f.predicted_mw - d.mw_demand) / d.mw_demand) * 100 + 1e-6, 2) AS mape_pct
+       round(CAST(avg(abs(f.predicted_mw - d.mw_demand)) AS DECIMAL(38,8)), 2)::DOUBLE AS mae_mw,
+       round(CAST(sqrt(avg(power(f.predicted_mw - d.mw_demand, 2))) AS DECIMAL(38,8)), 2)::DOUBLE AS rmse_mw,
+       round(CAST(avg(abs(f.predicted_mw - d.mw_demand) / d.mw_demand) * 100 AS DECIMAL(38,8)), 2)::DOUBLE AS mape_pct
 FROM f JOIN d ON d.zone = f.zone AND d.ts = f.ts
 WHERE f.ts >= CAST((SELECT max(ts) FROM d) AS DATE) - 7 AND d.mw_demand > 0
 GROUP BY 1, 2""",
     "forecast_vs_actual": f"""
 WITH {ACCURACY}
-SELECT ts, zone, round(predicted_mw + 1e-8, 4) AS predicted_mw, round(actual_mw + 1e-8, 4) AS actual_mw,
-       round(abs_error_mw + 1e-8, 4) AS abs_error_mw, round(pct_error + 1e-8, 4) AS pct_error FROM fa""",
+SELECT ts, zone, round(CAST(predicted_mw AS DECIMAL(38,10)), 4)::DOUBLE AS predicted_mw, round(CAST(actual_mw AS DECIMAL(38,10)), 4)::DOUBLE AS actual_mw,
+       round(CAST(abs_error_mw AS DECIMAL(38,10)), 4)::DOUBLE AS abs_error_mw, round(CAST(pct_error AS DECIMAL(38,10)), 4)::DOUBLE AS pct_error FROM fa""",
     "forecast_last_48h": f"""
 WITH {ACCURACY}
-SELECT ts, zone, round(predicted_mw + 1e-8, 4) AS predicted_mw, round(actual_mw + 1e-8, 4) AS actual_mw FROM fa
+SELECT ts, zone, round(CAST(predicted_mw AS DECIMAL(38,10)), 4)::DOUBLE AS predicted_mw, round(CAST(actual_mw AS DECIMAL(38,10)), 4)::DOUBLE AS actual_mw FROM fa
 WHERE ts > (SELECT max(ts) FROM d) - INTERVAL 48 HOUR AND ts <= (SELECT max(ts) FROM d)""",
     "load_kpis_24h": f"""
 WITH {FORECASTS}
-SELECT round(max(predicted_mw) + 1e-8, 4) AS peak_predicted_24h, round(avg(predicted_mw) + 1e-8, 4) AS avg_predicted_24h,
+SELECT round(CAST(max(predicted_mw) AS DECIMAL(38,10)), 4)::DOUBLE AS peak_predicted_24h, round(CAST(avg(predicted_mw) AS DECIMAL(38,10)), 4)::DOUBLE AS avg_predicted_24h,
        max(ts) AS last_forecast_ts, '2024-01-31T00:00:00' AS last_forecast_run
 FROM f WHERE ts >= (SELECT max(ts) FROM d) AND ts <= (SELECT max(ts) FROM d) + INTERVAL 24 HOUR""",
     "accuracy_kpis": f"""
 WITH {ACCURACY}
-SELECT round(avg(abs_error_mw) + 1e-8, 4) AS mae, round(sqrt(avg(power(abs_error_mw, 2))) + 1e-8, 4) AS rmse,
-       round(avg(pct_error) + 1e-8, 4) AS mape FROM fa WHERE actual_mw IS NOT NULL""",
+SELECT round(CAST(avg(abs_error_mw) AS DECIMAL(38,10)), 4)::DOUBLE AS mae, round(CAST(sqrt(avg(power(abs_error_mw, 2))) AS DECIMAL(38,10)), 4)::DOUBLE AS rmse,
+       round(CAST(avg(pct_error) AS DECIMAL(38,10)), 4)::DOUBLE AS mape FROM fa WHERE actual_mw IS NOT NULL""",
     "next_forecast_hours": f"""
 WITH {FORECASTS}
-SELECT ts, zone, round(predicted_mw + 1e-8, 4) AS predicted_mw, CAST(NULL AS DOUBLE) AS actual_mw FROM f
+SELECT ts, zone, round(CAST(predicted_mw AS DECIMAL(38,10)), 4)::DOUBLE AS predicted_mw, CAST(NULL AS DOUBLE) AS actual_mw FROM f
 WHERE ts > (SELECT max(ts) FROM d) AND ts <= (SELECT max(ts) FROM d) + INTERVAL 6 HOUR""",
     "naive_metrics": f"""
 WITH {FORECASTS}, e AS (
   SELECT d.mw_demand AS y, d.mw_demand - f.predicted_mw AS e FROM f JOIN d ON d.zone = f.zone AND d.ts = f.ts
 )
-SELECT count(*) AS test_rows, round(sqrt(avg(e * e)) + 1e-8, 4) AS rmse, round(avg(abs(e)) + 1e-8, 4) AS mae,
-       round(1 - sum(e * e) / (var_pop(y) * count(*)) + 1e-8, 4) AS r2 FROM e""",
+SELECT count(*) AS test_rows, round(CAST(sqrt(avg(e * e)) AS DECIMAL(38,10)), 4)::DOUBLE AS rmse, round(CAST(avg(abs(e)) AS DECIMAL(38,10)), 4)::DOUBLE AS mae,
+       round(CAST(1 - sum(e * e) / (var_pop(y) * count(*)) AS DECIMAL(38,10)), 4)::DOUBLE AS r2 FROM e""",
     "naive_band": f"""
 WITH {FORECASTS}, e AS (
   SELECT extract(hour FROM d.ts) AS ho, d.mw_demand - f.predicted_mw AS e
@@ -602,17 +607,17 @@ WITH {FORECASTS}, e AS (
   SELECT ho, max(e) FILTER (WHERE i = CAST(ceil(0.1 * n) AS BIGINT)) AS lo,
          max(e) FILTER (WHERE i = CAST(ceil(0.9 * n) AS BIGINT)) AS hi FROM k GROUP BY ho
 )
-SELECT zone, ts, round(predicted_mw + 1e-8, 4) AS prediction, round(predicted_mw + lo + 1e-8, 4) AS lower,
-       round(predicted_mw + hi + 1e-8, 4) AS upper
+SELECT zone, ts, round(CAST(predicted_mw AS DECIMAL(38,10)), 4)::DOUBLE AS prediction, round(CAST(predicted_mw + lo AS DECIMAL(38,10)), 4)::DOUBLE AS lower,
+       round(CAST(predicted_mw + hi AS DECIMAL(38,10)), 4)::DOUBLE AS upper
 FROM f LEFT JOIN q ON q.ho = extract(hour FROM f.ts) WHERE ts > (SELECT max(ts) FROM d)""",
     # --- streaming
     "alert_payload_json": f"""{SCORED}
 SELECT meter_id AS key, meter_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS ts,
-       round(kwh_hourly + 1e-10, 6) AS kwh_hourly, round(z + 1e-10, 6) AS z_score, anomaly_type,
-       round(severity + 1e-10, 6) AS severity, round(m + 1e-10, 6) AS rolling_mean,
-       round(sd + 1e-10, 6) AS rolling_stddev, acorn_group, reading_date
+       round(CAST(kwh_hourly AS DECIMAL(38,12)), 6)::DOUBLE AS kwh_hourly, round(CAST(z AS DECIMAL(38,12)), 6)::DOUBLE AS z_score, anomaly_type,
+       round(CAST(severity AS DECIMAL(38,12)), 6)::DOUBLE AS severity, round(CAST(m AS DECIMAL(38,12)), 6)::DOUBLE AS rolling_mean,
+       round(CAST(sd AS DECIMAL(38,12)), 6)::DOUBLE AS rolling_stddev, acorn_group, reading_date
 FROM sh WHERE is_anomaly""",
     "event_decode": f"""
 WITH {READINGS}
-SELECT meter_id, date_trunc('second', ts) AS ts, round(kwh + 1e-10, 6) AS kwh_hourly, reading_date, hour FROM r""",
+SELECT meter_id, date_trunc('second', ts) AS ts, round(CAST(kwh AS DECIMAL(38,12)), 6)::DOUBLE AS kwh_hourly, reading_date, hour FROM r""",
 }

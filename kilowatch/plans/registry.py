@@ -20,7 +20,7 @@ from kilowatch.operators import cleaning, enrich, features, forecast, inject, ro
 from kilowatch.operators.grid import future_slots, lags_by_time
 from kilowatch.operators.scoring import score_batch, score_z
 from kilowatch.plans import lookups, panels, reports, views
-from kilowatch.session import tune
+from kilowatch.session import stored, tune
 from kilowatch.sources import crosswalk as x
 from kilowatch.sources import warehouse
 from kilowatch.streaming import decode, jobs
@@ -28,8 +28,7 @@ from kilowatch.streaming import decode, jobs
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Parameters of the registered model queries; the operators default to the full model.
-MODEL = dict(trees=20, depth=5)
+# Days after the cutoff of the feature queries; the models leave out a fifth of the span.
 MODEL_TEST_DAYS = 6
 
 
@@ -533,7 +532,7 @@ _FITTED: dict[tuple[str, ...], tuple[PipelineModel, DataFrame]] = {}
 
 
 def _cutoff(demand: DataFrame) -> Column:
-    return features.time_split(demand, test_days=MODEL_TEST_DAYS)[2]
+    return features.share_cutoff(demand)
 
 
 def _fitted(spark: SparkSession, d: str) -> tuple[PipelineModel, DataFrame]:
@@ -542,10 +541,9 @@ def _fitted(spark: SparkSession, d: str) -> tuple[PipelineModel, DataFrame]:
     state = demand.agg(F.count("*"), F.sum(F.xxhash64("zone", "ts", "mw_demand").cast("decimal(38,0)"))).first()
     key = (spark.sparkContext.applicationId, *map(str, state))
     if key not in _FITTED:
-        rows = forecast.direct_training_rows(demand, cutoff=_cutoff(demand))
-        _FITTED[key] = forecast.train(
-            rows, forecast.DIRECT_FEATURES, cutoff=_cutoff(demand), **MODEL
-        )
+        # Written once: the scaler and every tree read the rows again.
+        rows = stored(forecast.direct_training_rows(demand, cutoff=_cutoff(demand)), "training-rows")
+        _FITTED[key] = forecast.train(rows, forecast.DIRECT_FEATURES, cutoff=_cutoff(demand))
     return _FITTED[key]
 
 
@@ -558,6 +556,14 @@ def forecast_gbt(spark, d):
     return forecast.forecast_rows(out, "2024-01-31T00:00:00")
 
 
+@query
+def forecast_gbt_targets(spark, d):
+    """What the boosted forecast determines without the trees: its zones and hours, and the last known hour."""
+    demand = x.demand(spark, d)
+    out = forecast.forecast(demand, _fitted(spark, d)[0], 24, cutoff=_cutoff(demand))
+    return forecast.forecast_rows(out.where("prediction IS NOT NULL"), "2024-01-31T00:00:00").drop("predicted_mw")
+
+
 @query
 def forecast_metrics(spark, d):
     return _fitted(spark, d)[1]
