@@ -68,9 +68,28 @@ def shared_dir(spark: SparkSession) -> str:
 _LOCAL_DIR: str | None = None
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def scratch_made() -> list[str]:
+    """All scratch paths given out so far and not dropped, in order."""
+    return list(_SCRATCH)
+
+
+def drop_scratch(spark: SparkSession, paths: list[str]) -> None:
+    """Remove scratch tables that nothing will read again."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        if path in _SCRATCH:
+            _SCRATCH.remove(path)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
