@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from kilowatch.llm.common import row_shares, tidy, worker_cache
 
 BLOCK_IDS = 1 << 16  # ids after which a block is closed
-SLICE_BYTES = 4 << 20  # text that is encoded at once
-CACHE_WORDS = 2_000_000  # strings whose ids one Python worker remembers, in some 35 bytes each
+SLICE_BYTES = 2 << 20  # text that is encoded at once
+CACHE_WORDS = 1_000_000  # strings whose ids one Python worker remembers, in some 35 bytes each
 CACHE_IDS = 4 * CACHE_WORDS
 MARKS = ".,;:!?%*#&$"  # punctuation that starts a new piece after a letter
 LONG_WORD = 256  # bytes from which a string is not remembered
