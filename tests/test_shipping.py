@@ -19,7 +19,7 @@ assert not [m for m in sys.modules if m.startswith('kilowatch')]
 
 
 def test_task_functions_travel_by_value(tmp_path):
-    functions = [partial(scoring._count_along, sustained=5), partial(scorer._score_group, p={}, idle_ms=1)]
+    functions = [partial(scoring._count_along, sustained=5), scorer.MeterScorer({}, 1).handleInputRows]
     paths = []
     for i, fn in enumerate(functions):
         path = tmp_path / f"fn{i}.pkl"
