@@ -89,7 +89,9 @@ def test_long_and_common_conversations(spark, monkeypatch):
 
 def test_turns_of_a_long_conversation_spread(spark):
     rows = spark.range(20_000).selectExpr("7L AS conv_id", "id AS turn", "'user' AS role", "'x' AS text")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so few rows are one range
     numbered = prefixtrie.numbered(rows)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert numbered.select("part").distinct().count() > 1
     assert numbered.agg({"pos": "max"}).first()[0] == 20_000 == numbered.select("pos").distinct().count()
 
