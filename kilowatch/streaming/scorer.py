@@ -2,9 +2,11 @@
 
 The state of a meter is one typed value of constant size: the running moments, the counter and the last
 48 z-scores. It lives in RocksDB and goes when the meter was silent for the idle time. Meters may start from
-stored statistics, which are loaded once as initial state. A micro-batch is bounded by the rate cap of
-its source, so the rows of one meter in one micro-batch are too. They are ordered by time before they
-are scored; rows that arrive in a later micro-batch with an older time are scored in arrival order.
+stored statistics, which are loaded once as initial state. Meters are dealt over a fixed number of groups,
+and Python is called once per group and micro-batch, not once per meter: what a call costs besides its rows
+does not grow with the fleet. A micro-batch is bounded by the rate cap of its source, so the rows of one
+group in one micro-batch are too. They are ordered by meter and time before they are scored; rows that arrive
+in a later micro-batch with an older time are scored in arrival order.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -24,6 +26,8 @@ from kilowatch.operators.scoring import (
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 HISTORY = 48
+# Fixed value: groups that the meters are dealt over; a checkpoint holds its meters by group.
+GROUPS = 1024
 CARRIED = ["tariff_type", "acorn_group", "reading_date", "injected_anomaly"]
 OUTPUT = (
     "meter_id string, reading_id bigint, ts timestamp, kwh_hourly double, rolling_mean double, "
@@ -55,17 +59,21 @@ def running_moments(x: np.ndarray, n: int, mean: float, m2: float) -> tuple[np.n
     return ns, np.where(ns > 0, near + shift, mean), np.maximum(squares, 0.0)
 
 
-def score_values(x: np.ndarray, state: tuple[int, float, float, int], p: dict) -> tuple[dict, tuple]:
-    """Readings in order on top of a state (n, mean, m2, counter): columns of the result, and the new state."""
-    ns, means, squares = running_moments(x, *state[:3])
+def score_segments(x: np.ndarray, starts: np.ndarray, states: list[tuple], p: dict) -> tuple[dict, list[tuple]]:
+    """Readings in order, the segment of each meter from its start on top of its state (n, mean, m2,
+    counter): columns of the result, and the new states."""
+    ends = [*starts[1:], len(x)]
+    parts = [running_moments(x[a:b], *state[:3]) for a, b, state in zip(starts, ends, states)]
+    ns, means, squares = (np.concatenate(column) for column in zip(*parts))
     stddev = np.sqrt(np.divide(squares, ns, out=np.zeros(len(x)), where=ns > 0))
     warm, ready = ns >= p["warmup"], (stddev > p["min_stddev"]) & (ns >= p["warmup"])
     z = np.where(ready, np.divide(x - means, stddev, out=np.zeros(len(x)), where=stddev > 0), 0.0)
     reach = np.abs(z) if p["two_sided"] else z
     flat = warm & (x < p["flatline"])
     kinds = np.select([~warm | flat, reach > p["threshold"], z > p["high"]], [K_NONE, K_SPIKE, K_HIGH], K_LOW)
-    firsts = np.zeros(len(x), bool)
-    before, after = walk(kinds, firsts, firsts, state[3], p["sustained"])
+    firsts, entries = np.zeros(len(x), bool), np.zeros(len(x), np.int64)
+    firsts[starts], entries[starts] = True, [state[3] for state in states]
+    before, after = walk(kinds, firsts, entries, 0, p["sustained"])
     lasting = (kinds == K_HIGH) & (before >= p["sustained"])
     spike = kinds == K_SPIKE
     columns = {
@@ -77,23 +85,24 @@ def score_values(x: np.ndarray, state: tuple[int, float, float, int], p: dict) -
         ),
         "n": ns, "consecutive_high": after,
     }
-    return columns, (int(ns[-1]), float(means[-1]), float(squares[-1]), int(after[-1]))
+    return columns, [(int(ns[b - 1]), float(means[b - 1]), float(squares[b - 1]), int(after[b - 1])) for b in ends]
 
 
 class MeterScorer(StatefulProcessor):
-    """Scores the readings of a meter on top of its state; with ``passed`` rejects go through untouched."""
+    """Scores the readings of a group of meters on top of their states; with ``passed`` rejects go through untouched."""
 
     def __init__(self, p: dict, idle_ms: int, passed: bool = False):
         self.p, self.idle_ms, self.passed = p, idle_ms, passed
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         # An update starts the idle time anew; an expired value reads as none and is removed by the store.
-        self.meter = handle.getValueState("meter", STATE, ttlDurationMs=self.idle_ms)
+        self.meters = handle.getMapState("meters", "meter_id string", STATE, ttlDurationMs=self.idle_ms)
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        first = initialState.iloc[0]
-        n, mean = int(first["total_readings"]), float(first["global_mean"] or 0.0)
-        self.meter.update((n, mean * n, mean, float(first["global_stddev"] or 0.0) ** 2 * n, 0, [], 0))
+        known = zip(*(initialState[c] for c in ("meter_id", "total_readings", "global_mean", "global_stddev")))
+        for meter, n, mean, stddev in known:
+            n, mean = int(n), float(mean or 0.0)
+            self.meters.updateValue((meter,), (n, mean * n, mean, float(stddev or 0.0) ** 2 * n, 0, [], 0))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows), ignore_index=True)
@@ -106,14 +115,22 @@ class MeterScorer(StatefulProcessor):
             batch = batch[~bad]
             if not len(batch):
                 return
-        batch = batch.sort_values(["ts", "reading_id"], ignore_index=True)
-        known = self.meter.get() or (0, 0.0, 0.0, 0.0, 0, [], 0)
-        n, total, mean, m2, count, history, last = known
+        # Readings without a meter are one meter.
+        batch["_meter"] = pd.factorize(batch["meter_id"], use_na_sentinel=False)[0]
+        batch = batch.sort_values(["_meter", "ts", "reading_id"], ignore_index=True)
+        starts = np.flatnonzero(np.diff(batch["_meter"], prepend=-1))
+        ends = [*starts[1:], len(batch)]
+        meters = [(m if isinstance(m, str) else None,) for m in batch["meter_id"].iloc[starts]]
+        known = [self.meters.getValue(m) or (0, 0.0, 0.0, 0.0, 0, [], 0) for m in meters]
         x = batch["kwh_hourly"].to_numpy(float)
-        columns, (n, mean, m2, count) = score_values(x, (n, mean, m2, count), self.p)
-        history = [*history, *np.round(columns["z_score"][-HISTORY:], 3).tolist()][-HISTORY:]
-        newest = max(last, int(batch["ts"].iloc[-1].value // 1000))
-        self.meter.update((n, total + float(np.nansum(x)), mean, m2, count, history, newest))
+        columns, states = score_segments(x, starts, [(n, mean, m2, c) for n, _, mean, m2, c, _, _ in known], self.p)
+        z, newest = np.round(columns["z_score"], 3), batch["ts"].iloc[np.array(ends) - 1]
+        for m, a, b, before, state, at in zip(meters, starts, ends, known, states, newest):
+            _, total, _, _, _, history, last = before
+            n, mean, m2, count = state
+            history = [*history, *z[max(a, b - HISTORY):b].tolist()][-HISTORY:]
+            total, last = total + float(np.nansum(x[a:b])), max(last, int(at.value // 1000))
+            self.meters.updateValue(m, (n, total, mean, m2, count, history, last))
         out = batch[["meter_id", "reading_id", "ts", "kwh_hourly"]].assign(**columns)
         out["is_anomaly"] = out["anomaly_type"] != NORMAL
         out[CARRIED] = batch[CARRIED]
@@ -129,6 +146,10 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
+def _group(dealt: Column) -> Column:
+    return F.pmod(F.xxhash64(dealt), F.lit(GROUPS)).cast("int")
+
+
 def score_stream(
     stream: DataFrame, *, threshold: float = THRESHOLD, sustained: int = SUSTAINED,
     warmup: int = WARMUP, two_sided: bool = False, high: float = HIGH, flatline: float = FLATLINE,
@@ -148,20 +169,18 @@ def score_stream(
         stream = stream.withColumn("reading_id", F.lit(None).cast("bigint"))
     if late is not None:
         stream = stream.withWatermark("ts", late).dropDuplicatesWithinWatermark(["meter_id", "ts"])
+    # Rejects without a meter are dealt by their text.
+    dealt = F.coalesce("meter_id", "value") if passed else F.col("meter_id")
     rows = stream.select("meter_id", "reading_id", "ts", "kwh_hourly", *CARRIED, *(PASSED if passed else []))
-    key = "meter_id"
-    if passed:
-        # Rejects without a meter are dealt by their text.
-        spread = F.concat(F.lit("reject-"), F.pmod(F.xxhash64("value"), F.lit(1024)).cast("string"))
-        rows = rows.withColumn("_group", F.coalesce("meter_id", spread))
-        key = "_group"
+    rows = rows.withColumn("_group", _group(dealt))
     p = dict(
         threshold=threshold, sustained=sustained, warmup=warmup, two_sided=two_sided, high=high,
         flatline=flatline, min_stddev=min_stddev,
     )
     start = None
     if stats is not None:
-        start = stats.select("meter_id", "total_readings", "global_mean", "global_stddev").groupBy("meter_id")
+        start = stats.select("meter_id", "total_readings", "global_mean", "global_stddev")
+        start = start.withColumn("_group", _group(F.col("meter_id"))).groupBy("_group")
     scorer = MeterScorer(p, max(1, int(idle_days * 86_400_000)), passed)
     output = f"{OUTPUT}, {PASSED_OUTPUT}" if passed else OUTPUT
-    return rows.groupBy(key).transformWithStateInPandas(scorer, output, "append", "processingTime", initialState=start)
+    return rows.groupBy("_group").transformWithStateInPandas(scorer, output, "append", "processingTime", initialState=start)

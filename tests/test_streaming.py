@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from kilowatch.operators.rollup import meter_stats
 from kilowatch.operators.scoring import score_batch
 from kilowatch.sources.replay import write_days
-from kilowatch.streaming import decode, jobs
+from kilowatch.streaming import decode, jobs, scorer
 from kilowatch.streaming.scorer import score_stream
 from tests.serial import serial_scores
 
@@ -157,3 +157,32 @@ def test_sources(spark):
     assert jobs.stream_source(spark, "rate", "5").isStreaming
     with pytest.raises(ValueError):
         jobs.stream_source(spark, "pigeon", "x")
+
+
+def test_cost_of_a_meter_does_not_come_on_top_of_its_rows(spark, tmp_path):
+    """Python is called for a group of meters: a bound on the groups, whatever the number of meters."""
+    meters = 4 * scorer.GROUPS
+    rows = [(f"M{m}", i, 1.0 + (m + i) % 5) for m in range(meters) for i in range(2)]
+    stream = events(spark, rows).repartition(1)
+    stream.write.parquet(f"{tmp_path}/in")
+    assert labels(run(spark, f"{tmp_path}/in", tmp_path)) == labels(score_batch(stream))
+    states = spark.read.format("statestore").option("stateVarName", "meters").load(f"{tmp_path}/checkpoint")
+    assert states.count() == meters
+    assert states.select("key").distinct().count() <= scorer.GROUPS
+
+
+@pytest.mark.parametrize("step", [7, 45])  # more readings than statistics in a group, and fewer
+def test_meters_of_one_group_keep_their_own_statistics(spark, tmp_path, monkeypatch, step):
+    monkeypatch.setattr(scorer, "GROUPS", 2)
+    past = [(f"M{m}", i, m + 0.1 * (i % 3)) for m in range(40) for i in range(30)]
+    stats = meter_stats(events(spark, past).withColumnRenamed("kwh_hourly", "kwh"))
+    now = [(f"M{m}", 30 + i, m + 0.1 * i) for m in range(0, 50, step) for i in range(5 * (m + 1) // step)]
+    events(spark, now + [(None, 30, 1.0), (None, 31, 2.0)]).repartition(1).write.parquet(f"{tmp_path}/in")
+    out = {(r.meter_id, r.reading_id): r for r in run(spark, f"{tmp_path}/in", tmp_path, stats=stats).collect()}
+    assert len(out) == len(now) + 2
+    assert [out[None, i].n for i in (30, 31)] == [1, 2]
+    known = serial_scores(past + now)
+    for meter, i, _ in now:
+        got, want = out[meter, i], known[meter, i]
+        assert (got.n, got.anomaly_type, got.consecutive_high) == (want[0], want[4], want[6])
+        assert (got.rolling_mean, got.z_score) == pytest.approx((want[1], want[3]), abs=1e-6)
