@@ -18,6 +18,8 @@ from kilowatch.session import cut_lineage
 # Parameters of the boosted trees.
 TREES, DEPTH, STEP, SUBSAMPLE, SUBSET, SEED = 100, 6, 0.1, 0.8, "sqrt", 42
 MODEL_NAME = "GBT_v1"
+# Training rows of a partition: so many pay for a task of their own, and no more than so many lie in one.
+LEAST_ROWS, MOST_ROWS = 100_000, 500_000
 TEST_DAYS = 73
 
 # Direct strategy: what is known at the anchor, what is known of the target hour, and the horizon.
@@ -46,6 +48,14 @@ def build_pipeline(
     )
 
 
+def partitions(rows: int, cores: int) -> int:
+    """How many partitions the trees read. Every level of every tree is a job, so few rows lie in one; many
+    are dealt over all cores, however small their file is (its columns repeat and compress well)."""
+    if rows <= cores * MOST_ROWS:
+        return max(1, min(cores, -(-rows // LEAST_ROWS)))
+    return -(-rows // (cores * MOST_ROWS)) * cores
+
+
 def regression_metrics(
     predictions: DataFrame, label: str = "mw_demand", prediction: str = "prediction"
 ) -> DataFrame:
@@ -69,7 +79,10 @@ def train(
         cutoff = features.agg(F.max(ts) - F.make_dt_interval(days=F.lit(test_days))).scalar()
     train_rows = features.where(F.col(ts) <= cutoff)
     test_rows = features.where(F.col(ts) > cutoff)
-    model = build_pipeline(columns, label=label, **params).fit(train_rows)
+    parts = partitions(train_rows.count(), features.sparkSession.sparkContext.defaultParallelism)
+    # By the values of the rows: the draws of a tree do not depend on the files then.
+    dealt = train_rows.repartition(parts, *columns) if parts > 1 else train_rows
+    model = build_pipeline(columns, label=label, **params).fit(dealt)
     measured = regression_metrics(model.transform(test_rows), label)
     metrics = measured.select(
         F.lit(MODEL_NAME).alias("model"),
@@ -123,12 +136,16 @@ def _direct_columns(slots: DataFrame, demand: DataFrame, fitted_on: DataFrame) -
 
 
 def direct_training_rows(
-    demand: DataFrame, hours: int = 24, cutoff: Column | None = None
+    demand: DataFrame, hours: int = 24, cutoff: Column | None = None, parts: int = 1
 ) -> DataFrame:
-    """One labelled row per (zone, anchor, h): features at the anchor, label h hours later."""
+    """One labelled row per (zone, anchor, h): features at the anchor, label h hours later.
+
+    An anchor makes ``hours`` rows, so a long history is dealt over ``parts`` partitions before.
+    """
     fitted_on = demand if cutoff is None else demand.where(F.col("ts") <= cutoff)
+    anchors = _anchor_rows(demand)
     slots = (
-        _anchor_rows(demand)
+        (anchors.repartition(parts, "zone", "anchor_ts") if parts > 1 else anchors)
         .withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(hours))))
         .withColumn("ts", F.col("anchor_ts") + F.make_dt_interval(hours=F.col("h")))
     )

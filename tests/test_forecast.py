@@ -168,3 +168,28 @@ def test_zero_demand_is_no_percentage(spark):
     assert (kpis.mae, kpis.mape) == (5.0, 50.0)
     assert panels.next_forecast_hours(f, F.lit(at(1)), zone="A").count() == 1
     assert panels.load_kpis(f, F.lit(at(1))).first().peak_predicted_24h == 5.0
+
+
+def test_training_rows_are_dealt_by_their_number(spark, demand, monkeypatch):
+    assert [forecast.partitions(n, 12) for n in (0, 100_000, 100_001, 6_000_000, 6_000_001)] == [1, 1, 2, 12, 24]
+    monkeypatch.setattr(forecast, "LEAST_ROWS", 1000)
+    cutoff = F.lit(at(24 * 18))
+    key = lambda df: sorted(map(tuple, df.collect()))
+    whole = forecast.direct_training_rows(demand, cutoff=cutoff)
+    rows = forecast.direct_training_rows(demand, cutoff=cutoff, parts=4)
+    assert key(rows) == key(whole)
+    seen, build = [], forecast.build_pipeline
+
+    class Watched:
+        def __init__(self, pipeline):
+            self.pipeline = pipeline
+
+        def fit(self, df):
+            seen.append([r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()])
+            return self.pipeline.fit(df)
+
+    monkeypatch.setattr(forecast, "build_pipeline", lambda *a, **k: Watched(build(*a, **k)))
+    _, metrics = forecast.train(whole, forecast.DIRECT_FEATURES, cutoff=cutoff, trees=2, depth=2)
+    (counts,) = seen
+    assert sum(counts) == metrics.first().train_rows > 5000
+    assert len(counts) >= 5 and max(counts) < 2 * sum(counts) / len(counts)
