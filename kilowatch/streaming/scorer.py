@@ -4,7 +4,7 @@ The state of a meter is one typed value of constant size: the running moments, t
 48 z-scores. It lives in RocksDB and goes when the meter was silent for the idle time. Meters may start from
 stored statistics, which are loaded once as initial state. Meters are dealt over a fixed number of groups,
 and Python is called once per group and micro-batch, not once per meter: what a call costs besides its rows
-does not grow with the fleet. A micro-batch is bounded by the rate cap of its source, so the rows of one
+does not grow with the fleet. States of many meters of a group are read in one go. A micro-batch is bounded by the rate cap of its source, so the rows of one
 group in one micro-batch are too. They are ordered by meter and time before they are scored; rows that arrive
 in a later micro-batch with an older time are scored in arrival order.
 """
@@ -12,6 +12,7 @@ in a later micro-batch with an older time are scored in arrival order.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -28,6 +29,9 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 HISTORY = 48
 # Fixed value: groups that the meters are dealt over; a checkpoint holds its meters by group.
 GROUPS = 1024
+# From so many meters of a group on, their states are read in one go, along with so many times as many.
+BULK, SCANNED = 256, 8
+UNKNOWN = (0, 0.0, 0.0, 0.0, 0, [], 0)
 CARRIED = ["tariff_type", "acorn_group", "reading_date", "injected_anomaly"]
 OUTPUT = (
     "meter_id string, reading_id bigint, ts timestamp, kwh_hourly double, rolling_mean double, "
@@ -104,6 +108,17 @@ class MeterScorer(StatefulProcessor):
             n, mean = int(n), float(mean or 0.0)
             self.meters.updateValue((meter,), (n, mean * n, mean, float(stddev or 0.0) ** 2 * n, 0, [], 0))
 
+    def known(self, meters: list[tuple]) -> list[tuple]:
+        """States of these meters. Many are read by one scan of the group's map, which ends where it would read
+        far more than is asked for; few, and what the scan left out, one by one."""
+        if len(meters) < BULK:
+            return [self.meters.getValue(m) or UNKNOWN for m in meters]
+        entries, most = self.meters.iterator(), SCANNED * len(meters)
+        found = dict(islice(entries, most))
+        if len(found) < most:
+            return [found.get(m, UNKNOWN) for m in meters]
+        return [found.get(m) or self.meters.getValue(m) or UNKNOWN for m in meters]
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows), ignore_index=True)
         # Plain strings: text that came in several chunks does not fit Spark's rows.
@@ -121,15 +136,16 @@ class MeterScorer(StatefulProcessor):
         starts = np.flatnonzero(np.diff(batch["_meter"], prepend=-1))
         ends = [*starts[1:], len(batch)]
         meters = [(m if isinstance(m, str) else None,) for m in batch["meter_id"].iloc[starts]]
-        known = [self.meters.getValue(m) or (0, 0.0, 0.0, 0.0, 0, [], 0) for m in meters]
+        known = self.known(meters)
         x = batch["kwh_hourly"].to_numpy(float)
         columns, states = score_segments(x, starts, [(n, mean, m2, c) for n, _, mean, m2, c, _, _ in known], self.p)
-        z, newest = np.round(columns["z_score"], 3), batch["ts"].iloc[np.array(ends) - 1]
-        for m, a, b, before, state, at in zip(meters, starts, ends, known, states, newest):
+        z, sums = np.round(columns["z_score"], 3).tolist(), np.add.reduceat(np.nan_to_num(x, posinf=np.inf, neginf=-np.inf), starts)
+        newest = batch["ts"].iloc[np.array(ends) - 1].astype("datetime64[us]").astype("int64")
+        for m, a, b, before, state, kwh, at in zip(meters, starts, ends, known, states, sums.tolist(), newest.tolist()):
             _, total, _, _, _, history, last = before
             n, mean, m2, count = state
-            history = [*history, *z[max(a, b - HISTORY):b].tolist()][-HISTORY:]
-            total, last = total + float(np.nansum(x[a:b])), max(last, int(at.value // 1000))
+            history = [*history, *z[max(a, b - HISTORY):b]][-HISTORY:]
+            total, last = total + kwh, max(last, at)
             self.meters.updateValue(m, (n, total, mean, m2, count, history, last))
         out = batch[["meter_id", "reading_id", "ts", "kwh_hourly"]].assign(**columns)
         out["is_anomaly"] = out["anomaly_type"] != NORMAL

@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -186,3 +187,55 @@ def test_meters_of_one_group_keep_their_own_statistics(spark, tmp_path, monkeypa
         got, want = out[meter, i], known[meter, i]
         assert (got.n, got.anomaly_type, got.consecutive_high) == (want[0], want[4], want[6])
         assert (got.rolling_mean, got.z_score) == pytest.approx((want[1], want[3]), abs=1e-6)
+
+
+class CountedMap:
+    """A map state in memory that counts its calls."""
+
+    def __init__(self, known):
+        self.known, self.calls = dict(known), {"getValue": 0, "iterator": 0}
+
+    def getValue(self, key):
+        self.calls["getValue"] += 1
+        return self.known.get(key)
+
+    def iterator(self):
+        self.calls["iterator"] += 1
+        return iter(list(self.known.items()))
+
+    def updateValue(self, key, value):
+        self.known[key] = value
+
+
+@pytest.mark.parametrize("meters, others, gets, scans", [
+    (400, 0, 0, 1), (400, 2000, 0, 1),  # all at once
+    (400, 4000, 400, 1),  # the scan ends before it comes to any of them
+    (20, 4000, 20, 0),
+])
+def test_states_of_many_meters_are_read_at_once(meters, others, gets, scans):
+    state = scorer.UNKNOWN[:1] + (1.0, 1.0, 0.0, 0, [], 0)
+    known = {(f"X{m}",): state for m in range(others)} | {(f"M{m}",): (30, 30.0 * m, float(m), 3.0, 2, [0.5], 7) for m in range(0, meters, 2)}
+    p = dict(threshold=3.0, sustained=5, warmup=24, two_sided=False, high=1.5, flatline=0.01, min_stddev=0.01)
+    rows = pd.DataFrame({
+        "meter_id": [f"M{m}" for m in range(meters)] * 2, "reading_id": range(2 * meters),
+        "ts": [dt.datetime(2024, 1, 1, h) for h in (0, 1) for _ in range(meters)],
+        "kwh_hourly": [m + 0.5 for m in range(meters)] * 2, **dict.fromkeys(scorer.CARRIED, "A"),
+    })
+    operator = scorer.MeterScorer(p, 1000)
+    operator.meters = CountedMap(known)
+    (out,) = operator.handleInputRows((0,), iter([rows]), None)
+    assert operator.meters.calls == {"getValue": gets, "iterator": scans}
+    assert out.groupby("meter_id")["n"].max().to_dict() == {f"M{m}": 2 if m % 2 else 32 for m in range(meters)}
+    count, total, _, _, _, history, last = operator.meters.known["M2",]
+    assert (count, total, len(history), last) == (32, 65.0, 3, int(dt.datetime(2024, 1, 1, 1, tzinfo=dt.UTC).timestamp() * 1e6))
+    assert len(operator.meters.known) == meters + others
+
+
+def test_states_read_at_once_continue_and_expire_like_others(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scorer, "BULK", 2)
+    monkeypatch.setattr(scorer, "GROUPS", 2)
+    df = events(spark, series(meters=9))
+    write_days(df.repartition(1), f"{tmp_path}/in")
+    assert labels(run(spark, f"{tmp_path}/in", f"{tmp_path}/a")) == labels(score_batch(df))
+    out = run(spark, f"{tmp_path}/in", f"{tmp_path}/b", idle_days=1e-7)
+    assert out.agg(F.max("n")).first()[0] == 24
