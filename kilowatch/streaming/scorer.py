@@ -4,18 +4,22 @@ The state of a meter is one typed value of constant size: the running moments, t
 48 z-scores. It lives in RocksDB and goes when the meter was silent for the idle time. Meters may start from
 stored statistics, which are loaded once as initial state. Meters are dealt over a fixed number of groups,
 and Python is called once per group and micro-batch, not once per meter: what a call costs besides its rows
-does not grow with the fleet. States of many meters of a group are read in one go. A micro-batch is bounded by the rate cap of its source, so the rows of one
+does not grow with the fleet. States of many meters of a group are read in one go. Spark hands the rows of a
+stateful operator to Python one by one, so each task first packs the rows of a group into Arrow messages, and the
+operator gets a few messages a group. A micro-batch is bounded by the rate cap of its source, so the rows of one
 group in one micro-batch are too. They are ordered by meter and time before they are scored; rows that arrive
 in a later micro-batch with an older time are scored in arrival order.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -31,6 +35,8 @@ HISTORY = 48
 GROUPS = 1024
 # From so many meters of a group on, their states are read in one go, along with so many times as many.
 BULK, SCANNED = 256, 8
+# Rows, and their bytes, that a task packs at a time.
+PACKED_ROWS, PACKED_BYTES = 1 << 18, 1 << 26
 UNKNOWN = (0, 0.0, 0.0, 0.0, 0, [], 0)
 CARRIED = ["tariff_type", "acorn_group", "reading_date", "injected_anomaly"]
 OUTPUT = (
@@ -48,27 +54,40 @@ STATE = (
 )
 
 
-def running_moments(x: np.ndarray, n: int, mean: float, m2: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Count, mean and squared deviations after each value, on top of those so far; NaN does not count."""
+def running_moments(x: np.ndarray, n, mean, m2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Count, mean and squared deviations after each value, on top of those so far; NaN does not count.
+    Values of several meters come as rows, with the statistics so far as columns."""
     counted = ~np.isnan(x)
-    if not counted.any():
-        return np.full(len(x), n), np.full(len(x), mean), np.full(len(x), m2)
+    any_counted = counted.any(axis=-1, keepdims=True)
     # Deviations from a mean near all values keep the sums well conditioned.
-    near = float(x[counted].mean())
+    near = np.where(counted, x, 0.0).sum(axis=-1, keepdims=True) / np.maximum(counted.sum(axis=-1, keepdims=True), 1)
     d = np.where(counted, x - near, 0.0)
-    gap = mean - near if n else 0.0
-    ns = n + np.cumsum(counted)
-    shift = np.divide(n * gap + np.cumsum(d), ns, out=np.zeros(len(x)), where=ns > 0)
-    squares = m2 + n * gap * gap + np.cumsum(d * d) - ns * shift * shift
-    return ns, np.where(ns > 0, near + shift, mean), np.maximum(squares, 0.0)
+    gap = np.where(np.asarray(n) > 0, mean - near, 0.0)
+    ns = n + np.cumsum(counted, axis=-1)
+    shift = np.divide(n * gap + np.cumsum(d, axis=-1), ns, out=np.zeros(x.shape), where=ns > 0)
+    squares = m2 + n * gap * gap + np.cumsum(d * d, axis=-1) - ns * shift * shift
+    means, squares = np.where(ns > 0, near + shift, mean), np.maximum(squares, 0.0)
+    return ns, np.where(any_counted, means, mean), np.where(any_counted, squares, m2)
+
+
+def segment_moments(x: np.ndarray, starts: np.ndarray, states: list[tuple]) -> list[np.ndarray]:
+    """Running moments of each segment on top of its state; segments of equal length are done at once."""
+    lengths = np.diff(starts, append=len(x))
+    before = [np.array(column) for column in zip(*(state[:3] for state in states))]
+    out = [np.empty(len(x), np.int64), np.empty(len(x)), np.empty(len(x))]
+    for length in np.unique(lengths):
+        of = np.flatnonzero(lengths == length)
+        rows = starts[of, None] + np.arange(length)
+        for column, values in zip(out, running_moments(x[rows], *(b[of, None] for b in before))):
+            column[rows] = values
+    return out
 
 
 def score_segments(x: np.ndarray, starts: np.ndarray, states: list[tuple], p: dict) -> tuple[dict, list[tuple]]:
     """Readings in order, the segment of each meter from its start on top of its state (n, mean, m2,
     counter): columns of the result, and the new states."""
     ends = [*starts[1:], len(x)]
-    parts = [running_moments(x[a:b], *state[:3]) for a, b, state in zip(starts, ends, states)]
-    ns, means, squares = (np.concatenate(column) for column in zip(*parts))
+    ns, means, squares = segment_moments(x, starts, states)
     stddev = np.sqrt(np.divide(squares, ns, out=np.zeros(len(x)), where=ns > 0))
     warm, ready = ns >= p["warmup"], (stddev > p["min_stddev"]) & (ns >= p["warmup"])
     z = np.where(ready, np.divide(x - means, stddev, out=np.zeros(len(x)), where=stddev > 0), 0.0)
@@ -144,7 +163,8 @@ class MeterScorer(StatefulProcessor):
         for m, a, b, before, state, kwh, at in zip(meters, starts, ends, known, states, sums.tolist(), newest.tolist()):
             _, total, _, _, _, history, last = before
             n, mean, m2, count = state
-            history = [*history, *z[max(a, b - HISTORY):b]][-HISTORY:]
+            # An array goes to the store as one block of numbers, a list number by number.
+            history = array("d", [*history, *z[max(a, b - HISTORY):b]][-HISTORY:])
             total, last = total + kwh, max(last, at)
             self.meters.updateValue(m, (n, total, mean, m2, count, history, last))
         out = batch[["meter_id", "reading_id", "ts", "kwh_hourly"]].assign(**columns)
@@ -156,6 +176,49 @@ class MeterScorer(StatefulProcessor):
         pass
 
 
+class PackedMeterScorer(MeterScorer):
+    """The same on rows that come packed."""
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        return super().handleInputRows(key, map(unpack, rows), timerValues)
+
+
+def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per group of every so many rows: ``_group``, and ``packed``, its rows as an Arrow stream."""
+    held, rows, size = [], 0, 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            rows, size = rows + batch.num_rows, size + batch.nbytes
+        if rows >= PACKED_ROWS or size >= PACKED_BYTES:
+            yield _pack(held)
+            held, rows, size = [], 0, 0
+    if held:
+        yield _pack(held)
+
+
+def _pack(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    table = pa.Table.from_batches(batches)
+    groups = table.column("_group").to_numpy()
+    order = np.argsort(groups, kind="stable")
+    table, groups = table.drop_columns("_group").combine_chunks().take(order), groups[order]
+    starts = np.flatnonzero(np.diff(groups, prepend=-1))
+    messages = []
+    for a, b in zip(starts, [*starts[1:], len(groups)]):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as stream:
+            stream.write_table(table.slice(a, b - a))
+        messages.append(sink.getvalue().to_pybytes())
+    return pa.RecordBatch.from_arrays([pa.array(groups[starts], pa.int32()), pa.array(messages, pa.binary())], names=["_group", "packed"])
+
+
+def unpack(batch: pd.DataFrame) -> pd.DataFrame:
+    """The packed rows, with times as Spark gives them to pandas: of the session's time zone, without it."""
+    rows = pa.concat_tables([pa.ipc.open_stream(message).read_all() for message in batch["packed"]]).to_pandas()
+    rows["ts"] = rows["ts"].dt.tz_localize(None)
+    return rows
+
+
 def use_rocksdb(spark: SparkSession) -> None:
     """Keep state on local disk with changelog checkpoints instead of on the heap."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
@@ -188,7 +251,7 @@ def score_stream(
     # Rejects without a meter are dealt by their text.
     dealt = F.coalesce("meter_id", "value") if passed else F.col("meter_id")
     rows = stream.select("meter_id", "reading_id", "ts", "kwh_hourly", *CARRIED, *(PASSED if passed else []))
-    rows = rows.withColumn("_group", _group(dealt))
+    rows = rows.withColumn("_group", _group(dealt)).mapInArrow(pack, "_group int, packed binary")
     p = dict(
         threshold=threshold, sustained=sustained, warmup=warmup, two_sided=two_sided, high=high,
         flatline=flatline, min_stddev=min_stddev,
@@ -197,6 +260,6 @@ def score_stream(
     if stats is not None:
         start = stats.select("meter_id", "total_readings", "global_mean", "global_stddev")
         start = start.withColumn("_group", _group(F.col("meter_id"))).groupBy("_group")
-    scorer = MeterScorer(p, max(1, int(idle_days * 86_400_000)), passed)
+    scorer = PackedMeterScorer(p, max(1, int(idle_days * 86_400_000)), passed)
     output = f"{OUTPUT}, {PASSED_OUTPUT}" if passed else OUTPUT
     return rows.groupBy("_group").transformWithStateInPandas(scorer, output, "append", "processingTime", initialState=start)

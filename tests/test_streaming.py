@@ -1,7 +1,10 @@
 import datetime as dt
 import random
+from array import array
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -239,3 +242,97 @@ def test_states_read_at_once_continue_and_expire_like_others(spark, tmp_path, mo
     assert labels(run(spark, f"{tmp_path}/in", f"{tmp_path}/a")) == labels(score_batch(df))
     out = run(spark, f"{tmp_path}/in", f"{tmp_path}/b", idle_days=1e-7)
     assert out.agg(F.max("n")).first()[0] == 24
+
+
+def test_rows_reach_the_stateful_operator_packed():
+    """A few messages a group, whatever the number of rows; nothing is lost or changed on the way."""
+    n = 5000
+    rows = pa.table({
+        "meter_id": [None if i % 50 == 7 else f"M{i % 90}" for i in range(n)],
+        "reading_id": pa.array([None if i % 11 == 3 else i for i in range(n)], pa.int64()),
+        "ts": pa.array([None if i % 13 == 5 else 1_700_000_000_000_000 + 7 * i for i in range(n)], pa.timestamp("us", "America/New_York")),
+        "kwh_hourly": [None if i % 17 == 2 else i / 7 for i in range(n)],
+        "_group": pa.array([i % 9 for i in range(n)], pa.int32()),
+    })
+    batches = rows.to_batches(max_chunksize=700)
+    batches.append(batches[0].slice(0, 0))
+    packed = list(scorer.pack(iter(batches)))
+    assert sum(b.num_rows for b in packed) == 9
+    assert list(scorer.pack(iter([]))) == [] and list(scorer.pack(iter([batches[-1]]))) == []
+    for group, message in pa.Table.from_batches(packed).to_pandas().groupby("_group"):
+        want = rows.filter(pa.compute.equal(rows["_group"], group)).drop_columns("_group").to_pandas()
+        want["ts"] = want["ts"].dt.tz_localize(None)
+        pd.testing.assert_frame_equal(scorer.unpack(message), want)
+
+
+def test_rows_are_packed_in_bounded_pieces(monkeypatch):
+    monkeypatch.setattr(scorer, "PACKED_ROWS", 100)
+    rows = pa.record_batch({"value": ["x" * 40] * 50, "ts": pa.array([0] * 50, pa.timestamp("us", "UTC")), "_group": pa.array([1] * 50, pa.int32())})
+    pieces = list(scorer.pack(iter([rows] * 5)))
+    assert [len(scorer.unpack(b.to_pandas())) for b in pieces] == [100, 100, 50]
+    monkeypatch.setattr(scorer, "PACKED_BYTES", 1)
+    assert len(list(scorer.pack(iter([rows] * 5)))) == 5
+
+
+def test_the_operator_of_a_stream_reads_packed_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scorer, "PACKED_ROWS", 100)  # several messages a group
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = events(spark, series(meters=40, hours=60))
+        df = df.withColumn("kwh_hourly", F.when(F.expr("reading_id % 9 <> 4"), F.col("kwh_hourly")))
+        df.repartition(2).write.parquet(f"{tmp_path}/in")
+        out = run(spark, f"{tmp_path}/in", tmp_path, files=2)
+        assert labels(out) == labels(score_batch(df))
+        assert out.select("meter_id", "reading_id", "ts").exceptAll(df.select("meter_id", "reading_id", "ts")).count() == 0
+        states = spark.read.format("statestore").option("stateVarName", "meters").load(f"{tmp_path}/checkpoint")
+        kept = states.selectExpr("user_map_key.meter_id", "user_map_value.value.zscores").collect()
+        last = out.where("reading_id >= 12").groupBy("meter_id").agg(F.sort_array(F.collect_list(F.struct("reading_id", F.round("z_score", 3)))))
+        want = {m: [z for _, z in zs] for m, zs in last.collect()}
+        # The score of a missing reading is kept as NaN and comes out as null.
+        assert {m: [None if np.isnan(z) else z for z in zs] for m, zs in kept} == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_meters_of_equal_length_are_folded_at_once(monkeypatch):
+    calls, folded = [], scorer.running_moments
+    monkeypatch.setattr(scorer, "running_moments", lambda x, *before: calls.append(x.shape) or folded(x, *before))
+    rng = np.random.default_rng(5)
+    lengths = rng.integers(1, 6, 300)
+    starts, x = np.cumsum([0, *lengths[:-1]]), rng.exponential(2.0, lengths.sum())
+    x[rng.random(len(x)) < 0.2] = np.nan
+    x[starts[3]:starts[4]] = np.nan
+    states = [(0, 0.0, 0.0, 0) if i % 3 else (20 + i, 2.5, 90.0, 1) for i in range(300)]
+    got = scorer.segment_moments(x, starts, states)
+    assert len(calls) == 5
+    for a, b, (n, mean, m2, _) in zip(starts, [*starts[1:], len(x)], states):
+        for i in range(a, b):
+            if not np.isnan(x[i]):
+                n, before = n + 1, mean
+                mean += (x[i] - mean) / n
+                m2 += (x[i] - before) * (x[i] - mean)
+            assert got[0][i] == n
+            assert (got[1][i], got[2][i]) == pytest.approx((mean, m2), rel=1e-9, abs=1e-9)
+
+
+@pytest.mark.parametrize("sinks, kept", [(["scored"], 0), (["scored", "alerts"], 1)])
+def test_only_a_batch_of_several_sinks_is_kept(spark, tmp_path, monkeypatch, sinks, kept):
+    scored, calls = score_batch(events(spark, series(meters=1))), []
+    persist = type(scored).persist
+    monkeypatch.setattr(type(scored), "persist", lambda df, *level: calls.append(df) or persist(df, *level))
+    jobs.fan_out(jobs.Sinks(**{name: f"{tmp_path}/{name}" for name in sinks}))(scored, 0)
+    assert len(calls) == kept
+    assert spark.read.parquet(f"{tmp_path}/scored").count() == 72
+
+
+def test_history_is_written_as_one_block():
+    state = CountedMap({})
+    operator = scorer.MeterScorer(dict(threshold=3.0, sustained=5, warmup=24, two_sided=False, high=1.5, flatline=0.01, min_stddev=0.01), 1000)
+    operator.meters = state
+    rows = pd.DataFrame({
+        "meter_id": "M1", "reading_id": range(60), "ts": pd.date_range("2024-01-01", periods=60, freq="h"),
+        "kwh_hourly": [0.5 + i % 3 for i in range(60)], **dict.fromkeys(scorer.CARRIED, "A"),
+    })
+    (out,) = operator.handleInputRows((0,), iter([rows]), None)
+    history = state.known["M1",][5]
+    assert isinstance(history, array) and history.tolist() == out["z_score"].round(3).tolist()[-48:]
