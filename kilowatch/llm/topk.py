@@ -1,10 +1,11 @@
 """Exact top-k inner-product search by tiled matrix products.
 
-Vectors are packed into tiles (ids and one matrix) where they are read, without a shuffle. Each
-block of query tiles meets each shard of tiles through an equality join on (block, shard) numbers,
-so a task holds one tile of either side. The product of two tiles is reduced at once to the best k
-of each query (partial selection); the short lists are merged in a tree whose nodes take ``FAN``
-lists of one query, so that no task sees all lists of a query.
+Vectors are packed into tiles (ids and one matrix of small integers) where they are read, without a
+shuffle, and stored once. The queries are picked out of the tiles into query tiles and dealt over
+parts. Every part of the queries meets every run of tiles in one task, which reads both where they
+lie: nothing is copied once per block of queries. The product of two tiles is computed block by
+block and compared at once with the k-th best score that each query has so far, so a task keeps k
+candidates of each of its queries. The runs are so few that one merge takes all lists of a query.
 """
 
 from __future__ import annotations
@@ -12,84 +13,143 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kilowatch.llm.common import stored
 
-TILE_ROWS = 4096  # candidates of a tile: 2 MB at 64 dimensions
-QUERY_ROWS = 2048  # queries of a tile
-FAN = 32  # lists that one node of the merging tree takes
+TILE_ROWS = 4096  # candidates of a tile: 0.5 MB at 64 dimensions
+QUERY_ROWS = 4096  # queries of a tile
+TILE_VALUES = 2**18  # components of a tile: fewer rows if vectors are long
+PART_ROWS = 32768  # queries of a task
+LIST_ROWS = 2**20  # candidates that a task keeps for its queries
+PAIRS = 2**29  # pairs of a task, about, unless there are FAN runs already
+FAN = 32  # lists of a query that one merge takes
+BLOCK = (256, 1024)  # queries and candidates of one product: 1 MB
+GROUP_TILES = 16  # tiles of a Parquet row group, which is read at once
 TILE = "rids binary, ids binary, matrix binary, dim int, n int, largest double, queries int"
+TILE_ARROW = pa.schema([
+    ("rids", pa.binary()), ("ids", pa.binary()), ("matrix", pa.binary()), ("dim", pa.int32()),
+    ("n", pa.int32()), ("largest", pa.float64()), ("queries", pa.int32()),
+])
+LIST = "rid long, query_id long, vec_id long, score long"
 
 
 def _pack(rids, ids, matrix: np.ndarray, every: int) -> dict:
     rids, ids = np.asarray(rids, "<i8"), np.asarray(ids, "<i8")
     order = np.lexsort((rids, ids))
+    largest = float(np.abs(matrix).max(initial=0.0))
     return {
         "rids": rids[order].tobytes(), "ids": ids[order].tobytes(),
-        "matrix": np.ascontiguousarray(matrix[order], "<f8").tobytes(), "dim": matrix.shape[1], "n": len(ids),
-        "largest": float(np.abs(matrix).max(initial=0.0)), "queries": int((ids % every == 0).sum()),
+        "matrix": np.ascontiguousarray(matrix[order], _kind(largest)).tobytes(), "dim": matrix.shape[1],
+        "n": len(ids), "largest": largest, "queries": int((ids % every == 0).sum()),
     }
 
 
-def _unpack(t) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    ids = np.frombuffer(t.ids, "<i8")
-    return np.frombuffer(t.rids, "<i8"), ids, np.frombuffer(t.matrix, "<f8").reshape(len(ids), t.dim)
+def _kind(largest: float) -> str:
+    """How the components of a tile are stored."""
+    return "<i2" if largest < 2**15 else "<f8"
 
 
-def tiles_of(batches: Iterator[pd.DataFrame], scale: float, every: int) -> Iterator[pd.DataFrame]:
-    """Tiles of the rows as they come, one run per vector length; invalid vectors are left out."""
-    held: dict[int, list] = {}
+def _unpack(t: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    ids = np.frombuffer(t["ids"], "<i8")
+    matrix = np.frombuffer(t["matrix"], _kind(t["largest"])).reshape(len(ids), t["dim"])
+    return np.frombuffer(t["rids"], "<i8"), ids, matrix
 
-    def flush(dim: int) -> dict:
-        rids, ids, rows = zip(*held.pop(dim))
-        return _pack(rids, ids, np.vstack(rows).reshape(len(ids), dim), every)
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows of the batches; binaries are not copied."""
     for batch in batches:
-        done = []
-        for rid, vec_id, v in zip(batch["rid"], batch["vec_id"], batch["embedding"]):
-            if v is None:
-                continue
-            x = np.asarray(v, dtype=np.float64)  # a null component becomes NaN
-            if not np.isfinite(x).all():
-                continue
-            held.setdefault(len(x), []).append((rid, vec_id, np.floor(scale * x)))
-            if len(held[len(x)]) >= TILE_ROWS:
-                done.append(flush(len(x)))
-        if done:
-            yield pd.DataFrame(done)
-    if held:
-        yield pd.DataFrame([flush(dim) for dim in list(held)])
-
-
-def _queries_in(batches: Iterator[pd.DataFrame], every: int) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for t in batch.itertuples():
-            rids, ids, m = _unpack(t)
-            q = ids % every == 0
-            yield pd.DataFrame([_pack(rids[q], ids[q], m[q], every)])
+        columns = [(name, batch.column(name)) for name in batch.schema.names]
+        for i in range(batch.num_rows):
+            yield {
+                name: c[i].as_buffer() if pa.types.is_binary(c.type) else c[i].as_py() for name, c in columns
+            }
+
+
+class _Packer:
+    """Rows as they come, one run per vector length, given back as tiles of at most ``most`` rows."""
+
+    def __init__(self, most: int, every: int):
+        self.most, self.every = most, every
+        self.held: dict[int, list] = {}
+
+    def add(self, rids, ids, matrix: np.ndarray) -> Iterator[pa.RecordBatch]:
+        dim = matrix.shape[1]
+        self.held.setdefault(dim, []).append((rids, ids, matrix))
+        most = max(1, min(self.most, TILE_VALUES // max(dim, 1)))
+        if sum(len(x[1]) for x in self.held[dim]) >= most:
+            rids, ids, matrix = self._joined(dim)
+            full = len(ids) - len(ids) % most
+            for s in range(0, full, most):
+                yield self._tile(rids[s : s + most], ids[s : s + most], matrix[s : s + most])
+            if full < len(ids):
+                self.held[dim] = [(rids[full:], ids[full:], matrix[full:])]
 
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        for dim in list(self.held):
+            yield self._tile(*self._joined(dim))
 
-def _joined(group: pd.DataFrame, every: int) -> pd.DataFrame:
-    rids, ids, m = zip(*(_unpack(t) for t in group.itertuples()))
-    return pd.DataFrame([_pack(np.concatenate(rids), np.concatenate(ids), np.vstack(m), every)])
+    def _joined(self, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        rids, ids, matrix = zip(*self.held.pop(dim))
+        return np.concatenate(rids), np.concatenate(ids), np.vstack(matrix)
+
+    def _tile(self, rids, ids, matrix) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pylist([_pack(rids, ids, matrix, self.every)], TILE_ARROW)
+
+
+def tiles_of(batches: Iterator[pa.RecordBatch], scale: float, every: int) -> Iterator[pa.RecordBatch]:
+    """Tiles of the rows as they come, one run per vector length; invalid vectors are left out."""
+    packer = _Packer(TILE_ROWS, every)
+    for batch in batches:
+        rids, ids, vectors = (batch.column(c) for c in ("rid", "vec_id", "embedding"))
+        there = vectors.is_valid().to_numpy(zero_copy_only=False)
+        rids, ids = rids.to_numpy()[there], ids.to_numpy()[there]
+        lengths = pc.list_value_length(vectors.filter(pa.array(there))).to_numpy()
+        # A null component becomes NaN.
+        flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+        starts = np.cumsum(lengths) - lengths
+        for dim in np.unique(lengths).tolist():
+            own = np.flatnonzero(lengths == dim)
+            if len(own) == len(lengths):
+                x = flat.reshape(len(own), dim)
+            else:
+                x = flat[starts[own][:, None] + np.arange(dim)]
+            ok = np.isfinite(x).all(axis=1)
+            if ok.any():
+                yield from packer.add(rids[own[ok]], ids[own[ok]], np.floor(scale * x[ok]))
+    yield from packer.rest()
+
+
+def _queries_in(batches: Iterator[pa.RecordBatch], every: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Query tiles of at most ``most`` rows; a candidate tile holds few of them."""
+    packer = _Packer(most, every)
+    for t in _rows(batches):
+        rids, ids, m = _unpack(t)
+        q = ids % every == 0
+        yield from packer.add(rids[q], ids[q], m[q].astype(np.float64))
+    yield from packer.rest()
 
 
 def products(q: np.ndarray, c: np.ndarray, largest: float) -> np.ndarray:
     """Exact integer products as int64. The bound on any partial sum picks the arithmetic."""
-    bound = largest * max(1, q.shape[1])
-    if bound < 2**24:
-        return (q.astype(np.float32) @ c.astype(np.float32).T).astype(np.int64)
-    if bound < 2**53:
-        return (q @ c.T).astype(np.int64)
+    kind = _arithmetic(largest, q.shape[1])
+    if kind is not None:
+        return (q.astype(kind) @ c.astype(kind).T).astype(np.int64)
     # Rare: Python integers, held at the limits of a long.
     to_int = np.vectorize(int, otypes=[object])
     exact = to_int(q) @ to_int(c).T if q.size and c.size else np.zeros((len(q), len(c)), object)
     return np.clip(exact, -(2**63), 2**63 - 1).astype(np.int64)
 
 
+def _arithmetic(largest: float, dim: int) -> type | None:
+    """The floats that hold any partial sum of a product exactly, if any do."""
+    bound = largest * max(1, dim)
+    return np.float32 if bound < 2**24 else np.float64 if bound < 2**53 else None
+
+
 def best_of(scores: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows and positions of the k best of each row: by score, then place; ``own`` takes no part.
 
@@ -117,19 +177,91 @@ def best_of(scores: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np
     return np.array(rows, int), np.array(at, int)
 
 
-def _multiply(batches: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for t in batch.itertuples():
-            cr, ci, c = _unpack(t)
-            qr, qi = np.frombuffer(t.q_rids, "<i8"), np.frombuffer(t.q_ids, "<i8")
-            q = np.frombuffer(t.q_matrix, "<f8").reshape(len(qi), t.q_dim)
-            scores = products(q, c, t.largest * t.q_largest)
-            own = qr[:, None] == cr[None, :]
-            i, j = best_of(scores, own, k)
-            yield pd.DataFrame({
-                "rid": qr[i], "query_id": qi[i], "vec_id": ci[j], "score": scores[i, j],
-                "list": np.full(len(i), t.list, np.int64),
-            })
+class Shortlist:
+    """The k best candidates so far of each query of a tile.
+
+    New ones are put aside and merged when there are as many as queries; until then the k-th best
+    known is a little low, which lets more through and loses none.
+    """
+
+    def __init__(self, rids: np.ndarray, ids: np.ndarray, k: int):
+        self.rids, self.ids, self.k = rids.copy(), ids.copy(), k
+        self.low = np.full(len(ids), -np.inf)  # the k-th best score, as a float; below all if there are fewer
+        self.last = np.zeros(len(ids), np.int64)  # and its id
+        self.rows, self.scores, self.found = (np.zeros(0, np.int64) for _ in range(3))
+        self.aside: list[tuple] = []
+        self.waiting = 0
+
+    def add(self, rows: np.ndarray, scores: np.ndarray, found: np.ndarray) -> None:
+        self.aside.append((rows, scores, found))
+        self.waiting += len(rows)
+        if self.waiting >= len(self.ids):
+            self.merge()
+
+    def merge(self) -> None:
+        rows, scores, found = (np.concatenate(x) for x in zip((self.rows, self.scores, self.found), *self.aside))
+        order = np.lexsort((found, ~scores, rows))
+        rows, scores, found = rows[order], scores[order], found[order]
+        rank = np.arange(len(rows)) - np.searchsorted(rows, np.arange(len(self.ids)))[rows]
+        full, kept = rank == self.k - 1, rank < self.k
+        self.low[rows[full]], self.last[rows[full]] = scores[full], found[full]
+        self.rows, self.scores, self.found = rows[kept], scores[kept], found[kept]
+        self.aside, self.waiting = [], 0
+
+    def offer(self, q: np.ndarray, rids: np.ndarray, ids: np.ndarray, c: np.ndarray, largest: float) -> None:
+        """Meet the candidates of a tile, which are ordered by id."""
+        kind = _arithmetic(largest, q.shape[1])
+        if kind is not None:
+            q, c, room = q.astype(kind), c.astype(kind), np.empty(BLOCK, kind)
+        for s in range(0, len(ids), BLOCK[1]):
+            there = slice(s, s + BLOCK[1])
+            for r in range(0, len(q), BLOCK[0]):
+                some = q[r : r + BLOCK[0]]
+                if kind is None:
+                    self._best(r + np.arange(len(some)), products(some, c[there], largest), rids[there], ids[there])
+                else:
+                    scores = room[: len(some), : len(ids[there])]
+                    self._block(r, np.matmul(some, c[there].T, out=scores), rids[there], ids[there])
+
+    def _block(self, r: int, scores: np.ndarray, rids: np.ndarray, ids: np.ndarray) -> None:
+        """Candidates that reach the k-th best; with equal scores only if none here has a smaller id."""
+        end = r + len(scores)
+        low = (self.low[r:end] + (ids[0] >= self.last[r:end])).astype(scores.dtype)
+        rows = np.flatnonzero(scores.max(axis=1) >= low)
+        if not len(rows):
+            return
+        scores = scores[rows]
+        reach = scores >= low[rows, None]
+        if np.count_nonzero(reach) > 8 * self.k * len(rows):
+            self._best(r + rows, scores.astype(np.int64), rids, ids)
+            return
+        i, j = np.divmod(np.flatnonzero(reach), len(ids))
+        free = self.rids[r + rows[i]] != rids[j]
+        i, j = i[free], j[free]
+        self.add(r + rows[i], scores[i, j].astype(np.int64), ids[j])
+
+    def _best(self, rows: np.ndarray, scores: np.ndarray, rids: np.ndarray, ids: np.ndarray) -> None:
+        i, j = best_of(scores, self.rids[rows][:, None] == rids[None, :], self.k)
+        self.add(rows[i], scores[i, j], ids[j])
+
+    def result(self) -> pa.RecordBatch:
+        self.merge()
+        lists = (self.rids[self.rows], self.ids[self.rows], self.found, self.scores)
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in lists], ["rid", "query_id", "vec_id", "score"])
+
+
+def _multiply(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """The best k of each query among all candidates that come; one list per query."""
+    lists: dict[bytes, Shortlist] = {}
+    for t in _rows(batches):
+        rids, ids, c = _unpack(t)
+        q_rids, q_ids, q = _unpack({x[2:]: v for x, v in t.items() if x.startswith("q_")})
+        tile = q_rids[:1].tobytes()
+        if tile not in lists:
+            lists[tile] = Shortlist(q_rids, q_ids, k)
+        lists[tile].offer(q, rids, ids, c, t["largest"] * t["q_largest"])
+    for one in lists.values():
+        yield one.result()
 
 
 def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: float = 256.0) -> DataFrame:
@@ -147,35 +279,25 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: float = 256.0)
         F.monotonically_increasing_id().alias("rid"), F.col("vec_id").cast("long").alias("vec_id"),
         F.col("embedding").cast("array<double>").alias("embedding"),
     )
-    tiles = stored(slim.mapInPandas(lambda it: tiles_of(it, scale, every), TILE), "vector-tiles")
-    n_tiles, asked = tiles.agg(F.count(F.lit(1)), F.coalesce(F.sum("queries"), F.lit(0))).first()
-    n_tiles, n_blocks = max(n_tiles, 1), max(1, -(-asked // QUERY_ROWS))
-    # A candidate tile holds few queries: about QUERY_ROWS of them are put into one query tile.
-    place = F.xxhash64("rids")
-    blocks = tiles.where("queries > 0").mapInPandas(lambda it: _queries_in(it, every), TILE)
-    blocks = stored(
-        blocks.withColumn("block", F.pmod(place, F.lit(n_blocks))).groupBy("block", "dim")
-        .applyInPandas(lambda g: _joined(g.drop(columns="block"), every).assign(block=g["block"].iloc[0]), TILE + ", block long"),
-        "query-tiles",
+    tiles = stored(
+        slim.mapInArrow(lambda it: tiles_of(it, scale, every), TILE), "vector-tiles",
+        **{"parquet.block.row.count.limit": GROUP_TILES},
     )
-    # Every query tile meets every candidate tile once: at its block number and the tile's list number.
-    left = blocks.select("block", *[F.col(c).alias(f"q_{c}") for c in ("rids", "ids", "matrix", "dim", "largest")])
-    left = left.withColumn("list", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_tiles - 1).cast("long"))))
-    right = tiles.select("rids", "ids", "matrix", "dim", "largest", F.pmod(place, F.lit(n_tiles)).alias("list"))
-    right = right.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))))
-    pairs = left.join(right, ["block", "list"]).where("q_dim = dim")
-    lists = pairs.mapInPandas(lambda it: _multiply(it, k), "rid long, query_id long, vec_id long, score long, list long")
-    while n_tiles > 1:
-        lists = merged(lists.withColumn("list", F.floor(F.col("list") / FAN)), k)
-        n_tiles = -(-n_tiles // FAN)
-    ranked = lists.withColumn("rank", F.row_number().over(_best("rid", "list")))
+    rows, asked = tiles.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "queries")]).first()
+    most = max(1, min(QUERY_ROWS, LIST_ROWS // max(k, 1)))
+    n_parts = max(1, -(-asked // max(most, min(PART_ROWS, LIST_ROWS // max(k, 1)))))
+    n_runs = max(1, min(FAN, -(-rows * asked // (PAIRS * n_parts))))
+    parts = (
+        tiles.where("queries > 0").coalesce(max(1, -(-asked // (4 * QUERY_ROWS))))
+        .mapInArrow(lambda it: _queries_in(it, every, most), TILE)
+        .select(*[F.col(c).alias(f"q_{c}") for c in ("rids", "ids", "matrix", "dim", "largest")])
+        .repartition(n_parts)
+    )
+    runs = tiles.select("rids", "ids", "matrix", "dim", "largest").coalesce(n_runs)
+    # Each pair of a run and a part is a task. Without the hint the few queries could be broadcast, and the
+    # equality would send every row of one length to one task.
+    pairs = runs.join(parts.hint("shuffle_replicate_nl"), F.col("q_dim") == F.col("dim"))
+    lists = pairs.mapInArrow(lambda it: _multiply(it, k), LIST)
+    best = Window.partitionBy("rid").orderBy(F.desc("score"), "vec_id")
+    ranked = lists.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
-
-
-def _best(*keys: str):
-    return Window.partitionBy(*keys).orderBy(F.desc("score"), "vec_id")
-
-
-def merged(lists: DataFrame, k: int) -> DataFrame:
-    """One level of the tree: the best k of each query among the lists of a node."""
-    return lists.withColumn("r", F.row_number().over(_best("rid", "list"))).where(F.col("r") <= k).drop("r")

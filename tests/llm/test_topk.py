@@ -2,9 +2,11 @@ import math
 import random
 
 import numpy as np
+import pyarrow.dataset as ds
 import pytest
 
 from kilowatch.llm import topk
+from kilowatch.session import scratch_made
 from tests.llm.fixtures import with_clashes
 
 VECTORS = "vec_id long, embedding array<float>, label int"
@@ -42,6 +44,53 @@ def test_several_query_blocks_and_merging_levels(spark, monkeypatch):
     assert got == brute(rows, 7, 10)
 
 
+def small(monkeypatch, **more):
+    for name, value in ({"TILE_ROWS": 16, "QUERY_ROWS": 8, "PART_ROWS": 16, "PAIRS": 1, "FAN": 3, "BLOCK": (4, 8), "GROUP_TILES": 2} | more).items():
+        monkeypatch.setattr(topk, name, value)
+
+
+def brute_held(rows, k, every):
+    """Like brute, over finite vectors, with scores held at the limits of a long before they are ranked."""
+    ok, out = [(i, [math.floor(256 * x) for x in v]) for i, v in rows], []
+    for a, (i, q) in enumerate(ok):
+        if i % every == 0:
+            scored = [(-max(-(2**63), min(2**63 - 1, sum(x * y for x, y in zip(q, v)))), j) for b, (j, v) in enumerate(ok) if b != a and len(v) == len(q)]
+            out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(sorted(scored)[:k])]
+    return sorted(out)
+
+
+def test_tiles_are_read_where_they_lie(spark, monkeypatch):
+    # Tiles that were copied once per block of queries, and read a whole file at once, ran out of memory at 15 million vectors.
+    small(monkeypatch)
+    df = spark.createDataFrame([(i, [float(i % 7), 1.0], 0) for i in range(300)], VECTORS).coalesce(2)
+    found = topk.top_k(df, every=4)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Generate" not in plan and "SortMergeJoin" not in plan
+    (path,) = [x for x in scratch_made() if "vector-tiles" in x][-1:]
+    groups = [g.num_rows for f in ds.dataset(path, format="parquet").get_fragments() for g in f.row_groups]
+    assert sum(groups) >= 300 / 16 and max(groups) <= 2
+    assert found.count() == 75 * 5
+
+
+@pytest.mark.parametrize("sizes", [[1], [2**12], [2**22], [2**52], [1, 2**8, 2**22, 2**52]])
+@pytest.mark.parametrize("step", [1, -1, 7])
+def test_ties_over_runs_and_parts(spark, monkeypatch, sizes, step):
+    small(monkeypatch)
+    rng = random.Random(step)
+    rows = [((i * step) % 211, [sizes[i * len(sizes) // 211] * rng.choice((-1.0, 0.5, 1.0)) for _ in range(3)]) for i in range(211)]
+    rows += rows[::5] + [(400 + i, [float(sizes[-1]), 1.0]) for i in range(60)] + [(600 + i, []) for i in range(20)]
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<double>, label int").coalesce(3)
+    assert sorted(map(tuple, topk.top_k(df, k=4, every=3).collect())) == brute_held(rows, 4, 3)
+
+
+def test_lists_that_equal_scores_fill(spark, monkeypatch):
+    small(monkeypatch, BLOCK=(4, 64), TILE_ROWS=64)
+    rows = [(i, [1.0, 1.0]) for i in range(500)]
+    random.Random(1).shuffle(rows)
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], VECTORS).coalesce(1)
+    assert sorted(map(tuple, topk.top_k(df, k=1, every=20).collect())) == brute(rows, 1, 20)
+
+
 def test_few_rows_and_none(spark):
     assert topk.top_k(spark.createDataFrame([], VECTORS)).collect() == []
     one = spark.createDataFrame([(0, [1.0], 0)], VECTORS)
