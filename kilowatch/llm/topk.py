@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kilowatch.llm.common import stored
+from kilowatch.llm.common import stored, tidy
 
 TILE_ROWS = 4096  # candidates of a tile: 0.5 MB at 64 dimensions
 QUERY_ROWS = 4096  # queries of a tile
@@ -29,6 +29,7 @@ PAIRS = 2**29  # pairs of a task, about, unless there are FAN runs already
 FAN = 32  # lists of a query that one merge takes
 BLOCK = (256, 1024)  # queries and candidates of one product: 1 MB
 GROUP_TILES = 16  # tiles of a Parquet row group, which is read at once
+BATCH_BYTES = 2**23  # of tiles that are sent to Python at once
 TILE = "rids binary, ids binary, matrix binary, dim int, n int, largest double, queries int"
 TILE_ARROW = pa.schema([
     ("rids", pa.binary()), ("ids", pa.binary()), ("matrix", pa.binary()), ("dim", pa.int32()),
@@ -275,12 +276,13 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: float = 256.0)
     without vec_id. Vectors of another length are no candidates. Of repeated rows each is a query
     and a candidate of its own. Scores beyond a long are held at its limits.
     """
+    vectors.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     slim = vectors.where("vec_id is not null").select(
         F.monotonically_increasing_id().alias("rid"), F.col("vec_id").cast("long").alias("vec_id"),
         F.col("embedding").cast("array<double>").alias("embedding"),
     )
     tiles = stored(
-        slim.mapInArrow(lambda it: tiles_of(it, scale, every), TILE), "vector-tiles",
+        slim.mapInArrow(lambda it: tidy(tiles_of(it, scale, every)), TILE), "vector-tiles",
         **{"parquet.block.row.count.limit": GROUP_TILES},
     )
     rows, asked = tiles.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "queries")]).first()
@@ -289,7 +291,7 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: float = 256.0)
     n_runs = max(1, min(FAN, -(-rows * asked // (PAIRS * n_parts))))
     parts = (
         tiles.where("queries > 0").coalesce(max(1, -(-asked // (4 * QUERY_ROWS))))
-        .mapInArrow(lambda it: _queries_in(it, every, most), TILE)
+        .mapInArrow(lambda it: tidy(_queries_in(it, every, most)), TILE)
         .select(*[F.col(c).alias(f"q_{c}") for c in ("rids", "ids", "matrix", "dim", "largest")])
         .repartition(n_parts)
     )
@@ -297,7 +299,7 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: float = 256.0)
     # Each pair of a run and a part is a task. Without the hint the few queries could be broadcast, and the
     # equality would send every row of one length to one task.
     pairs = runs.join(parts.hint("shuffle_replicate_nl"), F.col("q_dim") == F.col("dim"))
-    lists = pairs.mapInArrow(lambda it: _multiply(it, k), LIST)
+    lists = pairs.mapInArrow(lambda it: tidy(_multiply(it, k)), LIST)
     best = Window.partitionBy("rid").orderBy(F.desc("score"), "vec_id")
     ranked = lists.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
